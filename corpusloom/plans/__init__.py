@@ -4,18 +4,18 @@ from __future__ import annotations
 
 
 def all_queries():
-    from corpusloom.plans import corpus
+    from corpusloom.plans import corpus, dialogue
 
     q = {}
-    for mod in (corpus,):
+    for mod in (corpus, dialogue):
         q.update(mod.QUERIES)
     return q
 
 
 def all_oracles():
-    from corpusloom.plans import corpus
+    from corpusloom.plans import corpus, dialogue
 
     o = {}
-    for mod in (corpus,):
+    for mod in (corpus, dialogue):
         o.update(mod.ORACLE)
     return o

@@ -56,9 +56,13 @@ def read_text_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> Data
     )
 
 
-def read_instructions(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """Instruction records; ``layout`` = 'lines' (JSON lines) or 'array' (one JSON array per file)."""
-    reader = spark.read.schema(INSTRUCTION_SCHEMA)
+def read_instructions(spark: SparkSession, path: str, layout: str = "lines",
+                      extra_fields: list[T.StructField] | None = None) -> DataFrame:
+    """Instruction records; ``layout`` = 'lines' (JSON lines) or 'array' (one JSON array per file).
+
+    ``extra_fields`` keeps further record fields (e.g. record keys) in the read schema.
+    """
+    reader = spark.read.schema(T.StructType(INSTRUCTION_SCHEMA.fields + list(extra_fields or [])))
     if layout == "array":
         reader = reader.option("multiLine", "true")
     elif layout != "lines":
