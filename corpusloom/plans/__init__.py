@@ -4,18 +4,18 @@ from __future__ import annotations
 
 
 def all_queries():
-    from corpusloom.plans import corpus, dialogue
+    from corpusloom.plans import corpus, dialogue, extras
 
     q = {}
-    for mod in (corpus, dialogue):
+    for mod in (corpus, dialogue, extras):
         q.update(mod.QUERIES)
     return q
 
 
 def all_oracles():
-    from corpusloom.plans import corpus, dialogue
+    from corpusloom.plans import corpus, dialogue, extras
 
     o = {}
-    for mod in (corpus, dialogue):
+    for mod in (corpus, dialogue, extras):
         o.update(mod.ORACLE)
     return o
