@@ -51,6 +51,46 @@ def contiguous_index(df: DataFrame, order_cols: list[str], idx_col: str = "idx",
     )
 
 
+def nested_index(df: DataFrame, outer_col: str, inner_col: str, idx_col: str = "idx",
+                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``contiguous_index`` for the order (outer, inner) when ``inner`` is dense 0..n-1 per outer key.
+
+    Only the per-outer-key counts (one row per key, far fewer than rows) are
+    indexed; each row's position is its key's offset plus ``inner``.  The
+    offsets join back by broadcast when their row count is within the bound,
+    else by shuffle join.
+    """
+    from corpusloom.operators.joins import bounded_broadcast
+
+    counts = df.groupBy(outer_col).agg(F.count(F.lit(1)).alias("_cnt"))
+    ranked = contiguous_index(counts, [outer_col], "_rank")
+    # exclusive running sum of the counts in key order, without a global window
+    offsets = _prefix_sum(ranked, "_rank", "_cnt", "_off").select(outer_col, "_off")
+    return (
+        df.join(bounded_broadcast(offsets, max_broadcast_rows), outer_col)
+        .withColumn(idx_col, (F.col("_off") + F.col(inner_col)).cast("bigint"))
+        .drop("_off")
+    )
+
+
+def _prefix_sum(df: DataFrame, pos_col: str, val_col: str, out_col: str, bucket_rows: int = 1 << 16) -> DataFrame:
+    """Exclusive running sum of ``val_col`` in ``pos_col`` order (pos = 0..n-1, dense).
+
+    Two levels: sums per bucket of ``bucket_rows`` positions (a small table,
+    one row per bucket) and a running sum inside each bucket (a window
+    bounded by ``bucket_rows`` rows).
+    """
+    b = F.floor(F.col(pos_col) / F.lit(bucket_rows))
+    x = df.withColumn("_bk", b)
+    per_bucket = x.groupBy("_bk").agg(F.sum(val_col).alias("_bsum"))
+    before_b = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    bucket_off = per_bucket.select("_bk", F.coalesce(F.sum("_bsum").over(before_b), F.lit(0)).alias("_boff"))
+    inner = Window.partitionBy("_bk").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_ioff", F.coalesce(F.sum(val_col).over(inner), F.lit(0)))
+    return x.join(F.broadcast(bucket_off), "_bk").withColumn(out_col, (F.col("_boff") + F.col("_ioff")).cast("bigint")) \
+        .drop("_bk", "_ioff", "_boff")
+
+
 def md5_hash32(c: Column) -> Column:
     """Unsigned 32-bit hash from the first 8 hex digits of md5 (same in DuckDB)."""
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")

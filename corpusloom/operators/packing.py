@@ -20,7 +20,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.index import bottom_k_flag, contiguous_index, md5_hash32
+from corpusloom.session import checkpoint_root
+
+from corpusloom.operators.index import bottom_k_flag, contiguous_index, md5_hash32, nested_index
 
 DEFAULT_BATCH_ROWS = 1000  # rows per batched map call
 
@@ -35,8 +37,12 @@ def clamp_block_size(block_size: int, model_max_length: int) -> int:
 
 
 def _batched_offsets(rows: DataFrame, order_cols: list[str], ids_col: str, block_size: int,
-                     batch_rows: int) -> DataFrame:
-    indexed = contiguous_index(rows, order_cols, "_idx")
+                     batch_rows: int, dense_inner: bool = False) -> DataFrame:
+    if dense_inner:
+        # (outer key, dense position) order: only the per-key counts are indexed
+        indexed = nested_index(rows, order_cols[0], order_cols[1], "_idx")
+    else:
+        indexed = contiguous_index(rows, order_cols, "_idx")
     r = indexed.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(batch_rows)).cast("bigint")).withColumn(
         "_len", F.size(ids_col).cast("bigint")
     )
@@ -53,9 +59,13 @@ def _batched_offsets(rows: DataFrame, order_cols: list[str], ids_col: str, block
 
 
 def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col: str = "input_ids",
-                batch_rows: int = DEFAULT_BATCH_ROWS) -> DataFrame:
-    """-> (batch_id, block_no, input_ids, attention_mask, labels)."""
-    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows)
+                batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False) -> DataFrame:
+    """-> (batch_id, block_no, input_ids, attention_mask, labels).
+
+    ``dense_inner``: the order is (key, position) with positions 0..n-1 per key
+    (lines of a document), which allows the cheaper nested index.
+    """
+    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner)
     b = F.lit(block_size)
     # rows of zero tokens and rows entirely in the dropped tail yield nothing
     r = r.filter((F.col("_len") > 0) & (F.col("_start") < F.col("_keep")))
@@ -79,9 +89,9 @@ def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col
 
 
 def pack_stats(rows: DataFrame, order_cols: list[str], block_size: int, ids_col: str = "input_ids",
-               batch_rows: int = DEFAULT_BATCH_ROWS) -> DataFrame:
+               batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False) -> DataFrame:
     """Per batch: rows, tokens, blocks kept and tokens dropped."""
-    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows)
+    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner)
     return r.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("_len").cast("bigint").alias("n_tokens"),
@@ -106,8 +116,10 @@ def split_by_hash(df: DataFrame, key_col: str, test_size: float = 0.05, flag_col
 
 def split_exact(df: DataFrame, key_col: str, test_size: float = 0.05, flag_col: str = "split") -> DataFrame:
     """Exact-count split: ceil(test_size * n) rows with the smallest (hash, key) are eval."""
-    n = df.count()
+    # several passes follow (count, two histograms, ties, flag): materialize the input once
+    checkpoint_root(df.sparkSession)
+    hashed = df.withColumn("_h", md5_hash32(F.col(key_col))).checkpoint(eager=True)
+    n = hashed.count()
     k = int(math.ceil(test_size * n))
-    hashed = df.withColumn("_h", md5_hash32(F.col(key_col)))
     flagged = bottom_k_flag(hashed, "_h", key_col, k, "_is_eval")
     return flagged.withColumn(flag_col, F.when(F.col("_is_eval"), "eval").otherwise("train")).drop("_h", "_is_eval")

@@ -40,19 +40,25 @@ def detok(spark, sf):
     return t.select("doc_id", "line_no", decode_bytes(F.col("input_ids")).alias("line"))
 
 
+def _blocks(spark, sf):
+    return packing.pack_blocks(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True)
+
+
 def pack_blocks(spark, sf):
-    blocks = packing.pack_blocks(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS)
+    blocks = _blocks(spark, sf)
     return blocks.select("batch_id", "block_no", F.size("input_ids").cast("bigint").alias("n_tokens"),
                          ids_to_string("input_ids").alias("input_ids"))
 
 
 def pack_stats(spark, sf):
-    return packing.pack_stats(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS)
+    return packing.pack_stats(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True)
 
 
 def _block_keys(spark, sf):
-    blocks = packing.pack_blocks(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS)
-    return blocks.select("batch_id", "block_no", F.concat_ws("-", "batch_id", "block_no").alias("block_key"))
+    """(batch_id, block_no) of every packed block, from the per-batch block counts (no token arrays)."""
+    stats = packing.pack_stats(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True)
+    keys = stats.select("batch_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)).alias("block_no"))
+    return keys.select("batch_id", "block_no", F.concat_ws("-", "batch_id", "block_no").alias("block_key"))
 
 
 def split_hash(spark, sf):
@@ -65,7 +71,7 @@ def split_exact(spark, sf):
 
 def preview(spark, sf):
     """First train block decoded (the reference logs row 0 of the train split)."""
-    blocks = packing.pack_blocks(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS)
+    blocks = _blocks(spark, sf)
     keyed = blocks.withColumn("block_key", F.concat_ws("-", "batch_id", "block_no"))
     train = packing.split_by_hash(keyed, "block_key").filter(F.col("split") == "train")
     first = train.orderBy("batch_id", "block_no").limit(1)
