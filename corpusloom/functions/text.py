@@ -41,7 +41,7 @@ def text_lines(c) -> Column:
     ``\\r\\n`` and ``\\n`` end a line; a final line terminator does not add an
     empty line; blank lines stay as empty strings.
     """
-    body = F.regexp_replace(col_or_lit(c), r"\r?\n$", "")
+    body = F.regexp_replace(col_or_lit(c), r"\r?\n\z", "")
     return F.split(F.regexp_replace(body, r"\r\n", "\n"), "\n", -1)
 
 

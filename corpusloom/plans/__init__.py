@@ -4,18 +4,18 @@ from __future__ import annotations
 
 
 def all_queries():
-    from corpusloom.plans import corpus, dialogue, extras
+    from corpusloom.plans import corpus, dialogue, extras, io
 
     q = {}
-    for mod in (corpus, dialogue, extras):
+    for mod in (corpus, dialogue, extras, io):
         q.update(mod.QUERIES)
     return q
 
 
 def all_oracles():
-    from corpusloom.plans import corpus, dialogue, extras
+    from corpusloom.plans import corpus, dialogue, extras, io
 
     o = {}
-    for mod in (corpus, dialogue, extras):
+    for mod in (corpus, dialogue, extras, io):
         o.update(mod.ORACLE)
     return o

@@ -18,13 +18,13 @@ def ids_str(x: str) -> str:
 DOC_LINES = """doc_lines AS (
   SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS line_no, unnest(ls) AS line
   FROM (SELECT doc_id,
-               string_split(regexp_replace(regexp_replace(text, '\\r?\\n$', ''), '\\r\\n', chr(10), 'g'), chr(10)) AS ls
+               string_split(regexp_replace(regexp_replace(text, '\\r?\\n\\z', ''), '\\r\\n', chr(10), 'g'), chr(10)) AS ls
         FROM documents))"""
 
 BENCH_LINES = """bench_lines AS (
   SELECT item_id, unnest(generate_series(0, len(ls) - 1)) AS line_no, unnest(ls) AS line
   FROM (SELECT item_id,
-               string_split(regexp_replace(regexp_replace(text, '\\r?\\n$', ''), '\\r\\n', chr(10), 'g'), chr(10)) AS ls
+               string_split(regexp_replace(regexp_replace(text, '\\r?\\n\\z', ''), '\\r\\n', chr(10), 'g'), chr(10)) AS ls
         FROM benchmark))"""
 
 
