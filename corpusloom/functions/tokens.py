@@ -76,4 +76,4 @@ def decode_bytes(ids) -> Column:
 
 def ids_to_string(ids) -> Column:
     """ARRAY<INT> -> '1,2,3' (the form the SQL oracle compares)."""
-    return F.concat_ws(",", F.transform(col_or_lit(ids), lambda x: x.cast("string")))
+    return F.array_join(col_or_lit(ids).cast("array<string>"), ",")

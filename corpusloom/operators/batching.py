@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from corpusloom import constants as K
 from corpusloom.functions.text import word_count
 from corpusloom.operators.index import contiguous_index
+from corpusloom.operators.joins import bounded_broadcast
 
 
 def dialogue_lengths(records: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -50,7 +51,7 @@ def megabatches(lengths: DataFrame, key: str, len_col: str, megabatch_size: int,
     indexed = contiguous_index(lengths.withColumn("_perm", _perm_key(key, seed)), order, "_idx")
     if group_col:
         first = indexed.groupBy(group_col).agg(F.min("_idx").alias("_g0"))
-        indexed = indexed.join(F.broadcast(first), group_col).withColumn("_idx", F.col("_idx") - F.col("_g0")).drop("_g0")
+        indexed = indexed.join(bounded_broadcast(first), group_col).withColumn("_idx", F.col("_idx") - F.col("_g0")).drop("_g0")
     out = indexed.withColumn("mb", F.floor(F.col("_idx") / F.lit(megabatch_size)).cast("bigint"))
     part = [group_col, "mb"] if group_col else ["mb"]
     w = Window.partitionBy(*part).orderBy(F.col(len_col).desc(), F.col(key))
@@ -123,6 +124,7 @@ def modality_batches(lengths: DataFrame, key: str, batch_size: int, world_size:
             .withColumn("pos", F.row_number().over(Window.partitionBy("batch_no").orderBy("_o")) - 1).drop("_o")
     g = length_grouped(signed, key, "_len", batch_size, world_size, seed, group_col="_mod")
     last = g.groupBy("_mod").agg(F.max("mb").alias("_last"))
+    # `last` has two rows, one per modality
     g = g.join(F.broadcast(last), "_mod").withColumn("_tail", F.col("mb") == F.col("_last"))
     # order inside a megabatch: chunk by chunk
     g = g.withColumn("_o", F.col("chunk") * F.lit(batch_size * world_size) + F.col("chunk_pos"))

@@ -87,7 +87,10 @@ def _prefix_sum(df: DataFrame, pos_col: str, val_col: str, out_col: str, bucket_
     bucket_off = per_bucket.select("_bk", F.coalesce(F.sum("_bsum").over(before_b), F.lit(0)).alias("_boff"))
     inner = Window.partitionBy("_bk").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("_ioff", F.coalesce(F.sum(val_col).over(inner), F.lit(0)))
-    return x.join(F.broadcast(bucket_off), "_bk").withColumn(out_col, (F.col("_boff") + F.col("_ioff")).cast("bigint")) \
+    from corpusloom.operators.joins import bounded_broadcast
+
+    # one row per bucket of 65,536 positions: broadcast after the size check
+    return x.join(bounded_broadcast(bucket_off), "_bk").withColumn(out_col, (F.col("_boff") + F.col("_ioff")).cast("bigint")) \
         .drop("_bk", "_ioff", "_boff")
 
 
@@ -130,7 +133,9 @@ def bottom_k_flag(df: DataFrame, hash_col: str, tie_col: str, k: int, flag_col:
         .filter(F.col("_r") <= F.lit(remaining))
         .select(tie_col, F.lit(True).alias("_tie_in"))
     )
-    out = df.join(F.broadcast(ties), tie_col, "left")
+    from corpusloom.operators.joins import bounded_broadcast
+
+    out = df.join(bounded_broadcast(ties), tie_col, "left")
     return out.withColumn(
         flag_col,
         (F.col(hash_col) < F.lit(v)) | ((F.col(hash_col) == F.lit(v)) & F.coalesce(F.col("_tie_in"), F.lit(False))),

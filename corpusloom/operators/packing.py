@@ -37,14 +37,14 @@ def clamp_block_size(block_size: int, model_max_length: int) -> int:
 
 
 def _batched_offsets(rows: DataFrame, order_cols: list[str], ids_col: str, block_size: int,
-                     batch_rows: int, dense_inner: bool = False) -> DataFrame:
+                     batch_rows: int, dense_inner: bool = False, length=None) -> DataFrame:
     if dense_inner:
         # (outer key, dense position) order: only the per-key counts are indexed
         indexed = nested_index(rows, order_cols[0], order_cols[1], "_idx")
     else:
         indexed = contiguous_index(rows, order_cols, "_idx")
     r = indexed.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(batch_rows)).cast("bigint")).withColumn(
-        "_len", F.size(ids_col).cast("bigint")
+        "_len", (F.size(ids_col) if length is None else length).cast("bigint")
     )
     in_batch = Window.partitionBy("batch_id")
     upto = in_batch.orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
@@ -59,16 +59,22 @@ def _batched_offsets(rows: DataFrame, order_cols: list[str], ids_col: str, block
 
 
 def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col: str = "input_ids",
-                batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False) -> DataFrame:
+                batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False, length=None,
+                encode=None) -> DataFrame:
     """-> (batch_id, block_no, input_ids, attention_mask, labels).
 
     ``dense_inner``: the order is (key, position) with positions 0..n-1 per key
     (lines of a document), which allows the cheaper nested index.
+    ``length`` + ``encode``: rows carry text, ``length`` is its token count as
+    an expression and ``encode`` (DataFrame -> DataFrame adding ``ids_col``)
+    runs after the batch shuffle, so the shuffle moves text, not id arrays.
     """
-    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner)
+    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner, length)
     b = F.lit(block_size)
     # rows of zero tokens and rows entirely in the dropped tail yield nothing
     r = r.filter((F.col("_len") > 0) & (F.col("_start") < F.col("_keep")))
+    if encode is not None:
+        r = encode(r)
     last = F.least(F.col("_end"), F.col("_keep"))
     r = r.withColumn("block_no", F.explode(F.sequence(F.floor(F.col("_start") / b), F.floor((last - 1) / b))))
     lo = F.greatest(F.col("_start"), F.col("block_no") * b)
@@ -89,9 +95,9 @@ def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col
 
 
 def pack_stats(rows: DataFrame, order_cols: list[str], block_size: int, ids_col: str = "input_ids",
-               batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False) -> DataFrame:
+               batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False, length=None) -> DataFrame:
     """Per batch: rows, tokens, blocks kept and tokens dropped."""
-    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner)
+    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner, length)
     return r.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("_len").cast("bigint").alias("n_tokens"),

