@@ -274,3 +274,60 @@ SELECT 'train' AS split, 'train_samples' AS metric, round(CAST(count(*) FILTER (
 UNION ALL SELECT 'eval', 'eval_samples', round(CAST(count(*) FILTER (WHERE split = 'eval') AS DOUBLE), 6) FROM sp
 UNION ALL SELECT 'eval', 'eval_loss', round(avg(nll), 6) FROM nl
 UNION ALL SELECT 'eval', 'perplexity', round(exp(avg(nll)), 6) FROM nl"""
+
+# collate_mm / image_expand_plan: llama_2 masked rows, batches of MM_BATCH in conv_id order
+from corpusloom.plans.dialogue_sql import mask_ctes  # noqa: E402
+
+_MM = f"""{mask_ctes('llama_2', MODEL_MAX_LENGTH, True)},
+ml AS (SELECT lb.conv_id, list(lb.lab ORDER BY lb.j) AS labels FROM lb GROUP BY lb.conv_id),
+mb AS (SELECT tk.conv_id, tk.ids, ml.labels,
+              CAST((row_number() OVER (ORDER BY tk.conv_id) - 1) // {MM_BATCH} AS BIGINT) AS batch_id,
+              CAST((row_number() OVER (ORDER BY tk.conv_id) - 1) % {MM_BATCH} AS BIGINT) AS pos
+       FROM tk JOIN ml ON tk.conv_id = ml.conv_id),
+pd AS (SELECT batch_id, pos, conv_id,
+              list_concat(ids, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(ids)), lambda x: {K.PAD_ID})) AS ids,
+              list_concat(labels, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(labels)), lambda x: -100)) AS labels
+       FROM mb)"""
+
+ORACLE["collate_mm"] = f"""WITH {_MM},
+geo AS (SELECT pd.*, pd.conv_id % 3 <> 0 AS is_blank,
+               CAST(CASE WHEN pd.conv_id % 3 = 0 THEN 200 + (pd.conv_id * 91) % 2000 ELSE 336 END AS BIGINT) AS img_h,
+               CAST(CASE WHEN pd.conv_id % 3 = 0 THEN 200 + (pd.conv_id * 37) % 2000 ELSE 336 END AS BIGINT) AS img_w
+        FROM pd)
+SELECT batch_id, pos, conv_id, CAST(len(ids[1:{MODEL_MAX_LENGTH}]) AS BIGINT) AS n_tokens, is_blank, img_h, img_w,
+       (min(img_h) OVER b = max(img_h) OVER b AND min(img_w) OVER b = max(img_w) OVER b
+        AND count(DISTINCT img_h * 100000 + img_w) OVER b = 1) AS stackable,
+       {ids_str(f'ids[1:{MODEL_MAX_LENGTH}]')} AS input_ids, {ids_str(f'labels[1:{MODEL_MAX_LENGTH}]')} AS labels
+FROM geo WINDOW b AS (PARTITION BY batch_id)"""
+
+ORACLE["image_expand_plan"] = f"""WITH {_MM},
+mt AS (SELECT *, len(list_filter(ids, lambda x: x = {K.IMAGE_TOKEN_ID})) AS nimg FROM pd),
+m2 AS (SELECT *, max(nimg) OVER (PARTITION BY batch_id) * {NUM_PATCHES - 1} + len(ids) AS max_embed_dim,
+              NOT bool_or(ids[-1] = {K.PAD_ID}) OVER (PARTITION BY batch_id) AS left_padding FROM mt),
+m3 AS (SELECT *, max_embed_dim - len(ids) - nimg * {NUM_PATCHES - 1} AS nb_image_pad FROM m2),
+tok AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad,
+               unnest(generate_series(1, len(ids))) AS j, unnest(ids) AS id, unnest(labels) AS lab FROM m3),
+sl AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, j,
+              unnest(CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN list_transform(range({NUM_PATCHES}), lambda x: x) ELSE [0] END) AS sub,
+              CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN -100 ELSE lab END AS l,
+              CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN 0 WHEN id <> {K.PAD_ID} THEN 1 ELSE 0 END AS m,
+              id <> {K.IMAGE_TOKEN_ID} AS wr FROM tok),
+fl AS (SELECT DISTINCT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad FROM m3),
+fill AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad,
+                CASE WHEN left_padding THEN -1 ELSE 1000000000 END AS j, unnest(range(nb_image_pad)) AS sub,
+                -100 AS l, 0 AS m, false AS wr FROM fl),
+al AS (SELECT *, row_number() OVER (PARTITION BY batch_id, pos ORDER BY j, sub) - 1 AS q FROM
+       (SELECT * FROM sl UNION ALL SELECT * FROM fill)),
+im AS (SELECT *, (NOT wr) AND (sum(CASE WHEN wr THEN 0 ELSE 1 END) OVER w - 1 >= nb_image_pad) AS img
+       FROM al WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+atn AS (SELECT *, CASE WHEN img THEN 1 ELSE m END AS att FROM im),
+ps AS (SELECT *, CASE WHEN att = 0 THEN 1 ELSE sum(att) OVER w - 1 END AS pid
+       FROM atn WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT batch_id, pos, CAST(max(nimg) AS BIGINT) AS n_images,
+       sum(CASE WHEN img THEN 1 ELSE 0 END) = max(nimg) * {NUM_PATCHES} AS count_ok,
+       CAST(max(max_embed_dim) AS BIGINT) AS max_embed_dim, bool_or(left_padding) AS left_padding,
+       CAST(max(nb_image_pad) AS BIGINT) AS nb_image_pad,
+       string_agg(CAST(l AS VARCHAR), ',' ORDER BY q) AS final_labels,
+       string_agg(CAST(att AS VARCHAR), ',' ORDER BY q) AS final_attention,
+       string_agg(CAST(pid AS VARCHAR), ',' ORDER BY q) AS position_ids
+FROM ps GROUP BY batch_id, pos"""
