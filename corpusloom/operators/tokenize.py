@@ -103,10 +103,14 @@ def tokenize_words(df: DataFrame, key_cols: list[str], text_col: str, vocab: Dat
     """-> (key_cols, out_col): pieces looked up in ``vocab(id, piece)``; unknown get ``unk_id``.
 
     The vocabulary is broadcast after a row-count check; a larger one is a
-    shuffle join (AQE splits a hot piece's partition).  Rows come back
-    together with one aggregate on the row key.
+    shuffle join (AQE splits a hot piece's partition).  The text is hash
+    partitioned by row key first, so the regrouping aggregate needs no second
+    exchange when the vocabulary is broadcast.
     """
-    exploded = df.select(*key_cols, F.posexplode_outer(words(F.col(text_col))).alias("_pos", "piece"))
+    # shuffle the text by row key once; explode, lookup and regroup then stay in that partitioning
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.select(*key_cols, text_col).repartition(n, *key_cols)
+    exploded = keyed.select(*key_cols, F.posexplode_outer(words(F.col(text_col))).alias("_pos", "piece"))
     looked = exploded.join(bounded_broadcast(vocab.select("piece", F.col("id").alias("_id"))), "piece", "left")
     found = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id")))
     grouped = looked.groupBy(*key_cols).agg(
