@@ -42,21 +42,22 @@ def _arrow_byte_ids(col, bos: bool):
         col = col.combine_chunks()
     col = col.cast(pa.string())
     n = len(col)
-    if col.null_count:
+    nulls = col.is_null() if col.null_count else None
+    if nulls is not None:
         col = col.fill_null("")
     offs = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset: col.offset + n + 1]
     data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
     vals = data[offs[0]:offs[-1]].astype(np.int32) + K.BYTE_OFFSET
     rel = (offs - offs[0]).astype(np.int32)
     if not bos:
-        return pa.ListArray.from_arrays(pa.array(rel, pa.int32()), pa.array(vals, pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(rel, pa.int32()), pa.array(vals, pa.int32()), mask=nulls)
     new_offs = rel + np.arange(n + 1, dtype=np.int32)
     out = np.empty(len(vals) + n, dtype=np.int32)
     is_bos = np.zeros(len(out), dtype=bool)
     is_bos[new_offs[:-1]] = True
     out[is_bos] = K.BOS_ID
     out[~is_bos] = vals
-    return pa.ListArray.from_arrays(pa.array(new_offs, pa.int32()), pa.array(out, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(new_offs, pa.int32()), pa.array(out, pa.int32()), mask=nulls)
 
 
 def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids", bos: bool = True) -> DataFrame:
@@ -122,16 +123,14 @@ def tokenize_words(df: DataFrame, key_cols: list[str], text_col: str, vocab: Dat
 
 def detokenize_words(df: DataFrame, key_cols: list[str], ids_col: str, vocab: DataFrame,
                      out_col: str = "text") -> DataFrame:
-    """ids -> pieces joined by one space, special ids skipped."""
-    exploded = df.select(*key_cols, F.posexplode(ids_col).alias("_pos", "id")).filter(
-        F.col("id") >= F.lit(3)
-    )
+    """-> (key_cols, out_col): ids -> pieces joined by one space, special ids skipped."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.select(*key_cols, ids_col).repartition(n, *key_cols)
+    exploded = keyed.select(*key_cols, F.posexplode_outer(ids_col).alias("_pos", "id"))
     looked = exploded.join(bounded_broadcast(vocab.select("id", "piece")), "id", "left")
-    grouped = looked.groupBy(*key_cols).agg(
-        F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("_pos", "piece"))), lambda x: x["piece"]))
-        .alias(out_col)
-    )
-    return df.join(grouped, key_cols, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit("")))
+    kept = F.when(F.col("id") >= F.lit(3), F.struct("_pos", "piece"))
+    return looked.groupBy(*key_cols).agg(
+        F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["piece"])).alias(out_col))
 
 
 def tokenize_with(df: DataFrame, text_col: str, make_encoder: Callable[[], Callable[[str], list[int]]],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import decode_bytes, encode_bytes, ids_to_string
 from corpusloom.operators import packing, vocab
-from corpusloom.operators.tokenize import tokenize_bytes_arrow, tokenize_words
+from corpusloom.operators.tokenize import detokenize_words, tokenize_bytes_arrow, tokenize_words
 from corpusloom.plans import sqlfrag as Q
 from corpusloom.plans.inputs import bench_lines, doc_lines
 from corpusloom.sources.files import union_sources
@@ -125,6 +125,13 @@ def tok_words(spark, sf):
                        ids_to_string("input_ids").alias("input_ids"))
 
 
+def detok_words(spark, sf):
+    """T4 for the word tokenizer: ids back to pieces joined by one space (specials skipped)."""
+    merged = _vocabs(spark, sf)[2]
+    toks = tokenize_words(doc_lines(spark, sf), ORDER, "line", merged)
+    return detokenize_words(toks, ORDER, "input_ids", merged).select("doc_id", "line_no", "text")
+
+
 QUERIES = {
     "lines_scan": lines_scan,
     "tok_bytes": tok_bytes,
@@ -140,6 +147,7 @@ QUERIES = {
     "vocab_specials": vocab_specials,
     "vocab_guard": vocab_guard,
     "tok_words": tok_words,
+    "detok_words": detok_words,
 }
 
 _PACK = Q.packing_ctes(BLOCK_SIZE, BATCH_ROWS)
@@ -202,3 +210,7 @@ SELECT l.doc_id, CAST(l.line_no AS BIGINT) AS line_no, CAST(1 + coalesce(g.n, 0)
        '1' || coalesce(',' || g.s, '') AS input_ids
 FROM doc_lines l LEFT JOIN g ON l.doc_id = g.doc_id AND l.line_no = g.line_no""",
 }
+
+ORACLE["detok_words"] = f"""WITH {Q.DOC_LINES}
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, array_to_string(regexp_extract_all(line, {Q.WORD_RE}), ' ') AS text
+FROM doc_lines"""
