@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.tokens import decode_bytes, encode_bytes, ids_to_string
+from corpusloom.functions.tokens import decode_bytes, ids_to_string
 from corpusloom.operators import packing, vocab
 from corpusloom.operators.tokenize import detokenize_words, tokenize_bytes_arrow, tokenize_words
 from corpusloom.plans import sqlfrag as Q

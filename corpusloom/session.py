@@ -42,6 +42,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and scratch tables "
+                               "must survive executor loss")
         root = tempfile.mkdtemp(prefix="corpusloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
