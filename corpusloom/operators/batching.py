@@ -139,3 +139,21 @@ def modality_batches(lengths: DataFrame, key: str, batch_size: int, world_size:
         "pos", F.row_number().over(Window.partitionBy("batch_no").orderBy(key)) - 1)
     cols = [key, F.col("batch_no").cast("bigint").alias("batch_no"), F.col("pos").cast("bigint").alias("pos")]
     return body.select(*cols).unionByName(tail.select(*cols))
+
+
+def sampler_order(lengths: DataFrame, key: str, batch_size: int, world_size: int, grad_accum: int = 1,
+                  group_by_modality: bool = True, seed: int = 0) -> DataFrame:
+    """The sampler the trainer would pick -> (key, batch_no, pos).
+
+    The effective world size is ``world_size * grad_accum``; with modality
+    grouping the B7 plan runs on the signed lengths, otherwise B4-B6 on the
+    plain lengths.
+    """
+    world = world_size * grad_accum
+    if group_by_modality:
+        return modality_batches(lengths, key, batch_size, world, seed)
+    g = length_grouped(lengths, key, "length", batch_size, world, seed)
+    return g.select(key, F.col("mb").alias("batch_no"),
+                    (F.col("chunk") * F.lit(batch_size * world) + F.col("chunk_pos")).alias("_o")) \
+        .withColumn("pos", (F.row_number().over(Window.partitionBy("batch_no").orderBy("_o")) - 1).cast("bigint")) \
+        .drop("_o")

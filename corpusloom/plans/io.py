@@ -19,14 +19,15 @@ def nul_chunks(spark, sf):
 def cache_plan(spark, sf):
     """After a first build, rewriting one source folder makes exactly its file need a rebuild.
 
-    documents are stored one folder per ``source`` (one file each); the first
-    listing is recorded in the manifest; ``src0`` is then rewritten; the
-    second listing, anti-joined with the manifest, names only that file.
+    documents are stored one folder per ``source`` (files written by every
+    task that holds the source, so a hot source is spread over tasks); the
+    first listing is recorded in the manifest; ``src0`` is then rewritten;
+    the second listing, anti-joined with the manifest, names only its files.
     """
     root = scratch_path(spark, "cache-plan")
     data, manifest = f"{root}/data", f"{root}/manifest"
     docs = table(spark, sf, "documents")
-    docs.repartition("source").write.partitionBy("source").parquet(data)
+    docs.write.partitionBy("source").parquet(data)
     first = files_to_build(spark, data, manifest, config_hash="v1", glob="*.parquet")
     append_manifest(first, manifest)
     (docs.filter(F.col("source") == "src0").write.mode("overwrite")
@@ -34,10 +35,10 @@ def cache_plan(spark, sf):
     listing = files_to_build(spark, data, None, config_hash="v1", glob="*.parquet")
     stale = files_to_build(spark, data, manifest, config_hash="v1", glob="*.parquet").select(
         "file", F.lit(True).alias("needs_build"))
-    out = listing.join(stale, "file", "left").select(
+    per_file = listing.join(stale, "file", "left").select(
         F.regexp_extract("file", r"source=([^/]+)/", 1).alias("source"),
         F.coalesce("needs_build", F.lit(False)).alias("needs_build"))
-    return out
+    return per_file.groupBy("source").agg(F.bool_or("needs_build").alias("needs_build"))
 
 
 QUERIES = {"nul_chunks": nul_chunks, "cache_plan": cache_plan}

@@ -58,17 +58,19 @@ def read_text_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> Data
 
 
 def read_instructions(spark: SparkSession, path: str, layout: str = "lines",
-                      extra_fields: list[T.StructField] | None = None) -> DataFrame:
+                      extra_fields: list[T.StructField] | None = None, split: str | None = None) -> DataFrame:
     """Instruction records; ``layout`` = 'lines' (JSON lines) or 'array' (one JSON array per file).
 
     ``extra_fields`` keeps further record fields (e.g. record keys) in the read schema.
+    ``split`` (S5): tag the rows, e.g. 'eval' for an explicit validation file list.
     """
     reader = spark.read.schema(T.StructType(INSTRUCTION_SCHEMA.fields + list(extra_fields or [])))
     if layout == "array":
         reader = reader.option("multiLine", "true")
     elif layout != "lines":
         raise ValueError(f"unknown layout {layout!r}")
-    return reader.json(path).withColumn("file", F.col("_metadata.file_name"))
+    out = reader.json(path).withColumn("file", F.col("_metadata.file_name"))
+    return out if split is None else out.withColumn("split", F.lit(split))
 
 
 def read_dialogues(spark: SparkSession, path: str) -> DataFrame:

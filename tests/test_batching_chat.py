@@ -124,3 +124,13 @@ def test_metrics(spark):
     acc = metrics.token_accuracy(spark.createDataFrame([([1, 2, 3], [0, 1, 2])], "p array<int>, l array<int>"),
                                  "p", "l").first()
     assert acc.accuracy == 1.0 and acc.n_positions == 2
+
+
+def test_sampler_order_choices(spark):
+    rows = [(i, (i % 9 + 1), (i % 9 + 1) * (1 if i % 2 else -1)) for i in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, length long, modality_length long")
+    for grouped in (True, False):
+        out = batching.sampler_order(df, "conv_id", batch_size=2, world_size=2, grad_accum=2,
+                                     group_by_modality=grouped).collect()
+        assert sorted(r.conv_id for r in out) == list(range(40))
+        assert len({(r.batch_no, r.pos) for r in out}) == 40

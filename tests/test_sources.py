@@ -29,6 +29,8 @@ def test_instruction_layouts(spark, tmpdir_path):
         json.dump(recs, f, indent=1)
     with open(os.path.join(lines, "d.json"), "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
+    ev = files.read_instructions(spark, lines, "lines", split="eval")
+    assert {r.split for r in ev.collect()} == {"eval"}
     for path, layout in ((arr, "array"), (lines, "lines")):
         got = [(r.instruction, r.input, r.output) for r in files.read_instructions(spark, path, layout).collect()]
         assert sorted(got, key=str) == sorted([("i1", "", "o1"), ("i2", None, "o2")], key=str)
