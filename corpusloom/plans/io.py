@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
+from corpusloom.functions.tokens import ids_to_string
 from corpusloom.session import scratch_path
+from corpusloom.streaming.incremental import build_instructions_incrementally
 from corpusloom.sources.files import append_manifest, files_to_build, read_nul_chunks, write_nul_chunks
 from corpusloom.sources.testdata import table
 
@@ -41,9 +45,39 @@ def cache_plan(spark, sf):
     return per_file.groupBy("source").agg(F.bool_or("needs_build").alias("needs_build"))
 
 
-QUERIES = {"nul_chunks": nul_chunks, "cache_plan": cache_plan}
+def incremental_sft(spark, sf):
+    """ST1: instruction files arrive in two waves; each availableNow run labels only the new files.
+
+    Wave 1 holds the first pair of every dialogue, wave 2 the rest; the sink
+    read back must equal the batch ``sft_labels`` (nothing lost, nothing twice).
+    """
+    from corpusloom.plans.dialogue import instruction_rows
+
+    root = scratch_path(spark, "incremental-sft")
+    src, out, ck = f"{root}/in", f"{root}/out", f"{root}/ck"
+    rows = instruction_rows(spark, sf)
+    keys = [T.StructField("conv_id", T.LongType()), T.StructField("pair_no", T.LongType())]
+    rows.filter(F.col("pair_no") == 0).write.json(f"{src}/wave=1")
+    build_instructions_incrementally(spark, f"{src}/*", out, ck, extra_fields=keys)
+    rows.filter(F.col("pair_no") > 0).write.json(f"{src}/wave=2")
+    build_instructions_incrementally(spark, f"{src}/*", out, ck, extra_fields=keys)
+    t = spark.read.parquet(out)
+    return t.select("conv_id", "pair_no", F.size("input_ids").cast("bigint").alias("n_tokens"), "supervised_tokens",
+                    ids_to_string("input_ids").alias("input_ids"), ids_to_string("labels").alias("labels"))
+
+
+QUERIES = {"nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft}
 
 ORACLE = {
     "nul_chunks": "SELECT text FROM documents",
     "cache_plan": "SELECT DISTINCT source, source = 'src0' AS needs_build FROM documents",
 }
+
+
+def _incremental_oracle():
+    from corpusloom.plans.dialogue_sql import ORACLE as D
+
+    return D["sft_labels"]
+
+
+ORACLE["incremental_sft"] = _incremental_oracle()
