@@ -68,14 +68,29 @@ def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids
     Text that may hold special strings goes through ``encode_with_specials``.
     """
     import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
 
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     names = df.columns + [out_col]
 
+    limit = 1 << 30  # keep each output list below the int32 offset range
+
+    def slices(b):
+        col = b.column(text_col)
+        sizes = pa.compute.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+        start, acc = 0, 0
+        for i, n in enumerate(sizes):
+            if acc + n + 1 > limit and i > start:
+                yield b.slice(start, i - start)
+                start, acc = i, 0
+            acc += n + 1
+        yield b.slice(start, len(sizes) - start)
+
     def fn(batches):
-        for b in batches:
-            ids = _arrow_byte_ids(b.column(text_col), bos)
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [ids], names)
+        for batch in batches:
+            for b in slices(batch):
+                ids = _arrow_byte_ids(b.column(text_col), bos)
+                yield pa.RecordBatch.from_arrays(list(b.columns) + [ids], names)
 
     return df.mapInArrow(fn, schema)
 
