@@ -189,8 +189,10 @@ UNION ALL SELECT 'benchmark', item_id, CAST(line_no AS BIGINT), line FROM bench_
     "vocab_stats": f"""WITH {Q.vocab_ctes()}
 SELECT 'base' AS vocab, CAST(count(*) AS BIGINT) AS size, CAST(count(DISTINCT piece) AS BIGINT) AS n_distinct,
        CAST(sum(CASE WHEN piece IN ('<unk>', '<s>', '</s>') THEN 1 ELSE 0 END) AS BIGINT) AS n_specials FROM base_v
-UNION ALL SELECT 'ext', count(*), count(DISTINCT piece), sum(CASE WHEN piece IN ('<unk>', '<s>', '</s>') THEN 1 ELSE 0 END) FROM ext_v
-UNION ALL SELECT 'merged', count(*), count(DISTINCT piece), sum(CASE WHEN piece IN ('<unk>', '<s>', '</s>') THEN 1 ELSE 0 END) FROM merged_v""",
+UNION ALL SELECT 'ext', count(*), count(DISTINCT piece),
+                 CAST(sum(CASE WHEN piece IN ('<unk>', '<s>', '</s>') THEN 1 ELSE 0 END) AS BIGINT) FROM ext_v
+UNION ALL SELECT 'merged', count(*), count(DISTINCT piece),
+                 CAST(sum(CASE WHEN piece IN ('<unk>', '<s>', '</s>') THEN 1 ELSE 0 END) AS BIGINT) FROM merged_v""",
     "vocab_specials": f"""WITH {Q.vocab_ctes()},
 want AS (SELECT * FROM (VALUES (0, '[PAD]'), (1, '<image>'), (2, '<pad>')) w(ord, piece)
          WHERE piece NOT IN (SELECT piece FROM merged_v))
