@@ -31,6 +31,14 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None under Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -38,17 +46,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     the session.  Only when it is unset (local tests) a private folder is made
     and registered, so lineage cuts and scratch tables still have a home.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and scratch tables "
                                "must survive executor loss")
         root = tempfile.mkdtemp(prefix="corpusloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
