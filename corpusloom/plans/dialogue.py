@@ -52,8 +52,8 @@ def dialogue_valid(spark, sf):
 
 
 def image_placeholder(spark, sf):
-    r = dialogue.normalise_image_placeholder(records(spark, sf)).filter(F.col("image").isNotNull())
-    return _explode_msgs(r)
+    """P5 over every record (records without an image keep their text)."""
+    return _explode_msgs(dialogue.normalise_image_placeholder(records(spark, sf)))
 
 
 def image_prefix(spark, sf):

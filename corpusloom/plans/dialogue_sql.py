@@ -204,7 +204,7 @@ ORACLE = {
     "dialogue_valid": f"""WITH {RECORDS}
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_msgs,
        bool_and(frm = CASE WHEN pos % 2 = 0 THEN 'human' ELSE 'gpt' END) AS valid FROM clean GROUP BY conv_id""",
-    "image_placeholder": f"WITH {RECORDS} SELECT conv_id, pos, frm AS \"from\", value FROM p5 WHERE has_img",
+    "image_placeholder": f"WITH {RECORDS} SELECT conv_id, pos, frm AS \"from\", value FROM p5",
     "image_prefix": f"""WITH {RECORDS}
 SELECT conv_id, CASE WHEN has_img THEN '<image>' || chr(10) || value ELSE value END AS first_message FROM clean WHERE pos = 0""",
     "template_route": f"""WITH {RECORDS},

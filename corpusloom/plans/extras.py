@@ -69,9 +69,9 @@ def chat_images(spark, sf):
 
 # ---------------------------------------------------------------- images
 def _manifest(spark, sf):
-    """Computed image sizes for the image dialogues (no image files ship with the data)."""
-    r = records(spark, sf).filter(F.col("image").isNotNull())
-    return r.select("conv_id", "image",
+    """Image folder listing: one computed size per conversation id (no image files ship with the data)."""
+    r = table(spark, sf, "conversations").select("conv_id").distinct()
+    return r.select("conv_id", F.concat(F.lit("images/"), F.col("conv_id").cast("string"), F.lit(".jpg")).alias("image"),
                     (F.lit(200) + F.pmod(F.col("conv_id") * 37, F.lit(2000))).cast("bigint").alias("w"),
                     (F.lit(200) + F.pmod(F.col("conv_id") * 91, F.lit(2000))).cast("bigint").alias("h"))
 
@@ -96,7 +96,7 @@ def _mm_batches(spark, sf):
 
 def collate_mm(spark, sf):
     b = collate.collate_pad(_mm_batches(spark, sf), K.PAD_ID, max_length=MODEL_MAX_LENGTH)
-    b = b.join(_manifest(spark, sf).select("conv_id", "w", "h"), "conv_id", "left")
+    b = b.join(_manifest(spark, sf).select("image", "w", "h"), "image", "left")
     c = collate.collate_images(b)
     return c.select("batch_id", "pos", "conv_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "is_blank",
                     F.col("img_h").cast("bigint").alias("img_h"), F.col("img_w").cast("bigint").alias("img_w"),
@@ -240,10 +240,10 @@ WHERE has_img AND pos % 2 = 0 AND contains(value, '<image>')""",
        CAST(CASE WHEN h > w THEN (h - w) // 2 ELSE 0 END AS BIGINT) AS offset_x,
        CAST(CASE WHEN w > h THEN (w - h) // 2 ELSE 0 END AS BIGINT) AS offset_y, '122,116,104' AS background
 FROM (SELECT DISTINCT conv_id, CAST(200 + (conv_id * 37) % 2000 AS BIGINT) AS w, CAST(200 + (conv_id * 91) % 2000 AS BIGINT) AS h
-      FROM conversations WHERE conv_id % 3 = 0)""",
+      FROM conversations)""",
     "resize_geometry": f"""WITH m AS (
   SELECT DISTINCT conv_id, CAST(200 + (conv_id * 37) % 2000 AS BIGINT) AS w, CAST(200 + (conv_id * 91) % 2000 AS BIGINT) AS h,
-         ['Pad', 'Default', 'Crop', 'Resize'][conv_id % 4 + 1] AS mode FROM conversations WHERE conv_id % 3 = 0),
+         ['Pad', 'Default', 'Crop', 'Resize'][conv_id % 4 + 1] AS mode FROM conversations),
 a AS (SELECT *, CASE mode WHEN 'Pad' THEN greatest(w, h) WHEN 'Resize' THEN 336 ELSE w END AS w1,
              CASE mode WHEN 'Pad' THEN greatest(w, h) WHEN 'Resize' THEN 336 ELSE h END AS h1 FROM m),
 b AS (SELECT *, greatest(w1, h1) AS mx, least(w1, h1) AS mn, greatest(w1, h1)::DOUBLE / least(w1, h1)::DOUBLE AS ratio FROM a),
