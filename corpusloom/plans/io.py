@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from corpusloom.functions.tokens import ids_to_string
 from corpusloom.session import scratch_path
 from corpusloom.streaming.incremental import build_instructions_incrementally
-from corpusloom.sources.files import append_manifest, files_to_build, read_nul_chunks, write_nul_chunks
+from corpusloom.sources.files import (append_manifest, files_to_build, read_nul_chunks, read_text_lines,
+                                     write_nul_chunks)
+from corpusloom.plans.sqlfrag import DOC_LINES
 from corpusloom.sources.testdata import table
 
 
@@ -66,9 +68,27 @@ def incremental_sft(spark, sf):
                     ids_to_string("input_ids").alias("input_ids"), ids_to_string("labels").alias("labels"))
 
 
-QUERIES = {"nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft}
+def text_scan(spark, sf):
+    """S1 round trip: documents written as .txt files, read back one row per line.
+
+    -> (line, idx_valid): the multiset of lines equals the documents' lines, and
+    ``idx_valid`` says the line positions run 0..n-1 inside the line's file
+    (file names are random, so they are not part of the output).
+    """
+    from pyspark.sql import Window
+
+    path = scratch_path(spark, "text-scan")
+    table(spark, sf, "documents").select("text").write.text(path)
+    lines = read_text_lines(spark, path, glob="*.txt")
+    w = Window.partitionBy("file")
+    ok = (F.min("idx").over(w) == 0) & (F.max("idx").over(w) == F.count(F.lit(1)).over(w) - 1)
+    return lines.select(F.col("text").alias("line"), ok.alias("idx_valid"))
+
+
+QUERIES = {"text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft}
 
 ORACLE = {
+    "text_scan": f"WITH {DOC_LINES} SELECT line, true AS idx_valid FROM doc_lines",
     "nul_chunks": "SELECT text FROM documents",
     "cache_plan": "SELECT DISTINCT source, source = 'src0' AS needs_build FROM documents",
 }
