@@ -24,6 +24,7 @@ from corpusloom import constants as K
 from corpusloom.functions.text import word_count
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.joins import bounded_broadcast
+from corpusloom.session import checkpoint_root
 
 
 def dialogue_lengths(records: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -123,6 +124,9 @@ def modality_batches(lengths: DataFrame, key: str, batch_size: int, world_size:
                         (F.col("chunk") * F.lit(batch_size * world_size) + F.col("chunk_pos")).alias("_o")) \
             .withColumn("pos", F.row_number().over(Window.partitionBy("batch_no").orderBy("_o")) - 1).drop("_o")
     g = length_grouped(signed, key, "_len", batch_size, world_size, seed, group_col="_mod")
+    # four branches read the grouped order (tails, body, megabatch ranks): materialize it once
+    checkpoint_root(g.sparkSession)
+    g = g.checkpoint(eager=True)
     last = g.groupBy("_mod").agg(F.max("mb").alias("_last"))
     # `last` has two rows, one per modality
     g = g.join(F.broadcast(last), "_mod").withColumn("_tail", F.col("mb") == F.col("_last"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom import constants as K
 from corpusloom.functions.text import words
 from corpusloom.operators.index import contiguous_index
+from corpusloom.session import checkpoint_root
 
 BASE_SPECIALS = ["<unk>", "<s>", "</s>"]
 
@@ -52,7 +53,10 @@ def merge_vocab(base: DataFrame, ext: DataFrame) -> DataFrame:
     added = ranked.select(
         (F.col("_rank") + F.lit(base_size)).cast("int").alias("id"), "piece", F.lit(0.0).alias("score")
     )
-    return base.select("id", "piece", "score").unionByName(added)
+    merged = base.select("id", "piece", "score").unionByName(added)
+    # the merged vocabulary feeds several lookups and reports: materialize it once
+    checkpoint_root(merged.sparkSession)
+    return merged.checkpoint(eager=True)
 
 
 def vocab_stats(base: DataFrame, ext: DataFrame, merged: DataFrame) -> DataFrame:
