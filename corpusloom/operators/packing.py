@@ -37,16 +37,25 @@ def clamp_block_size(block_size: int, model_max_length: int) -> int:
 
 
 def _batched_offsets(rows: DataFrame, order_cols: list[str], ids_col: str, block_size: int,
-                     batch_rows: int, dense_inner: bool = False, length=None) -> DataFrame:
-    if dense_inner:
+                     batch_rows: int, dense_inner: bool = False, length=None,
+                     per_group: str | None = None) -> tuple[DataFrame, list[str]]:
+    """-> (rows with batch keys and token offsets, the batch key columns)."""
+    if per_group is not None:
+        # batches never cross ``per_group`` (one input file at a time): the position inside the group
+        # is ``order_cols[1]``, dense 0..n-1
+        indexed = rows.withColumn("_idx", F.col(order_cols[1]).cast("bigint"))
+        keys = [per_group, "batch_id"]
+    elif dense_inner:
         # (outer key, dense position) order: only the per-key counts are indexed
         indexed = nested_index(rows, order_cols[0], order_cols[1], "_idx")
+        keys = ["batch_id"]
     else:
         indexed = contiguous_index(rows, order_cols, "_idx")
+        keys = ["batch_id"]
     r = indexed.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(batch_rows)).cast("bigint")).withColumn(
         "_len", (F.size(ids_col) if length is None else length).cast("bigint")
     )
-    in_batch = Window.partitionBy("batch_id")
+    in_batch = Window.partitionBy(*keys)
     upto = in_batch.orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     r = (
         r.withColumn("_end", F.sum("_len").over(upto))
@@ -55,21 +64,24 @@ def _batched_offsets(rows: DataFrame, order_cols: list[str], ids_col: str, block
     )
     b = F.lit(block_size)
     keep = F.when(F.col("_total") >= b, F.floor(F.col("_total") / b) * b).otherwise(F.col("_total"))
-    return r.withColumn("_keep", keep.cast("bigint"))
+    return r.withColumn("_keep", keep.cast("bigint")), keys
 
 
 def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col: str = "input_ids",
                 batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False, length=None,
-                encode=None) -> DataFrame:
-    """-> (batch_id, block_no, input_ids, attention_mask, labels).
+                encode=None, per_group: str | None = None) -> DataFrame:
+    """-> ([per_group,] batch_id, block_no, input_ids, attention_mask, labels).
 
     ``dense_inner``: the order is (key, position) with positions 0..n-1 per key
     (lines of a document), which allows the cheaper nested index.
+    ``per_group``: pack each group (e.g. input file) on its own, batches of
+    ``batch_rows`` consecutive rows inside the group, as the reference packs one
+    file at a time; ``order_cols`` is then (group, dense position).
     ``length`` + ``encode``: rows carry text, ``length`` is its token count as
     an expression and ``encode`` (DataFrame -> DataFrame adding ``ids_col``)
     runs after the batch shuffle, so the shuffle moves text, not id arrays.
     """
-    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner, length)
+    r, keys = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner, length, per_group)
     b = F.lit(block_size)
     # rows of zero tokens and rows entirely in the dropped tail yield nothing
     r = r.filter((F.col("_len") > 0) & (F.col("_start") < F.col("_keep")))
@@ -79,14 +91,14 @@ def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col
     r = r.withColumn("block_no", F.explode(F.sequence(F.floor(F.col("_start") / b), F.floor((last - 1) / b))))
     lo = F.greatest(F.col("_start"), F.col("block_no") * b)
     hi = F.least(last, (F.col("block_no") + 1) * b)
-    r = r.select("batch_id", "block_no", "_idx",
+    r = r.select(*keys, "block_no", "_idx",
                  F.slice(ids_col, (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int")).alias("_piece"))
-    blocks = r.groupBy("batch_id", "block_no").agg(
+    blocks = r.groupBy(*keys, "block_no").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_idx", "_piece"))), lambda x: x["_piece"]))
         .alias("input_ids")
     )
     return blocks.select(
-        "batch_id",
+        *keys,
         F.col("block_no").cast("bigint").alias("block_no"),
         "input_ids",
         F.transform("input_ids", lambda x: F.lit(1)).alias("attention_mask"),
@@ -95,15 +107,16 @@ def pack_blocks(rows: DataFrame, order_cols: list[str], block_size: int, ids_col
 
 
 def pack_stats(rows: DataFrame, order_cols: list[str], block_size: int, ids_col: str = "input_ids",
-               batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False, length=None) -> DataFrame:
+               batch_rows: int = DEFAULT_BATCH_ROWS, dense_inner: bool = False, length=None,
+               per_group: str | None = None) -> DataFrame:
     """Per batch: rows, tokens, blocks kept and tokens dropped."""
-    r = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner, length)
-    return r.groupBy("batch_id").agg(
+    r, keys = _batched_offsets(rows, order_cols, ids_col, block_size, batch_rows, dense_inner, length, per_group)
+    return r.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("_len").cast("bigint").alias("n_tokens"),
         F.first("_keep").alias("_keep"),
     ).select(
-        "batch_id",
+        *keys,
         "n_rows",
         "n_tokens",
         F.ceil(F.col("_keep") / F.lit(block_size)).cast("bigint").alias("n_blocks"),

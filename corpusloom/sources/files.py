@@ -31,8 +31,8 @@ DIALOGUE_SCHEMA = T.StructType([
 ])
 
 
-def read_text_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """Every ``glob`` file of a folder (not recursive), one row per line.
+def read_text_lines(spark: SparkSession, path, glob: str = "*.txt") -> DataFrame:
+    """Every ``glob`` file of a folder (not recursive) or of a list of paths, one row per line.
 
     -> (file STRING, idx BIGINT, text STRING); ``idx`` is the line's position
     in its file.  Files are read in parallel splits; the position is rebuilt
