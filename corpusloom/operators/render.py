@@ -66,8 +66,11 @@ def mmtag_rewrite(msgs: Column, has_image: Column, tmpl: tuple) -> Column:
     return F.when(has_image & (F.size(msgs) > 0), rewritten).otherwise(msgs)
 
 
-def render_prompt(msgs: Column, system: Column, tmpl: tuple) -> Column:
-    """Prompt text of ``tmpl`` for a message array."""
+def style_parts(system: Column, tmpl: tuple):
+    """(head, piece) of ``tmpl``: the prompt is head + the pieces of messages 0, 1, ... concatenated.
+
+    ``piece(m, i)`` takes a message struct (``from``, ``value``) and its position.
+    """
     _, roles, _, _, style, sep, sep2, _ = tmpl
     if sep2 is None and style in ("TWO", "PLAIN"):
         sep2 = sep  # the registered plain template has no sep2 (Q8)
@@ -119,6 +122,12 @@ def render_prompt(msgs: Column, system: Column, tmpl: tuple) -> Column:
                 .otherwise(F.lit(""))
     else:
         raise ValueError(f"Invalid style: {style}")
+    return head, piece
+
+
+def render_prompt(msgs: Column, system: Column, tmpl: tuple) -> Column:
+    """Prompt text of ``tmpl`` for a message array."""
+    head, piece = style_parts(system, tmpl)
     return F.concat(head, F.concat_ws("", F.transform(msgs, piece)))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from corpusloom import constants as K
 from corpusloom.functions.tokens import ids_to_string
-from corpusloom.operators import batching, collate, dialogue, masks, render
+from corpusloom.operators import batching, collate, dialogue, masks, render, turns
 from corpusloom.operators.index import contiguous_index
 from corpusloom.session import scratch_path
 from corpusloom.sources.files import read_instructions
@@ -214,7 +214,36 @@ def modality_batches(spark, sf):
     return batching.modality_batches(_lengths(spark, sf), "conv_id", BATCH_SIZE, WORLD_SIZE)
 
 
+# ---------------------------------------------------------------- message-level forms
+def _messages(spark, sf):
+    return turns.conversation_messages(table(spark, sf, "conversations"), lambda k: F.pmod(k, F.lit(3)) == 0)
+
+
+def _pieces_query(name):
+    def q(spark, sf):
+        msgs, convs = _messages(spark, sf)
+        return turns.render_pieces(msgs, convs, name).select("conv_id", "pos", "piece")
+
+    return q
+
+
+def _long_mask(family, legacy, part):
+    def q(spark, sf):
+        msgs, convs = _messages(spark, sf)
+        pieces = turns.render_pieces(msgs, convs, masks.FAMILIES[family][0])
+        summary, segments = turns.mask_from_pieces(pieces, convs, family, MODEL_MAX_LENGTH, legacy)
+        return summary if part == "summary" else segments
+
+    return q
+
+
 QUERIES = {
+    "render_llama2_pieces": _pieces_query("llama_2"),
+    "render_llama3_pieces": _pieces_query("llama_3"),
+    "mask_llama2_long": _long_mask("llama_2", True, "summary"),
+    "mask_llama3_long": _long_mask("llama_3", False, "summary"),
+    "mask_llama2_segments": _long_mask("llama_2", True, "segments"),
+    "mask_llama3_segments": _long_mask("llama_3", False, "segments"),
     "dialogue_turns": dialogue_turns,
     "dialogue_clean": dialogue_clean,
     "dialogue_valid": dialogue_valid,

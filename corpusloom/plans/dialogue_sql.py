@@ -69,8 +69,8 @@ clean AS (SELECT p5.conv_id, p5.pos - ld.d AS pos, p5.frm, p5.value, p5.has_img
           FROM p5 JOIN lead_drop ld ON p5.conv_id = ld.conv_id WHERE p5.pos >= ld.d)"""
 
 
-def render_sql(name: str, src: str = "clean", shift: int = 0, out: str = "prompt") -> str:
-    """SELECT conv_id, has_img, <prompt> FROM src grouped by conversation (template ``name``)."""
+def render_parts(name: str, shift: int = 0) -> tuple[str, str]:
+    """(head, piece) SQL of template ``name`` over message ``m`` and system row ``s``."""
     system, roles, _, _, style, sep, sep2, _ = K.TEMPLATE_OBJECTS[K.TEMPLATE_NAMES[name]]
     if sep2 is None and style in ("TWO", "PLAIN"):
         sep2 = sep
@@ -101,10 +101,25 @@ def render_sql(name: str, src: str = "clean", shift: int = 0, out: str = "prompt
         head, piece = "''", f"CASE WHEN {ne} THEN (CASE WHEN {i} = 0 THEN {wrap} ELSE '' END) || {body} ELSE '' END"
     else:
         raise ValueError(style)
+    return head, piece
+
+
+def render_sql(name: str, src: str = "clean", shift: int = 0, out: str = "prompt") -> str:
+    """SELECT conv_id, has_img, <prompt> FROM src grouped by conversation (template ``name``)."""
+    head, piece = render_parts(name, shift)
     return (f"SELECT m.conv_id, bool_or(m.has_img) AS has_img, {head} || string_agg({piece}, '' ORDER BY m.pos) AS {out} "
             f"FROM {src} m LEFT JOIN sys s ON m.conv_id = s.conv_id GROUP BY m.conv_id, s.system")
 
 
+def pieces_sql(name: str) -> str:
+    """One row per message piece, plus the head at pos -1 for every conversation."""
+    head, piece = render_parts(name)
+    return (f"SELECT m.conv_id, CAST(m.pos AS BIGINT) AS pos, {piece} AS piece "
+            f"FROM clean m LEFT JOIN sys s ON m.conv_id = s.conv_id "
+            f"UNION ALL SELECT c.conv_id, CAST(-1 AS BIGINT), {head} "
+            f"FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sys s ON c.conv_id = s.conv_id")
+
+
 def fewshot_sql() -> str:
     system, roles, shots, _, _, sep, _, _ = K.TEMPLATE_OBJECTS["vicuna_v0"]
     prefix = "".join(f"{r}: {v}{sep}" for r, v in shots)
@@ -147,7 +162,7 @@ ri AS (SELECT conv_id, i, (rou <> '' AND len(string_split(rou, {lit(inst)})) = 2
 fb AS (SELECT conv_id, min(CASE WHEN NOT ok THEN i END) AS first_bad FROM ri GROUP BY conv_id),
 gr AS (SELECT ri.conv_id, ri.i, ri.rl, ri.il FROM ri JOIN fb ON ri.conv_id = fb.conv_id
        WHERE fb.first_bad IS NULL OR ri.i < fb.first_bad),
-cu AS (SELECT conv_id, 1 + sum(rl) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+cu AS (SELECT conv_id, i, 1 + sum(rl) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
               - rl AS cur, rl, il FROM gr),
 cl AS (SELECT tk.conv_id, 1 + coalesce(sum(gr.rl), 0) AS cur_len FROM tk LEFT JOIN gr ON tk.conv_id = gr.conv_id
        GROUP BY tk.conv_id),
@@ -272,3 +287,16 @@ _REJ = " UNION ALL ".join(
     for f, lg in (("llama_2", True), ("llama_3", False), ("default", True))
 )
 ORACLE["mask_rejects"] = _REJ
+
+SEGMENTS = """SELECT cu.conv_id, CAST(cu.i AS BIGINT) AS round, CAST(greatest(cu.cur + cu.il, 0) AS BIGINT) AS lo,
+       CAST(least(cu.cur + cu.rl, rj.n) AS BIGINT) AS hi
+FROM cu JOIN rj ON cu.conv_id = rj.conv_id
+WHERE NOT rj.rejected AND least(cu.cur + cu.rl, rj.n) > greatest(cu.cur + cu.il, 0)"""
+ORACLE.update({
+    "render_llama2_pieces": f"WITH {RECORDS} {pieces_sql('llama_2')}",
+    "render_llama3_pieces": f"WITH {RECORDS} {pieces_sql('llama_3')}",
+    "mask_llama2_long": f"WITH {mask_ctes('llama_2', 2048, True)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
+    "mask_llama3_long": f"WITH {mask_ctes('llama_3', 2048, False)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
+    "mask_llama2_segments": f"WITH {mask_ctes('llama_2', 2048, True)} {SEGMENTS}",
+    "mask_llama3_segments": f"WITH {mask_ctes('llama_3', 2048, False)} {SEGMENTS}",
+})
