@@ -38,6 +38,7 @@ from corpusloom.operators.dialogue import GPT, HUMAN
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.masks import FAMILIES
 from corpusloom.operators.render import style_parts, template
+from corpusloom.session import checkpoint_root
 
 BUCKET_ROWS = 1 << 16
 
@@ -248,6 +249,10 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
     p = segmented_scan(p, key, "g", ["ntok", "nsep"], ahead="_head")
     p = p.withColumn("_in", _occurrences(F.col("piece"), F.col("_head_next"), inst)) \
         .withColumn("_pad", _occurrences(F.col("piece"), F.lit(""), K.PAD_TOKEN))
+    # the located pieces feed three branches (round bounds, instruction events, totals): written once
+    checkpoint_root(p.sparkSession)
+    p = p.select(key, "has_img", "ntok", "ntok_before", "nsep", "nsep_before", "_s2", "_in", "_pad") \
+        .checkpoint(eager=True)
     off = F.col("ntok_before")
     nul = F.lit(None).cast("bigint")
 
@@ -296,6 +301,7 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
         (F.lit(1) + F.col("inst_end") - F.col("start") - F.lit(minus) + adj).alias("il"),
         (F.lit(1) + F.col("start") + adj_before).alias("cur"),
     )
+    rounds = rounds.checkpoint(eager=True)  # read by the walk summary and by the kept ranges
     walk = rounds.groupBy(key).agg(
         F.min(F.when(~F.col("ok"), F.struct("round", "cur"))).alias("_fb"),
         F.sum("rl").alias("_all"),
