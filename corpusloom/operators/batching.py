@@ -41,6 +41,17 @@ def dialogue_lengths(records: DataFrame, key: str = "conv_id") -> DataFrame:
     )
 
 
+def lengths_from_words(words: DataFrame, key: str = "conv_id") -> DataFrame:
+    """B1-B3 from per-conversation word counts (key, has_image, words)."""
+    w, has_img = F.col("words"), F.col("has_image")
+    return words.select(
+        key, has_img,
+        (w + F.when(has_img, F.lit(K.IMAGE_LENGTH_SURCHARGE)).otherwise(F.lit(0))).cast("bigint").alias("length"),
+        F.when(has_img, w).otherwise(-w).cast("bigint").alias("modality_length"),
+        (w == 0).alias("zero_length"),
+    )
+
+
 def _perm_key(key: str, seed: int):
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
 

@@ -109,14 +109,22 @@ def index_messages(turns: DataFrame, key: str = "conv_id", turn: str = "turn", r
     return contiguous_index(m, [key, turn], "g").withColumn("_b", _bucket("g")).drop(turn)
 
 
-def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
-    """Clean messages (P5, P7 and the image mark of the fixture rule), one row per message.
+STAGES = ("raw", "placeholder", "clean")
 
-    ``has_image(key_col)`` is a row-local rule.  Returns ``(msgs, convs)``:
-    ``msgs`` = (key, g, pos, from, value, has_img, _b) with ``pos`` the
-    0-based position among the kept messages; ``convs`` = (key, system,
-    has_img), one row per conversation (also those without messages).
+
+def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id",
+                          stage: str = "clean") -> tuple[DataFrame, DataFrame]:
+    """Messages one row each: the image mark of the fixture rule, then P5, then P7.
+
+    ``stage`` stops after the mark (``raw``), after P5 (``placeholder``) or
+    after P7 (``clean``).  ``has_image(key_col)`` is a row-local rule.
+    Returns ``(msgs, convs)``: ``msgs`` = (key, g, pos, from, value, has_img,
+    _b) with ``pos`` the 0-based position among the kept messages; ``convs`` =
+    (key, system, has_img), one row per conversation (also those without
+    messages).
     """
+    if stage not in STAGES:
+        raise ValueError(stage)
     idx = index_messages(turns, key)
     stats = idx.groupBy(key).agg(
         F.min("g").alias("_g0"),
@@ -128,11 +136,11 @@ def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id") ->
     tok = K.IMAGE_TOKEN
     # the fixture rule: '\n<image>' after the first human message of an image conversation
     v = F.when(img & (F.col("g") == F.col("_fh")), F.concat("value", F.lit("\n" + tok))).otherwise(F.col("value"))
-    # P5
-    moved = py_strip(F.concat(F.lit(tok + "\n"), py_strip(F.replace(v, F.lit(tok), F.lit("")))))
-    v = F.when(img & (F.instr(v, tok) > 0), moved).otherwise(v)
+    if stage != "raw":  # P5
+        moved = py_strip(F.concat(F.lit(tok + "\n"), py_strip(F.replace(v, F.lit(tok), F.lit("")))))
+        v = F.when(img & (F.instr(v, tok) > 0), moved).otherwise(v)
     # The first message is skipped when it is not from the human
-    drop = F.when(F.col("_first_from") != HUMAN, F.lit(1)).otherwise(F.lit(0))
+    drop = F.when(F.col("_first_from") != HUMAN, F.lit(1)).otherwise(F.lit(0)) if stage == "clean" else F.lit(0)
     msgs = (m.withColumn("value", v).withColumn("has_img", img)
             .filter(F.col("g") >= F.col("_g0") + drop)
             .withColumn("pos", (F.col("g") - F.col("_g0") - drop).cast("bigint"))
@@ -142,6 +150,29 @@ def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id") ->
     return msgs, convs
 
 
+def message_pairs(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> DataFrame:
+    """C10 at message level: (key, pair_no, user, assistant, system); missing answer null.
+
+    Message 2p and message 2p + 1 meet on (key, pair_no): at most one row per
+    side and key.  The system text arrives by ``spread_back``.
+    """
+    pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
+    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("user"), "_b")
+    answers = msgs.filter(F.col("pos") % 2 == 1).select(key, pair, F.col("value").alias("assistant"))
+    pairs = users.join(answers, [key, "pair_no"], "left")
+    return spread_back(pairs, key, "_b", convs.select(key, "system")).select(
+        key, "pair_no", "user", "assistant", "system")
+
+
+def conversation_word_counts(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> DataFrame:
+    """(key, has_image, words): whitespace words over all messages, a partial aggregate per conversation."""
+    from corpusloom.functions.text import word_count
+
+    words = msgs.groupBy(key).agg(F.sum(word_count(F.col("value"))).alias("words"))
+    return convs.join(words, key, "left").select(key, F.col("has_img").alias("has_image"),
+                                                 F.coalesce("words", F.lit(0)).cast("bigint").alias("words"))
+
+
 # ---------------------------------------------------------------------------
 # rendering
 # ---------------------------------------------------------------------------

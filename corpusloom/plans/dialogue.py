@@ -31,35 +31,44 @@ def clean_records(spark, sf):
     return dialogue.drop_leading_non_human(dialogue.normalise_image_placeholder(records(spark, sf)))
 
 
-def _explode_msgs(recs: DataFrame) -> DataFrame:
-    return recs.select("conv_id", F.posexplode("msgs").alias("pos", "m")).select(
-        "conv_id", F.col("pos").cast("bigint").alias("pos"), F.col("m.from").alias("from"),
-        F.col("m.value").alias("value"))
+def _messages(spark, sf, stage="clean"):
+    """Message-level form of ``records`` / ``clean_records``: no conversation becomes one row."""
+    return turns.conversation_messages(table(spark, sf, "conversations"), lambda k: F.pmod(k, F.lit(3)) == 0,
+                                       stage=stage)
+
+
+def _message_rows(msgs: DataFrame) -> DataFrame:
+    return msgs.select("conv_id", "pos", "from", "value")
 
 
 def dialogue_turns(spark, sf):
-    return _explode_msgs(records(spark, sf))
+    return _message_rows(_messages(spark, sf, "raw")[0])
 
 
 def dialogue_clean(spark, sf):
-    return _explode_msgs(clean_records(spark, sf))
+    return _message_rows(_messages(spark, sf)[0])
 
 
 def dialogue_valid(spark, sf):
-    r = clean_records(spark, sf)
-    return r.select("conv_id", F.size("msgs").cast("bigint").alias("n_msgs"),
-                    dialogue.role_alternation_ok(F.col("msgs")).alias("valid"))
+    """P8 as a partial aggregate per conversation: message j must come from roles[j % 2]."""
+    msgs, convs = _messages(spark, sf)
+    want = F.when(F.col("pos") % 2 == 0, F.lit(dialogue.HUMAN)).otherwise(F.lit(dialogue.GPT))
+    per = msgs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("from") == want).alias("ok"))
+    return convs.join(per, "conv_id", "left").select(
+        "conv_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_msgs"),
+        F.coalesce("ok", F.lit(True)).alias("valid"))
 
 
 def image_placeholder(spark, sf):
     """P5 over every record (records without an image keep their text)."""
-    return _explode_msgs(dialogue.normalise_image_placeholder(records(spark, sf)))
+    return _message_rows(_messages(spark, sf, "placeholder")[0])
 
 
 def image_prefix(spark, sf):
     """P6 in the VQA form: '<image>\\n' before the first question of a chat that has an image."""
-    r = dialogue.prefix_first_message(clean_records(spark, sf), F.col("image").isNotNull())
-    return r.select("conv_id", F.col("msgs").getItem(0)["value"].alias("first_message"))
+    first = _messages(spark, sf)[0].filter(F.col("pos") == 0)
+    return first.select("conv_id", F.when(F.col("has_img"), F.concat(F.lit(K.IMAGE_TOKEN + "\n"), F.col("value")))
+                        .otherwise(F.col("value")).alias("first_message"))
 
 
 MODEL_IDS = ["meta-llama/Meta-Llama-3-8B-Instruct", "meta-llama/Llama-2-7b-chat-hf", "lmsys/vicuna-7b-v1.5"]
@@ -90,8 +99,12 @@ def conversation_json(spark, sf):
     return dialogue.conversation_json(clean_records(spark, sf), render.template("v1"))
 
 
+def _message_pairs(spark, sf):
+    return turns.message_pairs(*_messages(spark, sf))
+
+
 def turn_pairs(spark, sf):
-    return dialogue.turn_pairs(clean_records(spark, sf)).select("conv_id", "pair_no", "user", "assistant")
+    return _message_pairs(spark, sf).select("conv_id", "pair_no", "user", "assistant")
 
 
 def tok_image(spark, sf):
@@ -123,7 +136,7 @@ def mask_rejects(spark, sf):
 # ---------------------------------------------------------------- instruction rows
 def instruction_rows(spark, sf):
     """Pairs as instruction records: instruction = user, input = the dialogue's system text, output = answer."""
-    p = dialogue.turn_pairs(clean_records(spark, sf))
+    p = _message_pairs(spark, sf)
     return p.select("conv_id", "pair_no", F.col("user").alias("instruction"), F.col("system").alias("input"),
                     F.col("assistant").alias("output"))
 
@@ -184,7 +197,7 @@ def collate_fault(spark, sf):
 
 # ---------------------------------------------------------------- sampler
 def _lengths(spark, sf):
-    return batching.dialogue_lengths(records(spark, sf))
+    return batching.lengths_from_words(turns.conversation_word_counts(*_messages(spark, sf, "raw")))
 
 
 def sample_len(spark, sf):
@@ -215,10 +228,6 @@ def modality_batches(spark, sf):
 
 
 # ---------------------------------------------------------------- message-level forms
-def _messages(spark, sf):
-    return turns.conversation_messages(table(spark, sf, "conversations"), lambda k: F.pmod(k, F.lit(3)) == 0)
-
-
 def _pieces_query(name):
     def q(spark, sf):
         msgs, convs = _messages(spark, sf)

@@ -9,7 +9,7 @@ from corpusloom.functions.tokens import ids_to_string
 from corpusloom.operators import chat, collate, images, masks, metrics
 from corpusloom.operators.index import contiguous_index
 from corpusloom.plans import corpus
-from corpusloom.plans.dialogue import MODEL_MAX_LENGTH, _sft_labelled, clean_records, records
+from corpusloom.plans.dialogue import MODEL_MAX_LENGTH, _message_pairs, _messages, _sft_labelled, clean_records, records
 from corpusloom.plans.dialogue_sql import RECORDS, SFT, lit, ntok, strip
 from corpusloom.plans.corpus import _HASH32, _PACK
 from corpusloom.plans.sqlfrag import ids_str
@@ -36,9 +36,8 @@ def history_prompt(spark, sf):
 
 
 def _pairs(spark, sf):
-    r = clean_records(spark, sf)
-    return r.select("conv_id", F.posexplode(chat.pairs_of(F.col("msgs"))).alias("pair_no", "p")).select(
-        "conv_id", F.col("pair_no").cast("bigint").alias("pair_no"), F.col("p.u").alias("u"), F.col("p.a").alias("a"))
+    p = _message_pairs(spark, sf)
+    return p.select("conv_id", "pair_no", F.col("user").alias("u"), F.coalesce("assistant", F.lit("")).alias("a"))
 
 
 def answer_inst(spark, sf):
@@ -61,10 +60,10 @@ def answer_assistant(spark, sf):
 
 def chat_images(spark, sf):
     """Images of the even (user) turns of image chats."""
-    r = clean_records(spark, sf).filter(F.col("image").isNotNull())
-    m = r.select("conv_id", "image", F.posexplode("msgs").alias("pos", "m"))
-    return m.filter((F.col("pos") % 2 == 0) & F.col("m.value").contains(K.IMAGE_TOKEN)).select(
-        "conv_id", F.col("pos").cast("bigint").alias("turn"), "image")
+    m = _messages(spark, sf)[0].filter(F.col("has_img"))
+    return m.filter((F.col("pos") % 2 == 0) & F.col("value").contains(K.IMAGE_TOKEN)).select(
+        "conv_id", F.col("pos").cast("bigint").alias("turn"),
+        F.concat(F.lit("images/"), F.col("conv_id").cast("string"), F.lit(".jpg")).alias("image"))
 
 
 # ---------------------------------------------------------------- images
