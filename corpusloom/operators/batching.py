@@ -15,7 +15,6 @@ one megabatch; the greedy split is a grouped pandas function per megabatch
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,37 +77,51 @@ def strided_chunks(mb: DataFrame, num_chunks: int) -> DataFrame:
         "chunk_pos", F.floor(p / F.lit(num_chunks)).cast("bigint"))
 
 
-def _greedy_fn(key: str, len_col: str, num_chunks: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        per_chunk = len(pdf) // num_chunks
-        loads = [0.0] * num_chunks
-        sizes = [0] * num_chunks
-        chunk, pos = [], []
-        for length in pdf[len_col].tolist():
-            c = loads.index(min(loads))  # first shortest on ties
-            chunk.append(c)
-            pos.append(sizes[c])
-            sizes[c] += 1
-            loads[c] += length
-            if sizes[c] == per_chunk:
-                loads[c] = float("inf")
-        out = pdf.copy()
-        out["chunk"] = chunk
-        out["chunk_pos"] = pos
-        return out
-
-    return fn
+def _greedy_walk(rows, len_col: str, num_chunks: int):
+    """B6 greedy on one megabatch's rows (sorted by rank): ARRAY<STRUCT<r, chunk, chunk_pos>>.
+
+    Each length goes to the chunk with the smallest load, the first one on
+    ties; a chunk that reaches its share counts as infinitely loaded.
+    """
+    per_chunk = (F.size(rows) / F.lit(num_chunks)).cast("int")
+    zero = F.struct(
+        F.array_repeat(F.lit(0.0), num_chunks).alias("loads"),
+        F.array_repeat(F.lit(0), num_chunks).alias("sizes"),
+        F.array().cast("array<struct<r:int,chunk:bigint,chunk_pos:bigint>>").alias("out"),
+    )
+
+    def step(acc, x):
+        c = F.array_position(acc["loads"], F.array_min(acc["loads"])).cast("int") - 1
+        filled = F.element_at(acc["sizes"], c + 1) + 1
+        loads = F.transform(acc["loads"], lambda ld, i: F.when(i != c, ld).when(filled == per_chunk, F.lit(float("inf")))
+                            .otherwise(ld + x[len_col].cast("double")))
+        sizes = F.transform(acc["sizes"], lambda n, i: F.when(i == c, n + 1).otherwise(n))
+        placed = F.struct(x["rank"].cast("int").alias("r"), c.cast("bigint").alias("chunk"),
+                          (filled - 1).cast("bigint").alias("chunk_pos"))
+        return F.struct(loads.alias("loads"), sizes.alias("sizes"),
+                        F.concat(acc["out"], F.array(placed)).alias("out"))
+
+    return F.aggregate(rows, zero, step)["out"]
 
 
 def even_chunks(mb: DataFrame, key: str, len_col: str, num_chunks: int, group_cols: list[str] = ("mb",)) -> DataFrame:
-    """Strided for sizes not divisible by ``num_chunks``; greedy (grouped pandas) otherwise."""
+    """Strided for sizes not divisible by ``num_chunks``; greedy otherwise.
+
+    The greedy rule is sequential inside a megabatch, so each megabatch (at
+    most ``world_size * batch_size`` rows) is gathered into a rank-sorted array
+    and walked by one ``aggregate`` expression; the placements join back on
+    (megabatch, rank).
+    """
     divisible = F.pmod(F.col("mb_size"), F.lit(num_chunks)) == 0
     strided = strided_chunks(mb.filter(~divisible), num_chunks)
     greedy_in = mb.filter(divisible)
-    schema = T.StructType(greedy_in.schema.fields + [T.StructField("chunk", T.LongType()),
-                                                    T.StructField("chunk_pos", T.LongType())])
-    greedy = greedy_in.groupBy(*group_cols).applyInPandas(_greedy_fn(key, len_col, num_chunks), schema)
+    groups = list(group_cols)
+    walks = greedy_in.groupBy(*groups).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("rank").cast("int").alias("rank"), F.col(len_col)))).alias("_rows"))
+    placed = walks.select(*groups, F.explode(_greedy_walk(F.col("_rows"), len_col, num_chunks)).alias("_p")).select(
+        *groups, F.col("_p.r").alias("rank"), "_p.chunk", "_p.chunk_pos")
+    greedy = greedy_in.withColumn("rank", F.col("rank").cast("int")).join(placed, groups + ["rank"])
+    greedy = greedy.withColumn("rank", F.col("rank").cast(mb.schema["rank"].dataType))
     return strided.unionByName(greedy)
 
 

@@ -292,7 +292,86 @@ SEGMENTS = """SELECT cu.conv_id, CAST(cu.i AS BIGINT) AS round, CAST(greatest(cu
        CAST(least(cu.cur + cu.rl, rj.n) AS BIGINT) AS hi
 FROM cu JOIN rj ON cu.conv_id = rj.conv_id
 WHERE NOT rj.rejected AND least(cu.cur + cu.rl, rj.n) > greatest(cu.cur + cu.il, 0)"""
+
+def greedy_walk_sql(name: str, src: str, parts: list[str], n_chunks: int) -> str:
+    """Recursive CTE ``name``: the greedy even split, one megabatch row at a time in rank order.
+
+    ``src`` has (parts..., conv_id, rank, len, sz); megabatches with ``sz``
+    divisible by the chunk count only.  State: load and size of each chunk; a
+    full chunk counts as infinitely loaded; ties go to the first chunk.
+    """
+    if n_chunks != 2:
+        raise ValueError("the oracle walk is written for two chunks")
+    on = " AND ".join(f"g.{c} = w.{c}" for c in parts)
+    pc = ", ".join(parts)
+    wpc = ", ".join(f"w.{c}" for c in parts)
+    eff = ("(CASE WHEN w.n0 = w.sz // 2 THEN 'inf'::DOUBLE ELSE w.l0 END) <= "
+           "(CASE WHEN w.n1 = w.sz // 2 THEN 'inf'::DOUBLE ELSE w.l1 END)")
+    return f"""{name} AS (
+  SELECT DISTINCT {pc}, sz, CAST(0 AS BIGINT) AS rank, CAST(NULL AS BIGINT) AS conv_id, -1 AS chunk, -1 AS chunk_pos,
+         0.0::DOUBLE AS l0, 0.0::DOUBLE AS l1, 0 AS n0, 0 AS n1
+  FROM {src} WHERE sz % 2 = 0
+  UNION ALL
+  SELECT {wpc}, w.sz, g.rank, g.conv_id,
+         CASE WHEN {eff} THEN 0 ELSE 1 END,
+         CASE WHEN {eff} THEN w.n0 ELSE w.n1 END,
+         CASE WHEN {eff} THEN w.l0 + g.len ELSE w.l0 END,
+         CASE WHEN {eff} THEN w.l1 ELSE w.l1 + g.len END,
+         CASE WHEN {eff} THEN w.n0 + 1 ELSE w.n0 END,
+         CASE WHEN {eff} THEN w.n1 ELSE w.n1 + 1 END
+  FROM {name} w JOIN {src} g ON {on} AND g.rank = w.rank + 1)"""
+
+
+def chunks_sql(src: str, parts: list[str], n_chunks: int) -> str:
+    """SELECT parts..., conv_id, chunk, chunk_pos: greedy for divisible megabatches, strided otherwise."""
+    pc = ", ".join(parts)
+    return (f"SELECT {pc}, conv_id, CAST(chunk AS BIGINT) AS chunk, CAST(chunk_pos AS BIGINT) AS chunk_pos "
+            f"FROM walk_{src} WHERE rank > 0 UNION ALL "
+            f"SELECT {pc}, conv_id, CAST((rank - 1) % {n_chunks} AS BIGINT), CAST((rank - 1) // {n_chunks} AS BIGINT) "
+            f"FROM {src} WHERE sz % {n_chunks} <> 0")
+
+
+GREEDY = f"""WITH RECURSIVE {megabatch_sql(8)},
+gm AS (SELECT rk.conv_id, rk.mb, rk.rank, mb.length AS len, count(*) OVER (PARTITION BY rk.mb) AS sz
+       FROM rk JOIN mb ON rk.conv_id = mb.conv_id),
+{greedy_walk_sql('walk_gm', 'gm', ['mb'], 2)}
+{chunks_sql('gm', ['mb'], 2)}"""
+
+MODALITY = f"""WITH RECURSIVE {RECORDS}, {LENGTHS},
+sg AS (SELECT conv_id, modality_length > 0 AS md, abs(modality_length) AS alen, modality_length AS slen,
+              md5('0:' || CAST(conv_id AS VARCHAR)) AS perm FROM ln),
+nmod AS (SELECT count(DISTINCT md) AS k FROM sg),
+-- two modalities: megabatches per modality
+pm AS (SELECT conv_id, md, alen AS len,
+              (row_number() OVER (PARTITION BY md ORDER BY perm, conv_id) - 1) // 8 AS mb FROM sg),
+rm AS (SELECT conv_id, md, mb, len, row_number() OVER (PARTITION BY md, mb ORDER BY len DESC, conv_id) AS rank,
+              count(*) OVER (PARTITION BY md, mb) AS sz FROM pm),
+{greedy_walk_sql('walk_rm', 'rm', ['md', 'mb'], 2)},
+cm AS ({chunks_sql('rm', ['md', 'mb'], 2)}),
+tl AS (SELECT md, max(mb) AS last FROM cm GROUP BY md),
+bd AS (SELECT cm.* FROM cm JOIN tl ON cm.md = tl.md WHERE cm.mb <> tl.last),
+bn AS (SELECT md, mb, row_number() OVER (ORDER BY md5('mb0:' || CAST(md AS VARCHAR) || ':' || CAST(mb AS VARCHAR)), md, mb) - 1
+              AS batch_no FROM (SELECT DISTINCT md, mb FROM bd)),
+two AS (
+  SELECT bd.conv_id, bn.batch_no, row_number() OVER (PARTITION BY bn.batch_no ORDER BY bd.chunk * 8 + bd.chunk_pos) - 1 AS pos
+  FROM bd JOIN bn ON bd.md = bn.md AND bd.mb = bn.mb
+  UNION ALL
+  SELECT cm.conv_id, (SELECT count(*) FROM bn), row_number() OVER (ORDER BY cm.conv_id) - 1
+  FROM cm JOIN tl ON cm.md = tl.md WHERE cm.mb = tl.last),
+-- one modality: megabatches over the raw signed lengths
+p1 AS (SELECT conv_id, slen AS len, (row_number() OVER (ORDER BY perm, conv_id) - 1) // 8 AS mb FROM sg),
+r1 AS (SELECT conv_id, mb, len, row_number() OVER (PARTITION BY mb ORDER BY len DESC, conv_id) AS rank,
+              count(*) OVER (PARTITION BY mb) AS sz FROM p1),
+{greedy_walk_sql('walk_r1', 'r1', ['mb'], 2)},
+c1 AS ({chunks_sql('r1', ['mb'], 2)}),
+one AS (SELECT conv_id, mb AS batch_no, row_number() OVER (PARTITION BY mb ORDER BY chunk * 8 + chunk_pos) - 1 AS pos FROM c1)
+SELECT conv_id, CAST(batch_no AS BIGINT) AS batch_no, CAST(pos AS BIGINT) AS pos FROM two WHERE (SELECT k FROM nmod) >= 2
+UNION ALL
+SELECT conv_id, CAST(batch_no AS BIGINT), CAST(pos AS BIGINT) FROM one WHERE (SELECT k FROM nmod) < 2"""
+
 ORACLE.update({
+    "even_chunks_greedy": GREEDY,
+    "modality_batches": MODALITY,
     "render_llama2_pieces": f"WITH {RECORDS} {pieces_sql('llama_2')}",
     "render_llama3_pieces": f"WITH {RECORDS} {pieces_sql('llama_3')}",
     "mask_llama2_long": f"WITH {mask_ctes('llama_2', 2048, True)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
