@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom import constants as K
 from corpusloom.functions.text import word_count

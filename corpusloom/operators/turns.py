@@ -360,3 +360,59 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
         key, "n_tokens", F.coalesce("_sup", F.lit(0)).cast("bigint").alias("n_supervised"),
         F.when(F.col("rejected"), F.lit("mismatch")).otherwise(F.lit("ok")).alias("status"))
     return out, segments
+
+
+# ---------------------------------------------------------------------------
+# chat history trimming (H1) at pair level
+# ---------------------------------------------------------------------------
+
+def trim_history_messages(msgs: DataFrame, convs: DataFrame, budget: int = K.CHAT_TOKEN_BUDGET,
+                          key: str = "conv_id") -> DataFrame:
+    """H1 on message rows: the output of ``chat.trim_history(chat.chat_history(records))``.
+
+    Per pair: its token length as the first kept pair and as a middle pair.
+    One scan in descending pair order gives, for every start pair k, the
+    middle lengths after it and the last pair's length; the first k that fits
+    is a partial aggregate.  Only the kept pairs (at most ``budget`` tokens,
+    or the last pair alone) are gathered to render the prompt.
+    """
+    from corpusloom.operators import chat
+
+    pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
+    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "g", "_b")
+    answers = msgs.filter(F.col("pos") % 2 == 1).select(key, pair, F.col("value").alias("a"))
+    p = users.join(answers, [key, "pair_no"], "left")
+    per_chat = p.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(
+        convs.select(key, chat.default_system(F.col("system")).alias("system")), key)
+    p = spread_back(p, key, "_b", per_chat)
+    last = F.col("pair_no") == F.col("_n") - 1
+    p = p.withColumn("a", F.when(last, F.lit("")).otherwise(F.coalesce("a", F.lit(""))))  # the turn to generate
+    sysb = chat._sys_block(F.col("system"))
+    close = F.lit(K.CHAT_INST_CLOSE)
+    first_len = n_tokens(F.concat(sysb, F.col("u"), close, chat._resp(F.col("a")), F.lit(K.EOS_TOKEN)))
+    mid_len = n_tokens(F.concat(F.lit(K.BOS_TOKEN + K.CHAT_INST_OPEN), F.col("u"), close, chat._resp(F.col("a")),
+                                F.lit(K.EOS_TOKEN)))
+    last_len = n_tokens(F.concat(F.lit(K.BOS_TOKEN + K.CHAT_INST_OPEN), F.col("u"), close))
+    single_len = n_tokens(F.concat(sysb, F.col("u"), close))
+    p = (p.withColumn("_mid", F.when(last, F.lit(0)).otherwise(mid_len))
+         .withColumn("_lastlen", F.when(last, last_len).otherwise(F.lit(0)))
+         .withColumn("_rev", -F.col("g")))
+    # descending order: "before" = the pairs after this one (the last pair comes first)
+    p = segmented_scan(p, key, "_rev", ["_mid", "_lastlen"])
+    total = F.lit(1) + F.when(last, single_len).otherwise(first_len + F.col("_mid_before") + F.col("_lastlen_before"))
+    p = p.withColumn("_t", total.cast("bigint")).withColumn("_fits", (F.col("_t") <= F.lit(budget)) | last)
+    pick = p.groupBy(key).agg(F.min(F.when(F.col("_fits"), F.struct(F.col("pair_no").alias("k"), F.col("_t").alias("t"))))
+                              .alias("_pick"))
+    kept = spread_back(p.select(key, "_b", "pair_no", "u", "a", "system", "_n"), key, "_b", pick) \
+        .filter(F.col("pair_no") >= F.col("_pick.k"))
+    # at most `budget` tokens of pairs per chat (or its last pair alone)
+    grouped = kept.groupBy(key, "system", "_n", "_pick").agg(
+        F.array_sort(F.collect_list(F.struct("pair_no", "u", "a"))).alias("_kept"))
+    pairs = F.transform("_kept", lambda x: F.struct(x["u"].alias("u"), x["a"].alias("a")))
+    return grouped.select(
+        key,
+        F.col("_pick.k").cast("bigint").alias("start_pair"),
+        (F.col("_n") - F.col("_pick.k")).cast("bigint").alias("n_pairs"),
+        F.col("_pick.t").cast("bigint").alias("n_tokens"),
+        chat.multi_turn_prompt(pairs, F.col("system")).alias("prompt"),
+    )

@@ -9,7 +9,7 @@ from corpusloom.functions.tokens import ids_to_string
 from corpusloom.operators import chat, collate, images, masks, metrics
 from corpusloom.operators.index import contiguous_index
 from corpusloom.plans import corpus
-from corpusloom.plans.dialogue import MODEL_MAX_LENGTH, _message_pairs, _messages, _sft_labelled, clean_records, records
+from corpusloom.plans.dialogue import MODEL_MAX_LENGTH, _message_pairs, _messages, _sft_labelled, clean_records
 from corpusloom.plans.dialogue_sql import RECORDS, SFT, lit, ntok, strip
 from corpusloom.plans.corpus import _HASH32, _PACK
 from corpusloom.plans.sqlfrag import ids_str
@@ -28,6 +28,14 @@ def chat_prompt(spark, sf):
 
 
 def history_trim(spark, sf):
+    """H1 at pair level: only the kept pairs of a chat (within the budget) are gathered."""
+    from corpusloom.operators import turns
+
+    return turns.trim_history_messages(*_messages(spark, sf), K.CHAT_TOKEN_BUDGET)
+
+
+def history_trim_records(spark, sf):
+    """H1 on dialogue records (the whole chat as one row)."""
     return chat.trim_history(chat.chat_history(clean_records(spark, sf)), K.CHAT_TOKEN_BUDGET)
 
 
@@ -150,6 +158,7 @@ def metrics_table(spark, sf):
 QUERIES = {
     "chat_prompt": chat_prompt,
     "history_trim": history_trim,
+    "history_trim_records": history_trim_records,
     "history_prompt": history_prompt,
     "answer_inst": answer_inst,
     "answer_assistant": answer_assistant,
@@ -329,3 +338,5 @@ SELECT batch_id, pos, CAST(max(nimg) AS BIGINT) AS n_images,
        string_agg(CAST(att AS VARCHAR), ',' ORDER BY q) AS final_attention,
        string_agg(CAST(pid AS VARCHAR), ',' ORDER BY q) AS position_ids
 FROM ps GROUP BY batch_id, pos"""
+
+ORACLE["history_trim_records"] = ORACLE["history_trim"]

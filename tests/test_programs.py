@@ -1,8 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from corpusloom import constants as K
 from corpusloom import programs
 

@@ -2,8 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom.sources import files
 from corpusloom.streaming.incremental import build_instructions_incrementally, stream_nul_chunks

@@ -101,3 +101,18 @@ def test_segmented_scan_and_spread_back(spark, bucket):
     per_key = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, tag string")
     back = turns.spread_back(df.withColumn("_b", F.floor(F.col("g") / bucket)), "k", "_b", per_key)
     assert back.count() == len(rows) and {(r.k, r.tag) for r in back.collect()} == {(1, "a"), (2, "b"), (3, "c")}
+
+
+@pytest.mark.parametrize("budget", [60, 300, 1024])
+def test_history_trim_at_pair_level(spark, bucket, budget):
+    from corpusloom.operators import chat
+
+    df, recs = _records(spark)
+    want = {tuple(r) for r in chat.trim_history(chat.chat_history(recs), budget).collect()}
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+    got = {tuple(r) for r in turns.trim_history_messages(msgs, convs, budget).collect()}
+    assert got == want
+    # some chats are cut; with the smallest budget a chat whose last pair alone is over it keeps that pair
+    assert any(r[1] > 0 for r in want)
+    if budget == 60:
+        assert any(r[2] == 1 and r[3] > budget for r in want)
