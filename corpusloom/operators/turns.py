@@ -401,6 +401,9 @@ def trim_history_messages(msgs: DataFrame, convs: DataFrame, budget: int = K.CHA
     p = segmented_scan(p, key, "_rev", ["_mid", "_lastlen"])
     total = F.lit(1) + F.when(last, single_len).otherwise(first_len + F.col("_mid_before") + F.col("_lastlen_before"))
     p = p.withColumn("_t", total.cast("bigint")).withColumn("_fits", (F.col("_t") <= F.lit(budget)) | last)
+    # the scanned pairs feed the pick and the kept pairs: written once
+    checkpoint_root(p.sparkSession)
+    p = p.select(key, "_b", "pair_no", "u", "a", "system", "_n", "_t", "_fits").checkpoint(eager=True)
     pick = p.groupBy(key).agg(F.min(F.when(F.col("_fits"), F.struct(F.col("pair_no").alias("k"), F.col("_t").alias("t"))))
                               .alias("_pick"))
     kept = spread_back(p.select(key, "_b", "pair_no", "u", "a", "system", "_n"), key, "_b", pick) \
