@@ -226,20 +226,25 @@ def _occurrences(text: Column, look: Column, sep: str) -> Column:
 def _check_template(name: str, sep2: str, inst: str) -> int:
     """Lookahead width for the instruction separator, after checking the piece shapes it relies on.
 
-    Pieces of these formats end with a fixed literal; when no proper prefix of
-    the round separator (or of ``<pad>``) ends that literal, those strings never
-    run across two pieces.  The instruction separator may (it spans the
-    user/assistant boundary), so each piece looks at the first characters of
-    the next non-empty piece, which is never shorter than the lookahead.
+    Pieces end with a fixed literal (message pieces of the llama-2/3 formats;
+    pair pieces, user + answer, of the two-separator format); when no proper
+    prefix of the round separator (or of ``<pad>``) ends that literal, those
+    strings never run across two pieces.  The instruction separator may (it
+    spans the user/assistant boundary), so each piece looks at the first
+    characters of the next non-empty piece, which is never shorter than the
+    lookahead.
     """
     tmpl = template(name)
-    style = tmpl[4]
+    style, roles, sep = tmpl[4], tmpl[1], tmpl[5]
     if style == "LLAMA_2":
         endings, shortest = [" [/INST]", " " + sep2], len("  " + sep2) + 1
     elif style == "LLAMA_3":
         endings, shortest = ["<|eot_id|>", " " + sep2], len(" <|start_header_id|>assistant<|end_header_id|>")
+    elif style == "TWO":
+        # a pair piece ends with the answer's sep2, an empty answer 'ROLE:', or (last pair only) the user's sep
+        endings, shortest = [sep2, ":", sep], len(roles[0]) + len(roles[1]) + 2
     else:
-        raise ValueError(f"message-level masks cover the llama-2/3 formats, not {style}")
+        raise ValueError(f"message-level masks cover the llama-2/3 and two-separator formats, not {style}")
     for s in (sep2, K.PAD_TOKEN):
         if any(e.endswith(s[:j]) for e in endings for j in range(1, len(s))):
             raise ValueError(f"{s!r} may run across two pieces")
@@ -271,7 +276,7 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
     sep2_t, inst_t = literal_tokens(sep2), literal_tokens(inst)
     mx = F.lit(model_max_length)
 
-    # head pieces of these formats are empty; message pieces in message order
+    # heads are empty (llama-2/3) or folded into pair 0; pieces in message order
     p = (pieces.filter(F.col("pos") >= 0)
          .withColumn("ntok", n_tokens(F.col("piece")))
          .withColumn("_s2", _occurrences(F.col("piece"), F.lit(""), sep2))
@@ -362,6 +367,36 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
     return out, segments
 
 
+def render_pair_pieces(msgs: DataFrame, convs: DataFrame, name: str, key: str = "conv_id") -> DataFrame:
+    """(key, pos, g, piece, has_img): one piece per message pair (user piece + answer piece), the head
+    folded into pair 0; a conversation without messages is its head alone.
+
+    The two messages of a pair meet on (key, pair): at most one row per side.
+    """
+    pieces = render_pieces(msgs, convs, name, key)
+    heads = pieces.filter(F.col("pos") == -1).select(key, F.col("piece").alias("_head"), "has_img")
+    body = pieces.filter(F.col("pos") >= 0).withColumn("_pair", F.floor(F.col("pos") / 2).cast("bigint"))
+    users = body.filter(F.col("pos") % 2 == 0).select(key, "_pair", "g", F.col("piece").alias("_u"), "has_img")
+    answers = body.filter(F.col("pos") % 2 == 1).select(key, "_pair", F.col("piece").alias("_a"))
+    pairs = users.join(answers, [key, "_pair"], "left").select(
+        key, F.col("_pair").alias("pos"), "g", F.concat("_u", F.coalesce("_a", F.lit(""))).alias("piece"), "has_img")
+    first = pairs.filter(F.col("pos") == 0).join(heads.drop("has_img"), key).withColumn(
+        "piece", F.concat("_head", "piece")).drop("_head")
+    lone = heads.join(pairs.filter(F.col("pos") == 0).select(key), key, "left_anti").select(
+        key, F.lit(0).cast("bigint").alias("pos"), F.lit(-1).cast("bigint").alias("g"), F.col("_head").alias("piece"),
+        "has_img")
+    return first.unionByName(pairs.filter(F.col("pos") > 0)).unionByName(lone)
+
+
+def mask_messages(msgs: DataFrame, convs: DataFrame, family: str, model_max_length: int, legacy: bool = True,
+                  key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """Label masks of ``family`` from message rows: message pieces for llama-2/3, pair pieces otherwise."""
+    name = FAMILIES[family][0]
+    style = template(name)[4]
+    cut = render_pieces if style in ("LLAMA_2", "LLAMA_3") else render_pair_pieces
+    return mask_from_pieces(cut(msgs, convs, name, key), convs, family, model_max_length, legacy, key)
+
+
 # ---------------------------------------------------------------------------
 # chat history trimming (H1) at pair level
 # ---------------------------------------------------------------------------

@@ -239,8 +239,7 @@ def _pieces_query(name):
 def _long_mask(family, legacy, part):
     def q(spark, sf):
         msgs, convs = _messages(spark, sf)
-        pieces = turns.render_pieces(msgs, convs, masks.FAMILIES[family][0])
-        summary, segments = turns.mask_from_pieces(pieces, convs, family, MODEL_MAX_LENGTH, legacy)
+        summary, segments = turns.mask_messages(msgs, convs, family, MODEL_MAX_LENGTH, legacy)
         return summary if part == "summary" else segments
 
     return q
@@ -253,6 +252,8 @@ QUERIES = {
     "mask_llama3_long": _long_mask("llama_3", False, "summary"),
     "mask_llama2_segments": _long_mask("llama_2", True, "segments"),
     "mask_llama3_segments": _long_mask("llama_3", False, "segments"),
+    "mask_two_long": _long_mask("default", True, "summary"),
+    "mask_two_segments": _long_mask("default", True, "segments"),
     "dialogue_turns": dialogue_turns,
     "dialogue_clean": dialogue_clean,
     "dialogue_valid": dialogue_valid,

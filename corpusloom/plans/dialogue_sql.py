@@ -378,4 +378,6 @@ ORACLE.update({
     "mask_llama3_long": f"WITH {mask_ctes('llama_3', 2048, False)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
     "mask_llama2_segments": f"WITH {mask_ctes('llama_2', 2048, True)} {SEGMENTS}",
     "mask_llama3_segments": f"WITH {mask_ctes('llama_3', 2048, False)} {SEGMENTS}",
+    "mask_two_long": f"WITH {mask_ctes('default', 2048, True)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
+    "mask_two_segments": f"WITH {mask_ctes('default', 2048, True)} {SEGMENTS}",
 })

@@ -65,15 +65,15 @@ def test_pieces_concatenate_to_prompt(spark, bucket, name):
     assert got == want
 
 
-@pytest.mark.parametrize("family,legacy", [("llama_2", True), ("llama_3", False), ("llama_3", True)])
+@pytest.mark.parametrize("family,legacy", [("llama_2", True), ("llama_3", False), ("llama_3", True),
+                                           ("default", True), ("default", False)])
 def test_mask_from_pieces_equals_record_mask(spark, bucket, family, legacy):
     df, recs = _records(spark)
     rec = masks.mask_dialogues(recs, family, 2048, legacy).collect()
     want = {r.conv_id: (len(r.input_ids), r.n_supervised, r.status) for r in rec}
     want_pos = {r.conv_id: {j for j, x in enumerate(r.labels) if x != K.IGNORE_INDEX} for r in rec}
     msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
-    pieces = turns.render_pieces(msgs, convs, masks.FAMILIES[family][0])
-    summary, segments = turns.mask_from_pieces(pieces, convs, family, 2048, legacy)
+    summary, segments = turns.mask_messages(msgs, convs, family, 2048, legacy)
     got = {r.conv_id: (r.n_tokens, r.n_supervised, r.status) for r in summary.collect()}
     assert got == want
     got_pos = {k: set() for k in want_pos}
@@ -84,9 +84,9 @@ def test_mask_from_pieces_equals_record_mask(spark, bucket, family, legacy):
     assert any(v[0] == 2048 for v in want.values()) and any(v[2] == "mismatch" for v in want.values())
 
 
-def test_templates_outside_the_llama_formats_are_refused():
+def test_templates_without_a_checked_cut_are_refused():
     with pytest.raises(ValueError):
-        turns._check_template("v1", "</s>", " ASSISTANT: ")
+        turns._check_template("mpt", "<|im_end|>", "<|im_start|>assistant\n")
 
 
 def test_segmented_scan_and_spread_back(spark, bucket):
