@@ -454,3 +454,30 @@ def trim_history_messages(msgs: DataFrame, convs: DataFrame, budget: int = K.CHA
         F.col("_pick.t").cast("bigint").alias("n_tokens"),
         chat.multi_turn_prompt(pairs, F.col("system")).alias("prompt"),
     )
+
+
+def chat_prompt_pieces(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> DataFrame:
+    """C13 as pair pieces (key, pair_no, piece): in pair order they concatenate to ``chat.multi_turn_prompt``
+    of ``chat.chat_history`` (the last answer is the turn to generate).
+
+    A piece depends on its pair, the pair count (``spread_back``) and, for the
+    first pair only, the system text (one row per chat on each side).
+    """
+    from corpusloom.operators import chat
+
+    pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
+    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "_b")
+    answers = msgs.filter(F.col("pos") % 2 == 1).select(key, pair, F.col("value").alias("a"))
+    p = users.join(answers, [key, "pair_no"], "left")
+    p = spread_back(p, key, "_b", p.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
+    first = p.filter(F.col("pair_no") == 0).join(
+        convs.select(key, chat.default_system(F.col("system")).alias("system")), key)
+    p = first.unionByName(p.filter(F.col("pair_no") > 0).withColumn("system", F.lit(None).cast("string")))
+    last = F.col("pair_no") == F.col("_n") - 1
+    u, a, system = F.col("u"), F.when(last, F.lit("")).otherwise(F.coalesce("a", F.lit(""))), F.col("system")
+    bos, eos = F.lit(K.BOS_TOKEN), F.lit(K.EOS_TOKEN)
+    piece = (F.when(F.col("_n") == 1, chat.single_turn_prompt(u, system))
+             .when(F.col("pair_no") == 0, F.concat(chat.single_turn_prompt(u, system, a), eos))
+             .when(~last, F.concat(bos, chat.single_turn_prompt(u, None, a), eos))
+             .otherwise(F.concat(bos, chat.single_turn_prompt(u, None))))
+    return p.select(key, "pair_no", piece.alias("piece"))

@@ -248,6 +248,10 @@ def _long_mask(family, legacy, part):
 QUERIES = {
     "render_llama2_pieces": _pieces_query("llama_2"),
     "render_llama3_pieces": _pieces_query("llama_3"),
+    "render_single_pieces": _pieces_query("llava_v0"),
+    "render_two_pieces": _pieces_query("v1"),
+    "render_mpt_pieces": _pieces_query("mpt"),
+    "render_plain_pieces": _pieces_query("plain"),
     "mask_llama2_long": _long_mask("llama_2", True, "summary"),
     "mask_llama3_long": _long_mask("llama_3", False, "summary"),
     "mask_llama2_segments": _long_mask("llama_2", True, "segments"),

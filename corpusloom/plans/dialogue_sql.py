@@ -374,6 +374,10 @@ ORACLE.update({
     "modality_batches": MODALITY,
     "render_llama2_pieces": f"WITH {RECORDS} {pieces_sql('llama_2')}",
     "render_llama3_pieces": f"WITH {RECORDS} {pieces_sql('llama_3')}",
+    "render_single_pieces": f"WITH {RECORDS} {pieces_sql('llava_v0')}",
+    "render_two_pieces": f"WITH {RECORDS} {pieces_sql('v1')}",
+    "render_mpt_pieces": f"WITH {RECORDS} {pieces_sql('mpt')}",
+    "render_plain_pieces": f"WITH {RECORDS} {pieces_sql('plain')}",
     "mask_llama2_long": f"WITH {mask_ctes('llama_2', 2048, True)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
     "mask_llama3_long": f"WITH {mask_ctes('llama_3', 2048, False)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
     "mask_llama2_segments": f"WITH {mask_ctes('llama_2', 2048, True)} {SEGMENTS}",

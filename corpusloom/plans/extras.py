@@ -27,6 +27,13 @@ def chat_prompt(spark, sf):
                     chat.multi_turn_prompt(F.col("pairs"), F.col("system")).alias("prompt"))
 
 
+def chat_prompt_pieces(spark, sf):
+    """C13 as pair pieces: no chat is gathered into one row."""
+    from corpusloom.operators import turns
+
+    return turns.chat_prompt_pieces(*_messages(spark, sf))
+
+
 def history_trim(spark, sf):
     """H1 at pair level: only the kept pairs of a chat (within the budget) are gathered."""
     from corpusloom.operators import turns
@@ -158,6 +165,7 @@ def metrics_table(spark, sf):
 QUERIES = {
     "chat_prompt": chat_prompt,
     "history_trim": history_trim,
+    "chat_prompt_pieces": chat_prompt_pieces,
     "history_trim_records": history_trim_records,
     "history_prompt": history_prompt,
     "answer_inst": answer_inst,
@@ -340,3 +348,10 @@ SELECT batch_id, pos, CAST(max(nimg) AS BIGINT) AS n_images,
 FROM ps GROUP BY batch_id, pos"""
 
 ORACLE["history_trim_records"] = ORACLE["history_trim"]
+ORACLE["chat_prompt_pieces"] = f"""WITH {_CHAT}
+SELECT conv_id, pair_no,
+       CASE WHEN n = 1 THEN {SYS_OPEN} || sys || {SYS_CLOSE} || u || ' [/INST]'
+            WHEN pair_no = 0 THEN {SYS_OPEN} || sys || {SYS_CLOSE} || u || ' [/INST]' || {RESP} || '</s>'
+            WHEN pair_no < n - 1 THEN '<s>[INST] ' || u || ' [/INST]' || {RESP} || '</s>'
+            ELSE '<s>[INST] ' || u || ' [/INST]' END AS piece
+FROM ch"""

@@ -116,3 +116,17 @@ def test_history_trim_at_pair_level(spark, bucket, budget):
     assert any(r[1] > 0 for r in want)
     if budget == 60:
         assert any(r[2] == 1 and r[3] > budget for r in want)
+
+
+def test_chat_prompt_pieces_concatenate_to_prompt(spark, bucket):
+    from corpusloom.operators import chat
+
+    df, recs = _records(spark)
+    h = chat.chat_history(recs)
+    want = {r.conv_id: r.p for r in h.select("conv_id", chat.multi_turn_prompt(F.col("pairs"), F.col("system"))
+                                               .alias("p")).collect()}
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+    got = {}
+    for r in sorted(turns.chat_prompt_pieces(msgs, convs).collect(), key=lambda r: (r.conv_id, r.pair_no)):
+        got[r.conv_id] = got.get(r.conv_id, "") + r.piece
+    assert got == want
