@@ -96,8 +96,11 @@ def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids
 
 
 def tokenize_image_text(df: DataFrame, text_col: str, out_col: str = "input_ids",
-                        image_id: int = K.IMAGE_TOKEN_ID) -> DataFrame:
-    """Split on ``<image>``, tokenize each chunk, join chunks with one image id, one BOS."""
+                        image_id: int = K.IMAGE_TOKEN_ID, bos=True) -> DataFrame:
+    """Split on ``<image>``, tokenize each chunk, join chunks with one image id, one BOS.
+
+    ``bos`` may be a boolean Column (pieces of one prompt: only the first gets it).
+    """
     chunks = F.split(F.col(text_col), K.IMAGE_TOKEN, -1)
     body = F.flatten(
         F.transform(
@@ -107,7 +110,9 @@ def tokenize_image_text(df: DataFrame, text_col: str, out_col: str = "input_ids"
             ),
         )
     )
-    return df.withColumn(out_col, F.concat(F.array(F.lit(K.BOS_ID)), body))
+    if isinstance(bos, bool):
+        return df.withColumn(out_col, F.concat(F.array(F.lit(K.BOS_ID)), body) if bos else body)
+    return df.withColumn(out_col, F.when(bos, F.concat(F.array(F.lit(K.BOS_ID)), body)).otherwise(body))
 
 
 def detokenize_bytes(df: DataFrame, ids_col: str, out_col: str = "text") -> DataFrame:

@@ -195,6 +195,44 @@ def render_pieces(msgs: DataFrame, convs: DataFrame, name: str, key: str = "conv
     return heads.unionByName(body)
 
 
+def template_messages(msgs: DataFrame, convs: DataFrame, name: str, mmtag: bool = False, fewshot: bool = False,
+                      key: str = "conv_id") -> DataFrame:
+    """C8 / C9 at message level: the template's extra messages in front, later positions shifted.
+
+    ``mmtag``: in an image conversation the first message loses '<image>' and is
+    stripped; mmtag versions put two fixed turns before it, the others prefix
+    it with '<image>\\n'.  ``fewshot``: the template's example messages come
+    first in every conversation.  Added rows come from one row per
+    conversation (its first message, or the conversation table).
+    """
+    tmpl = template(name)
+    cols = [key, "g", "pos", "from", "value", "has_img"]
+    out = msgs.select(*cols)
+    if mmtag:
+        tagged = "mmtag" in tmpl[7]
+        img_first = (F.col("pos") == 0) & F.col("has_img")
+        stripped = py_strip(F.replace(F.col("value"), F.lit(K.IMAGE_TOKEN), F.lit("")))
+        value = F.when(img_first, stripped if tagged else F.concat(F.lit(K.IMAGE_TOKEN + "\n"), stripped)) \
+            .otherwise(F.col("value"))
+        shift = F.when(F.col("has_img"), F.lit(2 if tagged else 0)).otherwise(F.lit(0))
+        out = out.withColumn("value", value).withColumn("pos", (F.col("pos") + shift).cast("bigint"))
+        if tagged:
+            firsts = msgs.filter((F.col("pos") == 0) & F.col("has_img")).select(key, "has_img")
+            for i, (frm, text) in enumerate([(HUMAN, "<Image><image></Image>"), (GPT, "Received.")]):
+                out = out.unionByName(firsts.select(key, F.lit(None).cast("bigint").alias("g"),
+                                                    F.lit(i).cast("bigint").alias("pos"), F.lit(frm).alias("from"),
+                                                    F.lit(text).alias("value"), "has_img"))
+    if fewshot and tmpl[2]:
+        shots = tmpl[2]
+        out = out.withColumn("pos", (F.col("pos") + F.lit(len(shots))).cast("bigint"))
+        for i, (role, text) in enumerate(shots):
+            frm = HUMAN if role == tmpl[1][0] else GPT
+            out = out.unionByName(convs.select(key, F.lit(None).cast("bigint").alias("g"),
+                                               F.lit(i).cast("bigint").alias("pos"), F.lit(frm).alias("from"),
+                                               F.lit(text).alias("value"), "has_img"))
+    return out
+
+
 # ---------------------------------------------------------------------------
 # label masks from pieces (llama-2 / llama-3 formats)
 # ---------------------------------------------------------------------------

@@ -236,6 +236,28 @@ def _pieces_query(name):
     return q
 
 
+def render_mmtag_pieces(spark, sf):
+    msgs, convs = _messages(spark, sf, "raw")
+    m = turns.template_messages(msgs, convs, "v1_mmtag", mmtag=True)
+    return turns.render_pieces(m, convs, "v1_mmtag").select("conv_id", "pos", "piece")
+
+
+def render_v0_fewshot_pieces(spark, sf):
+    msgs, convs = _messages(spark, sf)
+    m = turns.template_messages(msgs, convs, "v0", fewshot=True)
+    return turns.render_pieces(m, convs, "v0").select("conv_id", "pos", "piece")
+
+
+def tok_image_pieces(spark, sf):
+    """T3 per piece of the llama-2 prompt: the pieces' ids in order are the prompt's ids (BOS on the head)."""
+    from corpusloom.operators.tokenize import tokenize_image_text
+
+    msgs, convs = _messages(spark, sf)
+    t = tokenize_image_text(turns.render_pieces(msgs, convs, "llama_2"), "piece", bos=F.col("pos") == -1)
+    return t.select("conv_id", "pos", F.size("input_ids").cast("bigint").alias("n_tokens"),
+                    ids_to_string("input_ids").alias("input_ids"))
+
+
 def _long_mask(family, legacy, part):
     def q(spark, sf):
         msgs, convs = _messages(spark, sf)
@@ -248,6 +270,9 @@ def _long_mask(family, legacy, part):
 QUERIES = {
     "render_llama2_pieces": _pieces_query("llama_2"),
     "render_llama3_pieces": _pieces_query("llama_3"),
+    "tok_image_pieces": tok_image_pieces,
+    "render_mmtag_pieces": render_mmtag_pieces,
+    "render_v0_fewshot_pieces": render_v0_fewshot_pieces,
     "render_single_pieces": _pieces_query("llava_v0"),
     "render_two_pieces": _pieces_query("v1"),
     "render_mpt_pieces": _pieces_query("mpt"),

@@ -111,11 +111,11 @@ def render_sql(name: str, src: str = "clean", shift: int = 0, out: str = "prompt
             f"FROM {src} m LEFT JOIN sys s ON m.conv_id = s.conv_id GROUP BY m.conv_id, s.system")
 
 
-def pieces_sql(name: str) -> str:
+def pieces_sql(name: str, src: str = "clean") -> str:
     """One row per message piece, plus the head at pos -1 for every conversation."""
     head, piece = render_parts(name)
     return (f"SELECT m.conv_id, CAST(m.pos AS BIGINT) AS pos, {piece} AS piece "
-            f"FROM clean m LEFT JOIN sys s ON m.conv_id = s.conv_id "
+            f"FROM {src} m LEFT JOIN sys s ON m.conv_id = s.conv_id "
             f"UNION ALL SELECT c.conv_id, CAST(-1 AS BIGINT), {head} "
             f"FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sys s ON c.conv_id = s.conv_id")
 
@@ -374,7 +374,17 @@ ORACLE.update({
     "modality_batches": MODALITY,
     "render_llama2_pieces": f"WITH {RECORDS} {pieces_sql('llama_2')}",
     "render_llama3_pieces": f"WITH {RECORDS} {pieces_sql('llama_3')}",
+    "tok_image_pieces": f"""WITH {RECORDS}, pc AS ({pieces_sql('llama_2')}),
+t AS (SELECT conv_id, pos, CASE WHEN pos = -1 THEN list_concat([1], {tok_specials('piece')})
+                                ELSE {tok_specials('piece')} END AS ids FROM pc)
+SELECT conv_id, pos, CAST(len(ids) AS BIGINT) AS n_tokens, {ids_str('ids')} AS input_ids FROM t""",
     "render_single_pieces": f"WITH {RECORDS} {pieces_sql('llava_v0')}",
+    "render_mmtag_pieces": f"WITH {RECORDS}, {MMTAG_MSGS} {pieces_sql('v1_mmtag', src='mm')}",
+    "render_v0_fewshot_pieces": f"""WITH {RECORDS},
+fs AS (SELECT conv_id, pos + 2 AS pos, frm, value FROM clean
+       UNION ALL SELECT conv_id, 0, 'human', {lit(K.FEWSHOT_V0[0][1])} FROM (SELECT DISTINCT conv_id FROM conversations)
+       UNION ALL SELECT conv_id, 1, 'gpt', {lit(K.FEWSHOT_V0[1][1])} FROM (SELECT DISTINCT conv_id FROM conversations))
+{pieces_sql('v0', src='fs')}""",
     "render_two_pieces": f"WITH {RECORDS} {pieces_sql('v1')}",
     "render_mpt_pieces": f"WITH {RECORDS} {pieces_sql('mpt')}",
     "render_plain_pieces": f"WITH {RECORDS} {pieces_sql('plain')}",

@@ -130,3 +130,33 @@ def test_chat_prompt_pieces_concatenate_to_prompt(spark, bucket):
     for r in sorted(turns.chat_prompt_pieces(msgs, convs).collect(), key=lambda r: (r.conv_id, r.pair_no)):
         got[r.conv_id] = got.get(r.conv_id, "") + r.piece
     assert got == want
+
+
+def test_image_tokens_per_piece_concatenate_to_prompt_ids(spark, bucket):
+    from corpusloom.operators.tokenize import tokenize_image_text
+
+    df, recs = _records(spark)
+    want = {r.conv_id: list(r.input_ids) for r in tokenize_image_text(render.render(recs, "llama_2"), "prompt")
+            .collect()}
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+    t = tokenize_image_text(turns.render_pieces(msgs, convs, "llama_2"), "piece", bos=F.col("pos") == -1)
+    got = {}
+    for r in sorted(t.collect(), key=lambda r: (r.conv_id, r.pos)):
+        got.setdefault(r.conv_id, []).extend(r.input_ids)
+    assert got == want and any(K.IMAGE_TOKEN_ID in v for v in want.values())
+
+
+@pytest.mark.parametrize("name,mmtag,fewshot,stage", [("v1_mmtag", True, False, "raw"), ("v1", True, False, "raw"),
+                                                     ("v0", False, True, "clean")])
+def test_mmtag_and_fewshot_pieces(spark, bucket, name, mmtag, fewshot, stage):
+    df, clean = _records(spark)
+    raw = dialogue.attach_image(dialogue.records_from_turns(df), F.pmod(F.col("conv_id"), F.lit(3)) == 0,
+                                F.lit("x.jpg"))
+    recs = raw if stage == "raw" else clean
+    want = {r.conv_id: r.prompt for r in render.render(recs, name, mmtag=mmtag, fewshot=fewshot).collect()}
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0, stage=stage)
+    m = turns.template_messages(msgs, convs, name, mmtag=mmtag, fewshot=fewshot)
+    got = {}
+    for r in sorted(turns.render_pieces(m, convs, name).collect(), key=lambda r: (r.conv_id, r.pos)):
+        got[r.conv_id] = got.get(r.conv_id, "") + (r.piece or "")
+    assert got == want
