@@ -8,6 +8,7 @@ from corpusloom import constants as K
 from corpusloom.functions.tokens import ids_to_string
 from corpusloom.operators import chat, collate, images, masks, metrics
 from corpusloom.operators.index import contiguous_index
+from corpusloom.operators.joins import bounded_broadcast
 from corpusloom.plans import corpus
 from corpusloom.plans.dialogue import MODEL_MAX_LENGTH, _message_pairs, _messages, _sft_labelled, clean_records
 from corpusloom.plans.dialogue_sql import RECORDS, SFT, lit, ntok, strip
@@ -103,7 +104,10 @@ def resize_geometry(spark, sf):
 
 def _mm_batches(spark, sf):
     m = masks.mask_dialogues(clean_records(spark, sf), "llama_2", MODEL_MAX_LENGTH)
-    m = contiguous_index(m.select("conv_id", "image", "input_ids", "labels"), ["conv_id"], "_idx")
+    # positions come from the conversation ids alone (one row per conversation, a unique join key):
+    # the id and label arrays are neither indexed nor written
+    keys = contiguous_index(table(spark, sf, "conversations").select("conv_id").distinct(), ["conv_id"], "_idx")
+    m = m.select("conv_id", "image", "input_ids", "labels").join(bounded_broadcast(keys), "conv_id")
     return m.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(MM_BATCH)).cast("bigint")).withColumn(
         "pos", F.pmod("_idx", F.lit(MM_BATCH)).cast("bigint")).drop("_idx")
 
