@@ -18,10 +18,13 @@ of all turns is spread over many tasks:
   (bucket, conversation).
 
 The rendered prompt is kept as pieces ``(conv_id, pos, piece)`` whose
-concatenation in ``pos`` order is the prompt of ``render.render``; the
-label masks of the llama-2 / llama-3 formats are computed from separator
-events located in those pieces (``mask_from_pieces``) and reported as a
-per-conversation summary plus the supervised token ranges.
+concatenation in ``pos`` order is the prompt of ``render.render`` (template
+messages of C8/C9 included); the label masks of the llama-2, llama-3 and
+two-separator formats are computed from separator events located in those
+pieces (``mask_from_pieces``) and reported as a per-conversation summary plus
+the supervised token ranges.  Pairs (C10), word counts (B1), the multi-turn
+chat prompt (C13) and history trimming (H1) work on pair rows the same way;
+trimming gathers only the pairs it keeps, which the token budget bounds.
 """
 
 from __future__ import annotations
