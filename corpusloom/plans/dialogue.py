@@ -87,6 +87,23 @@ def template_route(spark, sf):
     return r.select("conv_id", "model_id", "family", prompt.alias("prompt"))
 
 
+def _family_of(key: F.Column):
+    model_id = F.element_at(F.array(*[F.lit(m) for m in MODEL_IDS]), (F.pmod(key, F.lit(3)) + 1).cast("int"))
+    return model_id, dialogue.preprocess_family(model_id)
+
+
+def template_route_pieces(spark, sf):
+    """P10 at message level: each conversation's pieces under the template its model id selects."""
+    msgs, convs = _messages(spark, sf)
+    model_id, family = _family_of(F.col("conv_id"))
+    outs = []
+    for fam, name in FAMILY_TEMPLATE.items():
+        mine = family == F.lit(fam)
+        outs.append(turns.render_pieces(msgs.filter(mine), convs.filter(mine), name)
+                    .select("conv_id", model_id.alias("model_id"), F.lit(fam).alias("family"), "pos", "piece"))
+    return outs[0].unionByName(outs[1]).unionByName(outs[2])
+
+
 def _render_query(name, fewshot=False, mmtag=False):
     def q(spark, sf):
         r = clean_records(spark, sf) if not mmtag else records(spark, sf)
@@ -126,6 +143,17 @@ def _mask_query(family, legacy=True):
 
 
 def mask_rejects(spark, sf):
+    """L5 counts per family and status, from the message-level masks."""
+    msgs, convs = _messages(spark, sf)
+    outs = []
+    for fam, legacy in (("llama_2", True), ("llama_3", False), ("default", True)):
+        summary = turns.mask_messages(msgs, convs, fam, MODEL_MAX_LENGTH, legacy)[0]
+        outs.append(summary.groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+                    .withColumn("family", F.lit(fam)))
+    return outs[0].unionByName(outs[1]).unionByName(outs[2])
+
+
+def mask_rejects_records(spark, sf):
     outs = []
     for fam, legacy in (("llama_2", True), ("llama_3", False), ("default", True)):
         m = masks.mask_dialogues(clean_records(spark, sf), fam, MODEL_MAX_LENGTH, legacy)
@@ -304,6 +332,8 @@ QUERIES = {
     "mask_llama3": _mask_query("llama_3", legacy=False),
     "mask_two": _mask_query("default", legacy=True),
     "mask_rejects": mask_rejects,
+    "mask_rejects_records": mask_rejects_records,
+    "template_route_pieces": template_route_pieces,
     "instruction_scan": instruction_scan,
     "sft_prompt": sft_prompt,
     "sft_target": sft_target,

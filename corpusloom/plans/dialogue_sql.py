@@ -287,6 +287,12 @@ _REJ = " UNION ALL ".join(
     for f, lg in (("llama_2", True), ("llama_3", False), ("default", True))
 )
 ORACLE["mask_rejects"] = _REJ
+ORACLE["mask_rejects_records"] = _REJ
+ORACLE["template_route_pieces"] = f"WITH {RECORDS} " + " UNION ALL ".join(
+    f"SELECT conv_id, {lit(model)} AS model_id, '{fam}' AS family, pos, piece FROM ({pieces_sql(name)}) WHERE conv_id % 3 = {k}"
+    for k, (model, fam, name) in enumerate([("meta-llama/Meta-Llama-3-8B-Instruct", "llama_3", "llama_3"),
+                                             ("meta-llama/Llama-2-7b-chat-hf", "llama_2", "llama_2"),
+                                             ("lmsys/vicuna-7b-v1.5", "default", "default")]))
 
 SEGMENTS = """SELECT cu.conv_id, CAST(cu.i AS BIGINT) AS round, CAST(greatest(cu.cur + cu.il, 0) AS BIGINT) AS lo,
        CAST(least(cu.cur + cu.rl, rj.n) AS BIGINT) AS hi
