@@ -85,12 +85,42 @@ def text_scan(spark, sf):
     return lines.select(F.col("text").alias("line"), ok.alias("idx_valid"))
 
 
-QUERIES = {"text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft}
+def image_manifest_join(spark, sf):
+    """S4 round trip: image files are written for the image conversations (one small file each, its bytes the
+    conversation's first turn text) into the shared folder; the folder listing (``binaryFile``: path and length,
+    contents not loaded) is left-joined to the records on the image path; absent files would go to ``missing``.
+    """
+    from corpusloom.operators import turns
+    from corpusloom.sources.files import image_manifest, join_images
+
+    root = scratch_path(spark, "images")
+    conv = table(spark, sf, "conversations")
+    first_text = conv.groupBy("conv_id").agg(F.min(F.struct("turn", "text"))["text"].alias("body"))
+    has_img = F.pmod(F.col("conv_id"), F.lit(3)) == 0
+    (first_text.filter(has_img)
+     .select(F.concat(F.col("conv_id").cast("string"), F.lit(".jpg")).alias("image"), F.coalesce("body", F.lit(""))
+             .alias("value"))
+     .write.partitionBy("image").text(root))
+    listing = image_manifest(spark, root).select(
+        F.concat(F.lit("images/"), F.regexp_extract("rel_path", r"image=([^/]+)/", 1)).alias("rel_path"), "length")
+    convs = turns.conversation_messages(conv, lambda k: F.pmod(k, F.lit(3)) == 0, stage="raw")[1]
+    records = convs.select("conv_id", F.when(F.col("has_img"), F.concat(
+        F.lit("images/"), F.col("conv_id").cast("string"), F.lit(".jpg"))).alias("image"))
+    matched, missing = join_images(records, listing)
+    out = matched.withColumn("found", F.col("length").isNotNull()).unionByName(
+        missing.withColumn("found", F.lit(False)))
+    return out.select("conv_id", "image", "found")
+
+
+QUERIES = {"text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft,
+           "image_manifest_join": image_manifest_join}
 
 ORACLE = {
     "text_scan": f"WITH {DOC_LINES} SELECT line, true AS idx_valid FROM doc_lines",
     "nul_chunks": "SELECT text FROM documents",
     "cache_plan": "SELECT DISTINCT source, source = 'src0' AS needs_build FROM documents",
+    "image_manifest_join": """SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'images/' || CAST(conv_id AS VARCHAR) || '.jpg' END
+       AS image, conv_id % 3 = 0 AS found FROM (SELECT DISTINCT conv_id FROM conversations)""",
 }
 
 
