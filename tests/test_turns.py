@@ -1,6 +1,8 @@
 """Message-level dialogue forms equal the record forms, also when a conversation spans many buckets."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
@@ -160,3 +162,23 @@ def test_mmtag_and_fewshot_pieces(spark, bucket, name, mmtag, fewshot, stage):
     for r in sorted(turns.render_pieces(m, convs, name).collect(), key=lambda r: (r.conv_id, r.pos)):
         got[r.conv_id] = got.get(r.conv_id, "") + (r.piece or "")
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-5, 5), st.booleans()), min_size=1, max_size=60),
+       st.sampled_from([1, 2, 5, 1 << 16]))
+def test_segmented_scan_property(spark, rows, bucket_rows):
+    """Exclusive running sums and next non-null value per key, against their definition, for any bucket size."""
+    old = turns.BUCKET_ROWS
+    turns.BUCKET_ROWS = bucket_rows
+    try:
+        data = [(k, 3 * i + k, v, f"h{i}" if keep else None) for i, (k, v, keep) in enumerate(rows)]
+        df = spark.createDataFrame(data, "k long, g long, v long, h string")
+        got = {(r.k, r.g): (r.v_before, r.h_next) for r in turns.segmented_scan(df, "k", "g", ["v"], "h").collect()}
+    finally:
+        turns.BUCKET_ROWS = old
+    for k, g, _, _ in data:
+        mine = sorted((r for r in data if r[0] == k), key=lambda r: r[1])
+        before = sum(r[2] for r in mine if r[1] < g)
+        nxt = next((r[3] for r in mine if r[1] > g and r[3] is not None), None)
+        assert got[(k, g)] == (before, nxt)
