@@ -122,15 +122,16 @@ def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id",
     ``stage`` stops after the mark (``raw``), after P5 (``placeholder``) or
     after P7 (``clean``).  ``has_image(key_col)`` is a row-local rule.
     Returns ``(msgs, convs)``: ``msgs`` = (key, g, pos, from, value, has_img,
-    _b) with ``pos`` the 0-based position among the kept messages; ``convs`` =
-    (key, system, has_img), one row per conversation (also those without
-    messages).
+    n_msgs, _b) with ``pos`` the 0-based position among the kept messages and
+    ``n_msgs`` their number in the conversation; ``convs`` = (key, system,
+    has_img), one row per conversation (also those without messages).
     """
     if stage not in STAGES:
         raise ValueError(stage)
     idx = index_messages(turns, key)
     stats = idx.groupBy(key).agg(
         F.min("g").alias("_g0"),
+        F.count(F.lit(1)).alias("_n"),
         F.min(F.struct("g", "from"))["from"].alias("_first_from"),
         F.min(F.when(F.col("from") == HUMAN, F.col("g"))).alias("_fh"),
     )
@@ -147,7 +148,8 @@ def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id",
     msgs = (m.withColumn("value", v).withColumn("has_img", img)
             .filter(F.col("g") >= F.col("_g0") + drop)
             .withColumn("pos", (F.col("g") - F.col("_g0") - drop).cast("bigint"))
-            .select(key, "g", "pos", "from", "value", "has_img", "_b"))
+            .withColumn("n_msgs", (F.col("_n") - drop).cast("bigint"))
+            .select(key, "g", "pos", "from", "value", "has_img", "n_msgs", "_b"))
     convs = turns.groupBy(key).agg(F.max(F.when(F.col("role") == "system", F.col("text"))).alias("system")) \
         .withColumn("has_img", img)
     return msgs, convs
@@ -455,12 +457,11 @@ def trim_history_messages(msgs: DataFrame, convs: DataFrame, budget: int = K.CHA
     from corpusloom.operators import chat
 
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
-    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "g", "_b")
+    n_pairs = F.ceil(F.col("n_msgs") / 2).cast("bigint").alias("_n")
+    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "g", "_b", n_pairs)
     answers = msgs.filter(F.col("pos") % 2 == 1).select(key, pair, F.col("value").alias("a"))
     p = users.join(answers, [key, "pair_no"], "left")
-    per_chat = p.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(
-        convs.select(key, chat.default_system(F.col("system")).alias("system")), key)
-    p = spread_back(p, key, "_b", per_chat)
+    p = spread_back(p, key, "_b", convs.select(key, chat.default_system(F.col("system")).alias("system")))
     last = F.col("pair_no") == F.col("_n") - 1
     p = p.withColumn("a", F.when(last, F.lit("")).otherwise(F.coalesce("a", F.lit(""))))  # the turn to generate
     sysb = chat._sys_block(F.col("system"))
@@ -501,16 +502,16 @@ def chat_prompt_pieces(msgs: DataFrame, convs: DataFrame, key: str = "conv_id")
     """C13 as pair pieces (key, pair_no, piece): in pair order they concatenate to ``chat.multi_turn_prompt``
     of ``chat.chat_history`` (the last answer is the turn to generate).
 
-    A piece depends on its pair, the pair count (``spread_back``) and, for the
-    first pair only, the system text (one row per chat on each side).
+    A piece depends on its pair, the pair count (carried by every message row)
+    and, for the first pair only, the system text (one row per chat on each side).
     """
     from corpusloom.operators import chat
 
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
-    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "_b")
+    n_pairs = F.ceil(F.col("n_msgs") / 2).cast("bigint").alias("_n")
+    users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), n_pairs)
     answers = msgs.filter(F.col("pos") % 2 == 1).select(key, pair, F.col("value").alias("a"))
     p = users.join(answers, [key, "pair_no"], "left")
-    p = spread_back(p, key, "_b", p.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
     first = p.filter(F.col("pair_no") == 0).join(
         convs.select(key, chat.default_system(F.col("system")).alias("system")), key)
     p = first.unionByName(p.filter(F.col("pair_no") > 0).withColumn("system", F.lit(None).cast("string")))
