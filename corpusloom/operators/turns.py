@@ -7,7 +7,10 @@ of all turns is spread over many tasks:
 
 * ``index_messages``: a global position ``g`` in (conversation, turn) order
   from ``contiguous_index`` (range partitioning on unique keys, so a hot
-  conversation covers many partitions).
+  conversation covers many partitions).  Its checkpoint holds the message
+  rows themselves and serves as the materialized message table that every
+  later branch reads (indexing only the keys and joining the text back was
+  measured slower: each branch then re-reads and re-shuffles the text).
 * per-conversation values (first message, system text, ...) are partial
   aggregates; they travel back to the messages by ``spread_back``, a join on
   (bucket of ``g``, conversation): each join group holds at most one bucket
