@@ -23,19 +23,23 @@ def specials_frame(spark: SparkSession, pieces: list[str] = BASE_SPECIALS) -> Da
     return spark.createDataFrame(rows, "id int, piece string, score double")
 
 
+def word_counts(df: DataFrame, text_col: str, specials: list[str] = BASE_SPECIALS) -> DataFrame:
+    """(piece, cnt): whitespace pieces of a text column counted (a partial, map-side aggregate)."""
+    return (
+        df.select(F.explode(words(F.col(text_col))).alias("piece"))
+        .groupBy("piece")
+        .agg(F.count(F.lit(1)).alias("cnt"))
+        .filter(~F.col("piece").isin(*specials))
+    )
+
+
 def vocab_from_text(df: DataFrame, text_col: str, specials: list[str] = BASE_SPECIALS) -> DataFrame:
     """Word pieces of a text column ranked by (count desc, piece asc) after the specials.
 
     Counting is a partial (map-side) aggregate; the rank is a contiguous index
     over the distinct pieces, no single-partition window.
     """
-    counts = (
-        df.select(F.explode(words(F.col(text_col))).alias("piece"))
-        .groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .filter(~F.col("piece").isin(*specials))
-        .withColumn("_neg", -F.col("cnt"))
-    )
+    counts = word_counts(df, text_col, specials).withColumn("_neg", -F.col("cnt"))
     ranked = contiguous_index(counts, ["_neg", "piece"], "_rank")
     pieces = ranked.select(
         (F.col("_rank") + F.lit(len(specials))).cast("int").alias("id"),
@@ -59,6 +63,24 @@ def merge_vocab(base: DataFrame, ext: DataFrame) -> DataFrame:
     return merged.checkpoint(eager=True)
 
 
+def merge_counts(base: DataFrame, ext_counts: DataFrame) -> DataFrame:
+    """``merge_vocab`` with an extension given as (piece, cnt) counts, i.e. in the order
+    (count desc, piece asc) that ``vocab_from_text`` would give it.
+
+    Only the extension pieces absent from the base are ranked: the extension's
+    own ids are never needed, so its distinct pieces are not indexed.
+    """
+    base_size = base.agg(F.max("id")).first()[0] + 1
+    new = ext_counts.join(base.select("piece"), "piece", "left_anti").withColumn("_neg", -F.col("cnt"))
+    ranked = contiguous_index(new.select("_neg", "piece"), ["_neg", "piece"], "_rank")
+    added = ranked.select(
+        (F.col("_rank") + F.lit(base_size)).cast("int").alias("id"), "piece", F.lit(0.0).alias("score")
+    )
+    merged = base.select("id", "piece", "score").unionByName(added)
+    checkpoint_root(merged.sparkSession)
+    return merged.checkpoint(eager=True)
+
+
 def vocab_stats(base: DataFrame, ext: DataFrame, merged: DataFrame) -> DataFrame:
     """One row per vocabulary: size, distinct pieces, special pieces, rows added over the base."""
     def sizes(df, name):

@@ -92,9 +92,12 @@ def concat_sources(spark, sf):
 
 
 def _vocabs(spark, sf):
+    """(base, extension pieces, merged): the extension's order (count desc, piece asc) is all the merge
+    needs, so only its pieces missing from the base are ranked."""
     base = vocab.vocab_from_text(table(spark, sf, "benchmark"), "text")
-    ext = vocab.vocab_from_text(table(spark, sf, "documents"), "text")
-    return base, ext, vocab.merge_vocab(base, ext)
+    ext_counts = vocab.word_counts(table(spark, sf, "documents"), "text")
+    ext = vocab.specials_frame(spark).select("piece").unionByName(ext_counts.select("piece"))
+    return base, ext, vocab.merge_counts(base, ext_counts)
 
 
 def vocab_merge(spark, sf):

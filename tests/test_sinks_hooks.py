@@ -68,3 +68,14 @@ def test_arrow_byte_tokenizer_matches_expression(spark):
     a = {r.i: r.input_ids for r in tokenize.tokenize_bytes_arrow(df, "t").collect()}
     b = {r.i: r.x for r in df.select("i", encode_bytes("t").alias("x")).collect()}
     assert a == b
+
+
+def test_merge_counts_equals_merge_over_the_ranked_extension(spark):
+    from corpusloom.operators import vocab
+
+    base = vocab.vocab_from_text(spark.createDataFrame([("a b b c",)], "text string"), "text")
+    ext_text = spark.createDataFrame([("d e e f f b a <s> g g",), ("e d h",)], "text string")
+    want = vocab.merge_vocab(base, vocab.vocab_from_text(ext_text, "text"))
+    got = vocab.merge_counts(base, vocab.word_counts(ext_text, "text"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 3 + 3 + 5  # specials, base pieces a b c, new pieces d e f g h
