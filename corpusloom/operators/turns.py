@@ -301,13 +301,15 @@ def _check_template(name: str, sep2: str, inst: str) -> int:
 
 
 def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max_length: int,
-                     legacy: bool = True, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+                     legacy: bool = True, key: str = "conv_id", with_pieces: bool = False):
     """The label walk of ``masks.apply_mask`` on message pieces.
 
     Returns ``(summary, segments)``: summary = (key, n_tokens, n_supervised,
     status) per conversation; segments = (key, round, lo, hi) the supervised
     label positions [lo, hi) of each round (ids positions, BOS = 0), none for
     rejected rows.  Text-only conversations are cut to ``model_max_length``.
+    ``with_pieces`` also returns the located pieces (their text, token offset
+    and round numbers) for ``training_rows``.
 
     Rounds are the text between round-separator events; an instruction
     separator event belongs to the round open at its position.  All positions
@@ -333,8 +335,8 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
         .withColumn("_pad", _occurrences(F.col("piece"), F.lit(""), K.PAD_TOKEN))
     # the located pieces feed three branches (round bounds, instruction events, totals): written once
     checkpoint_root(p.sparkSession)
-    p = p.select(key, "has_img", "ntok", "ntok_before", "nsep", "nsep_before", "_s2", "_in", "_pad") \
-        .checkpoint(eager=True)
+    kept_cols = [key, "has_img", "ntok", "ntok_before", "nsep", "nsep_before", "_s2", "_in", "_pad"]
+    p = p.select(*kept_cols, *(["pos", "piece"] if with_pieces else [])).checkpoint(eager=True)
     off = F.col("ntok_before")
     nul = F.lit(None).cast("bigint")
 
@@ -410,7 +412,55 @@ def mask_from_pieces(pieces: DataFrame, convs: DataFrame, family: str, model_max
     out = summary.join(sup, key, "left").select(
         key, "n_tokens", F.coalesce("_sup", F.lit(0)).cast("bigint").alias("n_supervised"),
         F.when(F.col("rejected"), F.lit("mismatch")).otherwise(F.lit("ok")).alias("status"))
-    return out, segments
+    return (out, segments, p) if with_pieces else (out, segments)
+
+
+def training_rows(msgs: DataFrame, convs: DataFrame, family: str, model_max_length: int, legacy: bool = True,
+                  keep_tokens: int | None = None, key: str = "conv_id") -> DataFrame:
+    """(key, has_img, input_ids, labels): the token rows of ``masks.mask_dialogues``, built from pieces.
+
+    Each piece is tokenized on its own (its first token sits at 1 + the
+    running token count); its labels keep the ids inside the supervised
+    ranges of the rounds it touches (an equi-join on (key, round)).  Only the
+    pieces that start inside the kept ids are gathered per dialogue: the first
+    ``keep_tokens`` tokens of every row when given (the collator's cut),
+    otherwise ``model_max_length`` for text rows and everything for image rows.
+    """
+    from corpusloom.functions.tokens import encode_with_specials
+
+    name = FAMILIES[family][0]
+    style = template(name)[4]
+    cut_pieces = render_pieces if style in ("LLAMA_2", "LLAMA_3") else render_pair_pieces
+    summary, segments, located = mask_from_pieces(cut_pieces(msgs, convs, name, key), convs, family,
+                                                  model_max_length, legacy, key, with_pieces=True)
+    start = F.lit(1) + F.col("ntok_before")
+    if keep_tokens is not None:
+        cut = F.lit(keep_tokens)
+    else:
+        cut = F.when(F.col("has_img"), F.lit(None).cast("bigint")).otherwise(F.lit(model_max_length))
+    lp = located.withColumn("_start", start).withColumn("_cut", cut) \
+        .filter(F.col("_cut").isNull() | (F.col("_start") < F.col("_cut")))
+    touched = lp.select(key, "pos", F.explode(F.sequence("nsep_before", F.col("nsep_before") + F.col("nsep")))
+                        .alias("round"))
+    segs = touched.join(segments, [key, "round"]).groupBy(key, "pos").agg(
+        F.collect_list(F.struct("lo", "hi")).alias("_segs"))
+    lp = lp.join(segs, [key, "pos"], "left")
+    ids = encode_with_specials(F.col("piece"), bos=False)
+    lp = lp.withColumn("_ids", ids).withColumn("_labels", F.transform("_ids", lambda x, j: F.when(
+        F.exists(F.coalesce("_segs", F.array().cast("array<struct<lo:bigint,hi:bigint>>")),
+                 lambda sg: (F.col("_start") + j >= sg["lo"]) & (F.col("_start") + j < sg["hi"])), x)
+        .otherwise(F.lit(K.IGNORE_INDEX))))
+    # bounded by the kept tokens (or the whole dialogue for an uncut image row, which is that row's size)
+    rows = lp.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "_ids", "_labels"))).alias("_p"))
+    body = convs.select(key, "has_img").join(rows, key, "left")
+    ids_all = F.concat(F.array(F.lit(K.BOS_ID)), F.flatten(F.transform(
+        F.coalesce("_p", F.array().cast(rows.schema["_p"].dataType)), lambda x: x["_ids"])))
+    labels_all = F.concat(F.array(F.lit(K.IGNORE_INDEX)), F.flatten(F.transform(
+        F.coalesce("_p", F.array().cast(rows.schema["_p"].dataType)), lambda x: x["_labels"])))
+    cut_all = F.lit(keep_tokens) if keep_tokens is not None else F.when(
+        F.col("has_img"), F.size(ids_all)).otherwise(F.lit(model_max_length))
+    return body.select(key, "has_img", F.slice(ids_all, 1, cut_all).alias("input_ids"),
+                       F.slice(labels_all, 1, cut_all).alias("labels"))
 
 
 def render_pair_pieces(msgs: DataFrame, convs: DataFrame, name: str, key: str = "conv_id") -> DataFrame:

@@ -102,8 +102,23 @@ def resize_geometry(spark, sf):
     return images.process_geometry(m).select("conv_id", "mode", "w", "h", "out_w", "out_h")
 
 
-def _mm_batches(spark, sf):
-    m = masks.mask_dialogues(clean_records(spark, sf), "llama_2", MODEL_MAX_LENGTH)
+def _mm_batches(spark, sf, keep_tokens=None):
+    """Training rows of the llama-2 family in batches of ``MM_BATCH`` by conversation id.
+
+    With ``keep_tokens`` (the collator's cut) the rows come from the
+    message-level masks and only the pieces starting inside the first
+    ``keep_tokens`` ids of a dialogue are gathered, so no row grows with the
+    dialogue.  Without it an image row is the whole dialogue by definition and
+    the record form builds it (measured 2.7x faster at sf0.1 for that case).
+    """
+    if keep_tokens is not None:
+        from corpusloom.operators import turns
+
+        m = turns.training_rows(*_messages(spark, sf), "llama_2", MODEL_MAX_LENGTH, keep_tokens=keep_tokens)
+        m = m.withColumn("image", F.when(F.col("has_img"), F.concat(
+            F.lit("images/"), F.col("conv_id").cast("string"), F.lit(".jpg"))))
+    else:
+        m = masks.mask_dialogues(clean_records(spark, sf), "llama_2", MODEL_MAX_LENGTH)
     # positions come from the conversation ids alone (one row per conversation, a unique join key):
     # the id and label arrays are neither indexed nor written
     keys = contiguous_index(table(spark, sf, "conversations").select("conv_id").distinct(), ["conv_id"], "_idx")
@@ -113,7 +128,7 @@ def _mm_batches(spark, sf):
 
 
 def collate_mm(spark, sf):
-    b = collate.collate_pad(_mm_batches(spark, sf), K.PAD_ID, max_length=MODEL_MAX_LENGTH)
+    b = collate.collate_pad(_mm_batches(spark, sf, keep_tokens=MODEL_MAX_LENGTH), K.PAD_ID, max_length=MODEL_MAX_LENGTH)
     b = b.join(_manifest(spark, sf).select("image", "w", "h"), "image", "left")
     c = collate.collate_images(b)
     return c.select("batch_id", "pos", "conv_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "is_blank",

@@ -182,3 +182,19 @@ def test_segmented_scan_property(spark, rows, bucket_rows):
         before = sum(r[2] for r in mine if r[1] < g)
         nxt = next((r[3] for r in mine if r[1] > g and r[3] is not None), None)
         assert got[(k, g)] == (before, nxt)
+
+
+@pytest.mark.parametrize("family,legacy,keep", [("llama_2", True, None), ("llama_3", False, None),
+                                                ("default", True, None), ("llama_2", True, 2048),
+                                                ("default", False, 300)])
+def test_training_rows_equal_record_rows(spark, bucket, family, legacy, keep):
+    df, recs = _records(spark)
+    rec = masks.mask_dialogues(recs, family, 2048, legacy).collect()
+    cut = (lambda a: a) if keep is None else (lambda a: a[:keep])
+    want = {r.conv_id: (cut(list(r.input_ids)), cut(list(r.labels))) for r in rec}
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+    rows = turns.training_rows(msgs, convs, family, 2048, legacy, keep_tokens=keep).collect()
+    got = {r.conv_id: (list(r.input_ids), list(r.labels)) for r in rows}
+    assert got == want
+    # image rows longer than the cut exist, so both the uncut and the cut paths are exercised
+    assert any(len(v[0]) > 2048 for v in want.values()) or keep is not None
