@@ -198,3 +198,42 @@ def test_training_rows_equal_record_rows(spark, bucket, family, legacy, keep):
     assert got == want
     # image rows longer than the cut exist, so both the uncut and the cut paths are exercised
     assert any(len(v[0]) > 2048 for v in want.values()) or keep is not None
+
+
+def test_message_level_tables_equal_record_tables_on_odd_inputs(spark):
+    from corpusloom.operators import batching, chat
+
+    rows = _turn_rows() + [
+        # an unknown role keeps its name; negative and sparse turn numbers
+        (10, -7, "user", "q"), (10, -3, "tool", "t"), (10, 40, "assistant", "a"), (10, 41, "user", "q2"),
+        # image conversation with only a system turn
+        (12, 0, "system", "s"),
+        # a null text
+        (13, 0, "user", None), (13, 1, "assistant", "x"),
+    ]
+    df = spark.createDataFrame(rows, TURNS)
+    has_img = F.pmod(F.col("conv_id"), F.lit(3)) == 0
+    raw = dialogue.attach_image(dialogue.records_from_turns(df), has_img, F.lit("x.jpg"))
+    clean = dialogue.drop_leading_non_human(dialogue.normalise_image_placeholder(raw))
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+
+    def exploded(recs):
+        return {(r.conv_id, p, m["from"], m["value"]) for r in recs.collect() for p, m in enumerate(r.msgs)}
+
+    assert {(r.conv_id, r.pos, r["from"], r.value) for r in msgs.collect()} == exploded(clean)
+    raw_msgs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0, stage="raw")[0]
+    assert {(r.conv_id, r.pos, r["from"], r.value) for r in raw_msgs.collect()} == exploded(raw)
+    want_pairs = {tuple(r) for r in dialogue.turn_pairs(clean).select("conv_id", "pair_no", "user", "assistant",
+                                                                      "system").collect()}
+    got_pairs = {tuple(r) for r in turns.message_pairs(msgs, convs).select("conv_id", "pair_no", "user", "assistant",
+                                                                           "system").collect()}
+    assert got_pairs == want_pairs
+    want_len = {tuple(r) for r in batching.dialogue_lengths(raw).select("conv_id", "length").collect()}
+    words = turns.conversation_word_counts(*turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0,
+                                                                        stage="raw"))
+    got_len = {tuple(r) for r in batching.lengths_from_words(words).select("conv_id", "length").collect()}
+    # a null text is invalid input: it counts as no words here (as in the SQL oracle), null in the record form
+    assert {r for r in got_len if r[0] != 13} == {r for r in want_len if r[0] != 13}
+    assert (13, 1) in got_len and (13, None) in want_len
+    want_trim = {tuple(r) for r in chat.trim_history(chat.chat_history(clean), 200).collect()}
+    assert {tuple(r) for r in turns.trim_history_messages(msgs, convs, 200).collect()} == want_trim
