@@ -237,3 +237,21 @@ def test_message_level_tables_equal_record_tables_on_odd_inputs(spark):
     assert (13, 1) in got_len and (13, None) in want_len
     want_trim = {tuple(r) for r in chat.trim_history(chat.chat_history(clean), 200).collect()}
     assert {tuple(r) for r in turns.trim_history_messages(msgs, convs, 200).collect()} == want_trim
+
+
+@pytest.mark.parametrize("family,legacy", [("llama_2", True), ("default", False)])
+def test_masks_on_odd_inputs(spark, family, legacy):
+    rows = _turn_rows() + [(10, -7, "user", "q"), (10, -3, "tool", "t"), (10, 40, "assistant", "a"),
+                           (10, 41, "user", "q2"), (12, 0, "system", "s"), (14, 0, "user", ""), (14, 1, "assistant", "")]
+    df = spark.createDataFrame(rows, TURNS)
+    has_img = F.pmod(F.col("conv_id"), F.lit(3)) == 0
+    raw = dialogue.attach_image(dialogue.records_from_turns(df), has_img, F.lit("x.jpg"))
+    clean = dialogue.drop_leading_non_human(dialogue.normalise_image_placeholder(raw))
+    rec = masks.mask_dialogues(clean, family, 2048, legacy).collect()
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+    summary = turns.mask_messages(msgs, convs, family, 2048, legacy)[0]
+    assert {(r.conv_id, r.n_tokens, r.n_supervised, r.status) for r in summary.collect()} == \
+        {(r.conv_id, len(r.input_ids), r.n_supervised, r.status) for r in rec}
+    rows_ = turns.training_rows(msgs, convs, family, 2048, legacy).collect()
+    assert {(r.conv_id, tuple(r.input_ids), tuple(r.labels)) for r in rows_} == \
+        {(r.conv_id, tuple(r.input_ids), tuple(r.labels)) for r in rec}
