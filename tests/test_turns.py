@@ -255,3 +255,30 @@ def test_masks_on_odd_inputs(spark, family, legacy):
     rows_ = turns.training_rows(msgs, convs, family, 2048, legacy).collect()
     assert {(r.conv_id, tuple(r.input_ids), tuple(r.labels)) for r in rows_} == \
         {(r.conv_id, tuple(r.input_ids), tuple(r.labels)) for r in rec}
+
+
+def test_hot_conversation_across_many_buckets(spark, monkeypatch):
+    """One conversation with most of the turns, spread over ~30 buckets of 64 messages."""
+    from corpusloom.operators import chat
+
+    monkeypatch.setattr(turns, "BUCKET_ROWS", 64)
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t} " + ("[/INST] " if t % 97 == 5 else "") + "w" * (t % 7))
+            for t in range(2000)]
+    rows += [(k, t, "user" if t % 2 == 0 else "assistant", f"s{k}.{t}") for k in (2, 3, 4) for t in range(4)]
+    df = spark.createDataFrame(rows, TURNS)
+    has_img = F.pmod(F.col("conv_id"), F.lit(3)) == 0
+    clean = dialogue.drop_leading_non_human(dialogue.normalise_image_placeholder(
+        dialogue.attach_image(dialogue.records_from_turns(df), has_img, F.lit("x.jpg"))))
+    msgs, convs = turns.conversation_messages(df, lambda k: F.pmod(k, F.lit(3)) == 0)
+    assert msgs.filter(F.col("conv_id") == 1).select("_b").distinct().count() >= 30
+    want = {r.conv_id: r.prompt for r in render.render(clean, "llama_2").collect()}
+    got = {}
+    for r in sorted(turns.render_pieces(msgs, convs, "llama_2").collect(), key=lambda r: (r.conv_id, r.pos)):
+        got[r.conv_id] = got.get(r.conv_id, "") + r.piece
+    assert got == want
+    rec = masks.mask_dialogues(clean, "llama_2", 2048).collect()
+    summary = turns.mask_messages(msgs, convs, "llama_2", 2048)[0]
+    assert {(r.conv_id, r.n_tokens, r.n_supervised, r.status) for r in summary.collect()} == \
+        {(r.conv_id, len(r.input_ids), r.n_supervised, r.status) for r in rec}
+    want_trim = {tuple(r) for r in chat.trim_history(chat.chat_history(clean), 1024).collect()}
+    assert {tuple(r) for r in turns.trim_history_messages(msgs, convs, 1024).collect()} == want_trim
