@@ -115,7 +115,8 @@ def packed_sequences(pieces: DataFrame, pad_id: int = 0) -> DataFrame:
     return joined.mapInArrow(run, "sequence_id long, ids array<long>")
 
 
-def _crc(pieces: DataFrame) -> DataFrame:
+def op6_columns(pieces: DataFrame) -> DataFrame:
+    """The pieces with a CRC-32 of their ids' bytes in place of the ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "sequence_tokens", "padded_tokens")
 
@@ -127,6 +128,6 @@ def tokenizer_path() -> str:
 
 
 def op6_packing(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
-    return _crc(pack(read_table(spark, sf_dir, "documents"), tokenizer or tokenizer_path(), length=2048, end_id=1))
+    return op6_columns(pack(read_table(spark, sf_dir, "documents"), tokenizer or tokenizer_path(), length=2048, end_id=1))
 
 

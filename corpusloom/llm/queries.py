@@ -7,10 +7,12 @@ from corpusloom.llm import (
     chat_format,
     embed_dedup,
     packing,
+    quality_gam,
     quality_rules,
     simhash,
     suffix_dedup,
     token_counts,
+    toxicity,
 )
 
 QUERIES = {
@@ -21,7 +23,9 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_packing": packing.op6_packing,
     "op7_byte_level_bpe": bpe.op7_byte_level_bpe,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_token_counts": token_counts.op9_token_counts,
+    "op10_quality_classifier": quality_gam.op10_quality_classifier,
 }
 
 ORACLE = {

@@ -414,22 +414,25 @@ def _cut(with_text: bool):
             if with_text:
                 kept.append(left.decode("utf-8", "ignore"))
                 gone.append([{"start": int(x), "end": int(z)} for x, z in zip(begin, end)])
-        ids = texts["doc_id"].combine_chunks()
-        cols = [texts["chunk"].combine_chunks(), texts["row"].combine_chunks(), ids, pa.array(n_bytes, pa.int64()),
-                pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string())]
-        names = ["chunk", "row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        cols = [texts["doc_id"], pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
+                pa.array(n_spans, pa.int64()), pa.array(sha, pa.string())]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         if with_text:
             cols += [pa.array(kept, pa.string()), pa.array(gone, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
             names += ["kept_text", "removed"]
+        more = [n for n in texts.column_names if n.startswith("other_")]
+        cols += [texts[n] for n in more]
+        names += more
         return pa.Table.from_arrays(cols, names=names)
 
     return run
 
 
-def _bucketed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+def _bucketed(docs: DataFrame, id_col: str, text_col: str, others: list[str]) -> DataFrame:
     """The texts written in blocks (one per input partition), bucketed by block number without a shuffle."""
     spark = docs.sparkSession
     blocks = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                         *(F.col(c).alias(f"other_{i}") for i, c in enumerate(others)),
                          F.spark_partition_id().alias("chunk"),
                          F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).cast("int").alias("row"))
     blocks = blocks.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
@@ -437,13 +440,13 @@ def _bucketed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, i
     name = "suffix_texts_" + path.rpartition("-")[2]
     n = max(1, docs.select(id_col).rdd.getNumPartitions())
     blocks.write.option("compression", "zstd").option("path", path).bucketBy(n, "chunk").saveAsTable(name)
-    return spark.table(name), n
+    return spark.table(name)
 
 
 def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", text_col: str = "text",
-                  with_text: bool = True) -> DataFrame:
+                  with_text: bool = True, others: tuple[str, ...] = ()) -> DataFrame:
     """One row per text: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, unless ``with_text`` is false,
-    ``kept_text`` and ``removed`` (spans of byte offsets).
+    ``kept_text`` and ``removed`` (spans of byte offsets).  ``others`` names columns to hand on (``other_0``, ...).
 
     Removed is every byte covered by a ``min_len``-byte string that also starts earlier (smaller id, or the same
     text further left), judged on the input.  Matches never cross texts.  A null text is empty.  Rows repeated with
@@ -458,7 +461,7 @@ def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", t
         raise ValueError(f"min_len must lie between {K + 1} and {K + 127}")
     spark = docs.sparkSession
     ship(spark)
-    texts, _ = _bucketed(docs, id_col, text_col)
+    texts = _bucketed(docs, id_col, text_col, list(others))
     total = texts.agg(F.sum("n_bytes")).first()[0] or 0
     n_buckets = max(16, int(total / ((min_len - K) / 2) / RUNS))
     scan = texts.select("chunk", "row", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text")
@@ -468,10 +471,22 @@ def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", t
     fetched = blocks.cogroup(folded.where(F.col("kind") == FETCH).groupBy("chunk")).applyInArrow(_fetch(min_len), ROWS)
     resolved = saved(fetched.groupBy("bucket").applyInArrow(_resolve(min_len), ROWS), "suffix-resolved")
     covered = folded.where(F.col("kind") == COVERED).unionByName(resolved)
-    schema = "chunk int, row int, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:
         schema += ", kept_text string, removed array<struct<start: bigint, end: bigint>>"
-    return blocks.cogroup(covered.groupBy("chunk")).applyInArrow(_cut(with_text), schema)
+    more = [f for f in texts.schema.fields if f.name.startswith("other_")]
+    schema += "".join(f", {f.name} {f.dataType.simpleString()}" for f in more)
+    whole = texts.drop("n_bytes").groupBy("chunk")
+    return whole.cogroup(covered.groupBy("chunk")).applyInArrow(_cut(with_text), schema)
+
+
+def without_repeats(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all rows and columns, with ``text_col`` cut by :func:`repeated_text`."""
+    others = tuple(c for c in docs.columns if c not in (id_col, text_col))
+    cut = repeated_text(docs, min_len, id_col, text_col, others=others)
+    back = {f"other_{i}": c for i, c in enumerate(others)} | {"doc_id": id_col, "kept_text": text_col}
+    names = {c: old for old, c in back.items()}
+    return cut.select(*(F.col(names[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
 
 
 def op3_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
