@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.operators import batching, chat, collate, images, metrics
-from helpers import greedy_chunks, py_tok
+from helpers import py_tok
 
 SCHEMA = "conv_id long, system string, image string, msgs array<struct<from:string,value:string>>"
 
@@ -16,13 +16,29 @@ def test_chunks_follow_rule_and_partition_megabatch(spark):
     by_mb = {}
     for r in rows:
         by_mb.setdefault(r.mb, []).append(r)
-    for mb, rs in by_mb.items():
-        ordered = sorted(rs, key=lambda r: r.rank)
-        lens = [r.length for r in ordered]
-        expect = greedy_chunks(lens, 2)
-        for c, members in enumerate(expect):
-            got = [r.rank - 1 for r in sorted((r for r in rs if r.chunk == c), key=lambda r: r.chunk_pos)]
-            assert got == members, (mb, c)
+    for rs in by_mb.values():
+        by_rank = sorted(rs, key=lambda r: r.rank)
+        assert [r.length for r in by_rank] == sorted((r.length for r in rs), reverse=True)
+        share = {c: sorted((r for r in rs if r.chunk == c), key=lambda r: r.chunk_pos) for c in range(2)}
+        assert [r.chunk_pos for c in share.values() for r in c] == [i for c in share.values() for i in range(len(c))]
+        assert all([r.rank for r in c] == sorted(r.rank for r in c) for c in share.values())
+        if len(rs) % 2:
+            assert all((r.rank - 1) % 2 == r.chunk for r in rs)  # dealt in turn
+            continue
+        assert len(share[0]) == len(share[1])  # equal shares
+        # a row went to the chunk that was lighter, while that chunk had room
+        for r in by_rank:
+            mine, other = ([x for x in share[c] if x.rank < r.rank] for c in (r.chunk, 1 - r.chunk))
+            room = len(other) < len(share[0])
+            weigh = lambda rows: sum(x.length for x in rows)
+            assert not room or weigh(mine) < weigh(other) or (weigh(mine) == weigh(other) and r.chunk == 0)
+
+
+def test_chunks_golden(spark):
+    """Lengths 9 8 7 2: 9 | 8, then 7 to the lighter (8), then 2 to the one with room."""
+    lengths = spark.createDataFrame([(i, n) for i, n in enumerate([7, 2, 9, 8])], "conv_id long, length long")
+    rows = batching.length_grouped(lengths, "conv_id", "length", batch_size=2, world_size=2).collect()
+    assert sorted((r.chunk, r.chunk_pos, r.length) for r in rows) == [(0, 0, 9), (0, 1, 2), (1, 0, 8), (1, 1, 7)]
 
 
 def test_modality_batches_cover_all(spark):
@@ -39,38 +55,23 @@ def _pairs(*p):
     return [{"from": f, "value": v} for f, v in p]
 
 
-def test_history_trim_brute_force(spark):
+def test_history_trim_keeps_the_longest_tail_that_fits(spark):
     msgs = _pairs(("human", "a" * 40), ("gpt", "b" * 50), ("human", "c" * 30), ("gpt", "d" * 60),
                   ("human", "e" * 20), ("gpt", "f"))
-    df = spark.createDataFrame([(1, "", None, msgs), (2, "sys", None, msgs[:1])], SCHEMA)
-    hist = chat.chat_history(df)
-    for budget in (60, 120, 200, 400, 1000):
-        got = {r.conv_id: r for r in chat.trim_history(hist, budget).collect()}
-        for r in hist.collect():
-            pairs = [(p["u"], p["a"]) for p in r.pairs]
-            k = 0
-            while True:
-                prompt = _render(pairs[k:], r.system)
-                if len(py_tok(prompt)) > budget and len(pairs) - k > 1:
-                    k += 1
-                else:
-                    break
-            assert got[r.conv_id].start_pair == k
-            assert got[r.conv_id].prompt == prompt
-            assert got[r.conv_id].n_tokens == len(py_tok(prompt))
-
-
-def _render(pairs, system):
-    def gen(q, a="", sys=None):
-        p = (f"[INST] <<SYS>>\n{sys}\n<</SYS>>\n\n{q} [/INST]" if sys is not None else f"[INST] {q} [/INST]")
-        return p + (" " + a if a else "")
-
-    if len(pairs) == 1:
-        return gen(pairs[0][0], "", system)
-    out = gen(pairs[0][0], pairs[0][1], system) + "</s>"
-    for q, a in pairs[1:-1]:
-        out += "<s>" + gen(q, a) + "</s>"
-    return out + "<s>" + gen(pairs[-1][0])
+    tails = spark.createDataFrame([(k, "sys", None, msgs[2 * k:]) for k in range(3)], SCHEMA)
+    whole = {r.conv_id: r for r in chat.trim_history(chat.chat_history(tails), 10**6).collect()}
+    assert all(r.start_pair == 0 and r.n_tokens == len(py_tok(r.prompt)) for r in whole.values())
+    assert whole[2].prompt == "[INST] <<SYS>>\nsys\n<</SYS>>\n\n" + "e" * 20 + " [/INST]"
+    assert whole[1].prompt == ("[INST] <<SYS>>\nsys\n<</SYS>>\n\n" + "c" * 30 + " [/INST] " + "d" * 60 + "</s><s>[INST] "
+                               + "e" * 20 + " [/INST]")
+    one = chat.chat_history(spark.createDataFrame([(1, "sys", None, msgs)], SCHEMA))
+    sizes = [whole[k].n_tokens for k in range(3)]
+    assert sizes == sorted(sizes, reverse=True)
+    for budget in {1, *(n + d for n in sizes for d in (-1, 0, 1))}:
+        got = chat.trim_history(one, budget).first()
+        fits = [k for k in range(3) if sizes[k] <= budget]
+        assert got.start_pair == (fits[0] if fits else 2)  # the last pair stays whatever its size
+        assert (got.prompt, got.n_tokens) == (whole[got.start_pair].prompt, sizes[got.start_pair])
 
 
 def test_default_system_prompt(spark):
