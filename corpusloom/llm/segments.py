@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 
-_MEET = re.compile(r"\s\s")
-_BORDER = re.compile(r"(?<=\S)(?=\s)")
+#: Unicode's White_Space, as the word pattern has it (Python's own \\s has four control characters more).
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_MEET = re.compile(f"[{SPACE}][{SPACE}]")
+_BORDER = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
 
 
 def segments(text: str) -> list[str]:
