@@ -1,7 +1,6 @@
 """Column-expression helpers (text rules, byte tokenizer)."""
 
 from corpusloom.functions.text import (  # noqa: F401
-    count_occurrences,
     py_strip,
     regex_quote,
     rfind_slice,

@@ -11,10 +11,10 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.split() / str.strip() whitespace, restricted to the explicit
-# ASCII class so that Java regex and RE2 (the DuckDB oracle) agree.
-WORD_PATTERN = r"[^ \t\n\r\f\x0b]+"
-_STRIP_PATTERN = r"^[ \t\n\r\f\x0b]+|[ \t\n\r\f\x0b]+$"
+# The 29 characters that Python's str.split() / str.strip() take as whitespace, as the inside of a character class.
+WHITESPACE = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WORD_PATTERN = f"[^{WHITESPACE}]+"
+_STRIP_PATTERN = f"^[{WHITESPACE}]+|[{WHITESPACE}]+\\z"
 
 
 def col_or_lit(x) -> Column:
@@ -38,11 +38,11 @@ def word_count(c) -> Column:
 def text_lines(c) -> Column:
     """Lines of a text the way a line reader yields them.
 
-    ``\\r\\n`` and ``\\n`` end a line; a final line terminator does not add an
-    empty line; blank lines stay as empty strings.
+    ``\\r\\n``, ``\\n`` and a lone ``\\r`` end a line, as in Spark's text reader; a final
+    line terminator does not add an empty line; blank lines stay as empty strings.
     """
-    body = F.regexp_replace(col_or_lit(c), r"\r?\n\z", "")
-    return F.split(F.regexp_replace(body, r"\r\n", "\n"), "\n", -1)
+    body = F.regexp_replace(F.regexp_replace(col_or_lit(c), r"\r\n?", "\n"), r"\n\z", "")
+    return F.split(body, "\n", -1)
 
 
 def regex_quote(s: str) -> str:
@@ -50,13 +50,6 @@ def regex_quote(s: str) -> str:
     return re.sub(r"([\\^$.|?*+()\[\]{}])", r"\\\1", s)
 
 
-def count_occurrences(c, literal: str) -> Column:
-    """Non-overlapping occurrences of ``literal`` (as ``str.count``)."""
-    c = col_or_lit(c)
-    n = len(literal)
-    return ((F.length(c) - F.length(F.replace(c, F.lit(literal), F.lit("")))) / F.lit(n)).cast("bigint")
-
-
 def substring_after_last(c, marker: str) -> Column:
     """``s.split(marker)[-1]`` (whole string when the marker is absent)."""
     return F.substring_index(col_or_lit(c), marker, -1)

@@ -9,8 +9,8 @@ into one final batch sorted by index, the rest are shuffled.
 
 The random permutation is replaced by a seeded md5 order (Q11).  Positions
 come from the contiguous index (no global window); every window is bounded by
-one megabatch; the greedy split is a grouped pandas function per megabatch
-(at most ``world_size * batch_size`` rows per group).
+one megabatch; the greedy split is one ``aggregate`` expression over each
+megabatch's rank-sorted array (at most ``world_size * batch_size`` rows).
 """
 
 from __future__ import annotations
@@ -173,14 +173,14 @@ def sampler_order(lengths: DataFrame, key: str, batch_size: int, world_size: int
     """The sampler the trainer would pick -> (key, batch_no, pos).
 
     The effective world size is ``world_size * grad_accum``; with modality
-    grouping the B7 plan runs on the signed lengths, otherwise B4-B6 on the
-    plain lengths.
+    grouping the B7 plan runs on the signed lengths, otherwise the default
+    sampler: a random (here seeded) permutation, cut into steps of
+    ``batch_size`` rows per worker.
     """
     world = world_size * grad_accum
     if group_by_modality:
         return modality_batches(lengths, key, batch_size, world, seed)
-    g = length_grouped(lengths, key, "length", batch_size, world, seed)
-    return g.select(key, F.col("mb").alias("batch_no"),
-                    (F.col("chunk") * F.lit(batch_size * world) + F.col("chunk_pos")).alias("_o")) \
-        .withColumn("pos", (F.row_number().over(Window.partitionBy("batch_no").orderBy("_o")) - 1).cast("bigint")) \
-        .drop("_o")
+    step = F.lit(batch_size * world)
+    at = contiguous_index(lengths.select(key, _perm_key(key, seed).alias("_perm")), ["_perm", key], "_idx")
+    return at.select(key, F.floor(F.col("_idx") / step).cast("bigint").alias("batch_no"),
+                     F.pmod("_idx", step).cast("bigint").alias("pos"))

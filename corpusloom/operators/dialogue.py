@@ -13,22 +13,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
-from corpusloom.functions.text import py_strip
+from corpusloom.functions.text import py_strip, word_count
 
 HUMAN, GPT = "human", "gpt"
 ROLE_MAP = {"user": HUMAN, "assistant": GPT}
 
 
+def system_text(turn: str = "turn", role: str = "role", text: str = "text") -> Column:
+    """Aggregate: the texts of a conversation's system turns in turn order, joined by line breaks; null without any."""
+    said = F.array_sort(F.collect_list(F.when((F.col(role) == "system") & F.col(text).isNotNull(),
+                                              F.struct(F.col(turn).alias("turn"), F.col(text).alias("text")))))
+    return F.when(F.size(said) > 0, F.array_join(F.transform(said, lambda m: m["text"]), "\n"))
+
+
 def records_from_turns(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role",
                        text: str = "text") -> DataFrame:
-    """(key, turn, role, text) -> (key, system, msgs); the system turn becomes the system prompt."""
+    """(key, turn, role, text) -> (key, system, msgs); the system turns become the system prompt."""
     role_from = F.when(F.col(role) == "user", F.lit(HUMAN)).when(F.col(role) == "assistant", F.lit(GPT)).otherwise(
         F.col(role)
     )
     msg = F.when(F.col(role) != "system", F.struct(F.col(turn).alias("turn"), role_from.alias("from"),
                                                   F.col(text).alias("value")))
     grouped = turns.groupBy(key).agg(
-        F.max(F.when(F.col(role) == "system", F.col(text))).alias("system"),
+        system_text(turn, role, text).alias("system"),
         F.array_sort(F.collect_list(msg)).alias("_msgs"),
     )
     return grouped.select(
@@ -66,6 +73,17 @@ def role_alternation_ok(msgs: Column) -> Column:
     )
 
 
+def rejected_records(records: DataFrame, key: str = "conv_id") -> DataFrame:
+    """(key, reason) of the records that cannot be rendered or sampled, after P5 and P7 (see ``turns.rejected``)."""
+    r = drop_leading_non_human(normalise_image_placeholder(records))
+    said = F.transform("msgs", lambda m: F.coalesce(m["value"], F.lit("")))
+    reasons = F.array_compact(F.array(
+        F.when(~F.coalesce(role_alternation_ok(F.col("msgs")), F.lit(False)), F.lit("role_order")),
+        F.when(F.try_element_at(said, F.lit(1)) == "", F.lit("empty_first")),
+        F.when(~F.exists(said, lambda v: word_count(v) > 0), F.lit("no_words"))))
+    return r.select(key, F.explode(reasons).alias("reason"))
+
+
 def normalise_image_placeholder(records: DataFrame) -> DataFrame:
     """P5: for records with an image, a message holding ``<image>`` becomes '<image>\\n' + stripped rest."""
     tok = K.IMAGE_TOKEN
@@ -79,15 +97,6 @@ def normalise_image_placeholder(records: DataFrame) -> DataFrame:
     return records.withColumn("msgs", F.transform("msgs", fix))
 
 
-def prefix_first_message(records: DataFrame, gate: Column) -> DataFrame:
-    """P6: '<image>\\n' before the first message when ``gate`` holds."""
-    return records.withColumn(
-        "msgs",
-        F.transform("msgs", lambda m, i: F.when((i == 0) & gate, F.struct(
-            m["from"].alias("from"), F.concat(F.lit(K.IMAGE_TOKEN + "\n"), m["value"]).alias("value"))).otherwise(m)),
-    )
-
-
 def preprocess_family(model_id: Column) -> Column:
     """P10: which preprocessing a model id selects."""
     low = F.lower(model_id)

@@ -17,8 +17,3 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     """
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
-
-
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return big.join(bounded_broadcast(small, max_rows), on, how)

@@ -45,6 +45,18 @@ def masked_loss(df: DataFrame, scores: str, label: str) -> DataFrame:
     return df.agg(F.avg(nll).alias("loss"), F.count(nll).cast("bigint").alias("n_tokens"))
 
 
+def shifted_loss(rows: DataFrame, seq: str, pos: str, scores: str, label: str, mask: str) -> DataFrame:
+    """M3 on token rows: the scores at a position are held against the next position's label, where the next
+    position's attention mask is not zero and its label is supervised -> (loss, n_tokens).
+
+    One row per token; the next row's label comes by an equi-join on (sequence, position), so no
+    sequence is gathered.
+    """
+    ahead = rows.select(F.col(seq), (F.col(pos) - 1).alias(pos), F.col(label).alias("_label"), F.col(mask).alias("_mask"))
+    pairs = rows.select(seq, pos, scores).join(ahead, [seq, pos]).filter(F.col("_mask") != 0)
+    return masked_loss(pairs, scores, "_label")
+
+
 def perplexity(loss: Column) -> Column:
     """M4: exp(loss); overflow gives +inf like math.exp's OverflowError branch."""
     return F.exp(loss)

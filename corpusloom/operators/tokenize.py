@@ -29,8 +29,8 @@ def tokenize_bytes(df: DataFrame, text_col: str, out_col: str = "input_ids", bos
     return df.withColumn(out_col, enc(F.col(text_col), bos=bos))
 
 
-def _arrow_byte_ids(col, bos: bool):
-    """Arrow string array -> Arrow list<int32> of byte ids (+3), with a leading BOS when asked.
+def _arrow_byte_ids(col, bos: bool, offset: int, bos_id: int):
+    """Arrow string array -> Arrow list<int32> of byte ids (byte + offset), with a leading BOS when asked.
 
     Works on the array's UTF-8 data buffer and offsets directly: the ids of
     all rows are one vectorized add over the concatenated bytes.
@@ -47,7 +47,7 @@ def _arrow_byte_ids(col, bos: bool):
         col = col.fill_null("")
     offs = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset: col.offset + n + 1]
     data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
-    vals = data[offs[0]:offs[-1]].astype(np.int32) + K.BYTE_OFFSET
+    vals = data[offs[0]:offs[-1]].astype(np.int32) + offset
     rel = (offs - offs[0]).astype(np.int32)
     if not bos:
         return pa.ListArray.from_arrays(pa.array(rel, pa.int32()), pa.array(vals, pa.int32()), mask=nulls)
@@ -55,11 +55,20 @@ def _arrow_byte_ids(col, bos: bool):
     out = np.empty(len(vals) + n, dtype=np.int32)
     is_bos = np.zeros(len(out), dtype=bool)
     is_bos[new_offs[:-1]] = True
-    out[is_bos] = K.BOS_ID
+    out[is_bos] = bos_id
     out[~is_bos] = vals
     return pa.ListArray.from_arrays(pa.array(new_offs, pa.int32()), pa.array(out, pa.int32()), mask=nulls)
 
 
+def _by_value(f):
+    """The same function as one that is sent to the workers whole, so that they need not import this package."""
+    from types import FunctionType
+
+    out = FunctionType(f.__code__, {"__builtins__": __builtins__}, f.__name__)
+    out.__module__ = "__main__"
+    return out
+
+
 def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids", bos: bool = True) -> DataFrame:
     """Byte tokenizer for plain text (no special strings) as an Arrow-batched map.
 
@@ -73,6 +82,7 @@ def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     names = df.columns + [out_col]
 
+    offset, bos_id, encode = K.BYTE_OFFSET, K.BOS_ID, _by_value(_arrow_byte_ids)
     limit = 1 << 30  # keep each output list below the int32 offset range
 
     def slices(b):
@@ -89,7 +99,7 @@ def tokenize_bytes_arrow(df: DataFrame, text_col: str, out_col: str = "input_ids
     def fn(batches):
         for batch in batches:
             for b in slices(batch):
-                ids = _arrow_byte_ids(b.column(text_col), bos)
+                ids = encode(b.column(text_col), bos, offset, bos_id)
                 yield pa.RecordBatch.from_arrays(list(b.columns) + [ids], names)
 
     return df.mapInArrow(fn, schema)
@@ -115,10 +125,6 @@ def tokenize_image_text(df: DataFrame, text_col: str, out_col: str = "input_ids"
     return df.withColumn(out_col, F.when(bos, F.concat(F.array(F.lit(K.BOS_ID)), body)).otherwise(body))
 
 
-def detokenize_bytes(df: DataFrame, ids_col: str, out_col: str = "text") -> DataFrame:
-    return df.withColumn(out_col, decode_bytes(F.col(ids_col)))
-
-
 def tokenize_words(df: DataFrame, key_cols: list[str], text_col: str, vocab: DataFrame,
                    out_col: str = "input_ids", bos: bool = True, unk_id: int = K.UNK_ID) -> DataFrame:
     """-> (key_cols, out_col): pieces looked up in ``vocab(id, piece)``; unknown get ``unk_id``.

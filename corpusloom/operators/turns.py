@@ -38,9 +38,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
-from corpusloom.functions.text import py_strip, regex_quote
+from corpusloom.functions.text import py_strip, regex_quote, word_count
 from corpusloom.functions.tokens import _SPECIAL_PIECE_PATTERN, _SPECIAL_STRINGS, n_tokens
-from corpusloom.operators.dialogue import GPT, HUMAN
+from corpusloom.operators.dialogue import GPT, HUMAN, system_text
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.masks import FAMILIES
 from corpusloom.operators.render import style_parts, template
@@ -153,17 +153,41 @@ def conversation_messages(turns: DataFrame, has_image, key: str = "conv_id",
             .withColumn("pos", (F.col("g") - F.col("_g0") - drop).cast("bigint"))
             .withColumn("n_msgs", (F.col("_n") - drop).cast("bigint"))
             .select(key, "g", "pos", "from", "value", "has_img", "n_msgs", "_b"))
-    convs = turns.groupBy(key).agg(F.max(F.when(F.col("role") == "system", F.col("text"))).alias("system")) \
+    convs = turns.groupBy(key).agg(system_text().alias("system")) \
         .withColumn("has_img", img)
     return msgs, convs
 
 
-def message_pairs(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> DataFrame:
+def rejected(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Why a conversation cannot be rendered or sampled: (key, reason), one row per reason.
+
+    ``role_order`` (P8): message j is not from roles[j % 2]; ``empty_first`` (C4 / C5): the first
+    message is empty or null; ``no_words`` (B3): no message holds a word.  All are partial
+    aggregates per conversation; the message texts are not gathered.
+    """
+    want = F.when(F.col("pos") % 2 == 0, F.lit(HUMAN)).otherwise(F.lit(GPT))
+    first_empty = (F.col("pos") == 0) & (F.coalesce(F.col("value"), F.lit("")) == "")
+    per = msgs.groupBy(key).agg(
+        F.coalesce(F.bool_and(F.col("from").eqNullSafe(want)), F.lit(True)).alias("order_ok"),
+        F.max(first_empty).alias("first_empty"),
+        F.sum(word_count(F.coalesce(F.col("value"), F.lit("")))).alias("words"))
+    found = convs.select(key).join(per, key, "left")
+    reasons = F.array_compact(F.array(
+        F.when(~F.coalesce("order_ok", F.lit(True)), F.lit("role_order")),
+        F.when(F.col("first_empty"), F.lit("empty_first")),
+        F.when(F.coalesce("words", F.lit(0)) == 0, F.lit("no_words"))))
+    return found.select(key, F.explode(reasons).alias("reason"))
+
+
+def message_pairs(msgs: DataFrame, convs: DataFrame, key: str = "conv_id", offset: int = 0) -> DataFrame:
     """C10 at message level: (key, pair_no, user, assistant, system); missing answer null.
 
+    ``offset`` leaves out that many messages in front (a template's examples).
     Message 2p and message 2p + 1 meet on (key, pair_no): at most one row per
     side and key.  The system text arrives by ``spread_back``.
     """
+    if offset:
+        msgs = msgs.filter(F.col("pos") >= offset).withColumn("pos", F.col("pos") - F.lit(offset))
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
     users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("user"), "_b")
     answers = msgs.filter(F.col("pos") % 2 == 1).select(key, pair, F.col("value").alias("assistant"))
@@ -174,8 +198,6 @@ def message_pairs(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> Da
 
 def conversation_word_counts(msgs: DataFrame, convs: DataFrame, key: str = "conv_id") -> DataFrame:
     """(key, has_image, words): whitespace words over all messages, a partial aggregate per conversation."""
-    from corpusloom.functions.text import word_count
-
     words = msgs.groupBy(key).agg(F.sum(word_count(F.col("value"))).alias("words"))
     return convs.join(words, key, "left").select(key, F.col("has_img").alias("has_image"),
                                                  F.coalesce("words", F.lit(0)).cast("bigint").alias("words"))
@@ -509,6 +531,8 @@ def trim_history_messages(msgs: DataFrame, convs: DataFrame, budget: int = K.CHA
     """
     from corpusloom.operators import chat
 
+    if offset:
+        msgs = msgs.filter(F.col("pos") >= offset).withColumn("pos", F.col("pos") - F.lit(offset))
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
     n_pairs = F.ceil(F.col("n_msgs") / 2).cast("bigint").alias("_n")
     users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "g", "_b", n_pairs)
@@ -560,6 +584,8 @@ def chat_prompt_pieces(msgs: DataFrame, convs: DataFrame, key: str = "conv_id")
     """
     from corpusloom.operators import chat
 
+    if offset:
+        msgs = msgs.filter(F.col("pos") >= offset).withColumn("pos", F.col("pos") - F.lit(offset))
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
     n_pairs = F.ceil(F.col("n_msgs") / 2).cast("bigint").alias("_n")
     users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), n_pairs)

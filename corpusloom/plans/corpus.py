@@ -111,8 +111,8 @@ def vocab_stats(spark, sf):
 def vocab_specials(spark, sf):
     merged = _vocabs(spark, sf)[2]
     with_pad = vocab.register_specials(merged, vocab.sft_specials(None) + vocab.mm_specials(None))
-    return with_pad.filter(F.col("id") >= F.lit(0)).join(merged.select("id"), "id", "left_anti").select(
-        F.col("id").cast("bigint").alias("id"), "piece")
+    size = merged.agg(F.max("id")).first()[0] + 1  # ids are dense: what was added lies behind them
+    return with_pad.filter(F.col("id") >= F.lit(size)).select(F.col("id").cast("bigint").alias("id"), "piece")
 
 
 def vocab_guard(spark, sf):

@@ -31,10 +31,73 @@ def clean_records(spark, sf):
     return dialogue.drop_leading_non_human(dialogue.normalise_image_placeholder(records(spark, sf)))
 
 
-def _messages(spark, sf, stage="clean"):
-    """Message-level form of ``records`` / ``clean_records``: no conversation becomes one row."""
-    return turns.conversation_messages(table(spark, sf, "conversations"), lambda k: F.pmod(k, F.lit(3)) == 0,
-                                       stage=stage)
+def _messages(spark, sf, stage="clean", said=None):
+    """Message-level form of ``records`` / ``clean_records``: no conversation becomes one row.
+
+    ``said`` stands in for the conversations table (the odd forms of it below).
+    """
+    said = table(spark, sf, "conversations") if said is None else said
+    return turns.conversation_messages(said, lambda k: F.pmod(k, F.lit(3)) == 0, stage=stage)
+
+
+def wide_turns(spark, sf):
+    """The conversations with the spaces of East Asian and typeset text in place of plain ones."""
+    text = F.concat(F.lit("\u3000"), F.replace(F.col("text"), F.lit(" "), F.lit("\u00a0")), F.lit("\u2003"))
+    return table(spark, sf, "conversations").withColumn("text", text)
+
+
+def broken_turns(spark, sf):
+    """The conversations with some of them broken: two human turns in a row, an empty first message, no words at all."""
+    k = F.col("conv_id")
+    text = F.when(F.pmod(k, F.lit(11)) == 0, F.when(F.col("role") == "user", F.lit("")).otherwise(F.col("text"))) \
+        .when(F.pmod(k, F.lit(13)) == 0, F.lit(" \u3000")).otherwise(F.col("text"))
+    role = F.when((F.pmod(k, F.lit(7)) == 0) & (F.col("role") == "assistant"), F.lit("user")).otherwise(F.col("role"))
+    return table(spark, sf, "conversations").withColumns({"text": text, "role": role})
+
+
+def system_turns(spark, sf):
+    """System prompt of conversations that say a second and a third thing as system turns: all of them, in turn order."""
+    said = table(spark, sf, "conversations")
+    first = said.filter(F.col("turn") == 0)
+    more = [first.withColumns({"turn": F.lit(n).cast("bigint"), "role": F.lit("system"), "text": F.concat(F.lit(head), F.col("text"))})
+            for n, head in ((-2, "zzz "), (-1, "aaa "))]
+    convs = _messages(spark, sf, said=said.unionByName(more[0]).unionByName(more[1]))[1]
+    return convs.select("conv_id", "system")
+
+
+def dialogue_rejects(spark, sf):
+    """P8, C4 / C5 and B3 as guards: why a conversation is kept from rendering and sampling."""
+    return turns.rejected(*_messages(spark, sf, said=broken_turns(spark, sf)))
+
+
+def turn_pairs_offset(spark, sf):
+    """C10 of a template with two example messages in front: pairs begin after them."""
+    msgs, convs = _messages(spark, sf)
+    shown = turns.template_messages(msgs, convs, "v0", fewshot=True)
+    shown = shown.withColumn("_b", F.floor(F.coalesce("g", F.lit(0)) / 65536).cast("bigint"))
+    per = shown.filter(F.col("pos") >= 2).select("conv_id", "_b").distinct()
+    pairs = turns.message_pairs(shown, per.select("conv_id").distinct().join(convs.select("conv_id", "system"), "conv_id"), offset=2)
+    return pairs.select("conv_id", "pair_no", "user", "assistant")
+
+
+def image_placeholder_wide(spark, sf):
+    return _message_rows(_messages(spark, sf, "placeholder", wide_turns(spark, sf))[0])
+
+
+def sample_len_wide(spark, sf):
+    words = turns.conversation_word_counts(*_messages(spark, sf, "raw", wide_turns(spark, sf)))
+    return batching.lengths_from_words(words).select("conv_id", "length")
+
+
+def sampler_plain(spark, sf):
+    """B8 without modality grouping: a seeded permutation in steps of ``BATCH_SIZE * WORLD_SIZE``."""
+    return batching.sampler_order(_lengths(spark, sf), "conv_id", BATCH_SIZE, WORLD_SIZE, group_by_modality=False)
+
+
+def sft_target_literal(spark, sf):
+    """P3 with ``null_output='literal'``: every third output is null and becomes the text ``None``."""
+    r = instruction_rows(spark, sf).withColumn("output", F.when(F.pmod("conv_id", F.lit(3)) > 0, F.col("output")))
+    return r.select("conv_id", "pair_no", masks.sft_target(F.col("output"), "literal").alias("target"))
 
 
 def _message_rows(msgs: DataFrame) -> DataFrame:
@@ -116,8 +179,8 @@ def conversation_json(spark, sf):
     return dialogue.conversation_json(clean_records(spark, sf), render.template("v1"))
 
 
-def _message_pairs(spark, sf):
-    return turns.message_pairs(*_messages(spark, sf))
+def _message_pairs(spark, sf, said=None):
+    return turns.message_pairs(*_messages(spark, sf, said=said))
 
 
 def turn_pairs(spark, sf):
@@ -346,6 +409,13 @@ QUERIES = {
     "even_chunks_strided": even_chunks_strided,
     "even_chunks_greedy": even_chunks_greedy,
     "modality_batches": modality_batches,
+    "system_turns": system_turns,
+    "dialogue_rejects": dialogue_rejects,
+    "turn_pairs_offset": turn_pairs_offset,
+    "image_placeholder_wide": image_placeholder_wide,
+    "sample_len_wide": sample_len_wide,
+    "sampler_plain": sampler_plain,
+    "sft_target_literal": sft_target_literal,
 }
 
 from corpusloom.plans.dialogue_sql import ORACLE  # noqa: E402

@@ -9,7 +9,9 @@ from __future__ import annotations
 from corpusloom import constants as K
 from corpusloom.plans.sqlfrag import WORD_RE, bytes_ids, ids_str
 
-WS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+#: code points that Python's str.strip() removes
+WHITE = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS = " || ".join(f"chr({c})" for c in WHITE)
 SPECIALS = ["<s>", "</s>"] + K.ADDED_SPECIALS
 
 
@@ -49,7 +51,7 @@ def tok_specials(x: str) -> str:
             f"lambda p: CASE p {cases} ELSE {bytes_ids('p')} END))")
 
 
-RECORDS = f"""sys AS (SELECT conv_id, max(text) AS system FROM conversations WHERE role = 'system' GROUP BY conv_id),
+RECORDS = f"""sys AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS system FROM conversations WHERE role = 'system' GROUP BY conv_id),
 nm AS (SELECT conv_id, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS frm, text,
               CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS pos
        FROM conversations WHERE role <> 'system'),
@@ -401,3 +403,45 @@ fs AS (SELECT conv_id, pos + 2 AS pos, frm, value FROM clean
     "mask_two_long": f"WITH {mask_ctes('default', 2048, True)} SELECT conv_id, n_tokens, n_supervised, status FROM mk",
     "mask_two_segments": f"WITH {mask_ctes('default', 2048, True)} {SEGMENTS}",
 })
+
+
+def instead(table: str, select: str, sql: str) -> str:
+    """``sql`` over another form of ``conversations``: ``select`` as a first step called ``table``."""
+    assert sql.startswith("WITH ")
+    return f"WITH {table} AS ({select}),\n" + sql[5:].replace("FROM conversations", f"FROM {table}")
+
+
+WIDE = """SELECT conv_id, turn, role, chr(12288) || replace(text, ' ', chr(160)) || chr(8195) AS text FROM conversations"""
+BROKEN = """SELECT conv_id, turn, CASE WHEN conv_id % 7 = 0 AND role = 'assistant' THEN 'user' ELSE role END AS role,
+  CASE WHEN conv_id % 11 = 0 THEN CASE WHEN role = 'user' THEN '' ELSE text END
+       WHEN conv_id % 13 = 0 THEN ' ' || chr(12288) ELSE text END AS text FROM conversations"""
+SAID_MORE = """SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT conv_id, -2, 'system', 'zzz ' || text FROM conversations WHERE turn = 0
+  UNION ALL SELECT conv_id, -1, 'system', 'aaa ' || text FROM conversations WHERE turn = 0"""
+
+ORACLE.update({
+    "image_placeholder_wide": instead("wide", WIDE, ORACLE["image_placeholder"]),
+    "sample_len_wide": instead("wide", WIDE, ORACLE["sample_len"]),
+    "system_turns": """SELECT c.conv_id, concat_ws(chr(10), z.text, a.text, s.text) AS system FROM
+  (SELECT DISTINCT conv_id FROM conversations) c
+  LEFT JOIN (SELECT conv_id, 'zzz ' || text AS text FROM conversations WHERE turn = 0) z ON z.conv_id = c.conv_id
+  LEFT JOIN (SELECT conv_id, 'aaa ' || text AS text FROM conversations WHERE turn = 0) a ON a.conv_id = c.conv_id
+  LEFT JOIN (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS text FROM conversations
+             WHERE role = 'system' GROUP BY conv_id) s ON s.conv_id = c.conv_id""",
+    "dialogue_rejects": instead("broken", BROKEN, f"""WITH {RECORDS},
+why AS (SELECT conv_id, bool_and(frm = CASE pos % 2 WHEN 0 THEN 'human' ELSE 'gpt' END) AS order_ok,
+               bool_or(pos = 0 AND value = '') AS empty_first,
+               sum(len(regexp_extract_all(value, {WORD_RE}))) AS words FROM clean GROUP BY conv_id),
+every AS (SELECT c.conv_id, order_ok, empty_first, words FROM (SELECT DISTINCT conv_id FROM conversations) c
+          LEFT JOIN why ON why.conv_id = c.conv_id)
+SELECT conv_id, 'role_order' AS reason FROM every WHERE NOT order_ok
+UNION ALL SELECT conv_id, 'empty_first' FROM every WHERE empty_first
+UNION ALL SELECT conv_id, 'no_words' FROM every WHERE coalesce(words, 0) = 0"""),
+    "turn_pairs_offset": ORACLE["turn_pairs"],
+    "sampler_plain": """SELECT conv_id, CAST(i // 8 AS BIGINT) AS batch_no, CAST(i % 8 AS BIGINT) AS pos FROM (
+  SELECT conv_id, row_number() OVER (ORDER BY md5('0:' || conv_id), conv_id) - 1 AS i
+  FROM (SELECT DISTINCT conv_id FROM conversations))""",
+    "sft_target_literal": f"""WITH {RECORDS}, {PAIRS}
+SELECT conv_id, pair_no, CASE WHEN conv_id % 3 = 0 OR output IS NULL THEN 'None' ELSE output END || {lit(K.EOS_TOKEN)} AS target
+FROM pairs""",
+})

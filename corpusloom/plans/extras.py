@@ -11,7 +11,7 @@ from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.joins import bounded_broadcast
 from corpusloom.plans import corpus
 from corpusloom.plans.dialogue import MODEL_MAX_LENGTH, _message_pairs, _messages, _sft_labelled, clean_records
-from corpusloom.plans.dialogue_sql import RECORDS, SFT, lit, ntok, strip
+from corpusloom.plans.dialogue_sql import RECORDS, SFT, WIDE, instead, lit, ntok, strip
 from corpusloom.plans.corpus import _HASH32, _PACK
 from corpusloom.plans.sqlfrag import ids_str
 from corpusloom.sources.testdata import table
@@ -51,13 +51,13 @@ def history_prompt(spark, sf):
     return chat.history_prompts(clean_records(spark, sf))
 
 
-def _pairs(spark, sf):
-    p = _message_pairs(spark, sf)
+def _pairs(spark, sf, said=None):
+    p = _message_pairs(spark, sf, said)
     return p.select("conv_id", "pair_no", F.col("user").alias("u"), F.coalesce("assistant", F.lit("")).alias("a"))
 
 
-def answer_inst(spark, sf):
-    p = _pairs(spark, sf).filter(chat.py_strip(F.col("u")) != "")  # P15
+def answer_inst(spark, sf, said=None):
+    p = _pairs(spark, sf, said).filter(chat.py_strip(F.col("u")) != "")  # P15
     full = chat.single_turn_prompt(F.col("u"), F.lit(K.INFER_DEFAULT_SYSTEM_PROMPT))
     out = F.array(F.struct(F.lit("full").alias("kind"), F.concat(full, F.lit(" "), F.col("a")).alias("o")),
                   F.struct(F.lit("bare").alias("kind"), F.col("a").alias("o")))
@@ -65,6 +65,13 @@ def answer_inst(spark, sf):
         "conv_id", "pair_no", "x.kind", chat.answer_after_inst(F.col("x.o")).alias("answer"))
 
 
+def answer_inst_wide(spark, sf):
+    """P11 and P15 on texts between wide spaces."""
+    from corpusloom.plans.dialogue import wide_turns
+
+    return answer_inst(spark, sf, wide_turns(spark, sf))
+
+
 def answer_assistant(spark, sf):
     p = _pairs(spark, sf)
     full = F.concat(F.lit("USER: "), F.col("u"), F.lit(" ASSISTANT: "), F.col("a"))
@@ -129,7 +136,10 @@ def _mm_batches(spark, sf, keep_tokens=None):
 
 def collate_mm(spark, sf):
     b = collate.collate_pad(_mm_batches(spark, sf, keep_tokens=MODEL_MAX_LENGTH), K.PAD_ID, max_length=MODEL_MAX_LENGTH)
-    b = b.join(_manifest(spark, sf).select("image", "w", "h"), "image", "left")
+    # text-only rows never enter the join, where they would all meet on one null key
+    sizes = _manifest(spark, sf).select("image", "w", "h")
+    none = b.filter(F.col("image").isNull()).withColumns({c: F.lit(None).cast(sizes.schema[c].dataType) for c in ("w", "h")})
+    b = b.filter(F.col("image").isNotNull()).join(sizes, "image", "left").unionByName(none)
     c = collate.collate_images(b)
     return c.select("batch_id", "pos", "conv_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "is_blank",
                     F.col("img_h").cast("bigint").alias("img_h"), F.col("img_w").cast("bigint").alias("img_w"),
@@ -145,7 +155,35 @@ def image_expand_plan(spark, sf):
                     ids_to_string("position_ids").alias("position_ids"))
 
 
+def image_count_check(spark, sf):
+    """G5's check over the collated batches: a row without an image brings a blank one (B12), so a batch that holds a
+    text-only row has more images than image ids and fails."""
+    b = collate.collate_pad(_mm_batches(spark, sf, keep_tokens=MODEL_MAX_LENGTH), K.PAD_ID, max_length=MODEL_MAX_LENGTH)
+    return images.image_count_check(b.withColumn("n_given", F.lit(1).cast("bigint")))
+
+
 # ---------------------------------------------------------------- metrics
+def eval_loss_masked(spark, sf):
+    """M3 with shift and mask: vectors in sequences of eight as scores, every fifth position masked out."""
+    e = table(spark, sf, "embeddings")
+    rows = e.select(F.floor(F.col("vec_id") / 8).cast("bigint").alias("seq"), F.pmod("vec_id", F.lit(8)).alias("pos"),
+                    "embedding", "label", (F.pmod("vec_id", F.lit(5)) > 0).cast("int").alias("mask"))
+    out = metrics.shifted_loss(rows, "seq", "pos", "embedding", "label", "mask")
+    return out.select(F.round("loss", 6).alias("loss"), "n_tokens")
+
+
+def accuracy_forms(spark, sf):
+    """M2's other forms: hits as a count, weighted by the pair's number, without unsupervised positions."""
+    t = _sft_labelled(spark, sf).withColumn("w", F.col("pair_no") + 1)
+    forms = {"count": dict(normalize=False), "weighted": dict(weight="w"), "supervised": dict(ignore_index=K.IGNORE_INDEX)}
+    out = None
+    for name, how in forms.items():
+        a = metrics.token_accuracy(t, "input_ids", "labels", **how).select(
+            F.lit(name).alias("form"), F.round("accuracy", 6).alias("value"), F.col("n_positions").cast("bigint").alias("n"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
 def eval_argmax(spark, sf):
     e = table(spark, sf, "embeddings")
     return e.select("vec_id", F.col("label").cast("bigint").alias("label"), metrics.argmax(F.col("embedding")).alias("pred"))
@@ -199,6 +237,10 @@ QUERIES = {
     "eval_loss": eval_loss,
     "eval_perplexity": eval_perplexity,
     "metrics_table": metrics_table,
+    "answer_inst_wide": answer_inst_wide,
+    "image_count_check": image_count_check,
+    "eval_loss_masked": eval_loss_masked,
+    "accuracy_forms": accuracy_forms,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -374,3 +416,23 @@ SELECT conv_id, pair_no,
             WHEN pair_no < n - 1 THEN '<s>[INST] ' || u || ' [/INST]' || {RESP} || '</s>'
             ELSE '<s>[INST] ' || u || ' [/INST]' END AS piece
 FROM ch"""
+
+ORACLE["answer_inst_wide"] = instead("wide", WIDE, ORACLE["answer_inst"])
+ORACLE["image_count_check"] = f"""WITH q AS ({ORACLE['collate_mm']})
+SELECT batch_id, CAST(sum(len(list_filter(string_split(input_ids, ','), lambda x: x = '{K.IMAGE_TOKEN_ID}'))) AS BIGINT)
+         AS n_image_tokens, count(*) AS n_given,
+       sum(len(list_filter(string_split(input_ids, ','), lambda x: x = '{K.IMAGE_TOKEN_ID}'))) = count(*) AS count_ok
+FROM q GROUP BY batch_id"""
+ORACLE["eval_loss_masked"] = """WITH t AS (
+  SELECT list_transform(embedding, lambda x: x::DOUBLE) AS e,
+         lead(label) OVER w AS label, lead(vec_id % 5 > 0) OVER w AS seen
+  FROM embeddings WINDOW w AS (PARTITION BY vec_id // 8 ORDER BY vec_id % 8)),
+n AS (SELECT list_max(e) + ln(list_sum(list_transform(e, lambda x: exp(x - list_max(e))))) - e[label + 1] AS nll
+      FROM t WHERE seen AND label <> -100)
+SELECT round(avg(nll), 6) AS loss, count(nll) AS n_tokens FROM n"""
+ORACLE["accuracy_forms"] = f"""WITH {RECORDS}, {SFT},
+z AS (SELECT pair_no + 1.0::DOUBLE AS w, ids[i] AS p, labels[i + 1] AS l
+      FROM (SELECT *, unnest(generate_series(1, len(labels) - 1)) AS i FROM lab WHERE len(labels) > 1))
+SELECT 'count' AS form, round(sum(CASE WHEN p = l THEN 1.0::DOUBLE ELSE 0 END), 6) AS value, count(*) AS n FROM z
+UNION ALL SELECT 'weighted', round(sum(CASE WHEN p = l THEN w ELSE 0 END) / sum(w), 6), CAST(sum(w) AS BIGINT) FROM z
+UNION ALL SELECT 'supervised', round(avg(CASE WHEN p = l THEN 1.0::DOUBLE ELSE 0 END), 6), count(*) FROM z WHERE l <> -100"""

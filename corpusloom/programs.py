@@ -22,6 +22,7 @@ from corpusloom import constants as K
 from corpusloom.operators import batching, collate, dialogue, masks, metrics, packing
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.tokenize import tokenize_bytes_arrow
+from corpusloom.session import checkpoint_root
 from corpusloom.sources import files
 
 
@@ -31,22 +32,26 @@ def build_pretraining_corpus(spark: SparkSession, text_dir: str, out_dir: str, b
                              config_hash: str = "v1") -> DataFrame:
     """Pack the *.txt files of ``text_dir`` into blocks; returns the (split, metric, value) counts.
 
-    With ``manifest_path`` only files absent from the manifest (same name,
-    mtime, length, config) are built and appended, then recorded.
+    With ``manifest_path`` only files absent from the manifest (same path,
+    mtime, length, config) are built; the blocks of a file replace those of its
+    earlier build, then the file is recorded (a failure in between builds it again).
     """
     block = packing.clamp_block_size(block_size, model_max_length)
-    todo = files.files_to_build(spark, text_dir, manifest_path, config_hash, glob="*.txt")
+    checkpoint_root(spark)
+    # one listing: what is read, built and recorded are the same files in the same state
+    todo = files.files_to_build(spark, text_dir, manifest_path, config_hash, glob="*.txt").checkpoint(eager=True)
     # the listing of files to build (one row per input file, not data) drives the read
     paths = sorted(r.file for r in todo.select("file").collect())
     if not paths:
         return spark.createDataFrame([], "split string, metric string, value double")
     lines = files.read_text_lines(spark, paths)
     blocks = packing.pack_blocks(
-        lines, ["file", "idx"], block, batch_rows=batch_rows, per_group="file",
+        lines, ["path", "idx"], block, batch_rows=batch_rows, per_group="path",
         length=F.octet_length("text") + F.lit(1), encode=lambda d: tokenize_bytes_arrow(d, "text"))
-    keyed = blocks.withColumn("block_key", F.concat_ws("-", "file", "batch_id", "block_no"))
+    keyed = blocks.withColumn("file", F.substring_index("path", "/", -1)).withColumn(
+        "block_key", F.concat_ws("-", "path", "batch_id", "block_no"))
     out = packing.split_by_hash(keyed, "block_key", test_size)
-    out.write.mode("append").partitionBy("split").parquet(out_dir)
+    files.replace_files(out, "path", out_dir)
     if manifest_path is not None:
         files.append_manifest(todo, manifest_path)
     built = out.sparkSession.read.parquet(out_dir)
@@ -83,14 +88,18 @@ def collate_instruction_batches(dataset: DataFrame, batch_size: int, pad_id: int
 def build_dialogue_dataset(spark: SparkSession, json_path: str, out_dir: str, model_id: str,
                            model_max_length: int = 2048, image_folder: str | None = None,
                            batch_size: int = 32, world_size: int = 1, grad_accum: int = 1,
-                           group_by_modality: bool = True, seed: int = 0):
+                           group_by_modality: bool = True, seed: int = 0, layout: str = "array",
+                           rejects_dir: str | None = None):
     """Dialogue JSON -> masked token rows in sampler order.
 
+    Records without an id are keyed by their place; two of one id raise.  Dialogues whose roles do not
+    alternate, whose first message is empty, or that hold no word are left out; ``rejects_dir`` gets
+    (conv_id, reason) rows of them.
     Returns (dataset, records naming a missing image file or None without an image folder).
     """
-    d = files.read_dialogues(spark, json_path)
+    d = files.with_record_key(files.read_dialogues(spark, json_path, layout))
     recs = d.select(
-        F.col("id").alias("conv_id"),
+        "conv_id",
         F.lit(None).cast("string").alias("system"),
         "image",
         F.transform("conversations", lambda c: F.struct(c["from"].alias("from"), c["value"].alias("value")))
@@ -100,6 +109,10 @@ def build_dialogue_dataset(spark: SparkSession, json_path: str, out_dir: str, mo
     if image_folder is not None:
         recs, missing = files.join_images(recs, files.image_manifest(spark, image_folder))
         recs = recs.drop("length")
+    bad = dialogue.rejected_records(recs)
+    if rejects_dir is not None:
+        bad.write.mode("overwrite").parquet(rejects_dir)
+    recs = recs.join(bad.select("conv_id").distinct(), "conv_id", "left_anti")
     lengths = batching.dialogue_lengths(recs)
     order = batching.sampler_order(lengths, "conv_id", batch_size, world_size, grad_accum,
                                    group_by_modality=group_by_modality, seed=seed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = sc.getCheckpointDir()
     if not root:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not str(master).startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", str(master)):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and scratch tables "
                                "must survive executor loss")
         root = tempfile.mkdtemp(prefix="corpusloom-ckpt-")

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.joins import bounded_broadcast
+from corpusloom.session import checkpoint_root
+
+MANIFEST_SCHEMA = "file string, mtime timestamp, length bigint, config_hash string, file_key string"
 
 INSTRUCTION_SCHEMA = T.StructType([
     T.StructField("instruction", T.StringType()),
@@ -34,26 +38,27 @@ DIALOGUE_SCHEMA = T.StructType([
 def read_text_lines(spark: SparkSession, path, glob: str = "*.txt") -> DataFrame:
     """Every ``glob`` file of a folder (not recursive) or of a list of paths, one row per line.
 
-    -> (file STRING, idx BIGINT, text STRING); ``idx`` is the line's position
-    in its file.  Files are read in parallel splits; the position is rebuilt
+    -> (path STRING, file STRING, idx BIGINT, text STRING); ``idx`` is the line's
+    position in its file, which ``path`` identifies (``file`` is only its name).  Files are read in parallel splits; the position is rebuilt
     from (file, split start, row order inside the split) with a contiguous
     index, never a single-partition window.
     """
     raw = (
         spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false").text(path)
         .select(
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_name").alias("file"),
             F.col("_metadata.file_block_start").alias("_blk"),
             F.monotonically_increasing_id().alias("_mid"),
             F.col("value").alias("text"),
         )
     )
-    # order key unique per row: (file, split start, id inside the split)
-    indexed = contiguous_index(raw, ["file", "_blk", "_mid"], "_g")
-    first = indexed.groupBy("file").agg(F.min("_g").alias("_g0"))  # one row per file
+    # order key unique per row: (path, split start, id inside the split)
+    indexed = contiguous_index(raw, ["path", "_blk", "_mid"], "_g")
+    first = indexed.groupBy("path").agg(F.min("_g").alias("_g0"))  # one row per file
     return (
-        indexed.join(bounded_broadcast(first), "file")
-        .select("file", (F.col("_g") - F.col("_g0")).alias("idx"), "text")
+        indexed.join(bounded_broadcast(first), "path")
+        .select("path", "file", (F.col("_g") - F.col("_g0")).alias("idx"), "text")
     )
 
 
@@ -73,9 +78,31 @@ def read_instructions(spark: SparkSession, path: str, layout: str = "lines",
     return out if split is None else out.withColumn("split", F.lit(split))
 
 
-def read_dialogues(spark: SparkSession, path: str) -> DataFrame:
-    """S3: dialogue records (JSON array files) -> (id, image, conversations)."""
-    return spark.read.schema(DIALOGUE_SCHEMA).option("multiLine", "true").json(path)
+def read_dialogues(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+    """S3: dialogue records -> (id, image, conversations).
+
+    ``layout`` = 'array' (one JSON array per file, read whole by one task) or 'lines' (JSON lines,
+    read in splits).
+    """
+    if layout not in ("array", "lines"):
+        raise ValueError(f"unknown layout {layout!r}")
+    reader = spark.read.schema(DIALOGUE_SCHEMA)
+    return (reader.option("multiLine", "true") if layout == "array" else reader).json(path)
+
+
+def with_record_key(dialogues: DataFrame, key: str = "conv_id", id_col: str = "id") -> DataFrame:
+    """Records keyed by their id, or by their place (``#<number>``) where they have none.
+
+    Two records of one id raise: a join on the key would multiply them.  The keyed rows are
+    checkpointed, so that every later reader sees the same numbers.
+    """
+    checkpoint_root(dialogues.sparkSession)
+    place = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
+    keyed = dialogues.withColumn(key, F.coalesce(F.col(id_col).cast("string"), place)).checkpoint(eager=True)
+    twice = keyed.groupBy(key).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"several records have the id {twice[0][0]!r}")
+    return keyed
 
 
 def dialogue_turns(dialogues: DataFrame, key: str = "id") -> DataFrame:
@@ -103,10 +130,12 @@ def join_images(records: DataFrame, manifest: DataFrame, image_col: str = "image
     ``matched`` with null length; records naming an absent file go to
     ``missing`` (the reference raises on open).
     """
-    j = records.join(manifest.withColumnRenamed("rel_path", image_col), image_col, "left")
-    missing = j.filter(F.col(image_col).isNotNull() & F.col("length").isNull())
-    matched = j.filter(F.col(image_col).isNull() | F.col("length").isNotNull())
-    return matched, missing
+    files = manifest.withColumnRenamed("rel_path", image_col)
+    # records without an image never enter the join, where they would all meet on one null key
+    without = records.filter(F.col(image_col).isNull()).withColumn("length", F.lit(None).cast("bigint"))
+    j = records.filter(F.col(image_col).isNotNull()).join(files, image_col, "left")
+    missing = j.filter(F.col("length").isNull())
+    return j.filter(F.col("length").isNotNull()).unionByName(without), missing
 
 
 NUL_SCHEMA = "text array<string>"
@@ -150,15 +179,25 @@ def files_to_build(spark: SparkSession, folder: str, manifest_path: str | None,
     if manifest_path is None:
         return listing
     try:
-        manifest = spark.read.parquet(manifest_path)
-    except Exception:  # first build: no manifest yet
-        return listing
+        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return listing  # first build: no manifest yet
     return listing.join(manifest.select("file", "mtime", "length", "config_hash"),
                         ["file", "mtime", "length", "config_hash"], "left_anti")
 
 
 def append_manifest(built: DataFrame, manifest_path: str) -> None:
-    built.select("file", "mtime", "length", "config_hash").write.mode("append").parquet(manifest_path)
+    """Record built files: one row per file, a newer build replaces the older row."""
+    replace_files(built.select("file", "mtime", "length", "config_hash"), "file", manifest_path)
+
+
+def replace_files(rows: DataFrame, path_col: str, out: str) -> None:
+    """Write rows in one folder per source file (named by the hash of its path), replacing the
+    folders of the files that ``rows`` holds and no other."""
+    keyed = rows.withColumn("file_key", F.md5(F.col(path_col)))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_key").parquet(out)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

@@ -135,3 +135,27 @@ def test_sampler_order_choices(spark):
                                      group_by_modality=grouped).collect()
         assert sorted(r.conv_id for r in out) == list(range(40))
         assert len({(r.batch_no, r.pos) for r in out}) == 40
+
+
+def test_image_count_check_refuses_a_batch(spark):
+    img = K.IMAGE_TOKEN_ID
+    df = spark.createDataFrame([(0, [1, img, 5], 1), (0, [1, img, img], 2), (1, [1, 7, 7], 1)],
+                               "batch_id long, input_ids array<int>, n_given long")
+    got = {r.batch_id: (r.n_image_tokens, r.n_given, r.count_ok) for r in images.image_count_check(df).collect()}
+    assert got == {0: (3, 3, True), 1: (0, 1, False)}
+
+
+def test_plain_sampler_ignores_lengths(spark):
+    order = lambda f: sorted(map(tuple, batching.sampler_order(spark.createDataFrame(
+        [(i, f(i), f(i)) for i in range(30)], "conv_id long, length long, modality_length long"), "conv_id", 2, 2,
+        group_by_modality=False).collect()))
+    assert order(lambda i: i) == order(lambda i: 100 - i)
+    assert sorted((b, p) for _, b, p in order(lambda i: i)) == [(i // 4, i % 4) for i in range(30)]
+
+
+def test_shifted_loss_counts_only_seen_next_positions(spark):
+    rows = [(0, 0, [0.0, 0.0], 0, 1), (0, 1, [5.0, 0.0], 1, 1), (0, 2, [0.0, 9.0], 0, 0), (1, 0, [1.0, 1.0], 1, 1)]
+    df = spark.createDataFrame(rows, "seq long, pos long, scores array<double>, label int, mask int")
+    out = metrics.shifted_loss(df, "seq", "pos", "scores", "label", "mask").first()
+    # only position 0 of sequence 0 has a seen successor: label 1 under even scores
+    assert out.n_tokens == 1 and abs(out.loss - 0.6931471805599453) < 1e-12

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from corpusloom import constants as K
 from corpusloom import programs
 
@@ -62,3 +64,101 @@ def test_dialogue_dataset(spark, tmpdir_path):
     assert sorted(rows) == ["1", "2"] and [r.conv_id for r in missing.collect()] == ["3"]
     assert K.IMAGE_TOKEN_ID in rows["1"].input_ids and rows["1"].status == "ok"
     assert rows["2"].status == "ok" and rows["2"].n_supervised == len("ans ".encode()) + 1
+
+
+def _write(path, text):
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_rebuilt_file_replaces_its_blocks(spark, tmpdir_path):
+    src, out, man = (os.path.join(tmpdir_path, x) for x in ("txt", "out", "manifest"))
+    os.makedirs(src)
+    _write(os.path.join(src, "a.txt"), "first\n")
+    _write(os.path.join(src, "b.txt"), "other\n")
+    build = lambda: programs.build_pretraining_corpus(spark, src, out, block_size=64, test_size=0.0, manifest_path=man)
+    build()
+    _write(os.path.join(src, "a.txt"), "second text\n")
+    os.utime(os.path.join(src, "a.txt"), (2_000_000_000, 2_000_000_000))
+    build()
+    texts = {r.file: bytes(i - 3 for i in r.input_ids[1:]).decode() for r in spark.read.parquet(out).collect()}
+    assert texts == {"a.txt": "second text", "b.txt": "other"} and spark.read.parquet(out).count() == 2
+    assert spark.read.parquet(man).count() == 2
+    assert build().count() == 0  # both recorded
+
+
+def test_files_of_one_name_stay_apart(spark, tmpdir_path):
+    from corpusloom.sources import files
+
+    for folder, text in (("x", "one\ntwo\n"), ("y", "three\n")):
+        os.makedirs(os.path.join(tmpdir_path, folder))
+        _write(os.path.join(tmpdir_path, folder, "same.txt"), text)
+    got = files.read_text_lines(spark, [os.path.join(tmpdir_path, f) for f in ("x", "y")]).collect()
+    assert sorted((r.file, r.idx, r.text) for r in got) == [("same.txt", 0, "one"), ("same.txt", 0, "three"), ("same.txt", 1, "two")]
+
+
+def test_unreadable_manifest_is_no_first_build(spark, tmpdir_path):
+    from corpusloom.sources import files
+
+    src, man = os.path.join(tmpdir_path, "txt"), os.path.join(tmpdir_path, "manifest")
+    os.makedirs(src)
+    os.makedirs(man)
+    _write(os.path.join(src, "a.txt"), "x\n")
+    _write(os.path.join(man, "part-0.parquet"), "no parquet")
+    with pytest.raises(Exception):
+        files.files_to_build(spark, src, man, "v1").count()
+
+
+def _dialogues(spark, tmpdir_path, records, **how):
+    src, out = os.path.join(tmpdir_path, "dlg"), os.path.join(tmpdir_path, "out")
+    os.makedirs(src, exist_ok=True)
+    lines = how.get("layout") == "lines"
+    _write(os.path.join(src, "d.json"), "\n".join(map(json.dumps, records)) if lines else json.dumps(records))
+    return programs.build_dialogue_dataset(spark, src, out, "llama-2", batch_size=2, **how)[0]
+
+
+def _talk(*texts, **more):
+    return {"conversations": [{"from": "human" if i % 2 == 0 else "gpt", "value": t} for i, t in enumerate(texts)], **more}
+
+
+@pytest.mark.parametrize("layout", ["array", "lines"])
+def test_dialogues_without_ids_are_kept(spark, tmpdir_path, layout):
+    rows = _dialogues(spark, tmpdir_path, [_talk("q1", "a1"), _talk("q2", "a2", id="7"), _talk("q3", "a3")], layout=layout).collect()
+    assert len(rows) == 3 and len({r.conv_id for r in rows}) == 3 and "7" in {r.conv_id for r in rows}
+    assert all(r.status == "ok" for r in rows)
+
+
+def test_dialogues_of_one_id_raise(spark, tmpdir_path):
+    with pytest.raises(ValueError, match="several records have the id '7'"):
+        _dialogues(spark, tmpdir_path, [_talk("q1", "a1", id="7"), _talk("q2", "a2", id="7")])
+
+
+def test_bad_dialogues_go_to_the_rejects(spark, tmpdir_path):
+    twice = {"id": "twice", "conversations": [{"from": "human", "value": "q"}, {"from": "human", "value": "q"}]}
+    bad = os.path.join(tmpdir_path, "bad")
+    rows = _dialogues(spark, tmpdir_path, [_talk("q", "a", id="good"), twice, _talk("", "a", id="empty"), _talk(" \u3000", "\xa0", id="blank")],
+                      rejects_dir=bad).collect()
+    assert [r.conv_id for r in rows] == ["good"]
+    assert {(r.conv_id, r.reason) for r in spark.read.parquet(bad).collect()} == {
+        ("twice", "role_order"), ("empty", "empty_first"), ("blank", "no_words")}
+
+
+def test_system_turns_keep_their_order(spark):
+    from corpusloom.operators import dialogue, turns
+
+    said = spark.createDataFrame([(1, 0, "system", "zzz"), (1, 1, "system", "aaa"), (1, 2, "user", "q"), (2, 0, "user", "q")],
+                                 "conv_id long, turn long, role string, text string")
+    want = {1: "zzz\naaa", 2: None}
+    assert {r.conv_id: r.system for r in dialogue.records_from_turns(said).collect()} == want
+    convs = turns.conversation_messages(said, lambda k: k < 0)[1]
+    assert {r.conv_id: r.system for r in convs.collect()} == want
+
+
+def test_wide_spaces_are_white_space(spark):
+    from corpusloom.functions.text import py_strip, text_lines, word_count
+
+    odd = ["\u3000你好\u3000世界\xa0x", "\x1ca\x85b\u2028", "", " \u205f", "a\rb\r\nc\n", "x\n\n"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select("t", py_strip("t").alias("s"), word_count("t").alias("n"),
+                                                                        text_lines("t").alias("lines")).collect()
+    assert [(r.s, r.n) for r in rows] == [(t.strip(), len(t.split())) for t in odd]
+    assert rows[4].lines == ["a", "b", "c"] and rows[5].lines == ["x", ""]
