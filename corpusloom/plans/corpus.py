@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import decode_bytes, ids_to_string
 from corpusloom.operators import packing, vocab
+from corpusloom.operators.index import nested_index
 from corpusloom.operators.tokenize import detokenize_words, tokenize_bytes_arrow, tokenize_words
 from corpusloom.plans import sqlfrag as Q
 from corpusloom.plans.inputs import bench_lines, doc_lines
@@ -78,11 +79,15 @@ def split_exact(spark, sf):
 
 def preview(spark, sf):
     """First train block decoded (the reference logs row 0 of the train split)."""
-    blocks = _blocks(spark, sf)
-    keyed = blocks.withColumn("block_key", F.concat_ws("-", "batch_id", "block_no"))
-    train = packing.split_by_hash(keyed, "block_key").filter(F.col("split") == "train")
-    first = train.orderBy("batch_id", "block_no").limit(1)
-    return first.select("batch_id", "block_no", decode_bytes(F.col("input_ids")).alias("text"))
+    train = packing.split_by_hash(_block_keys(spark, sf), "block_key").filter(F.col("split") == "train")
+    key = train.select("batch_id", "block_no").orderBy("batch_id", "block_no").first()
+    batch, block = (key.batch_id, key.block_no) if key else (-1, -1)
+    # only the lines of that block's batch are tokenized and packed
+    lines = nested_index(doc_lines(spark, sf), *ORDER, "_at").filter(F.floor(F.col("_at") / BATCH_ROWS) == batch).drop("_at")
+    blocks = packing.pack_blocks(lines, ORDER, BLOCK_SIZE, batch_rows=BATCH_ROWS, length=_line_tokens(),
+                                 encode=lambda d: tokenize_bytes_arrow(d, "line"))
+    return blocks.filter(F.col("block_no") == block).select(
+        F.lit(batch).cast("bigint").alias("batch_id"), "block_no", decode_bytes(F.col("input_ids")).alias("text"))
 
 
 def concat_sources(spark, sf):
