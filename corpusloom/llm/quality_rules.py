@@ -14,13 +14,18 @@ WORD = r"[^\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 ROUNDS = 12
-START = 0.8  # rules and documents are first held to be right and good this often
+#: What is held before any vote is counted: the share of good documents, how often a rule is right on good ones, and on
+#: bad ones (low: a bad document has one fault, which only some of the rules look for).
+GOOD, HIT, MISS = 0.8, 0.97, 0.4
+#: The weight that this keeps against a rule's votes: without it the fit turns to whatever votes hang together most (one
+#: kind of fault) and calls all other faults good.
+WEIGHT = 0.2
 
 #: name, value, bad when, good when: (low, high) means outside low..high is bad; one number means above is bad.
 #: Fixed thresholds; between bad and good a rule abstains.
 RULES = (
-    ("length", "n_words", ("<", 50), (">=", 80)),
     ("symbols", "n_symbols / n_words", (">", 0.1), ("<=", 0.02)),
+    ("symbol_share", "n_symbols / word_chars", (">", 0.03), ("<=", 0.005)),
     ("repeated_words", "n_repeat_words / n_words", (">", 0.3), ("<=", 0.1)),
     ("repeated_lines", "n_dup_lines / n_lines", (">", 0.3), ("<=", 0.0)),
     ("word_length", "abs(word_chars / n_words - 6.0)", (">", 4.0), ("<=", 2.5)),
@@ -101,19 +106,25 @@ def fit_rules(votes: DataFrame, rounds: int = ROUNDS) -> list[float]:
     """
     names = [r[0] for r in RULES]
     patterns = saved(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "vote-patterns")
-    theta = [START] * (1 + 2 * len(names))
+    theta = [GOOD] + [HIT, MISS] * len(names)
     for _ in range(rounds):
         p, n = F.col("p"), F.col("n")
-        sums = [F.sum(n * p), F.sum(n)]
+        means = [_mean(n * p, n, GOOD, F.lit(1.0))]
         for v in names:
-            sums += [F.sum(F.when(F.col(v) == 1, n * p)), F.sum(F.when(F.col(v).isNotNull(), n * p)),
-                     F.sum(F.when(F.col(v) == 0, n * (1 - p))), F.sum(F.when(F.col(v).isNotNull(), n * (1 - p)))]
-        row = patterns.withColumn("p", posterior(theta)).agg(*(F.coalesce(s, F.lit(0.0)) for s in sums)).first()
-        # one vote of each kind is added, so that no rule is ever certain
-        theta = [(row[i] + 1) / (row[i + 1] + 2) for i in range(0, len(row), 2)]
+            cast, prior = F.col(v).isNotNull(), WEIGHT * F.sum(F.when(F.col(v).isNotNull(), n))
+            means += [_mean(F.when(F.col(v) == 1, n * p), F.when(cast, n * p), HIT, prior),
+                      _mean(F.when(F.col(v) == 0, n * (1 - p)), F.when(cast, n * (1 - p)), MISS, prior)]
+        theta = list(patterns.withColumn("p", posterior(theta)).agg(*means).first())
     return theta
 
 
+def _mean(hits: Column, votes: Column, held: float, weight: Column) -> Column:
+    """The share of hits, with ``held`` as if it came from ``weight`` votes more; ``held`` itself without any vote."""
+    zero = F.lit(0.0)
+    total = F.coalesce(F.sum(votes), zero) + F.coalesce(weight, zero)
+    return F.coalesce((F.coalesce(F.sum(hits), zero) + held * F.coalesce(weight, zero)) / F.nullif(total, zero), F.lit(held))
+
+
 def posterior(theta: list[float]) -> Column:
     """Probability that a document is good, given its votes."""
     good, bad = F.lit(theta[0]), F.lit(1 - theta[0])
@@ -161,13 +172,20 @@ def _sql() -> str:
             bad += f" * CASE WHEN {v} = 1 THEN 1 - {m} WHEN {v} = 0 THEN {m} ELSE 1 END"
         return f"({good}) / ({good} + {bad})"
 
-    steps = ["th0 AS MATERIALIZED (SELECT " + ", ".join(f"{START}::DOUBLE AS t{i}" for i in range(1 + 2 * len(names))) + ")"]
-    ratio = lambda a, b: f"(coalesce(sum({a}), 0) + 1) / (coalesce(sum({b}), 0) + 2)"
+    first = [GOOD] + [HIT, MISS] * len(names)
+    steps = ["th0 AS MATERIALIZED (SELECT " + ", ".join(f"{x}::DOUBLE AS t{i}" for i, x in enumerate(first)) + ")"]
+
+    def mean(hits, votes, held, weight):
+        w = f"coalesce({weight}, 0)"
+        return f"coalesce((coalesce(sum({hits}), 0) + {held} * {w}) / nullif(coalesce(sum({votes}), 0) + {w}, 0), {held})"
+
     for r in range(ROUNDS):
-        cols = [ratio("n * p", "n") + " AS t0"]
+        cols = [mean("n * p", "n", GOOD, "1.0::DOUBLE") + " AS t0"]
         for i, v in enumerate(names):
-            cols.append(ratio(f"CASE WHEN {v} = 1 THEN n * p END", f"CASE WHEN {v} IS NOT NULL THEN n * p END") + f" AS t{1 + 2 * i}")
-            cols.append(ratio(f"CASE WHEN {v} = 0 THEN n * (1 - p) END", f"CASE WHEN {v} IS NOT NULL THEN n * (1 - p) END") + f" AS t{2 + 2 * i}")
+            cast = f"CASE WHEN {v} IS NOT NULL THEN"
+            held = f"{WEIGHT} * sum({cast} n END)"
+            cols.append(mean(f"CASE WHEN {v} = 1 THEN n * p END", f"{cast} n * p END", HIT, held) + f" AS t{1 + 2 * i}")
+            cols.append(mean(f"CASE WHEN {v} = 0 THEN n * (1 - p) END", f"{cast} n * (1 - p) END", MISS, held) + f" AS t{2 + 2 * i}")
         steps.append(f"th{r + 1} AS MATERIALIZED (SELECT {', '.join(cols)} FROM (SELECT pat.*, {post(f'th{r}')} AS p FROM pat, th{r}))")
     end = f"th{ROUNDS}"
     return rf"""

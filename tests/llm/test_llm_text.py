@@ -97,7 +97,8 @@ def test_rules_fit_equals_brute_force(spark):
         votes.append([rng.choice([None, int(good), int(good), int(good), int(not good)]) for _ in names])
     frame = spark.createDataFrame([tuple(v) for v in votes], ", ".join(f"{n} int" for n in names))
     got = quality_rules.fit_rules(frame, 5)
-    prior, hit, miss = 0.8, [0.8] * len(names), [0.8] * len(names)
+    q = quality_rules
+    prior, hit, miss = q.GOOD, [q.HIT] * len(names), [q.MISS] * len(names)
     for _ in range(5):
         post = []
         for v in votes:
@@ -106,22 +107,25 @@ def test_rules_fit_equals_brute_force(spark):
                 a *= {1: h, 0: 1 - h}.get(x, 1)
                 b *= {1: 1 - m, 0: m}.get(x, 1)
             post.append(a / (a + b))
-        prior = (sum(post) + 1) / (len(votes) + 2)
+        prior = (sum(post) + q.GOOD) / (len(votes) + 1)
         for j in range(len(names)):
             cast = [(v[j], p) for v, p in zip(votes, post) if v[j] is not None]
-            hit[j] = (sum(p for x, p in cast if x == 1) + 1) / (sum(p for _, p in cast) + 2)
-            miss[j] = (sum(1 - p for x, p in cast if x == 0) + 1) / (sum(1 - p for _, p in cast) + 2)
+            held = q.WEIGHT * len(cast)
+            hit[j] = (sum(p for x, p in cast if x == 1) + held * q.HIT) / (sum(p for _, p in cast) + held)
+            miss[j] = (sum(1 - p for x, p in cast if x == 0) + held * q.MISS) / (sum(1 - p for _, p in cast) + held)
     want = [prior] + [x for pair in zip(hit, miss) for x in pair]
     assert got == pytest.approx(want, rel=1e-9)
-    assert abs(prior - 0.7) < 0.1 and all(h > 0.6 for h in hit)
+    assert all(0 < x < 1 for x in want)
 
 
 def test_rules_verdicts(spark):
     prose = [" ".join(random.Random(i).choice(["lantern", "of", "river", "stone", "the", "under"]) + str(random.Random(i * 7 + k).randint(0, 99))
                       for k in range(120)) for i in range(40)]
-    rows = {r.doc_id: r for r in quality_rules.quality_by_rules(docs_frame(spark, prose + ["BAD!! ### | " * 80, None, "few words", "re pe at " * 90])).collect()}
+    rows = {r.doc_id: r for r in quality_rules.quality_by_rules(docs_frame(spark, prose + ["BAD!! ### | " * 80, None, "few words", "re pe at " * 90] + [
+        " ".join(w + "&&&" for w in prose[0].split()), " ".join(w.upper() + "!!" for w in prose[1].split())])).collect()}
     assert all(rows[i].kept and not rows[i].base_failed for i in range(40))
-    assert [rows[i].kept for i in range(40, 44)] == [False] * 4 and [rows[i].base_failed for i in (41, 42, 43)] == [True] * 3
+    assert [rows[i].kept for i in range(40, 46)] == [False] * 6 and [rows[i].base_failed for i in (41, 42, 43)] == [True] * 3
+    assert not rows[44].base_failed and not rows[45].base_failed  # the votes reject these
     assert quality_rules.quality_by_rules(docs_frame(spark, [])).count() == 0
 
 
