@@ -150,7 +150,7 @@ class PieceCoder:
 
 
 def _cache(path: str, pattern: str) -> SegmentCache:
-    return worker_cache(f"bpe:{path}:{pattern}", lambda: SegmentCache(PieceCoder(path, pattern).segments, 400_000))
+    return worker_cache(f"bpe:{path}:{pattern}", lambda: SegmentCache(PieceCoder(path, pattern).segments, 500_000))
 
 
 def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import read_table, saved, ship, worker_cache
-from corpusloom.llm.segments import SegmentCache, batches_of_text
+from corpusloom.llm.segments import SegmentCache, batches_of_text, encode_joined
 
 
 def _json_cache(path: str) -> SegmentCache:
@@ -21,8 +21,15 @@ def _json_cache(path: str) -> SegmentCache:
     def make():
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True  # their strings in a text are ordinary text
-        return SegmentCache(lambda some: [np.array(e.ids, "<u4").tobytes()
-                                          for e in t.encode_batch(some, add_special_tokens=False)])
+        # a byte-level vocabulary writes every byte as one character
+        id_bytes = np.zeros(t.get_vocab_size(), np.int64)
+        for token, i in t.get_vocab().items():
+            id_bytes[i] = len(token)
+
+        def encode(texts):
+            return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"))
 
     return worker_cache(f"tokenizers:{path}", make)
 

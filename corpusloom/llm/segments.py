@@ -1,56 +1,115 @@
 """Cutting texts into segments that a byte-level BPE with the usual word pattern encodes independently.
 
-The pattern never matches across the border between a character that is no white space and one that is, nor after a
-line break before a character that is none.  So where no two white-space characters meet, a text may be cut before
-every space and around every line break; the few distinct segments are then encoded once and looked up.
+The pattern never matches across the border between a character that is no white space and one that is.  So a text
+may be cut before every white space that follows another character; the few distinct segments are encoded once and
+looked up.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
+
 #: Unicode's White_Space, as the word pattern has it (Python's own \\s has four control characters more).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_MEET = re.compile(f"[{SPACE}][{SPACE}]")
 _BORDER = re.compile(f"(?<=[^{SPACE}])(?=[{SPACE}])")
+_RARE = [c for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c) and c not in " \n"]
+_WHITE = frozenset([*_RARE, " ", "\n"])
+
+
+def _plain(text: str) -> list[str] | None:
+    """The words of a text in which all white space is single spaces and line breaks, none beside another or at the
+    end: a word after a line break begins with it, any other but the first had a space before it.  None for other
+    texts."""
+    for c in _RARE:
+        if c in text:
+            return None
+    words = text.replace("\n", " \n").split(" ")
+    rest = words[1:]
+    return None if "" in rest or "\n" in rest else words
+
+
+def _segment(word: str) -> str:
+    return word if word[0] == "\n" else " " + word
 
 
 def segments(text: str) -> list[str]:
     """The segments of a text, in order; joined they are the text."""
-    if not text:
-        return []
-    if _MEET.search(text):
+    words = _plain(text)
+    if words is None:
         return _BORDER.split(text)
-    out = []
-    for i, line in enumerate(text.split("\n")):
-        if i:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        if first:
-            out.append(first)
-        out += [" " + w for w in rest]
-    return out
+    return words[:1] * bool(words[0]) + [_segment(w) for w in words[1:]]
 
 
-class SegmentCache(dict):
-    """Segment -> what ``encode(list of segments)`` gives for it, kept up to ``limit`` entries."""
+class SegmentCache:
+    """Segment -> what ``encode(list of segments)`` gives for it.  About ``limit`` entries are kept: those used since
+    the last half of them came in, and the half before."""
 
-    def __init__(self, encode, limit: int = 600_000):
-        super().__init__()
+    def __init__(self, encode, limit: int = 800_000):
         self.encode, self.limit = encode, limit
+        self.after: tuple[dict, dict] = {}, {}  # by the words that follow a space or begin with a line break
+        self.whole: tuple[dict, dict] = {}, {}  # by other segments
 
-    def many(self, texts: list[str]) -> list[list]:
-        cut = [segments(t) for t in texts]
-        new = set()
-        for c in cut:
-            new.update(c)
-        if len(self) + len(new) > self.limit:
-            self.clear()
-        new = [s for s in new if s not in self]
+    def _fill(self, caches: tuple[dict, dict], wanted: set, segment) -> tuple[dict, dict]:
+        """The caches with every wanted word in the younger one."""
+        young, old = caches
+        if len(young) + len(wanted) > self.limit // 2:
+            young, old = {}, young
+        new = []
+        for w in wanted:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    new.append(w)
         if new:
-            self.update(zip(new, self.encode(new)))
-        get = self.__getitem__
-        return [list(map(get, c)) for c in cut]
+            young.update(zip(new, self.encode([segment(w) for w in new])))
+        return young, old
+
+    def many(self, texts: list[str]) -> list[list]:
+        """For each text, the values of its segments in order."""
+        cut, after, whole = [], set(), set()
+        for text in texts:
+            words = _plain(text)
+            if words is None:
+                cut.append((_BORDER.split(text), []))
+                whole.update(cut[-1][0])
+            else:
+                cut.append((words[:1] if words[0] else [], words[1:]))
+                whole.update(cut[-1][0])
+                after.update(cut[-1][1])
+        self.after = self._fill(self.after, after, _segment)
+        self.whole = self._fill(self.whole, whole, str)
+        of_whole, of_after = self.whole[0].__getitem__, self.after[0].__getitem__
+        return [[*map(of_whole, first), *map(of_after, rest)] for first, rest in cut]
+
+
+def encode_joined(some: list[str], encode, id_bytes: np.ndarray, dtype: str, at_once: int = 500) -> list[bytes]:
+    """The ids of each segment as bytes, by few calls of ``encode(list of texts) -> lists of ids``.
+
+    Segments that begin with white space and end without are joined as they are, those without white space at either
+    end by line breaks: all these borders are the pattern's own.  The ids are parted again by the bytes that each
+    stands for (``id_bytes``).  Other segments are encoded one by one.
+    """
+    out: list = [None] * len(some)
+    kinds: dict[str, list[int]] = {"": [], "\n": [], "alone": []}
+    for i, s in enumerate(some):
+        kinds["alone" if not s or s[-1] in _WHITE else "" if s[0] in _WHITE else "\n"].append(i)
+    for i, ids in zip(kinds["alone"], encode([some[i] for i in kinds["alone"]])):
+        out[i] = np.array(ids, dtype).tobytes()
+    for glue in ("", "\n"):
+        groups = [kinds[glue][a : a + at_once] for a in range(0, len(kinds[glue]), at_once)]
+        for group, ids in zip(groups, encode([glue.join([some[i] for i in g]) for g in groups])):
+            ids = np.array(ids, np.int64)
+            ends = np.concatenate(([0], np.cumsum(id_bytes[ids])))
+            size = np.array([len(some[i].encode()) for i in group]) + len(glue)
+            begin = np.cumsum(size) - size
+            first, last = np.searchsorted(ends, begin), np.searchsorted(ends, begin + size - len(glue))
+            data, width = ids.astype(dtype).tobytes(), np.dtype(dtype).itemsize
+            for i, a, z in zip(group, (first * width).tolist(), (last * width).tolist()):
+                out[i] = data[a:z]
+    return out
 
 
 def batches_of_text(values, n_bytes: int = 4 << 20):

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpusloom.llm import bpe, packing, token_counts
-from corpusloom.llm.segments import segments
+from corpusloom.llm.segments import encode_joined, segments
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
@@ -37,6 +37,17 @@ def test_segments_are_independent(text):
     assert "".join(cut) == text and [p for s in cut for p in split(s)] == split(text)
 
 
+def test_joined_segments_are_parted_again():
+    rng = random.Random(7)
+    some = list({"".join(rng.choice("ab1!é \n\t\x1c\xa0 '　sL中") for _ in range(rng.randint(1, 9))) for _ in range(3000)})
+    some = list({s for t in some for s in segments(t)})
+    size = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, i in ranks.items():
+        size[i] = len(token)
+    got = encode_joined(some, lambda texts: [coder.encode_ordinary(t) for t in texts], size, "<u4", at_once=50)
+    assert got == [np.array(coder.encode_ordinary(s), "<u4").tobytes() for s in some]
+
+
 def test_pieces_contract_as_the_library_does():
     rng = random.Random(2)
     pieces = list({"".join(rng.choice("theandingéß123中 ") for _ in range(rng.randint(1, 40))) for _ in range(1500)})
