@@ -531,8 +531,6 @@ def trim_history_messages(msgs: DataFrame, convs: DataFrame, budget: int = K.CHA
     """
     from corpusloom.operators import chat
 
-    if offset:
-        msgs = msgs.filter(F.col("pos") >= offset).withColumn("pos", F.col("pos") - F.lit(offset))
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
     n_pairs = F.ceil(F.col("n_msgs") / 2).cast("bigint").alias("_n")
     users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), "g", "_b", n_pairs)
@@ -584,8 +582,6 @@ def chat_prompt_pieces(msgs: DataFrame, convs: DataFrame, key: str = "conv_id")
     """
     from corpusloom.operators import chat
 
-    if offset:
-        msgs = msgs.filter(F.col("pos") >= offset).withColumn("pos", F.col("pos") - F.lit(offset))
     pair = F.floor(F.col("pos") / 2).cast("bigint").alias("pair_no")
     n_pairs = F.ceil(F.col("n_msgs") / 2).cast("bigint").alias("_n")
     users = msgs.filter(F.col("pos") % 2 == 0).select(key, pair, F.col("value").alias("u"), n_pairs)
