@@ -39,19 +39,26 @@ def ngram_ids(texts: list[str]):
             yield of[: len(h)], (h >> np.uint32(32 - BITS)).astype(np.int32), whole
 
 
-def _present(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``(text number, feature)``: hashed n-grams, or (with ``table``) their non-negative entries in it."""
+def _present(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``(text number, feature)``: the non-negative entries of the texts' hashed n-grams in ``table``."""
     found = []
     for of, ids, whole in ngram_ids(texts):
-        if table is None:
-            of, ids = of[whole], ids[whole]
-        else:
-            ids = table[ids]
-            keep = whole & (ids >= 0)
-            of, ids = of[keep], ids[keep]
-        found.append(np.unique(of.astype(np.int64) << BITS | ids))
-    both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return both >> BITS, (both & ((1 << BITS) - 1)).astype(np.int64)
+        feature = table[ids]
+        keep = whole & (feature >= 0)
+        found.append(of[keep].astype(np.int64) << BITS | feature[keep])
+    both = np.unique(np.concatenate(found))
+    return both >> BITS, both & ((1 << BITS) - 1)
+
+
+def _distinct(texts: list[str]) -> list[np.ndarray]:
+    """The distinct hashed n-grams of each text."""
+    parts = [[] for _ in texts]
+    for of, ids, whole in ngram_ids(texts):
+        of, ids = of[whole], ids[whole]
+        cut = np.searchsorted(of, np.arange(len(texts) + 1))
+        for part, a, z in zip(parts, cut, cut[1:]):
+            part.append(ids[a:z])
+    return [np.unique(np.concatenate(p)) for p in parts]
 
 
 def _counts(batches):
@@ -60,9 +67,8 @@ def _counts(batches):
     for batch in batches:
         texts, y = [t or "" for t in batch.column(0).to_pylist()], batch.column(1).to_numpy()
         for a, z in batches_of_text(texts):
-            of, ids = _present(texts[a:z])
-            for c in (0, 1):
-                total[c] += np.bincount(ids[y[a:z][of] == c], minlength=1 << BITS)
+            for ids, c in zip(_distinct(texts[a:z]), y[a:z].tolist()):
+                total[c, ids] += 1
     ids = np.flatnonzero(total.any(axis=0))
     yield pa.record_batch([pa.array(ids), pa.array(total[0][ids]), pa.array(total[1][ids])], names=["id", "other", "toxic"])
 
@@ -85,7 +91,8 @@ def fit_toxicity(sample: DataFrame, features: int = FEATURES, rounds: int = 300,
     First pass: document counts of every hashed n-gram in either class, summed in Spark; the log-count ratio
     ``r`` of an n-gram compares its share among the classes.  The n-grams whose presence tells most (by the
     chi-square of its two-by-two table) become features.  Second pass: which features each sampled text has.
-    Logistic regression on presence times ``r`` is then fitted on these short lists (at most the sample's rows).
+    Logistic regression on presence times ``r`` is then fitted on these short lists (at most the sample's rows and
+    ``features`` n-grams reach the driver).
     Without rows of both classes the model is the class share alone.
     """
     ship(sample.sparkSession)
@@ -98,18 +105,17 @@ def fit_toxicity(sample: DataFrame, features: int = FEATURES, rounds: int = 300,
         return ToxicityModel(empty, np.zeros(1), prior)
     counts = sample.mapInArrow(_counts, "id long, other long, toxic long")
     counts = counts.groupBy("id").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-    rows = np.array([tuple(r) for r in counts.collect()], np.int64)  # at most 2 ** BITS rows
-    rows = rows[np.argsort(rows[:, 0])]
-    ids, a0, a1 = rows[:, 0], rows[:, 1].astype(float), rows[:, 2].astype(float)
-    ratio = np.log((a1 + ALPHA) / (n1 + 2 * ALPHA)) - np.log((a0 + ALPHA) / (n0 + 2 * ALPHA))
-    seen, all_ = a0 + a1, n0 + n1
-    chi = (a1 * (n0 - a0) - a0 * (n1 - a1)) ** 2 * all_ / np.maximum(n0 * n1 * seen * (all_ - seen), 1e-9)
-    top = np.argsort(-chi, kind="stable")[:features]
-    top = top[chi[top] > TELLING]
-    if not len(top):
+    a0, a1, both = F.col("other").cast("double"), F.col("toxic").cast("double"), float(n0 + n1)
+    apart = F.pow(a1 * (n0 - a0) - a0 * (n1 - a1), F.lit(2.0)) * both
+    chi = apart / F.greatest(float(n0 * n1) * (a0 + a1) * (both - a0 - a1), F.lit(1e-9))
+    top = counts.select("id", "other", "toxic", chi.alias("chi")).where(F.col("chi") > TELLING)
+    top = top.orderBy(F.desc("chi"), "id").limit(features).collect()
+    if not top:
         return ToxicityModel(empty, np.zeros(1), prior)
-    table, r = empty.copy(), ratio[top]
-    table[ids[top]] = np.arange(len(top))
+    ids, a0, a1 = (np.array([row[k] for row in top]) for k in ("id", "other", "toxic"))
+    r = np.log((a1 + ALPHA) / (n1 + 2 * ALPHA)) - np.log((a0 + ALPHA) / (n0 + 2 * ALPHA))
+    table = empty.copy()
+    table[ids] = np.arange(len(top))
 
     def lists(batches):
         for batch in batches:
