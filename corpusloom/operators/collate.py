@@ -44,6 +44,34 @@ def collate_fault_tolerant(df: DataFrame, keys: list[str], batch_col: str = "bat
     return out
 
 
+def collate_features(df: DataFrame, batch_col: str = "batch_id", pos_col: str = "pos") -> DataFrame:
+    """B11 over whole feature rows -> (batch, pos, labels if any, the numeric and array features, ragged).
+
+    ``label`` or ``label_ids`` becomes ``labels`` and keeps every row's own value.  String features are
+    dropped; a feature that is null in a batch's first row is null in that batch.  Where an array feature
+    has several lengths in a batch (or a later row lacks it), every feature takes the first row's value.
+    """
+    from pyspark.sql import types as T
+
+    label = next((c for c in ("label", "label_ids") if c in df.columns), None)
+    keys = [f for f in df.schema.fields
+            if f.name not in (batch_col, pos_col, label) and not isinstance(f.dataType, T.StringType)]
+    w = Window.partitionBy(batch_col)
+    first = w.orderBy(pos_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ragged = F.lit(False)
+    for f in keys:
+        head = F.first(f.name).over(first)
+        odd = F.max(F.col(f.name).isNull()).over(w)
+        if isinstance(f.dataType, T.ArrayType):
+            odd = odd | (F.min(F.size(f.name)).over(w) != F.max(F.size(f.name)).over(w))
+        ragged = ragged | (head.isNotNull() & odd)
+    out = df.withColumn("ragged", ragged)
+    cols = [F.when(F.col("ragged") | F.first(f.name).over(first).isNull(), F.first(f.name).over(first))
+            .otherwise(F.col(f.name)).alias(f.name) for f in keys]
+    labels = [F.col(label).alias("labels")] if label else []
+    return out.select(batch_col, pos_col, *labels, *cols, "ragged")
+
+
 def collate_images(df: DataFrame, crop: int = K.IMAGE_RESIZE_SIDE, batch_col: str = "batch_id") -> DataFrame:
     """Absent image -> blank crop-size image; ``stackable`` when all shapes in the batch agree."""
     out = df.withColumn("is_blank", F.col("h").isNull()).withColumn(

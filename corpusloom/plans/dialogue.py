@@ -286,6 +286,16 @@ def collate_fault(spark, sf):
                     ids_to_string("labels").alias("labels"))
 
 
+def collate_features(spark, sf):
+    """B11 over rows with a label, a string feature (dropped) and one that is null in every third batch's first row."""
+    rows = _sft_batched(spark, sf).select(
+        "batch_id", "pos", F.size("input_ids").cast("bigint").alias("label"), F.col("conv_id").cast("string").alias("note"),
+        F.slice("input_ids", 1, 8 + F.pmod("batch_id", F.lit(2)).cast("int") * F.pmod("pos", F.lit(2)).cast("int")).alias("head"),
+        F.when((F.pmod("batch_id", F.lit(3)) > 0) | (F.col("pos") > 0), F.col("pair_no")).alias("weight"))
+    c = collate.collate_features(rows)
+    return c.select("batch_id", "pos", "labels", ids_to_string("head").alias("head"), "weight", "ragged")
+
+
 # ---------------------------------------------------------------- sampler
 def _lengths(spark, sf):
     return batching.lengths_from_words(turns.conversation_word_counts(*_messages(spark, sf, "raw")))
@@ -403,6 +413,7 @@ QUERIES = {
     "sft_labels": sft_labels,
     "collate_pad": collate_pad,
     "collate_fault": collate_fault,
+    "collate_features": collate_features,
     "sample_len": sample_len,
     "modality_len": modality_len,
     "megabatch": megabatch,

@@ -445,3 +445,11 @@ UNION ALL SELECT conv_id, 'no_words' FROM every WHERE coalesce(words, 0) = 0""")
 SELECT conv_id, pair_no, CASE WHEN conv_id % 3 = 0 OR output IS NULL THEN 'None' ELSE output END || {lit(K.EOS_TOKEN)} AS target
 FROM pairs""",
 })
+ORACLE["collate_features"] = f"""WITH {RECORDS}, {SFT},
+f AS (SELECT batch_id, pos, len(ids) AS label, ids[1:8 + (batch_id % 2) * (pos % 2)] AS head,
+             CASE WHEN batch_id % 3 > 0 OR pos > 0 THEN pair_no END AS weight FROM bt),
+b AS (SELECT batch_id, count(DISTINCT len(head)) > 1 AS ragged, arg_min(head, pos) AS head1,
+             max(CASE WHEN pos = 0 THEN weight END) AS weight1 FROM f GROUP BY batch_id)
+SELECT f.batch_id, f.pos, f.label AS labels, {ids_str('CASE WHEN ragged THEN head1 ELSE head END')} AS head,
+       CASE WHEN ragged OR weight1 IS NULL THEN weight1 ELSE weight END AS weight, ragged
+FROM f JOIN b ON f.batch_id = b.batch_id"""
