@@ -29,7 +29,7 @@ def _json_cache(path: str) -> SegmentCache:
         def encode(texts):
             return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
-        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"))
+        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"), 500_000)
 
     return worker_cache(f"tokenizers:{path}", make)
 
@@ -82,25 +82,29 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, i
     # one row per input partition
     rows = tokens.join(F.broadcast(bases), "part").select(id_col, (F.col("base") + F.col("local")).alias("at"), "all", "ids")
 
+    def pieces(batch):
+        ids = batch.column(3).to_pylist()
+        n = np.array([len(x) // 4 for x in ids], np.int64)
+        at, everything = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        first, last = at // length, (at + n - 1) // length
+        count = last - first + 1
+        row = np.repeat(np.arange(len(ids)), count)
+        seq = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        begin = np.maximum(at[row], seq * length)
+        stop = np.minimum(at[row] + n[row], (seq + 1) * length)
+        start = begin - at[row]
+        used = np.minimum(everything[row] - seq * length, length)
+        cut = [ids[r][4 * a : 4 * b] for r, a, b in zip(row.tolist(), start.tolist(), (stop - at[row]).tolist())]
+        return pa.record_batch([
+            batch.column(0).take(pa.array(row)), pa.array(start), pa.array(stop - begin), pa.array(cut, pa.binary()),
+            pa.array(n[row]), pa.array(seq), pa.array(begin - seq * length), pa.array(used),
+            pa.array(np.where(used & (used - 1) == 0, used, length)),
+        ], names=[id_col, "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padded_tokens"])
+
     def run(batches):
         for batch in batches:
-            ids = batch.column(3).to_pylist()
-            n = np.array([len(x) // 4 for x in ids], np.int64)
-            at, everything = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            first, last = at // length, (at + n - 1) // length
-            count = last - first + 1
-            row = np.repeat(np.arange(len(ids)), count)
-            seq = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            begin = np.maximum(at[row], seq * length)
-            stop = np.minimum(at[row] + n[row], (seq + 1) * length)
-            start = begin - at[row]
-            used = np.minimum(everything[row] - seq * length, length) if len(row) else begin
-            pieces = [ids[r][4 * a : 4 * b] for r, a, b in zip(row.tolist(), start.tolist(), (stop - at[row]).tolist())]
-            yield pa.record_batch([
-                batch.column(0).take(pa.array(row)), pa.array(start), pa.array(stop - begin), pa.array(pieces, pa.binary()),
-                pa.array(n[row]), pa.array(seq), pa.array(begin - seq * length), pa.array(used),
-                pa.array(np.where(used & (used - 1) == 0, used, length)),
-            ], names=[id_col, "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "padded_tokens"])
+            for a in range(0, batch.num_rows, 500):
+                yield pieces(batch.slice(a, 500))
 
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"{id_col} {kind}, start long, length long, ids binary, doc_tokens long, "
