@@ -62,12 +62,22 @@ def concatenated(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), np.uint8), offsets
 
 
+_STORE = "_corpusloom_worker_cache"
+
+
+def forget_worker_caches() -> None:
+    """Called by tasks of operators that need no cache: a worker that has turned to them frees what it kept."""
+    import sys
+
+    sys.modules.pop(_STORE, None)
+
+
 def worker_cache(name: str, make):
     """A value kept by a Python worker across tasks (made anew in a new worker)."""
     import sys
     import types
 
-    store = sys.modules.setdefault("_corpusloom_worker_cache", types.ModuleType("_corpusloom_worker_cache"))
+    store = sys.modules.setdefault(_STORE, types.ModuleType(_STORE))
     if not hasattr(store, name):
         setattr(store, name, make())
     return getattr(store, name)

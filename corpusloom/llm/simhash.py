@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import saved, ship, utf8
+from corpusloom.llm.common import forget_worker_caches, saved, ship, utf8
 from corpusloom.llm.components import connected_components
 
 SEED = 42
@@ -44,6 +44,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id"
     ship(docs.sparkSession)
 
     def run(batches):
+        forget_worker_caches()
         for batch in batches:
             fps = np.array([fingerprint(t, shingle_words) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
             yield pa.record_batch([batch.column(0), pa.array(fps)], names=[id_col, "fp"])

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import read_table, saved, ship
+from corpusloom.llm.common import forget_worker_caches, read_table, saved, ship
 from corpusloom.llm.labelled import held_out, labelled_sample
 from corpusloom.llm.segments import batches_of_text
 
@@ -63,6 +63,7 @@ def _distinct(texts: list[str]) -> list[np.ndarray]:
 
 def _counts(batches):
     """Per task: in how many toxic and other texts each hashed n-gram occurs."""
+    forget_worker_caches()
     total = np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
         texts, y = [t or "" for t in batch.column(0).to_pylist()], batch.column(1).to_numpy()
