@@ -7,6 +7,8 @@ runs of neighbours with one anchor, and equal windows have anchors of equal hash
 1. every task finds the runs of its texts and folds equal runs; a run that is not the first of its content is
    covered whole, since all its windows start earlier too;
 2. runs are brought together by anchor hash in packed blocks, and folded again over the whole corpus;
+   (an anchor so common that its runs would overfill a block has them split into single windows, which go to blocks
+   by their own content; equal windows still meet, and that content is all there is to compare);
 3. only runs whose anchor occurs in different surroundings are left.  Their bytes are fetched, their suffixes are
    put into an enhanced suffix array per hash block, and a stack scan of its common-prefix intervals lists the
    maximal repeats (intervals whose occurrences differ in the byte before) with all their occurrences: each
@@ -26,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import read_table, saved, scratch, ship, utf8
+from corpusloom.llm.common import forget_worker_caches, read_table, saved, scratch, ship, utf8
 
 K = 32  # bytes of an anchor
 FLUSH = 24 << 20  # text bytes whose runs are folded together before they leave a task
 PIECE = 2 << 20  # a longer text is scanned in pieces of so many window starts
 PLACE = 23  # bits for a place in what is scanned at once, under twice a piece and a window
 RUNS = 200_000  # aimed at for each hash block
+SAMPLE = 64  # one text in so many is looked at for common anchors; this only settles which block a window goes to
+COMMON = 10_000  # common anchors at most
 MUL = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -73,7 +77,7 @@ def _prefix_hash(buf: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(buf: np.ndarray, first: np.ndarray, last: np.ndarray, min_len: int):
+def _runs(buf: np.ndarray, first: np.ndarray, last: np.ndarray, min_len: int, common: np.ndarray):
     """Runs of the windows starting in each ``[first, last)`` of ``buf``: starts, counts, anchor and content hash.
 
     ``first``/``last`` hold ranges in rising order that do not overlap; a window from ``last - 1`` ends in ``buf``.
@@ -107,9 +111,20 @@ def _runs(buf: np.ndarray, first: np.ndarray, last: np.ndarray, min_len: int):
     starts = np.flatnonzero(new)
     stops = np.append(starts[1:], n)
     stops = np.minimum(stops, last[np.searchsorted(first, starts, side="right") - 1])
-    ends = stops + min_len - 1
-    content = _mixed((pre[ends] - pre[starts]) * down[starts] + (ends - starts).astype(np.uint64) * MUL)
-    return starts, stops - starts, g[(m[starts] & low).astype(np.int64)], content
+
+    def content(a, z):
+        return _mixed((pre[z] - pre[a]) * down[a] + (z - a).astype(np.uint64) * MUL)
+
+    n, anchor, c = stops - starts, g[(m[starts] & low).astype(np.int64)], content(starts, stops + min_len - 1)
+    split = np.isin(anchor, common)
+    if split.any():
+        k = n[split]
+        each = np.repeat(starts[split] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+        own = content(each, each + min_len)
+        # anchor and content must both agree here too
+        anchor = np.concatenate((anchor[~split], np.repeat(anchor[split], k) + own * MUL))
+        starts, n, c = (np.concatenate(x) for x in ((starts[~split], each), (n[~split], np.ones(len(each), np.int64)), (c[~split], own)))
+    return starts, n, anchor, c
 
 
 def _pieces(texts: list[bytes], min_len: int):
@@ -120,7 +135,7 @@ def _pieces(texts: list[bytes], min_len: int):
                 yield row, at, t[at : at + PIECE + min_len - 1] if len(t) > PIECE else t
 
 
-def _text_runs(docs: list[int], rows: list[int], texts: list[bytes], min_len: int) -> np.ndarray:
+def _text_runs(docs: list[int], rows: list[int], texts: list[bytes], min_len: int, common: np.ndarray) -> np.ndarray:
     found = []
     group, size = [], 0
 
@@ -128,7 +143,7 @@ def _text_runs(docs: list[int], rows: list[int], texts: list[bytes], min_len: in
         lens = np.fromiter((len(p) for _, _, p in group), np.int64, len(group))
         begin = np.cumsum(lens) - lens
         buf = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
-        s, n, h, c = _runs(buf, begin, begin + lens - min_len + 1, min_len)
+        s, n, h, c = _runs(buf, begin, begin + lens - min_len + 1, min_len, common)
         of = np.searchsorted(begin, s, side="right") - 1
         out = np.empty(len(s), RUN)
         out["h"], out["c"], out["n"] = h, c, n
@@ -176,11 +191,11 @@ def _rows(bucket, kind, chunk, blobs) -> pa.RecordBatch:
                             pa.array(blobs, pa.binary())], names=["bucket", "kind", "chunk", "blob"])
 
 
-def _scan(min_len: int, n_buckets: int):
+def _scan(min_len: int, n_buckets: int, common: np.ndarray):
     """Texts of a block in, its folded runs by hash block out, with the spans that are known to be covered."""
 
     def flush(chunk, docs, rows, texts):
-        runs = _text_runs(docs, rows, texts, min_len)
+        runs = _text_runs(docs, rows, texts, min_len, common)
         if not len(runs):
             return
         first = _fold(runs, np.zeros(len(runs), np.int8))
@@ -200,6 +215,7 @@ def _scan(min_len: int, n_buckets: int):
         yield _rows(buckets, kinds, [chunk] * len(blobs), blobs)
 
     def run(batches):
+        forget_worker_caches()
         at, docs, rows, texts, size = None, [], [], [], 0
         for batch in batches:
             for chunk, row, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), utf8(batch.column(3))):
@@ -217,6 +233,23 @@ def _scan(min_len: int, n_buckets: int):
     return run
 
 
+def _common_anchors(texts: DataFrame, min_len: int, bound: int, sample: int) -> np.ndarray:
+    """Anchors that more than ``bound`` runs share, judged by one text in ``sample``: at most ``COMMON`` of them."""
+
+    def run(batches):
+        none = np.zeros(0, np.uint64)
+        for batch in batches:
+            values = utf8(batch.column(0))
+            if sum(map(len, values)):
+                runs = _text_runs([0] * len(values), list(range(len(values))), values, min_len, none)
+                h, n = np.unique(runs["h"], return_counts=True)
+                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    some = texts.where(F.pmod(F.xxhash64("chunk", "row"), F.lit(sample)) == 0).select("text")
+    counts = some.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") * sample > bound)
+    return np.array([r.h for r in counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()], np.int64).view(np.uint64)
+
+
 def _by_chunk(chunk: np.ndarray, data: np.ndarray, bucket: int, kind: int):
     order = np.argsort(chunk, kind="stable")
     chunk, data = chunk[order], data[order]
@@ -444,7 +477,8 @@ def _bucketed(docs: DataFrame, id_col: str, text_col: str, others: list[str]) ->
 
 
 def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", text_col: str = "text",
-                  with_text: bool = True, others: tuple[str, ...] = ()) -> DataFrame:
+                  with_text: bool = True, others: tuple[str, ...] = (), block_runs: int = RUNS,
+                  sample: int = SAMPLE) -> DataFrame:
     """One row per text: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and, unless ``with_text`` is false,
     ``kept_text`` and ``removed`` (spans of byte offsets).  ``others`` names columns to hand on (``other_0``, ...).
 
@@ -454,6 +488,9 @@ def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", t
     loses the odd bytes of a character that a span cuts in two (``kept_sha256`` is over the exact bytes).
     An empty table gives no rows; other columns are ignored.
 
+    ``block_runs`` bounds what one anchor may bring into a hash block, ``sample`` is the share of texts looked at for
+    anchors above that; neither changes the result.
+
     Equal runs are told by two 64-bit hashes (of the anchor and of the whole run) that must both agree; runs that
     share only the anchor are compared byte by byte.
     """
@@ -463,9 +500,11 @@ def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", t
     ship(spark)
     texts = _bucketed(docs, id_col, text_col, list(others))
     total = texts.agg(F.sum("n_bytes")).first()[0] or 0
-    n_buckets = max(16, int(total / ((min_len - K) / 2) / RUNS))
+    n_runs = total / ((min_len - K) / 2)
+    n_buckets = max(16, int(n_runs / block_runs))
+    common = _common_anchors(texts, min_len, max(block_runs, int(n_runs / COMMON)), sample)
     scan = texts.select("chunk", "row", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text")
-    runs = scan.mapInArrow(_scan(min_len, n_buckets), ROWS)
+    runs = scan.mapInArrow(_scan(min_len, n_buckets, common), ROWS)
     folded = saved(runs.groupBy("bucket").applyInArrow(_fold_block(min_len), ROWS), "suffix-folded")
     blocks = texts.select("chunk", "row", "doc_id", "text").groupBy("chunk")
     fetched = blocks.cogroup(folded.where(F.col("kind") == FETCH).groupBy("chunk")).applyInArrow(_fetch(min_len), ROWS)

@@ -186,14 +186,14 @@ def brute_removed(rows, m):
     return out
 
 
-def check_repeats(spark, texts, m=100):
+def check_repeats(spark, texts, m=100, **how):
     rows = [(i, d, t) for i, (d, t) in enumerate(texts)]
     want = []
     for doc, data, gone in brute_removed(rows, m).values():
         spans = int((np.diff(np.concatenate(([0], gone.astype(int), [0]))) == 1).sum())
         kept = bytes(np.frombuffer(data, np.uint8)[~gone])
         want.append((doc, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-    got = suffix_dedup.repeated_text(docs_frame(spark, texts).repartition(3, "doc_id"), m)
+    got = suffix_dedup.repeated_text(docs_frame(spark, texts).repartition(3, "doc_id"), m, **how)
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text) for r in got.collect()]
     assert sorted(got) == sorted(want)
     return sorted(want)
@@ -216,6 +216,17 @@ def test_suffix_dedup_equals_brute_force(spark):
     assert sum(w[2] for w in want) > 5000
 
 
+def test_suffix_dedup_splits_common_anchors(spark):
+    """A 60-byte line in every text between different words, and a passage in many: blocks of a few runs."""
+    rng = np.random.default_rng(4)
+    line = "the same sixty bytes stand here in the middle of every text "
+    word = lambda: bytes(rng.integers(97, 123, 45).astype(np.uint8)).decode()
+    texts = [(i, word() + line + word() + (line * 3 if i % 4 == 0 else "") + word()) for i in range(80)]
+    texts += [(100, None), (101, line * 2), (102, "z" * 400)]
+    want = check_repeats(spark, texts)
+    assert check_repeats(spark, texts, block_runs=5, sample=1) == want and sum(w[2] for w in want) > 2000
+
+
 def test_suffix_dedup_text_longer_than_a_piece(spark):
     rng = np.random.default_rng(9)
     noise = bytes(rng.integers(97, 123, suffix_dedup.PIECE + 3000).astype(np.uint8)).decode()
