@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import read_table, saved, ship
 from corpusloom.llm.components import connected_components
 
-BLOCK = 1024
+BLOCK_BYTES = 1 << 23  # of vectors in a block
+STRIP = 256  # rows of a block multiplied at a time
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -55,9 +56,24 @@ def fit_cells(vectors: DataFrame, n_cells: int, sample: int, rounds: int, seed:
     return centroids
 
 
+def whole_margin(threshold: float) -> float:
+    """The distance to a border at which no link is lost.
+
+    The straight line between two vectors crosses the border between their homes, so their distances to it add up to
+    at most ``sqrt(2 - 2 * threshold)`` and one of them is at most half of that (and a bit, for rounding).
+    """
+    return float(np.sqrt(max(0.0, 1 - threshold) / 2)) + 1e-6
+
+
+def block_rows(dim: int) -> int:
+    """Rows of a block: at most BLOCK_BYTES of vectors."""
+    return max(256, min(16384, BLOCK_BYTES // (8 * dim)))
+
+
 def _cells(vectors: DataFrame, centroids: np.ndarray, margin: float) -> DataFrame:
-    """Each vector once in its home cell and once in every other cell whose border lies within ``margin`` of it."""
-    gaps = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 1e-12))
+    """Each vector with its home cell and ``probes``: home and every other cell whose border lies within ``margin``."""
+    # centroids nearly the same count as 1e-4 apart, which makes distances smaller, not larger
+    gaps = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 1e-8))
 
     def run(batches):
         for batch in batches:
@@ -69,80 +85,102 @@ def _cells(vectors: DataFrame, centroids: np.ndarray, margin: float) -> DataFram
             best = score[np.arange(len(x)), home]
             near = (best[:, None] - score) / gaps[home] <= margin
             near[np.arange(len(x)), home] = True
-            row, cell = np.nonzero(near)
-            probes = [np.flatnonzero(n).tolist() for n in near]
             yield pa.record_batch([
-                pa.array(cell.astype(np.int32)), batch.column(0).take(pa.array(row)),
-                batch.column(1).take(pa.array(row)), pa.array(home[row].astype(np.int32)),
-                pa.array([probes[r] for r in row.tolist()], pa.list_(pa.int32())),
-                pa.array([x[r].tobytes() for r in row.tolist()], pa.binary()),
-            ], names=["cell", "node", "weight", "home", "probes", "vec"])
+                batch.column(0), batch.column(1), pa.array(home.astype(np.int32)),
+                pa.array([np.flatnonzero(n).tolist() for n in near], pa.list_(pa.int32())),
+                pa.array([v.tobytes() for v in x], pa.binary()),
+            ], names=["node", "weight", "home", "probes", "vec"])
 
     return vectors.select("node", "weight", "unit").mapInArrow(
-        run, "cell int, node long, weight long, home int, probes array<int>, vec binary")
-
-
-def _products(threshold: float):
+        run, "node long, weight long, home int, probes array<int>, vec binary")
+
+
+def _blocks(cells: DataFrame, rows: int) -> DataFrame:
+    """The rows of every pair of blocks ``(cell, i, j)`` to compare: blocks of home vectors with each other and with
+    those of the cell's visitors.  Visitors are not compared among themselves: each pair meets in one of its homes."""
+    at = cells.withColumn("cell", F.explode("probes")).withColumn("visits", F.col("cell") != F.col("home"))
+    n = lambda visits: F.ceil(F.sum((F.col("visits") == visits).cast("long")) / F.lit(rows)).cast("int")
+    # a row for each cell
+    sizes = at.groupBy("cell").agg(n(False).alias("homes"), n(True).alias("visitors")).where("homes > 0")
+    at = at.join(F.broadcast(sizes), "cell")
+    part = F.xxhash64("node")
+    at = at.withColumn("block", F.when(F.col("visits"), F.col("homes") + F.pmod(part, F.col("visitors")))
+                       .otherwise(F.pmod(part, F.col("homes"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("homes") + F.when(F.col("visits"), 0).otherwise(F.col("visitors")) - 1)
+    at = at.withColumn("other", F.explode(others))
+    # only a home vector's probes are asked for
+    return at.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                     "node", "weight", "home", F.when(~F.col("visits"), F.col("probes")).alias("probes"), "vec")
+
+
+def _join(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Join the groups of places ``p`` and ``q`` in ``label`` (each place's smallest place of its group), in place."""
+    while True:
+        p, q = label[p], label[q]
+        apart = p != q
+        if not apart.any():
+            return
+        p, q = np.minimum(p[apart], q[apart]), np.maximum(p[apart], q[apart])
+        np.minimum.at(label, q, p)
+        while (label != label[label]).any():
+            label[:] = label[label]
+
+
+def _products(threshold: float, n_cells: int):
     """For one pair of blocks of a cell: links per vector and the links that join its groups."""
 
     def side(table):
         x = np.frombuffer(b"".join(table["vec"].to_pylist()), np.float64).reshape(table.num_rows, -1)
-        home = table["home"].to_numpy()
-        return x, table["node"].to_numpy(), table["weight"].to_numpy(), home, table["probes"].to_pylist()
+        return x, table["node"].to_numpy(), table["weight"].to_numpy(), table["home"].to_numpy(), table["probes"].to_pylist()
 
     def run(key, table):
         cell, i, j = (k.as_py() for k in key)
         left = side(table.filter(pa.compute.equal(table["block"], i)))
         right = left if i == j else side(table.filter(pa.compute.equal(table["block"], j)))
-        a, b = np.nonzero(left[0] @ right[0].T >= threshold) if len(left[0]) and len(right[0]) else (np.zeros(0, int),) * 2
-        if i == j:
-            a, b = a[a < b], b[a < b]
-        ha, hb = left[3][a], right[3][b]
-        # a pair may meet in several cells: the lowest cell that is the home of one and seen by the other counts it
-        ok = (ha == cell) | (hb == cell)
-        for n in np.flatnonzero(ok & (ha != hb)).tolist():
-            seen = [h for h in (int(ha[n]), int(hb[n])) if h in left[4][a[n]] and h in right[4][b[n]]]
-            ok[n] = min(seen) == cell
-        a, b = a[ok], b[ok]
-        count = {}
-        for nodes, rows, weights in ((left[1], a, right[2][b]), (right[1], b, left[2][a])):
-            total = np.zeros(len(nodes), np.int64)
-            np.add.at(total, rows, weights)
-            for r in np.flatnonzero(total).tolist():
-                count[int(nodes[r])] = count.get(int(nodes[r]), 0) + int(total[r])
-        # only enough links to join each group: every vector to the smallest label around it, until nothing changes
-        nodes, at = np.unique(np.concatenate((left[1][a], right[1][b])), return_inverse=True)
-        p, q = at[: len(a)], at[len(a) :]
-        label = np.arange(len(nodes))
-        while len(p):
-            low = label.copy()
-            np.minimum.at(low, p, label[q])
-            np.minimum.at(low, q, label[p])
-            low = low[low]
-            if (low == label).all():
-                break
-            label = low
-        far = np.flatnonzero(label != np.arange(len(nodes)))
-        n = len(count)
+        n, m = len(left[0]), len(right[0])
+        links = np.zeros(n, np.int64), np.zeros(m, np.int64)
+        shift = 0 if i == j else n
+        label = np.arange(m + shift)
+        away = bool(n and m) and right[3][0] != cell  # the right block's vectors are visitors
+        # a pair may meet in both its homes: the lower one counts it
+        if away:
+            probes = np.zeros((n, n_cells), bool)
+            for r, cells in enumerate(left[4]):
+                probes[r, cells] = True
+        for r in range(0, n if m else 0, STRIP):
+            c = r if i == j else 0
+            a, b = np.nonzero(left[0][r : r + STRIP] @ right[0][c:].T >= threshold)
+            a, b = a + r, b + c
+            if i == j:
+                a, b = a[a < b], b[a < b]
+            if away:
+                ok = ~(probes[a, right[3][b]] & (right[3][b] < cell))
+                a, b = a[ok], b[ok]
+            np.add.at(links[0], a, right[2][b])
+            np.add.at(links[1], b, left[2][a])
+            _join(label, a, b + shift)
+        nodes = left[1] if i == j else np.concatenate((left[1], right[1]))
+        total = links[0] + links[1] if i == j else np.concatenate(links)
+        some, far = np.flatnonzero(total), np.flatnonzero(label != np.arange(len(label)))
         return pa.table({
-            "node": pa.array(list(count) + nodes[far].tolist(), pa.int64()),
-            "links": pa.array(list(count.values()) + [None] * len(far), pa.int64()),
-            "other": pa.array([None] * n + nodes[label[far]].tolist(), pa.int64()),
+            "node": pa.array(np.concatenate((nodes[some], nodes[far])), pa.int64()),
+            "links": pa.array(total[some].tolist() + [None] * len(far), pa.int64()),
+            "other": pa.array([None] * len(some) + nodes[label[far]].tolist(), pa.int64()),
         })
 
     return run
 
 
-def embedding_groups(vectors: DataFrame, threshold: float = 0.95, margin: float = 0.05, max_cells: int = 2048,
+def embedding_groups(vectors: DataFrame, threshold: float = 0.95, margin: float | None = None, max_cells: int = 2048,
                      sample: int = 16384, rounds: int = 8, id_col: str = "vec_id",
                      vec_col: str = "embedding") -> DataFrame:
     """``(id_col, n_links, component_id, kept)``, one row per input row.
 
-    Spherical k-means (fitted on at most ``sample`` vectors, about the square root of the number of distinct
-    vectors cells, ``max_cells`` at most) gives each vector a home cell; a vector also enters the cells whose
-    border is within ``margin``.  Within cells all pairs are compared, block by block, by exact cosine in double
-    precision.  ``margin`` sets the recall: a pair is met if either vector is that close to the border between the
-    two homes; 0.05 finds every link of the test tables, 1.0 compares everything.
+    Spherical k-means (fitted on at most ``sample`` vectors, about a cell for each block of distinct vectors,
+    ``max_cells`` at most) gives each vector a home cell; a vector also visits the cells whose border is within
+    ``margin``.  Within cells all home vectors are compared with each other and with the visitors, block by block, by
+    exact cosine in double precision.  No link is lost: ``margin`` is what ``whole_margin`` derives from the
+    threshold, and a larger one only compares more (1.0: everything); a smaller one is raised to it.
     Equal vectors are folded into one weighted row first.  ``n_links`` counts other rows linked directly,
     ``component_id`` is the smallest id reachable, ``kept`` marks the row with that id.
 
@@ -159,16 +197,11 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.95, margin: float
     found = None
     for (dim,) in [tuple(r) for r in classes.groupBy(F.size("unit").alias("d")).count().select("d").collect()]:
         part = classes.where(F.size("unit") == dim)
-        n_cells = max(1, min(max_cells, round(part.count() ** 0.5)))
-        cells = saved(_cells(part, fit_cells(part, n_cells, sample, rounds), margin), "embed-cells")
-        sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-        # at most max_cells rows
-        rows_b = cells.join(F.broadcast(sizes), "cell").withColumn(
-            "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        both = rows_b.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        both = both.select("cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                           "block", "node", "weight", "home", "probes", "vec")
-        got = both.groupBy("cell", "i", "j").applyInArrow(_products(threshold), "node long, links long, other long")
+        n_cells = max(1, min(max_cells, round(part.count() / block_rows(dim))))
+        centroids = fit_cells(part, n_cells, sample, rounds)
+        cells = saved(_cells(part, centroids, max(margin or 0.0, whole_margin(threshold))), "embed-cells")
+        got = _blocks(cells, block_rows(dim)).groupBy("cell", "i", "j").applyInArrow(
+            _products(threshold, len(centroids)), "node long, links long, other long")
         found = got if found is None else found.unionByName(got)
     if found is None:
         found = spark.createDataFrame([], "node long, links long, other long")

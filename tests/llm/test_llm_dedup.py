@@ -164,6 +164,29 @@ def test_embedding_group_larger_than_a_block(spark):
     assert {(r.n_links, r.component_id) for r in got} == {(2499, 0)} and sum(r.kept for r in got) == 1
 
 
+def test_embedding_links_across_borders_are_all_found(spark, monkeypatch):
+    """Pairs at the threshold planted on both sides of borders, with the default margin, in many cells."""
+    monkeypatch.setattr(embed_dedup, "block_rows", lambda dim: 60)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1200, 6))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    across = rng.normal(size=x.shape)
+    across -= (across * x).sum(axis=1)[:, None] * x
+    across /= np.linalg.norm(across, axis=1)[:, None]
+    x = np.concatenate((x, 0.9501 * x + np.sqrt(1 - 0.9501**2) * across))
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    label, low = None, np.arange(len(x))
+    while label is None or (low != label).any():
+        label = low
+        low = np.minimum(label, np.where(near, label[None, :], len(x)).min(axis=1))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embed_dedup.embedding_groups(frame).collect()
+    want = [(i, int(near[i].sum()), int(label[i]), bool(label[i] == i)) for i in range(len(x))]
+    assert sorted(map(tuple, got)) == want
+    assert sorted(map(tuple, embed_dedup.embedding_groups(frame, margin=0.01).collect())) == want  # raised
+
+
 def test_embedding_empty_table_and_null_id(spark):
     assert embed_dedup.embedding_groups(embedding_frame(spark, [])).count() == 0
     got = embed_dedup.embedding_groups(embedding_frame(spark, [(None, [1.0, 2.0]), (3, [1.0, 2.0])])).collect()
