@@ -17,9 +17,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier, fitted on the labelled rows of ``docs``, does not reject."""
+    """Documents that the toxicity classifier, fitted on the labelled rows of ``docs``, does not reject.
+
+    Where nothing could be learned (no labelled rows, one class only, no telling n-gram) all documents stay.
+    """
     labels = read_table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(toxicity.labelled_sample(docs, labels, "toxic", toxicity.SAMPLE))
+    if not model.learned:
+        return docs.select(COLUMNS)
     return toxicity.filter_by(docs.select(COLUMNS), model, lambda score: score < 0.5)
 
 

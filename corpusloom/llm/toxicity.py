@@ -75,10 +75,15 @@ def _counts(batches):
 
 
 class ToxicityModel:
-    """Intercept and a weight for each of at most ``FEATURES`` hashed n-grams (``table``: n-gram to feature, -1 none)."""
+    """Intercept and a weight for each of at most ``FEATURES`` hashed n-grams (``table``: n-gram to feature, -1 none).
+
+    Without features (``learned`` false) every text has the same score, which tells nothing about it: such a model
+    rejects no text, whatever that score.
+    """
 
     def __init__(self, table: np.ndarray, weights: np.ndarray, intercept: float):
         self.table, self.weights, self.intercept = table, weights, intercept
+        self.learned = bool((table >= 0).any())
 
     def scores(self, texts: list[str]) -> np.ndarray:
         of, feature = _present(texts, self.table)
@@ -94,7 +99,8 @@ def fit_toxicity(sample: DataFrame, features: int = FEATURES, rounds: int = 300,
     chi-square of its two-by-two table) become features.  Second pass: which features each sampled text has.
     Logistic regression on presence times ``r`` is then fitted on these short lists (at most the sample's rows and
     ``features`` n-grams reach the driver).
-    Without rows of both classes the model is the class share alone.
+    Without rows of both classes, or where no n-gram tells enough, the model's scores are the class share alone and it
+    rejects nothing.
     """
     ship(sample.sparkSession)
     sample = saved(sample, "toxicity-sample")
@@ -184,11 +190,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 
     Learns from at most ``sample`` labelled rows of ``learn_from`` (``docs`` itself unless given) that are not held
     out.  Only texts enter a score.  Null and empty texts are scored as empty; ids are passed on, null and repeated
-    ones too; other columns are ignored; an empty table gives no rows.
+    ones too; other columns are ignored; an empty table gives no rows.  Where nothing could be learned ``predicted``
+    is 0 for all rows, whatever the score (see ``fit_toxicity``).
     """
     model = fit_toxicity(labelled_sample(learn_from if learn_from is not None else docs, labels, "toxic", sample))
     scored = score_toxicity(docs, model)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", ((F.col("score") >= threshold) & F.lit(model.learned)).cast("int").alias("predicted"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

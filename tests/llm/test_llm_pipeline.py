@@ -48,6 +48,21 @@ def test_classifier_stages_drop_what_they_reject(spark, stages, at, module, labe
     assert set(after) == kept and all(after[i] == before[i] for i in kept)
 
 
+@pytest.mark.parametrize("case", ["no labels", "held out only", "toxic only", "no telling n-gram"])
+def test_toxicity_stage_that_learned_nothing_drops_nothing(spark, tmpdir_path, case):
+    words = ["river", "stone", "meadow", "cloud"]
+    docs = spark.createDataFrame([(i, f"{words[i % 4]} and {words[i // 4 % 4]}", "en", "s", 9) for i in range(60)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    held = {i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 0}
+    y = {"no labels": {}, "held out only": {i: i % 2 for i in held}, "toxic only": dict.fromkeys(range(60), 1),
+         "no telling n-gram": {i: int(i // 16 % 4 != 0) for i in range(60)}}[case]
+    spark.createDataFrame(list(y.items()), "doc_id long, toxic int").write.parquet(f"{tmpdir_path}/labels.parquet")
+    got = corpus_pipeline.drop_toxic(spark, docs, tmpdir_path)
+    assert got.dtypes == docs.dtypes and sorted(got.collect()) == sorted(docs.collect())
+    rows = toxicity.toxicity(docs, read_table(spark, tmpdir_path, "labels")).collect()
+    assert len(rows) == 60 and {r.predicted for r in rows} == {0} and min(r.score for r in rows) >= 0.5
+
+
 def test_simhash_stage(stages):
     _, docs, got = stages[2]
     rows = sorted(rows_of(docs).items())
