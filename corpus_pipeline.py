@@ -36,9 +36,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group (4-word shingles, at most 4 bits apart)."""
-    groups = simhash.simhash_groups(docs, shingle_words=4, max_bits=4)
-    return simhash.keep_one_per_group(docs.select(COLUMNS), groups)
+    """The document with the smallest id of each SimHash group (4-word shingles, at most 4 bits apart).
+
+    One row a group, also where ids are repeated or null (a null id is kept only if its group has no other).
+    """
+    return simhash.one_per_group(docs.select(COLUMNS), shingle_words=4, max_bits=4)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,6 +126,23 @@ def op1_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that are their group's smallest id (rows without an id stay)."""
+    """The rows of ``docs`` that are their group's smallest id (rows without an id and repeated ids stay; for one row a
+    group whatever the ids, see ``one_per_group``)."""
     drop = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     return docs.join(drop, id_col, "left_anti")
+
+
+def one_per_group(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col: str = "doc_id") -> DataFrame:
+    """Exactly one row of ``docs`` for each SimHash group of its rows: the smallest id, null ids last, and any one of
+    the rows that repeat that id.
+
+    Rows are grouped by a number of their own, so ids that are null or repeated link by their texts like any other.
+    """
+    # written once: the numbers must be the same wherever they are read
+    rows = saved(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "simhash-rows")
+    texts = rows.select("row", F.col("doc.text").alias("text"))
+    groups = simhash_groups(texts, shingle_words, max_bits, id_col="row").select("row", "component_id")
+    ids = rows.select("row", F.col("doc")[id_col].alias("id"))
+    first = groups.join(ids, "row").groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+    return rows.join(first.select("first.row"), "row", "left_semi").select("doc.*")

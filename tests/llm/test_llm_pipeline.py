@@ -71,6 +71,16 @@ def test_simhash_stage(stages):
     assert sorted(rows_of(got)) == [rows[i][0] for i, c in enumerate(label) if c == i]
 
 
+def test_simhash_stage_keeps_one_row_a_group_of_repeated_and_null_ids(spark):
+    a, b, c, d = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue white black", "up down left right in out")
+    rows = [(7, a), (7, a), (None, a), (9, a), (None, b), (None, b), (4, c), (4, d), (3, d), (3, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 5) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.one_per_group(spark, docs.repartition(3), SF)
+    assert got.dtypes == docs.dtypes
+    assert sorted((r.doc_id or -1, r.text or "") for r in got.collect()) == sorted([(7, a), (-1, b), (4, c), (3, d), (3, "")])
+
+
 def test_suffix_stage(stages):
     _, docs, got = stages[3]
     rows, after = sorted(rows_of(docs).items()), rows_of(got)
