@@ -6,7 +6,10 @@ from corpusloom.llm import (
     bpe,
     chat_format,
     embed_dedup,
+    merkle,
     packing,
+    pii,
+    prefix_trie,
     quality_gam,
     quality_rules,
     simhash,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality_classifier": quality_gam.op10_quality_classifier,
+    "op11_pii": pii.op11_pii,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE = {
@@ -33,4 +39,6 @@ ORACLE = {
     "op3_suffix_array_dedup": suffix_dedup.OP3_SQL,
     "op4_chat_formatting": chat_format.OP4_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
+    "op12_prefix_trie": prefix_trie.OP12_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
