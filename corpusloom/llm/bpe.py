@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import read_table, ship, worker_cache
-from corpusloom.llm.segments import SegmentCache, batches_of_text
+from corpusloom.llm.segments import SegmentCache, batches_of_text, joinable
 
 LONG = 192  # bytes; the recursion's work on one piece grows with the square of its length, so a heap takes longer ones
-AT_ONCE = 20_000  # pieces in one recursive query
+AT_ONCE = 40_000  # pieces in one recursive query
 
-ENCODE = """
+CODE = """
 WITH RECURSIVE word(step, piece, tokens) AS (
   SELECT 0, piece, list(token ORDER BY position) FROM start GROUP BY piece
   UNION ALL
@@ -34,14 +34,17 @@ WITH RECURSIVE word(step, piece, tokens) AS (
                  unnest(range(1, len(tokens) + 1)) AS position FROM word) p
     JOIN merges m ON m.pair = (p.token::BIGINT << 32 | p.follower)
     GROUP BY p.piece) ON piece = which
-)
-SELECT piece, tokens FROM word QUALIFY step = max(step) OVER (PARTITION BY piece) ORDER BY piece
+),
+coded AS MATERIALIZED (SELECT piece, arg_max(tokens, step) AS tokens FROM word GROUP BY piece)
 """
 
 DECODE = """
-SELECT piece, string_agg(v.hex, '' ORDER BY position) AS hex
-FROM (SELECT piece, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS position FROM coded)
-JOIN vocabulary v USING (token) GROUP BY piece ORDER BY piece
+SELECT piece, len(tokens) AS n, array_to_string(tokens, ' ') AS ids, hex
+FROM coded JOIN (
+  SELECT piece, string_agg(v.hex, '' ORDER BY position) AS hex
+  FROM (SELECT piece, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS position FROM coded)
+  JOIN vocabulary v USING (token) GROUP BY piece) USING (piece)
+ORDER BY piece
 """
 
 
@@ -100,52 +103,67 @@ class PieceCoder:
             offer(i)
         return [t for t in token if t is not None]
 
-    def _contract(self, pieces: list[bytes]) -> list[list[int]]:
+    def _answer(self, query: str) -> list[tuple[int, bytes, bytes]]:
+        """Per piece: the number of its ids, the ids in decimal (each after a space), the bytes that they decode to."""
+        t = self.con.sql(query).to_arrow_table()
+        back = map(bytes.fromhex, t["hex"].to_pylist())
+        return [(n, b" " + ids, b) for n, ids, b in zip(t["n"].to_pylist(), t["ids"].cast(pa.binary()).to_pylist(), back)]
+
+    def _contract(self, pieces: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         data = np.frombuffer(b"".join(pieces), np.uint8)
         position = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.con.register("start", pa.table({"piece": np.repeat(np.arange(len(pieces), dtype=np.int32), sizes),
                                              "position": position.astype(np.int32), "token": self.single[data]}))
-        return self.con.sql(ENCODE).to_arrow_table()["tokens"].to_pylist()
+        return self._answer(CODE + DECODE)
 
-    def _decode(self, coded: list[list[int]]) -> list[bytes]:
+    def _decode(self, coded: list[list[int]]) -> list[tuple[int, bytes, bytes]]:
         self.con.register("coded", pa.table({"piece": np.arange(len(coded), dtype=np.int32),
                                              "tokens": pa.array(coded, pa.list_(pa.int32()))}))
-        return [bytes.fromhex(h) for h in self.con.sql(DECODE).to_arrow_table()["hex"].to_pylist()]
+        return self._answer(DECODE)
 
-    def code(self, pieces: list[str]) -> list[tuple[list[int], bytes]]:
-        """Ids of each piece, and the bytes that these ids decode to."""
+    def code(self, pieces: list[str]) -> list[tuple[int, bytes, bytes]]:
+        """Per piece: the number of its ids, the ids in decimal (each after a space), the bytes that they decode to."""
         out: list = [None] * len(pieces)
         raw = [p.encode() for p in pieces]
         short = [i for i, b in enumerate(raw) if len(b) <= LONG]
         for at in range(0, len(short), AT_ONCE):
             some = short[at : at + AT_ONCE]
-            for i, ids in zip(some, self._contract([raw[i] for i in some])):
-                out[i] = ids
-        for i, b in enumerate(raw):
-            if len(b) > LONG:
-                out[i] = self._long(b)
-        back: list[bytes] = []
-        for at in range(0, len(out), AT_ONCE):
-            back += self._decode(out[at : at + AT_ONCE])
-        return list(zip(out, back))
+            for i, found in zip(some, self._contract([raw[i] for i in some])):
+                out[i] = found
+        long = [i for i, b in enumerate(raw) if len(b) > LONG]
+        if long:
+            for i, found in zip(long, self._decode([self._long(raw[i]) for i in long])):
+                out[i] = found
+        return out
 
     def segments(self, some: list[str]) -> list[tuple[int, bytes, bytes]]:
-        """Per segment: the number of its ids, the ids as text (each after a space), the decoded bytes."""
-        cut = [self.split(s) for s in some]
+        """What ``code`` gives, for segments of several pieces."""
         if len(self.pieces) > 600_000:
             self.pieces.clear()
-        new = list({p for c in cut for p in c if p not in self.pieces})
-        if new:
-            self.pieces.update((p, (len(ids), b"".join(b" %d" % i for i in ids), back))
-                               for p, (ids, back) in zip(new, self.code(new)))
-        out = []
-        for c in cut:
-            if len(c) == 1:
-                out.append(self.pieces[c[0]])
+        out: list = [None] * len(some)
+        for kind, which in joinable(some).items():
+            if kind == "alone":
+                cut = [self.split(some[i]) for i in which]
+                pieces = [p for c in cut for p in c]
+                last = np.cumsum([len(c) for c in cut], dtype=np.int64)
+                first = np.concatenate(([0], last))[:-1]
             else:
-                got = [self.pieces[p] for p in c]
-                out.append((sum(g[0] for g in got), b"".join(g[1] for g in got), b"".join(g[2] for g in got)))
+                # the pattern's pieces of the joined text, parted again where the segments begin
+                pieces = self.split(kind.join([some[i] for i in which]))
+                ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                size = np.fromiter((len(some[i]) for i in which), np.int64, len(which)) + len(kind)
+                begin = np.cumsum(size) - size
+                first, last = np.searchsorted(ends, begin, "right"), np.searchsorted(ends, begin + size - len(kind), "left") + 1
+            new = list(set(pieces).difference(self.pieces))
+            self.pieces.update(zip(new, self.code(new)))
+            found = list(map(self.pieces.__getitem__, pieces))
+            for i, a, z in zip(which, first.tolist(), last.tolist()):
+                if z - a == 1:
+                    out[i] = found[a]
+                else:
+                    n, ids, back = zip(*found[a:z])
+                    out[i] = sum(n), b"".join(ids), b"".join(back)
         return out
 
 
@@ -171,10 +189,12 @@ def bpe_round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, z in batches_of_text(texts):
                 n, ids_sha, back_sha, ids, decoded = [], [], [], [], []
-                for found in cache.many(texts[a:z]):
-                    line = b"".join([f[1] for f in found])[1:]
-                    back = b"".join([f[2] for f in found])
-                    n.append(sum([f[0] for f in found]))
+                values, places = cache.looked_up(texts[a:z])
+                counts, lines, backs = list(zip(*values)) or ((), (), ())
+                for some in places:
+                    line = b"".join(map(lines.__getitem__, some))[1:]
+                    back = b"".join(map(backs.__getitem__, some))
+                    n.append(sum(map(counts.__getitem__, some)))
                     ids_sha.append(hashlib.sha256(line).hexdigest())
                     back_sha.append(hashlib.sha256(back).hexdigest())
                     if with_ids:

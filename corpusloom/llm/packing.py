@@ -47,7 +47,8 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, z in batches_of_text(texts):
-                ids = [b"".join(found) + end for found in cache.many(texts[a:z])]
+                values, places = cache.looked_up(texts[a:z])
+                ids = [b"".join(map(values.__getitem__, some)) + end for some in places]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 at = local + np.cumsum(n) - n
                 local += int(n.sum())

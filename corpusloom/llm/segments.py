@@ -34,6 +34,10 @@ def _segment(word: str) -> str:
     return word if word[0] == "\n" else " " + word
 
 
+def _segment_or_space(word: str) -> str:
+    return _segment(word) if word else " "
+
+
 def segments(text: str) -> list[str]:
     """The segments of a text, in order; joined they are the text."""
     words = _plain(text)
@@ -42,6 +46,10 @@ def segments(text: str) -> list[str]:
     return words[:1] * bool(words[0]) + [_segment(w) for w in words[1:]]
 
 
+# White space beside other white space, at the end, or of a kind that `_plain` does not know.
+_ODD = re.compile(f"[{''.join(_RARE)}]|[ \n](?:[ \n]|\\Z)")
+
+
 class SegmentCache:
     """Segment -> what ``encode(list of segments)`` gives for it.  About ``limit`` entries are kept: those used since
     the last half of them came in, and the half before."""
@@ -51,8 +59,8 @@ class SegmentCache:
         self.after: tuple[dict, dict] = {}, {}  # by the words that follow a space or begin with a line break
         self.whole: tuple[dict, dict] = {}, {}  # by other segments
 
-    def _fill(self, caches: tuple[dict, dict], wanted: set, segment) -> tuple[dict, dict]:
-        """The caches with every wanted word in the younger one."""
+    def _fill(self, caches: tuple[dict, dict], wanted: list, segment) -> tuple[dict, dict]:
+        """The caches with every one of the (different) wanted words in the younger one."""
         young, old = caches
         if len(young) + len(wanted) > self.limit // 2:
             young, old = {}, young
@@ -67,22 +75,46 @@ class SegmentCache:
             young.update(zip(new, self.encode([segment(w) for w in new])))
         return young, old
 
+    def looked_up(self, texts: list[str]) -> tuple[list, list[list[int]]]:
+        """``(values, places)``: the values of the different segments of all texts, and for each text the places in
+        ``values`` of its segments in order.
+
+        Words of ordinary texts are cut and told apart by Arrow, so that Python sees each different word once.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        plain = [i for i, t in enumerate(texts) if not _ODD.search(t)]
+        lists = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in plain], pa.large_string()), "\n", " \n"), " ")
+        coded = lists.values.dictionary_encode()
+        words, word, cut = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
+        self.after = self._fill(self.after, words, _segment_or_space)
+        place: dict[str, int] = {}
+        of = lambda s: place.setdefault(s, len(words) + len(place))
+        places: list = [None] * len(texts)
+        for i, a, z in zip(plain, cut[:-1].tolist(), cut[1:].tolist()):
+            first = words[word[a]]
+            places[i] = ([of(first)] if first else []) + word[a + 1 : z].tolist()
+        for i, text in enumerate(texts):
+            if places[i] is None:
+                places[i] = [of(s) for s in _BORDER.split(text)]
+        self.whole = self._fill(self.whole, list(place), str)
+        values = [*map(self.after[0].__getitem__, words), *map(self.whole[0].__getitem__, place)]
+        return values, places
+
     def many(self, texts: list[str]) -> list[list]:
         """For each text, the values of its segments in order."""
-        cut, after, whole = [], set(), set()
-        for text in texts:
-            words = _plain(text)
-            if words is None:
-                cut.append((_BORDER.split(text), []))
-                whole.update(cut[-1][0])
-            else:
-                cut.append((words[:1] if words[0] else [], words[1:]))
-                whole.update(cut[-1][0])
-                after.update(cut[-1][1])
-        self.after = self._fill(self.after, after, _segment)
-        self.whole = self._fill(self.whole, whole, str)
-        of_whole, of_after = self.whole[0].__getitem__, self.after[0].__getitem__
-        return [[*map(of_whole, first), *map(of_after, rest)] for first, rest in cut]
+        values, places = self.looked_up(texts)
+        return [[values[k] for k in some] for some in places]
+
+
+def joinable(some: list[str]) -> dict[str, list[int]]:
+    """The places of segments that may be joined: by ``""`` those that begin with white space and end without, by
+    ``"\\n"`` those without at either end; ``"alone"`` the others."""
+    kinds: dict[str, list[int]] = {"": [], "\n": [], "alone": []}
+    for i, s in enumerate(some):
+        kinds["alone" if not s or s[-1] in _WHITE else "" if s[0] in _WHITE else "\n"].append(i)
+    return kinds
 
 
 def encode_joined(some: list[str], encode, id_bytes: np.ndarray, dtype: str, at_once: int = 500) -> list[bytes]:
@@ -93,9 +125,7 @@ def encode_joined(some: list[str], encode, id_bytes: np.ndarray, dtype: str, at_
     stands for (``id_bytes``).  Other segments are encoded one by one.
     """
     out: list = [None] * len(some)
-    kinds: dict[str, list[int]] = {"": [], "\n": [], "alone": []}
-    for i, s in enumerate(some):
-        kinds["alone" if not s or s[-1] in _WHITE else "" if s[0] in _WHITE else "\n"].append(i)
+    kinds = joinable(some)
     for i, ids in zip(kinds["alone"], encode([some[i] for i in kinds["alone"]])):
         out[i] = np.array(ids, dtype).tobytes()
     for glue in ("", "\n"):

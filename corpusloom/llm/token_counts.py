@@ -35,7 +35,8 @@ def write_token_files(docs: DataFrame, path: str, ranks: str, pattern: str, end_
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, z in batches_of_text(texts):
-                yield pa.record_batch([pa.array([b"".join(f) for f in cache.many(texts[a:z])], pa.binary())], names=["ids"])
+                values, places = cache.looked_up(texts[a:z])
+                yield pa.record_batch([pa.array([b"".join(map(values.__getitem__, p)) for p in places], pa.binary())], names=["ids"])
 
     separator = np.array([end_id], "<u2").tobytes().decode("latin-1")
     rows = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "ids binary")
