@@ -23,13 +23,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = read_table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(toxicity.labelled_sample(docs, labels, "toxic", toxicity.SAMPLE))
-    if not model.learned:
-        return docs.select(COLUMNS)
     return toxicity.filter_by(docs.select(COLUMNS), model, lambda score: score < 0.5)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on the labelled rows of ``docs``, does not reject."""
+    """Documents that the quality classifier, fitted on the labelled rows of ``docs``, does not reject.
+
+    Where nothing could be learned (no labelled rows, one class only) all documents stay.
+    """
     labels = read_table(spark, sf_dir, "labels")
     model = quality_gam.fit_quality(quality_gam.labelled_sample(docs, labels, "quality", quality_gam.SAMPLE))
     return quality_gam.filter_by(docs.select(COLUMNS), model, lambda score: score >= 0.3)
