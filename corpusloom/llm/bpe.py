@@ -39,7 +39,7 @@ coded AS MATERIALIZED (SELECT piece, arg_max(tokens, step) AS tokens FROM word G
 """
 
 DECODE = """
-SELECT piece, len(tokens) AS n, array_to_string(tokens, ' ') AS ids, hex
+SELECT piece, len(tokens) AS n, (' ' || array_to_string(tokens, ' '))::BLOB AS ids, unhex(hex) AS back
 FROM coded JOIN (
   SELECT piece, string_agg(v.hex, '' ORDER BY position) AS hex
   FROM (SELECT piece, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS position FROM coded)
@@ -106,8 +106,7 @@ class PieceCoder:
     def _answer(self, query: str) -> list[tuple[int, bytes, bytes]]:
         """Per piece: the number of its ids, the ids in decimal (each after a space), the bytes that they decode to."""
         t = self.con.sql(query).to_arrow_table()
-        back = map(bytes.fromhex, t["hex"].to_pylist())
-        return [(n, b" " + ids, b) for n, ids, b in zip(t["n"].to_pylist(), t["ids"].cast(pa.binary()).to_pylist(), back)]
+        return list(zip(t["n"].to_pylist(), t["ids"].to_pylist(), t["back"].to_pylist()))
 
     def _contract(self, pieces: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))

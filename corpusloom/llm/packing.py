@@ -27,7 +27,7 @@ def _json_cache(path: str) -> SegmentCache:
             id_bytes[i] = len(token)
 
         def encode(texts):
-            return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+            return [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
         return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"), 500_000)
 

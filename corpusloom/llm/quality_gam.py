@@ -95,12 +95,13 @@ class AdditiveModel:
 
 def fit_additive(x: np.ndarray, y: np.ndarray, rounds: int = 120, rate: float = 0.15, n_pairs: int = 6) -> AdditiveModel:
     """Cyclic boosting of the logistic loss: ``rounds`` times once round all features, then round the ``n_pairs`` pairs
-    whose quadrants explain most of what is left.  Without rows of both classes the model is the class share."""
+    whose quadrants explain most of what is left.  Without rows of both classes nothing is learned: every score is 0.5,
+    so that such a model rejects nothing."""
     n1 = float(y.sum()) if len(y) else 0.0
     intercept = float(np.log((n1 + 1) / (len(y) - n1 + 1)))
     width = x.shape[1]
     if not 0 < n1 < len(y):
-        return AdditiveModel([np.zeros(0)] * width, intercept, [np.zeros(1)] * width, {})
+        return AdditiveModel([np.zeros(0)] * width, 0.0, [np.zeros(1)] * width, {})
     cuts = [np.unique(np.quantile(x[:, f], np.arange(1, BINS) / BINS)) for f in range(width)]
     model = AdditiveModel(cuts, intercept, [np.zeros(len(c) + 1) for c in cuts], {})
     b = model.bins(x)
@@ -185,7 +186,8 @@ def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold:
 
     Learns from at most ``sample`` labelled rows of ``learn_from`` (``docs`` itself unless given) that are not held
     out.  Only texts enter a score.  Null and empty texts are scored as empty; ids are passed on, null and repeated
-    ones too; other columns are ignored; an empty table gives no rows.
+    ones too; other columns are ignored; an empty table gives no rows.  Where nothing could be learned all scores are
+    0.5 (see ``fit_additive``).
     """
     model = fit_quality(labelled_sample(learn_from if learn_from is not None else docs, labels, "quality", sample))
     scored = score_quality(docs, model)

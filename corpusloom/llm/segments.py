@@ -46,8 +46,12 @@ def segments(text: str) -> list[str]:
     return words[:1] * bool(words[0]) + [_segment(w) for w in words[1:]]
 
 
-# White space beside other white space, at the end, or of a kind that `_plain` does not know.
-_ODD = re.compile(f"[{''.join(_RARE)}]|[ \n](?:[ \n]|\\Z)")
+_BESIDE = "  ", " \n", "\n ", "\n\n"
+
+
+def _odd(text: str) -> bool:
+    """Whether a text has white space beside other white space, at its end, or of another kind than these two."""
+    return text.endswith((" ", "\n")) or any([x in text for x in _BESIDE]) or any([c in text for c in _RARE])
 
 
 class SegmentCache:
@@ -64,13 +68,10 @@ class SegmentCache:
         young, old = caches
         if len(young) + len(wanted) > self.limit // 2:
             young, old = {}, young
-        new = []
-        for w in wanted:
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    new.append(w)
+        new = [w for w in wanted if w not in young]
+        known = [w for w in new if w in old]
+        young.update(zip(known, map(old.__getitem__, known)))
+        new = [w for w in new if w not in old] if known else new
         if new:
             young.update(zip(new, self.encode([segment(w) for w in new])))
         return young, old
@@ -84,7 +85,7 @@ class SegmentCache:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        plain = [i for i, t in enumerate(texts) if not _ODD.search(t)]
+        plain = [i for i, t in enumerate(texts) if not _odd(t)]
         lists = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in plain], pa.large_string()), "\n", " \n"), " ")
         coded = lists.values.dictionary_encode()
         words, word, cut = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()

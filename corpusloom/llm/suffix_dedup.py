@@ -461,19 +461,34 @@ def _cut(with_text: bool):
     return run
 
 
+MOST_BUCKETS = 20_000  # Spark allows 100,000; a bucket then holds several blocks, which are read one after another
+BLOCK_ROWS = 1 << 15  # texts of a block
+
+
+def _n_buckets(partitions: int) -> int:
+    return max(1, min(partitions, MOST_BUCKETS))
+
+
 def _bucketed(docs: DataFrame, id_col: str, text_col: str, others: list[str]) -> DataFrame:
-    """The texts written in blocks (one per input partition), bucketed by block number without a shuffle."""
+    """The texts written in blocks (at most ``BLOCK_ROWS`` texts of an input partition; a 64th block of a partition
+    takes all further ones), bucketed by block number without a shuffle.
+
+    The table is dropped from the catalog at once: its files stay, and the plan has already found them.
+    """
     spark = docs.sparkSession
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     blocks = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                          *(F.col(c).alias(f"other_{i}") for i, c in enumerate(others)),
-                         F.spark_partition_id().alias("chunk"),
-                         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).cast("int").alias("row"))
+                         (F.spark_partition_id() * 64 + F.least(F.floor(row / BLOCK_ROWS), F.lit(63))).cast("int").alias("chunk"),
+                         row.cast("int").alias("row"))
     blocks = blocks.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     path = scratch(spark, "suffix-texts")
     name = "suffix_texts_" + path.rpartition("-")[2]
-    n = max(1, docs.select(id_col).rdd.getNumPartitions())
+    n = _n_buckets(docs.select(id_col).rdd.getNumPartitions())
     blocks.write.option("compression", "zstd").option("path", path).bucketBy(n, "chunk").saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def repeated_text(docs: DataFrame, min_len: int = 100, id_col: str = "doc_id", text_col: str = "text",

@@ -16,6 +16,7 @@ SIZES = (3, 4, 5, 6)
 FEATURES = 6000  # n-grams of the linear model
 TELLING = 30.0  # chi-square that a feature needs at least
 SAMPLE = 20_000  # labelled documents learned from, at most
+NOTHING = 0.25  # the highest score of a model that learned nothing
 ALPHA = 0.5  # added to the counts of the ratio
 
 
@@ -77,13 +78,11 @@ def _counts(batches):
 class ToxicityModel:
     """Intercept and a weight for each of at most ``FEATURES`` hashed n-grams (``table``: n-gram to feature, -1 none).
 
-    Without features (``learned`` false) every text has the same score, which tells nothing about it: such a model
-    rejects no text, whatever that score.
+    Without features every text has the same score, which tells nothing about it: ``fit_toxicity`` keeps it below 0.5.
     """
 
     def __init__(self, table: np.ndarray, weights: np.ndarray, intercept: float):
         self.table, self.weights, self.intercept = table, weights, intercept
-        self.learned = bool((table >= 0).any())
 
     def scores(self, texts: list[str]) -> np.ndarray:
         of, feature = _present(texts, self.table)
@@ -99,8 +98,8 @@ def fit_toxicity(sample: DataFrame, features: int = FEATURES, rounds: int = 300,
     chi-square of its two-by-two table) become features.  Second pass: which features each sampled text has.
     Logistic regression on presence times ``r`` is then fitted on these short lists (at most the sample's rows and
     ``features`` n-grams reach the driver).
-    Without rows of both classes, or where no n-gram tells enough, the model's scores are the class share alone and it
-    rejects nothing.
+    Without rows of both classes, or where no n-gram tells enough, nothing is learned: every score is the share of
+    toxic rows, but at most ``NOTHING``, so that such a model rejects nothing.
     """
     ship(sample.sparkSession)
     sample = saved(sample, "toxicity-sample")
@@ -108,8 +107,9 @@ def fit_toxicity(sample: DataFrame, features: int = FEATURES, rounds: int = 300,
     n0, n1 = n.get(0, 0), n.get(1, 0)
     empty = np.full(1 << BITS, -1, np.int32)
     prior = float(np.log((n1 + 1) / (n0 + 1)))
+    unlearned = ToxicityModel(empty, np.zeros(1), min(prior, float(np.log(NOTHING / (1 - NOTHING)))))
     if not n0 or not n1:
-        return ToxicityModel(empty, np.zeros(1), prior)
+        return unlearned
     counts = sample.mapInArrow(_counts, "id long, other long, toxic long")
     counts = counts.groupBy("id").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     a0, a1, both = F.col("other").cast("double"), F.col("toxic").cast("double"), float(n0 + n1)
@@ -118,7 +118,7 @@ def fit_toxicity(sample: DataFrame, features: int = FEATURES, rounds: int = 300,
     top = counts.select("id", "other", "toxic", chi.alias("chi")).where(F.col("chi") > TELLING)
     top = top.orderBy(F.desc("chi"), "id").limit(features).collect()
     if not top:
-        return ToxicityModel(empty, np.zeros(1), prior)
+        return unlearned
     ids, a0, a1 = (np.array([row[k] for row in top]) for k in ("id", "other", "toxic"))
     r = np.log((a1 + ALPHA) / (n1 + 2 * ALPHA)) - np.log((a0 + ALPHA) / (n0 + 2 * ALPHA))
     table = empty.copy()
@@ -190,12 +190,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 
     Learns from at most ``sample`` labelled rows of ``learn_from`` (``docs`` itself unless given) that are not held
     out.  Only texts enter a score.  Null and empty texts are scored as empty; ids are passed on, null and repeated
-    ones too; other columns are ignored; an empty table gives no rows.  Where nothing could be learned ``predicted``
-    is 0 for all rows, whatever the score (see ``fit_toxicity``).
+    ones too; other columns are ignored; an empty table gives no rows.  Where nothing could be learned all scores lie
+    below 0.5 (see ``fit_toxicity``).
     """
     model = fit_toxicity(labelled_sample(learn_from if learn_from is not None else docs, labels, "toxic", sample))
     scored = score_toxicity(docs, model)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", ((F.col("score") >= threshold) & F.lit(model.learned)).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

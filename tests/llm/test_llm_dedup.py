@@ -250,6 +250,19 @@ def test_suffix_dedup_splits_common_anchors(spark):
     assert check_repeats(spark, texts, block_runs=5, sample=1) == want and sum(w[2] for w in want) > 2000
 
 
+def test_suffix_dedup_with_several_blocks_a_bucket(spark, monkeypatch):
+    """More blocks than buckets, several blocks of a partition; the catalog keeps no table."""
+    assert suffix_dedup._n_buckets(200_000) < 100_000 and suffix_dedup._n_buckets(3) == 3
+    monkeypatch.setattr(suffix_dedup, "MOST_BUCKETS", 2)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_ROWS", 4)
+    rng = np.random.default_rng(5)
+    word = lambda: bytes(rng.integers(97, 123, 30).astype(np.uint8)).decode()
+    passage = "".join(word() for _ in range(6))
+    texts = [(i, word() + (passage if i % 3 else passage[20:150]) + word()) for i in range(50)]
+    assert sum(w[2] for w in check_repeats(spark, texts)) > 2000
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("suffix_texts_")]
+
+
 def test_suffix_dedup_text_longer_than_a_piece(spark):
     rng = np.random.default_rng(9)
     noise = bytes(rng.integers(97, 123, suffix_dedup.PIECE + 3000).astype(np.uint8)).decode()

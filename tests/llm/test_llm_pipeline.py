@@ -60,7 +60,32 @@ def test_toxicity_stage_that_learned_nothing_drops_nothing(spark, tmpdir_path, c
     got = corpus_pipeline.drop_toxic(spark, docs, tmpdir_path)
     assert got.dtypes == docs.dtypes and sorted(got.collect()) == sorted(docs.collect())
     rows = toxicity.toxicity(docs, read_table(spark, tmpdir_path, "labels")).collect()
-    assert len(rows) == 60 and {r.predicted for r in rows} == {0} and min(r.score for r in rows) >= 0.5
+    assert len(rows) == 60 and {r.predicted for r in rows} == {0} and max(r.score for r in rows) < 0.5
+
+
+@pytest.mark.parametrize("case", ["no labels", "bad only", "good only", "labels of other documents"])
+def test_quality_stage_that_learned_nothing_drops_nothing(spark, tmpdir_path, case):
+    docs = spark.createDataFrame([(i, f"a river {i}", "en", "s", 9) for i in range(60)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    y = {"no labels": {}, "bad only": dict.fromkeys(range(60), 0), "good only": dict.fromkeys(range(60), 1),
+         "labels of other documents": {i: i % 2 for i in range(1000, 1100)}}[case]
+    spark.createDataFrame(list(y.items()), "doc_id long, quality int").write.parquet(f"{tmpdir_path}/labels.parquet")
+    got = corpus_pipeline.keep_quality(spark, docs, tmpdir_path)
+    assert got.dtypes == docs.dtypes and sorted(got.collect()) == sorted(docs.collect())
+    rows = quality_gam.quality(docs, read_table(spark, tmpdir_path, "labels")).collect()
+    assert len(rows) == 60 and {r.predicted for r in rows} == {1}
+
+
+@pytest.mark.parametrize("label", ["toxic", "quality"])
+def test_the_labelled_sample_is_bounded_in_rows(spark, label):
+    docs = spark.range(20_000).selectExpr("7L AS doc_id", "CAST(id % 3 AS STRING) AS text")
+    docs = docs.unionByName(spark.range(100, 160).selectExpr("id AS doc_id", "IF(id % 2 = 0, NULL, 'x') AS text"))
+    labels = spark.range(5_000).selectExpr("id AS doc_id", f"CAST(id % 2 AS INT) AS {label}")
+    have = [i for i in [7, *range(100, 160)] if zlib.crc32(str(i).encode()) % 5]
+    assert toxicity.labelled_sample(docs, labels, label, 1000).count() == len(have)
+    assert toxicity.labelled_sample(docs, labels, label, 20).count() == 20
+    one = toxicity.labelled_sample(docs.where("doc_id = 7"), labels, label, 50).collect()
+    assert len(one) == 1 and one[0].text in ("0", "1", "2") and one[0].y == 1
 
 
 def test_simhash_stage(stages):
@@ -105,7 +130,7 @@ def test_packing_stage_and_run(spark, stages):
 def test_every_dealt_operator_is_registered():
     import __spark_entry__
 
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(queries.ORACLE) <= set(queries.QUERIES)
 
 

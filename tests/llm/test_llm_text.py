@@ -170,7 +170,7 @@ def test_classifiers_odd_rows(spark, operator, kind):
     assert {r.score for r in rows if r.doc_id == 1} == {r.score for r in rows if r.doc_id == 2}
     assert len({r.score for r in rows if r.doc_id == 4}) == 1
     none = labels.where("doc_id < 0")
-    assert {r.score for r in operator(docs, none).collect()} == {0.5}  # nothing learned: the classes are even
+    assert {r.score for r in operator(docs, none).collect()} == {0.25 if kind == "toxic" else 0.5}  # nothing learned: nothing rejected
     assert operator(docs.where("doc_id < 0"), labels).count() == 0
 
 
@@ -186,6 +186,68 @@ def test_quality_tables_add_up():
     assert np.allclose(m.scores(x[:5]), 1 / (1 + np.exp(-np.array(z))))
 
 
+def test_toxicity_ratios_and_choice_equal_plain_loops(spark):
+    """Counts, log-count ratios, the chi-square choice and the score of a fitted model, n-gram by n-gram."""
+    import zlib as z
+
+    docs, labels, y = labelled(spark, "toxic")
+    sample = toxicity.labelled_sample(docs, labels, "toxic", 200)
+    rows = [(r.text, r.y) for r in sample.collect()]
+    model = toxicity.fit_toxicity(sample)
+    grams = [set(toxicity._present([t], np.arange(1 << toxicity.BITS, dtype=np.int32))[1].tolist()) for t, _ in rows]
+    n = Counter(label for _, label in rows)
+    count = {c: Counter(g for gs, (_, label) in zip(grams, rows) if label == c for g in gs) for c in (0, 1)}
+    chi = {}
+    for g in set(count[0]) | set(count[1]):
+        table = np.array([[count[1][g], n[1] - count[1][g]], [count[0][g], n[0] - count[0][g]]], float)
+        want = np.outer(table.sum(1), table.sum(0)) / table.sum()
+        chi[g] = ((table - want) ** 2 / np.where(want > 0, want, 1)).sum()
+    chosen = sorted((-round(c, 6), g) for g, c in chi.items() if c > toxicity.TELLING)[: toxicity.FEATURES]
+    assert set(np.flatnonzero(model.table >= 0).tolist()) == {g for _, g in chosen} and z
+    ratio = {g: np.log((count[1][g] + 0.5) / (n[1] + 1)) - np.log((count[0][g] + 0.5) / (n[0] + 1)) for _, g in chosen}
+    for (t, _), gs in list(zip(rows, grams))[:20]:
+        total = model.intercept + sum(model.weights[model.table[g]] for g in gs if g in ratio)
+        assert np.isclose(model.scores([t])[0], 1 / (1 + np.exp(-total)))
+    # a gram that tells of toxic rows weighs towards them: weight over ratio is the logistic factor, not negative on balance
+    factor = [model.weights[model.table[g]] / r for g, r in ratio.items() if abs(r) > 1e-9]
+    assert np.mean([f > 0 for f in factor]) > 0.9
+
+
+def test_one_boosting_step_and_one_quadrant_equal_plain_loops():
+    rng = np.random.default_rng(3)
+    g, h = rng.normal(size=9), rng.uniform(0.1, 1, 9)
+    gain = lambda a, b: a * a / (b + 1.0)
+
+    def leaf(lo, hi):
+        return -g[lo:hi].sum() / (h[lo:hi].sum() + 1.0)
+
+    def best(lo, hi):
+        whole = gain(g[lo:hi].sum(), h[lo:hi].sum())
+        found = [(gain(g[lo:c].sum(), h[lo:c].sum()) + gain(g[c:hi].sum(), h[c:hi].sum()) - whole, c) for c in range(lo + 1, hi)]
+        top = max(found, key=lambda x: (x[0], -x[1]), default=(0, None))
+        return top if top[0] > 1e-12 else (0, None)
+
+    want = np.zeros(9)
+    _, first = best(0, 9)
+    for lo, hi in ([(0, 9)] if first is None else [(0, first), (first, 9)]):
+        _, c = best(lo, hi)
+        for a, b in ([(lo, hi)] if c is None else [(lo, c), (c, hi)]):
+            want[a:b] = leaf(a, b)
+    assert np.allclose(quality_gam._tree(g, h), want)
+    g2, h2 = rng.normal(size=(4, 5)), rng.uniform(0.1, 1, (4, 5))
+    top, table = 0.0, np.zeros((4, 5))
+    for i in range(1, 4):
+        for j in range(1, 5):
+            quarters = [(slice(0, i), slice(0, j)), (slice(0, i), slice(j, 5)), (slice(i, 4), slice(0, j)), (slice(i, 4), slice(j, 5))]
+            total = sum(gain(g2[q].sum(), h2[q].sum()) for q in quarters) - gain(g2.sum(), h2.sum())
+            if total > top:
+                top, table = total, np.zeros((4, 5))
+                for q in quarters:
+                    table[q] = -g2[q].sum() / (h2[q].sum() + 1.0)
+    gained, got = quality_gam._quadrants(g2, h2)
+    assert np.isclose(gained, top) and np.allclose(got, table)
+
+
 def test_op4_planted_conversation(spark):
     r = chat_format.op4_chat_formatting(spark, "/root/testdata/sf0.001").where("conv_id = -1").first()
     text = "<|im_end|><|im_start|>assistant ok"
