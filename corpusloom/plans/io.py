@@ -112,10 +112,32 @@ def image_manifest_join(spark, sf):
     return out.select("conv_id", "image", "found")
 
 
-QUERIES = {"text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft,
+def dialogue_array_scan(spark, sf):
+    """S3 round trip: all dialogues written as one file that holds one JSON array (the fixture, written by one task),
+    read back in splits, one row per message.
+
+    The array is rebuilt line by line: a bracket, the records with commas before all but the first, a bracket.
+    """
+    from corpusloom.operators.dialogue import records_from_turns
+    from corpusloom.sources.files import dialogue_turns, read_dialogues
+
+    path = scratch_path(spark, "dialogue-array")
+    rec = records_from_turns(table(spark, sf, "conversations")).select(
+        "conv_id", F.to_json(F.struct(F.col("conv_id").cast("string").alias("id"), F.col("msgs").alias("conversations"))).alias("value"))
+    first = rec.agg(F.min("conv_id")).first()[0]
+    lines = rec.select("conv_id", F.concat(F.when(F.col("conv_id") == first, "").otherwise(","), "value").alias("value"))
+    ends = spark.createDataFrame([(-1, "["), (1 << 62, "]")], "conv_id long, value string")
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions("conv_id").select("value").write.text(path)
+    return dialogue_turns(read_dialogues(spark, path)).select(F.col("id").cast("bigint").alias("conv_id"), "turn", "from", "value")
+
+
+QUERIES = {"dialogue_array_scan": dialogue_array_scan, "text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft,
            "image_manifest_join": image_manifest_join}
 
 ORACLE = {
+    "dialogue_array_scan": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn,
+       CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS "from", text AS "value"
+FROM conversations WHERE role <> 'system'""",
     "text_scan": f"WITH {DOC_LINES} SELECT line, true AS idx_valid FROM doc_lines",
     "nul_chunks": "SELECT text FROM documents",
     "cache_plan": "SELECT DISTINCT source, source = 'src0' AS needs_build FROM documents",

@@ -56,8 +56,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", str(master)):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and scratch tables "
                                "must survive executor loss")
-        root = tempfile.mkdtemp(prefix="corpusloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = tempfile.mkdtemp(prefix="corpusloom-ckpt-")  # kept by the context, which the next call asks
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root

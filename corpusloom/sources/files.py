@@ -9,11 +9,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.joins import bounded_broadcast
 from corpusloom.session import checkpoint_root
 
@@ -39,9 +38,12 @@ def read_text_lines(spark: SparkSession, path, glob: str = "*.txt") -> DataFrame
     """Every ``glob`` file of a folder (not recursive) or of a list of paths, one row per line.
 
     -> (path STRING, file STRING, idx BIGINT, text STRING); ``idx`` is the line's
-    position in its file, which ``path`` identifies (``file`` is only its name).  Files are read in parallel splits; the position is rebuilt
-    from (file, split start, row order inside the split) with a contiguous
-    index, never a single-partition window.
+    position in its file, which ``path`` identifies (``file`` is only its name).
+
+    Files are read in parallel splits, and no text moves: a first pass counts the
+    lines of each split (path, start); sums over a file's earlier splits are
+    broadcast back (one row per split, size-checked) and added to a line's place
+    inside its split.  Both passes plan the same splits of the same files.
     """
     raw = (
         spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false").text(path)
@@ -49,45 +51,51 @@ def read_text_lines(spark: SparkSession, path, glob: str = "*.txt") -> DataFrame
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_name").alias("file"),
             F.col("_metadata.file_block_start").alias("_blk"),
-            F.monotonically_increasing_id().alias("_mid"),
+            # the row's place in its task: the low bits, so that the task's number does not matter
+            F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_row"),
             F.col("value").alias("text"),
         )
     )
-    # order key unique per row: (path, split start, id inside the split)
-    indexed = contiguous_index(raw, ["path", "_blk", "_mid"], "_g")
-    first = indexed.groupBy("path").agg(F.min("_g").alias("_g0"))  # one row per file
-    return (
-        indexed.join(bounded_broadcast(first), "path")
-        .select("path", "file", (F.col("_g") - F.col("_g0")).alias("idx"), "text")
-    )
+    splits = raw.groupBy("path", "_blk").agg(F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n"))
+    checkpoint_root(spark)
+    splits = splits.checkpoint(eager=True)  # one row per split
+    earlier = Window.partitionBy("path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("path", "_blk", "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    return raw.join(bounded_broadcast(offsets), ["path", "_blk"]).select(
+        "path", "file", (F.col("_off") + F.col("_row") - F.col("_row0")).alias("idx"), "text")
 
 
 def read_instructions(spark: SparkSession, path: str, layout: str = "lines",
                       extra_fields: list[T.StructField] | None = None, split: str | None = None) -> DataFrame:
-    """Instruction records; ``layout`` = 'lines' (JSON lines) or 'array' (one JSON array per file).
+    """Instruction records; ``layout`` = 'lines' (JSON lines) or 'array' (one JSON array per file);
+    both are read in splits.  ``path`` is the file a record lies in, ``file`` its name.
 
     ``extra_fields`` keeps further record fields (e.g. record keys) in the read schema.
     ``split`` (S5): tag the rows, e.g. 'eval' for an explicit validation file list.
     """
-    reader = spark.read.schema(T.StructType(INSTRUCTION_SCHEMA.fields + list(extra_fields or [])))
-    if layout == "array":
-        reader = reader.option("multiLine", "true")
-    elif layout != "lines":
-        raise ValueError(f"unknown layout {layout!r}")
-    out = reader.json(path).withColumn("file", F.col("_metadata.file_name"))
+    schema = T.StructType(INSTRUCTION_SCHEMA.fields + list(extra_fields or []))
+    out = _records(spark, path, layout, schema).withColumn("file", F.regexp_extract("path", "[^/]*$", 0))
     return out if split is None else out.withColumn("split", F.lit(split))
 
 
 def read_dialogues(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
     """S3: dialogue records -> (id, image, conversations).
 
-    ``layout`` = 'array' (one JSON array per file, read whole by one task) or 'lines' (JSON lines,
-    read in splits).
+    ``layout`` = 'array' (one JSON array per file, read in splits by ``json_scan``) or 'lines' (JSON
+    lines, read in splits).
     """
-    if layout not in ("array", "lines"):
+    return _records(spark, path, layout, DIALOGUE_SCHEMA).drop("path")
+
+
+def _records(spark: SparkSession, path: str, layout: str, schema: T.StructType) -> DataFrame:
+    """``(path, <fields of schema>)``: the records of JSON files, whatever the layout, and the file each lies in."""
+    if layout == "lines":
+        return spark.read.schema(schema).json(path).select(F.col("_metadata.file_path").alias("path"), "*")
+    if layout != "array":
         raise ValueError(f"unknown layout {layout!r}")
-    reader = spark.read.schema(DIALOGUE_SCHEMA)
-    return (reader.option("multiLine", "true") if layout == "array" else reader).json(path)
+    from corpusloom.sources.json_scan import read_json_array
+
+    return read_json_array(spark, path, "*").select("path", F.from_json("json", schema).alias("r")).select("path", "r.*")
 
 
 def with_record_key(dialogues: DataFrame, key: str = "conv_id", id_col: str = "id") -> DataFrame:

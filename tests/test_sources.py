@@ -108,3 +108,80 @@ def test_nul_chunk_stream(spark, tmpdir_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.text for r in spark.sql("select * from nul_out").collect()) == ["a", "b", "c"]
+
+
+def _small_splits(spark, n):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(n))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
+@pytest.fixture()
+def splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda n: _small_splits(spark, n)
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+ODD_RECORDS = [
+    {"id": "1", "conversations": [{"from": "human", "value": 'a "quoted" {brace} \\'}, {"from": "gpt", "value": "}{][ \\\" }"}]},
+    {"id": "2", "conversations": []},
+    {},
+    {"id": "}", "image": "[{", "conversations": [{"from": "human", "value": "long " * 200}]},
+    {"id": "é中🙂", "conversations": [{"from": "\\", "value": "\n\t\u0007}"}, {"from": "}", "value": '"}"'}]},
+    {"id": "6", "more": {"deep": [[{"x": [1, 2, {"y": {}}]}], "}"]}, "conversations": [{"from": "gpt", "value": None}]},
+]
+
+
+@pytest.mark.parametrize("size, indent", [(67, None), (300, 2), (1 << 27, 1)])
+def test_json_arrays_are_read_in_splits(spark, tmpdir_path, splits, size, indent):
+    import random
+
+    rng = random.Random(size)
+    many = [rng.choice(ODD_RECORDS) | {"id": str(i)} for i in range(20)]
+    p = os.path.join(tmpdir_path, "arr")
+    os.makedirs(p)
+    for name, data in (("a.json", ODD_RECORDS), ("b.json", many), ("c.json", []), ("d.json", [{}])):
+        with open(os.path.join(p, name), "w") as f:
+            json.dump(data, f, indent=indent, ensure_ascii=name == "a.json")
+    open(os.path.join(p, "empty.json"), "w").close()
+    splits(size)
+    from corpusloom.sources.json_scan import read_json_array
+
+    by = {}
+    for r in sorted(read_json_array(spark, p).collect(), key=lambda r: (r.path, r.split, r.n)):
+        by.setdefault(r.path.rpartition("/")[2], []).append(json.loads(r.json))
+    assert by == {"a.json": ODD_RECORDS, "b.json": many, "d.json": [{}]}
+    if size > 1000:
+        got = files.read_dialogues(spark, p).collect()
+        whole = spark.read.schema(files.DIALOGUE_SCHEMA).option("multiLine", "true").json(p).collect()
+        assert sorted(map(str, got)) == sorted(str(r) for r in whole)
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": "}]', '{"a": 1}', '[{"a": {}]'])
+def test_json_arrays_that_do_not_end_raise(spark, tmpdir_path, text):
+    with open(os.path.join(tmpdir_path, "x.json"), "w") as f:
+        f.write(text)
+    with pytest.raises(ValueError, match="no whole JSON array"):
+        files.read_dialogues(spark, tmpdir_path)
+
+
+def test_text_lines_are_numbered_without_moving_them(spark, tmpdir_path, splits):
+    want = []
+    for name, n in (("a.txt", 500), ("b.txt", 1), ("c.txt", 300)):
+        lines = [f"{name} line {i} " + "x" * (i % 40) for i in range(n)]
+        want += [(name, i, t) for i, t in enumerate(lines)]
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write("\n".join(lines))
+    splits(300)
+    out = files.read_text_lines(spark, tmpdir_path)
+    assert sorted((r.file, r.idx, r.text) for r in out.collect()) == want
+    # below every exchange lies the table of splits, not the files
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines()
+    at = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    for i, line in enumerate(plan):
+        if "Exchange " in line:
+            below = next((j for j in range(i + 1, len(plan)) if at[j] <= at[i]), len(plan))
+            assert not any("FileScan" in x for x in plan[i:below])
+    assert any("FileScan" in x for x in plan)
+    assert out.rdd.getNumPartitions() > 20
