@@ -485,6 +485,36 @@ def training_rows(msgs: DataFrame, convs: DataFrame, family: str, model_max_leng
                        F.slice(labels_all, 1, cut_all).alias("labels"))
 
 
+def image_rows(msgs: DataFrame, convs: DataFrame, family: str, model_max_length: int, legacy: bool = True,
+               key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """``(cuts, rows)`` for ``images.image_runs`` from message pieces: rows = (key, n_ids, n_images, n_pads,
+    ends_in_pad) of the training examples of ``training_rows``, without their ids.
+
+    An image or pad string of a piece is one id at the piece's token offset; text-only dialogues are cut to
+    ``model_max_length``, image dialogues are not.
+    """
+    from corpusloom.operators.images import cuts_of_events
+
+    name = FAMILIES[family][0]
+    cut_pieces = render_pieces if template(name)[4] in ("LLAMA_2", "LLAMA_3") else render_pair_pieces
+    summary, ranges, located = mask_from_pieces(cut_pieces(msgs, convs, name, key), convs, family, model_max_length,
+                                                legacy, key, with_pieces=True)
+
+    def places(occurrences: Column) -> DataFrame:
+        at = (F.lit(1) + F.col("ntok_before") + F.col("o.t")).cast("bigint")
+        found = located.select(key, "has_img", "ntok_before", F.explode(occurrences).alias("o"))
+        return found.select(key, "has_img", at.alias("at")).filter(F.col("has_img") | (F.col("at") < F.lit(model_max_length)))
+
+    marked, pads = places(_occurrences(F.col("piece"), F.lit(""), K.IMAGE_TOKEN)), places(F.col("_pad"))
+    n_images = marked.groupBy(key).agg(F.count(F.lit(1)).alias("n_images"))
+    n_pads = pads.groupBy(key).agg(F.count(F.lit(1)).alias("n_pads"), F.max("at").alias("_last"))
+    rows = summary.select(key, F.col("n_tokens").alias("n_ids")).join(n_images, key, "left").join(n_pads, key, "left").select(
+        key, "n_ids", F.coalesce("n_images", F.lit(0)).cast("bigint").alias("n_images"),
+        F.coalesce("n_pads", F.lit(0)).cast("bigint").alias("n_pads"),
+        F.coalesce(F.col("_last") == F.col("n_ids") - 1, F.lit(False)).alias("ends_in_pad"))
+    return cuts_of_events(key, rows.select(key), ranges.select(key, "lo", "hi"), marked.select(key, "at"), pads.select(key, "at")), rows
+
+
 def render_pair_pieces(msgs: DataFrame, convs: DataFrame, name: str, key: str = "conv_id") -> DataFrame:
     """(key, pos, g, piece, has_img): one piece per message pair (user piece + answer piece), the head
     folded into pair 0; a conversation without messages is its head alone.

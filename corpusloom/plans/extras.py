@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.functions.tokens import ids_to_string
-from corpusloom.operators import chat, collate, images, masks, metrics
+from corpusloom.operators import chat, collate, images, metrics
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.joins import bounded_broadcast
 from corpusloom.plans import corpus
@@ -109,31 +109,30 @@ def resize_geometry(spark, sf):
     return images.process_geometry(m).select("conv_id", "mode", "w", "h", "out_w", "out_h")
 
 
-def _mm_batches(spark, sf, keep_tokens=None):
-    """Training rows of the llama-2 family in batches of ``MM_BATCH`` by conversation id.
-
-    With ``keep_tokens`` (the collator's cut) the rows come from the
-    message-level masks and only the pieces starting inside the first
-    ``keep_tokens`` ids of a dialogue are gathered, so no row grows with the
-    dialogue.  Without it an image row is the whole dialogue by definition and
-    the record form builds it (measured 2.7x faster at sf0.1 for that case).
-    """
-    if keep_tokens is not None:
-        from corpusloom.operators import turns
-
-        m = turns.training_rows(*_messages(spark, sf), "llama_2", MODEL_MAX_LENGTH, keep_tokens=keep_tokens)
-        m = m.withColumn("image", F.when(F.col("has_img"), F.concat(
-            F.lit("images/"), F.col("conv_id").cast("string"), F.lit(".jpg"))))
-    else:
-        m = masks.mask_dialogues(clean_records(spark, sf), "llama_2", MODEL_MAX_LENGTH)
+def _in_batches(spark, sf, rows):
+    """Rows of one per conversation with ``batch_id`` and ``pos``: batches of ``MM_BATCH`` by conversation id."""
     # positions come from the conversation ids alone (one row per conversation, a unique join key):
-    # the id and label arrays are neither indexed nor written
+    # the rows themselves are neither indexed nor written
     keys = contiguous_index(table(spark, sf, "conversations").select("conv_id").distinct(), ["conv_id"], "_idx")
-    m = m.select("conv_id", "image", "input_ids", "labels").join(bounded_broadcast(keys), "conv_id")
-    return m.withColumn("batch_id", F.floor(F.col("_idx") / F.lit(MM_BATCH)).cast("bigint")).withColumn(
+    return rows.join(bounded_broadcast(keys), "conv_id").withColumn(
+        "batch_id", F.floor(F.col("_idx") / F.lit(MM_BATCH)).cast("bigint")).withColumn(
         "pos", F.pmod("_idx", F.lit(MM_BATCH)).cast("bigint")).drop("_idx")
 
 
+def _mm_batches(spark, sf, keep_tokens):
+    """Training rows of the llama-2 family in batches of ``MM_BATCH`` by conversation id.
+
+    The rows come from the message-level masks; only the pieces starting inside the first ``keep_tokens`` ids of a
+    dialogue (the collator's cut) are gathered, so no row grows with the dialogue.
+    """
+    from corpusloom.operators import turns
+
+    m = turns.training_rows(*_messages(spark, sf), "llama_2", MODEL_MAX_LENGTH, keep_tokens=keep_tokens)
+    m = m.withColumn("image", F.when(F.col("has_img"), F.concat(
+        F.lit("images/"), F.col("conv_id").cast("string"), F.lit(".jpg"))))
+    return _in_batches(spark, sf, m.select("conv_id", "image", "input_ids", "labels"))
+
+
 def collate_mm(spark, sf):
     b = collate.collate_pad(_mm_batches(spark, sf, keep_tokens=MODEL_MAX_LENGTH), K.PAD_ID, max_length=MODEL_MAX_LENGTH)
     # text-only rows never enter the join, where they would all meet on one null key
@@ -147,12 +146,11 @@ def collate_mm(spark, sf):
 
 
 def image_expand_plan(spark, sf):
-    b = collate.collate_pad(_mm_batches(spark, sf), K.PAD_ID)
-    e = images.expand_image_tokens(b, NUM_PATCHES)
-    return e.select("batch_id", "pos", "n_images", "count_ok", "max_embed_dim", "left_padding", "nb_image_pad",
-                    ids_to_string("final_labels").alias("final_labels"),
-                    ids_to_string("final_attention").alias("final_attention"),
-                    ids_to_string("position_ids").alias("position_ids"))
+    """G5's plan run by run, from message rows: no slot arrays, no row that holds a dialogue."""
+    from corpusloom.operators import turns
+
+    cuts, rows = turns.image_rows(*_messages(spark, sf), "llama_2", MODEL_MAX_LENGTH)
+    return images.image_runs(cuts, _in_batches(spark, sf, rows), NUM_PATCHES, "conv_id")
 
 
 def image_count_check(spark, sf):
@@ -361,6 +359,7 @@ mb AS (SELECT tk.conv_id, tk.ids, ml.labels,
               CAST((row_number() OVER (ORDER BY tk.conv_id) - 1) % {MM_BATCH} AS BIGINT) AS pos
        FROM tk JOIN ml ON tk.conv_id = ml.conv_id),
 pd AS (SELECT batch_id, pos, conv_id,
+              len(ids) AS n_ids,
               list_concat(ids, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(ids)), lambda x: {K.PAD_ID})) AS ids,
               list_concat(labels, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(labels)), lambda x: -100)) AS labels
        FROM mb)"""
@@ -381,16 +380,16 @@ mt AS (SELECT *, len(list_filter(ids, lambda x: x = {K.IMAGE_TOKEN_ID})) AS nimg
 m2 AS (SELECT *, max(nimg) OVER (PARTITION BY batch_id) * {NUM_PATCHES - 1} + len(ids) AS max_embed_dim,
               NOT bool_or(ids[-1] = {K.PAD_ID}) OVER (PARTITION BY batch_id) AS left_padding FROM mt),
 m3 AS (SELECT *, max_embed_dim - len(ids) - nimg * {NUM_PATCHES - 1} AS nb_image_pad FROM m2),
-tok AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad,
+tok AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, n_ids,
                unnest(generate_series(1, len(ids))) AS j, unnest(ids) AS id, unnest(labels) AS lab FROM m3),
-sl AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, j,
+sl AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, j, id = {K.PAD_ID} AND j > n_ids AS tail,
               unnest(CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN list_transform(range({NUM_PATCHES}), lambda x: x) ELSE [0] END) AS sub,
               CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN -100 ELSE lab END AS l,
               CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN 0 WHEN id <> {K.PAD_ID} THEN 1 ELSE 0 END AS m,
               id <> {K.IMAGE_TOKEN_ID} AS wr FROM tok),
 fl AS (SELECT DISTINCT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad FROM m3),
 fill AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad,
-                CASE WHEN left_padding THEN -1 ELSE 1000000000 END AS j, unnest(range(nb_image_pad)) AS sub,
+                CASE WHEN left_padding THEN -1 ELSE 1000000000 END AS j, false AS tail, unnest(range(nb_image_pad)) AS sub,
                 -100 AS l, 0 AS m, false AS wr FROM fl),
 al AS (SELECT *, row_number() OVER (PARTITION BY batch_id, pos ORDER BY j, sub) - 1 AS q FROM
        (SELECT * FROM sl UNION ALL SELECT * FROM fill)),
@@ -398,15 +397,18 @@ im AS (SELECT *, (NOT wr) AND (sum(CASE WHEN wr THEN 0 ELSE 1 END) OVER w - 1 >=
        FROM al WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 atn AS (SELECT *, CASE WHEN img THEN 1 ELSE m END AS att FROM im),
 ps AS (SELECT *, CASE WHEN att = 0 THEN 1 ELSE sum(att) OVER w - 1 END AS pid
-       FROM atn WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT batch_id, pos, CAST(max(nimg) AS BIGINT) AS n_images,
-       sum(CASE WHEN img THEN 1 ELSE 0 END) = max(nimg) * {NUM_PATCHES} AS count_ok,
-       CAST(max(max_embed_dim) AS BIGINT) AS max_embed_dim, bool_or(left_padding) AS left_padding,
-       CAST(max(nb_image_pad) AS BIGINT) AS nb_image_pad,
-       string_agg(CAST(l AS VARCHAR), ',' ORDER BY q) AS final_labels,
-       string_agg(CAST(att AS VARCHAR), ',' ORDER BY q) AS final_attention,
-       string_agg(CAST(pid AS VARCHAR), ',' ORDER BY q) AS position_ids
-FROM ps GROUP BY batch_id, pos"""
+       FROM atn WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+kd AS (SELECT *, CASE WHEN wr AND m = 0 THEN 'pad' WHEN wr THEN 'text' WHEN img THEN 'image' ELSE 'gap' END AS kind,
+              wr AND l <> -100 AS sup FROM ps),
+-- runs: text as far as it is alike, each image or pad id by itself, the padding as one
+rk AS (SELECT *, kind || sup::VARCHAR || CASE WHEN kind = 'text' THEN '' WHEN tail THEN 'tail' ELSE j::VARCHAR END AS alike FROM kd),
+bg AS (SELECT *, (alike IS DISTINCT FROM lag(alike) OVER (PARTITION BY batch_id, pos ORDER BY q))::INT AS begins FROM rk),
+rn AS (SELECT *, sum(begins) OVER (PARTITION BY batch_id, pos ORDER BY q) AS run FROM bg)
+SELECT batch_id, pos, min(q)::BIGINT AS start, count(*) AS length, any_value(kind) AS kind, bool_and(att = 1) AS attended,
+       min(pid)::BIGINT AS position, CASE WHEN any_value(kind) IN ('text', 'pad') THEN (min(j) - 1)::BIGINT END AS source,
+       any_value(sup) AS supervised, max(max_embed_dim)::BIGINT AS max_embed_dim, bool_or(left_padding) AS left_padding,
+       max(nb_image_pad)::BIGINT AS nb_image_pad
+FROM rn GROUP BY batch_id, pos, run"""
 
 ORACLE["history_trim_records"] = ORACLE["history_trim"]
 ORACLE["chat_prompt_pieces"] = f"""WITH {_CHAT}

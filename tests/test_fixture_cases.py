@@ -56,20 +56,20 @@ def test_expand_two_images_right_padded(spark):
     a, b = out[0], out[1]
     assert (a.max_embed_dim, a.left_padding, a.nb_image_pad, a.n_images) == (6, False, 0, 2)
     assert a.final_labels == [-100, -100, -100, 5, -100, -100] and a.final_attention == [1] * 6
-    assert a.position_ids == [0, 1, 2, 3, 4, 5] and a.count_ok
+    assert a.position_ids == [0, 1, 2, 3, 4, 5]
     assert b.nb_image_pad == 2 and b.final_labels == [-100, 7, -100, -100, -100, -100]
-    assert b.final_attention == [1, 1, 0, 0, 0, 0] and b.position_ids == [0, 1, 1, 1, 1, 1] and b.count_ok
+    assert b.final_attention == [1, 1, 0, 0, 0, 0] and b.position_ids == [0, 1, 1, 1, 1, 1]
 
 
 def test_expand_unpadded_batch_counts_as_left_padded(spark):
     out = _expand(spark, [(0, 0, [1, IMG, 5], [-100, -100, 5]), (0, 1, [1, 6, 7], [-100, 6, 7])], 3)
     a, b = out[0], out[1]
     assert a.left_padding and b.left_padding and a.max_embed_dim == 5
-    assert a.final_labels == [-100, -100, -100, -100, 5] and a.count_ok
+    assert a.final_labels == [-100, -100, -100, -100, 5]
     assert b.nb_image_pad == 2 and b.final_labels == [-100, -100, -100, 6, 7]
     assert b.final_attention == [0, 0, 1, 1, 1] and b.position_ids == [1, 1, 0, 1, 2]
     none = _expand(spark, [(0, 0, [1, 5, 6], [-100, 5, 6])], 3)[0]
-    assert none.n_images == 0 and none.final_labels == [-100, 5, 6] and none.count_ok
+    assert none.n_images == 0 and none.final_labels == [-100, 5, 6]
 
 
 def test_perplexity_overflow(spark):
