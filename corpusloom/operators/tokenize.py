@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from corpusloom import constants as K
 from corpusloom.functions.text import col_or_lit, words
 from corpusloom.functions.tokens import decode_bytes, encode_bytes, encode_with_specials
-from corpusloom.operators.joins import bounded_broadcast
+from corpusloom.operators.joins import DEFAULT_BROADCAST_ROWS
+from corpusloom.session import checkpoint_root
 
 
 def tokenize_bytes(df: DataFrame, text_col: str, out_col: str = "input_ids", bos: bool = True,
@@ -125,20 +126,49 @@ def tokenize_image_text(df: DataFrame, text_col: str, out_col: str = "input_ids"
     return df.withColumn(out_col, F.when(bos, F.concat(F.array(F.lit(K.BOS_ID)), body)).otherwise(body))
 
 
+HOT = 1_000  # values looked up apart where the table is no broadcast
+_COUNTERS = 20_000  # counters of the heavy-hitter sketch
+
+
+def heavy_hitters(df: DataFrame, col: str, most: int = HOT) -> DataFrame:
+    """``(col)``: at most ``most`` of the commonest values, by a sketch of bounded counters that tasks fill and Spark
+    merges; a value with over 1 / ``_COUNTERS`` of the rows is counted for sure."""
+    top = df.filter(F.col(col).isNotNull()).agg(F.expr(f"approx_top_k({col}, {most}, {_COUNTERS})").alias("_top"))
+    return top.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias(col))
+
+
+def lookup(df: DataFrame, table: DataFrame, col: str, value: str, max_broadcast_rows: int | None = None) -> DataFrame:
+    """``df`` with ``value`` from ``table(col, value)`` (one row per ``col``), null where it has none.
+
+    A table within the broadcast bound is broadcast.  Beyond it the commonest values of ``df`` are looked up first and
+    broadcast with what was found (at most ``HOT`` rows), so that no common value is shuffled; the other rows meet the
+    table by shuffle.
+    """
+    bound = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    if table.limit(bound + 1).count() <= bound:
+        return df.join(F.broadcast(table), col, "left")
+    hot = heavy_hitters(df, col).join(table, col, "left").withColumn("_hot", F.lit(True))
+    checkpoint_root(df.sparkSession)
+    known = df.join(F.broadcast(hot.checkpoint(eager=True)), col, "left")  # at most HOT rows
+    common = F.col("_hot").isNotNull() | F.col(col).isNull()
+    rest = known.filter(~common).drop(value, "_hot").join(table, col, "left")
+    return known.filter(common).drop("_hot").unionByName(rest)
+
+
 def tokenize_words(df: DataFrame, key_cols: list[str], text_col: str, vocab: DataFrame,
-                   out_col: str = "input_ids", bos: bool = True, unk_id: int = K.UNK_ID) -> DataFrame:
+                   out_col: str = "input_ids", bos: bool = True, unk_id: int = K.UNK_ID,
+                   max_broadcast_rows: int | None = None) -> DataFrame:
     """-> (key_cols, out_col): pieces looked up in ``vocab(id, piece)``; unknown get ``unk_id``.
 
-    The vocabulary is broadcast after a row-count check; a larger one is a
-    shuffle join (AQE splits a hot piece's partition).  The text is hash
+    The vocabulary is broadcast after a row-count check; of a larger one the text's
+    commonest pieces are (``lookup``).  The text is hash
     partitioned by row key first, so the regrouping aggregate needs no second
     exchange when the vocabulary is broadcast.
     """
     # shuffle the text by row key once; explode, lookup and regroup then stay in that partitioning
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select(*key_cols, text_col).repartition(n, *key_cols)
+    keyed = df.select(*key_cols, text_col).repartition(*key_cols)
     exploded = keyed.select(*key_cols, F.posexplode_outer(words(F.col(text_col))).alias("_pos", "piece"))
-    looked = exploded.join(bounded_broadcast(vocab.select("piece", F.col("id").alias("_id"))), "piece", "left")
+    looked = lookup(exploded, vocab.select("piece", F.col("id").alias("_id")), "piece", "_id", max_broadcast_rows)
     found = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id")))
     grouped = looked.groupBy(*key_cols).agg(
         F.transform(F.array_sort(F.collect_list(found)), lambda x: x["_id"]).alias("_ids")
@@ -148,13 +178,12 @@ def tokenize_words(df: DataFrame, key_cols: list[str], text_col: str, vocab: Dat
 
 
 def detokenize_words(df: DataFrame, key_cols: list[str], ids_col: str, vocab: DataFrame,
-                     out_col: str = "text") -> DataFrame:
+                     out_col: str = "text", max_broadcast_rows: int | None = None) -> DataFrame:
     """-> (key_cols, out_col): ids -> pieces joined by one space, special ids skipped."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select(*key_cols, ids_col).repartition(n, *key_cols)
-    exploded = keyed.select(*key_cols, F.posexplode_outer(ids_col).alias("_pos", "id"))
-    looked = exploded.join(bounded_broadcast(vocab.select("id", "piece")), "id", "left")
-    kept = F.when(F.col("id") >= F.lit(3), F.struct("_pos", "piece"))
+    keyed = df.select(*key_cols, ids_col).repartition(*key_cols)
+    exploded = keyed.select(*key_cols, F.posexplode_outer(ids_col).alias("_pos", "_tok"))
+    looked = lookup(exploded, vocab.select(F.col("id").alias("_tok"), "piece"), "_tok", "piece", max_broadcast_rows)
+    kept = F.when(F.col("_tok") >= F.lit(3), F.struct("_pos", "piece"))
     return looked.groupBy(*key_cols).agg(
         F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["piece"])).alias(out_col))
 

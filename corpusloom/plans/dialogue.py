@@ -368,7 +368,18 @@ def _long_mask(family, legacy, part):
     return q
 
 
+def mask_llama2_words(spark, sf):
+    """L3 by character offsets: prompts of the llama-2 template, word tokens of the conversations' own vocabulary."""
+    from corpusloom.operators import offset_masks, vocab
+
+    msgs, convs = _messages(spark, sf)
+    pieces = turns.render_pieces(msgs, convs, "llama_2").filter(F.col("pos") >= 0)
+    words = vocab.vocab_from_text(table(spark, sf, "conversations"), "text")
+    return offset_masks.masked_tokens(pieces, convs, F.col("pos") % 2 == 1, words, MODEL_MAX_LENGTH)
+
+
 QUERIES = {
+    "mask_llama2_words": mask_llama2_words,
     "render_llama2_pieces": _pieces_query("llama_2"),
     "render_llama3_pieces": _pieces_query("llama_3"),
     "tok_image_pieces": tok_image_pieces,

@@ -6,6 +6,8 @@ string_agg), not from the Spark expressions.
 
 from __future__ import annotations
 
+import re
+
 from corpusloom import constants as K
 from corpusloom.plans.sqlfrag import WORD_RE, bytes_ids, ids_str
 
@@ -453,3 +455,28 @@ b AS (SELECT batch_id, count(DISTINCT len(head)) > 1 AS ragged, arg_min(head, po
 SELECT f.batch_id, f.pos, f.label AS labels, {ids_str('CASE WHEN ragged THEN head1 ELSE head END')} AS head,
        CASE WHEN ragged OR weight1 IS NULL THEN weight1 ELSE weight END AS weight, ragged
 FROM f JOIN b ON f.batch_id = b.batch_id"""
+
+# the whole prompt is cut, not its pieces; offsets are running lengths of all parts
+_SPECIAL_CUT = "|".join(re.escape(x) for x in ["<s>", "</s>", *K.ADDED_SPECIALS])
+_BLANK = WORD_RE[3:-3]  # the characters between the brackets
+_IDS = "".join(f"WHEN {lit(x)} THEN {i} " for x, i in K.SPECIAL_IDS.items())
+ORACLE["mask_llama2_words"] = f"""WITH {RECORDS}, pc AS ({pieces_sql('llama_2')}),
+pr AS (SELECT conv_id, coalesce(string_agg(piece, '' ORDER BY pos), '') AS prompt FROM pc GROUP BY conv_id),
+pa AS (SELECT conv_id, pos, sum(len(piece)) OVER (PARTITION BY conv_id ORDER BY pos) - len(piece) AS lo, len(piece) AS n FROM pc),
+cut AS (SELECT conv_id, unnest(ps) AS part, unnest(generate_series(1, len(ps))) AS i
+        FROM (SELECT conv_id, regexp_extract_all(prompt, {lit(_SPECIAL_CUT)} || '|[{_BLANK}]+|[^<{_BLANK}]+|<') AS ps FROM pr)),
+of AS (SELECT *, sum(len(part)) OVER w - len(part) AS start, NOT regexp_matches(part, '^[{_BLANK}]') AS tok FROM cut
+       WINDOW w AS (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING)),
+nb AS (SELECT *, sum(tok::INT) OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS tok_no FROM of),
+wc AS (SELECT piece, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(text, {WORD_RE})) AS piece FROM conversations)
+       WHERE piece NOT IN ('<unk>', '<s>', '</s>') GROUP BY piece),
+vo AS (SELECT row_number() OVER (ORDER BY cnt DESC, piece) + 2 AS id, piece FROM wc),
+tk AS (SELECT nb.conv_id, tok_no, start, start + len(part) AS stop,
+              CASE part {_IDS} ELSE coalesce(vo.id, 0) END AS id,
+              EXISTS (SELECT 1 FROM pa WHERE pa.conv_id = nb.conv_id AND pa.pos >= 0 AND pa.pos % 2 = 1
+                      AND nb.start >= pa.lo AND nb.start < pa.lo + pa.n) AS sup
+       FROM nb LEFT JOIN vo ON vo.piece = part
+       WHERE tok AND (nb.conv_id % 3 = 0 OR tok_no < 2048))
+SELECT conv_id, tok_no::BIGINT AS tok_no, start::BIGINT AS start, stop::BIGINT AS stop, id::INT AS id,
+       (CASE WHEN sup THEN id ELSE -100 END)::INT AS label FROM tk
+UNION ALL SELECT DISTINCT conv_id, 0, 0, 0, 1, -100 FROM conversations"""
