@@ -106,7 +106,7 @@ class PieceCoder:
     def _answer(self, query: str) -> list[tuple[int, bytes, bytes]]:
         """Per piece: the number of its ids, the ids in decimal (each after a space), the bytes that they decode to."""
         t = self.con.sql(query).to_arrow_table()
-        return list(zip(t["n"].to_pylist(), t["ids"].to_pylist(), t["back"].to_pylist()))
+        return list(zip(*(t[c].combine_chunks().to_numpy(zero_copy_only=False).tolist() for c in ("n", "ids", "back"))))
 
     def _contract(self, pieces: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))

@@ -29,7 +29,7 @@ def _json_cache(path: str) -> SegmentCache:
         def encode(texts):
             return [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
-        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"), 500_000)
+        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"), 700_000)
 
     return worker_cache(f"tokenizers:{path}", make)
 

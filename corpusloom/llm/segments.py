@@ -88,7 +88,8 @@ class SegmentCache:
         plain = [i for i, t in enumerate(texts) if not _odd(t)]
         lists = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in plain], pa.large_string()), "\n", " \n"), " ")
         coded = lists.values.dictionary_encode()
-        words, word, cut = coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
+        # by NumPy: to_pylist takes microseconds a value
+        words, word, cut = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
         self.after = self._fill(self.after, words, _segment_or_space)
         place: dict[str, int] = {}
         of = lambda s: place.setdefault(s, len(words) + len(place))
@@ -118,7 +119,7 @@ def joinable(some: list[str]) -> dict[str, list[int]]:
     return kinds
 
 
-def encode_joined(some: list[str], encode, id_bytes: np.ndarray, dtype: str, at_once: int = 500) -> list[bytes]:
+def encode_joined(some: list[str], encode, id_bytes: np.ndarray, dtype: str, at_once: int = 100) -> list[bytes]:
     """The ids of each segment as bytes, by few calls of ``encode(list of texts) -> lists of ids``.
 
     Segments that begin with white space and end without are joined as they are, those without white space at either
