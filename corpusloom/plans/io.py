@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from corpusloom.functions.tokens import ids_to_string
 from corpusloom.session import scratch_path
+from corpusloom.operators.joins import bounded_broadcast
+from corpusloom.sources import commits
 from corpusloom.streaming.incremental import build_instructions_incrementally
 from corpusloom.sources.files import (append_manifest, files_to_build, read_nul_chunks, read_text_lines,
                                      write_nul_chunks)
@@ -47,6 +49,39 @@ def cache_plan(spark, sf):
     return per_file.groupBy("source").agg(F.bool_or("needs_build").alias("needs_build"))
 
 
+def cache_commits(spark, sf):
+    """S8 as a log: documents, one folder per ``source``; build, change, build, and read what is live.
+
+    After the first commit the files of ``src0`` are replaced (new files, the old ones are gone: tombstones).  A
+    build of that state stops before its commit and leaves nothing; the next one is recorded.  ``before`` is the text
+    as of the first commit, so the log's two states stand side by side.
+    """
+    root = scratch_path(spark, "cache-commits")
+    data, built, log = f"{root}/data", f"{root}/built", f"{root}/log"
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+
+    def make(todo):
+        # every file is one row of ``todo``: the rows of the files to build, told by their metadata
+        rows = spark.read.schema("doc_id bigint, text string, source string").parquet(data).withColumn(
+            "file", F.col("_metadata.file_path"))
+        return rows.join(bounded_broadcast(todo.select("file")), "file", "left_semi")
+
+    def build():
+        return commits.build_changed(spark, data, built, log, "v1", make, "file", glob="*.parquet")
+
+    docs.write.partitionBy("source").parquet(data)
+    first = build()
+    (docs.filter(F.col("source") == "src0").withColumn("text", F.concat("text", F.lit("!"))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(data))
+    plan = commits.plan_build(spark, data, log, "v1", "*.parquet")
+    commits.stage(make(plan.filter(F.col("action") == commits.ADD)), "file", built)  # stopped here
+    build()
+    schema = "doc_id bigint, text string, source string, file string"
+    now = commits.read_live(spark, built, log, schema).select("doc_id", "source", "text")
+    before = commits.read_live(spark, built, log, schema, as_of=first).select("doc_id", F.col("text").alias("before"))
+    return now.join(before, "doc_id")
+
+
 def incremental_sft(spark, sf):
     """ST1: instruction files arrive in two waves; each availableNow run labels only the new files.
 
@@ -131,7 +166,8 @@ def dialogue_array_scan(spark, sf):
     return dialogue_turns(read_dialogues(spark, path)).select(F.col("id").cast("bigint").alias("conv_id"), "turn", "from", "value")
 
 
-QUERIES = {"dialogue_array_scan": dialogue_array_scan, "text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan, "incremental_sft": incremental_sft,
+QUERIES = {"dialogue_array_scan": dialogue_array_scan, "text_scan": text_scan, "nul_chunks": nul_chunks, "cache_plan": cache_plan,
+           "cache_commits": cache_commits, "incremental_sft": incremental_sft,
            "image_manifest_join": image_manifest_join}
 
 ORACLE = {
@@ -141,6 +177,8 @@ FROM conversations WHERE role <> 'system'""",
     "text_scan": f"WITH {DOC_LINES} SELECT line, true AS idx_valid FROM doc_lines",
     "nul_chunks": "SELECT text FROM documents",
     "cache_plan": "SELECT DISTINCT source, source = 'src0' AS needs_build FROM documents",
+    "cache_commits": """SELECT doc_id, source, CASE WHEN source = 'src0' THEN text || '!' ELSE text END AS text, text AS before
+FROM documents""",
     "image_manifest_join": """SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'images/' || CAST(conv_id AS VARCHAR) || '.jpg' END
        AS image, conv_id % 3 = 0 AS found FROM (SELECT DISTINCT conv_id FROM conversations)""",
 }

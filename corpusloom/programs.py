@@ -23,38 +23,66 @@ from corpusloom.operators import batching, collate, dialogue, masks, metrics, pa
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.tokenize import tokenize_bytes_arrow
 from corpusloom.session import checkpoint_root
-from corpusloom.sources import files
+from corpusloom.sources import commits, files
 
 
 def build_pretraining_corpus(spark: SparkSession, text_dir: str, out_dir: str, block_size: int,
                              model_max_length: int = 2048, batch_rows: int = packing.DEFAULT_BATCH_ROWS,
                              test_size: float = 0.05, manifest_path: str | None = None,
-                             config_hash: str = "v1") -> DataFrame:
+                             config_hash: str = "v1", log_path: str | None = None) -> DataFrame:
     """Pack the *.txt files of ``text_dir`` into blocks; returns the (split, metric, value) counts.
 
     With ``manifest_path`` only files absent from the manifest (same path,
     mtime, length, config) are built; the blocks of a file replace those of its
     earlier build, then the file is recorded (a failure in between builds it again).
+
+    With ``log_path`` blocks and record become visible in one commit (``sources.commits``): emptied and deleted files
+    lose their blocks too, and ``read_corpus`` reads what is live.
     """
     block = packing.clamp_block_size(block_size, model_max_length)
     checkpoint_root(spark)
+
+    def packed(todo):
+        # the listing of files to build (one row per input file, not data) drives the read
+        paths = sorted(r[0] for r in todo.collect())
+        lines = files.read_text_lines(spark, paths)
+        blocks = packing.pack_blocks(
+            lines, ["path", "idx"], block, batch_rows=batch_rows, per_group="path",
+            length=F.octet_length("text") + F.lit(1), encode=lambda d: tokenize_bytes_arrow(d, "text"))
+        keyed = blocks.withColumn("file", F.substring_index("path", "/", -1)).withColumn(
+            "block_key", F.concat_ws("-", "path", "batch_id", "block_no"))
+        return packing.split_by_hash(keyed, "block_key", test_size)
+
+    if log_path is not None:
+        if manifest_path is not None:
+            raise ValueError("a build is recorded in a manifest or in a log, not in both")
+        done = commits.build_changed(spark, text_dir, out_dir, log_path, config_hash,
+                                     lambda todo: packed(todo.select("path")), "path", glob="*.txt")
+        return _no_counts(spark) if done is None else _sample_counts(read_corpus(spark, out_dir, log_path))
     # one listing: what is read, built and recorded are the same files in the same state
     todo = files.files_to_build(spark, text_dir, manifest_path, config_hash, glob="*.txt").checkpoint(eager=True)
-    # the listing of files to build (one row per input file, not data) drives the read
-    paths = sorted(r.file for r in todo.select("file").collect())
-    if not paths:
-        return spark.createDataFrame([], "split string, metric string, value double")
-    lines = files.read_text_lines(spark, paths)
-    blocks = packing.pack_blocks(
-        lines, ["path", "idx"], block, batch_rows=batch_rows, per_group="path",
-        length=F.octet_length("text") + F.lit(1), encode=lambda d: tokenize_bytes_arrow(d, "text"))
-    keyed = blocks.withColumn("file", F.substring_index("path", "/", -1)).withColumn(
-        "block_key", F.concat_ws("-", "path", "batch_id", "block_no"))
-    out = packing.split_by_hash(keyed, "block_key", test_size)
-    files.replace_files(out, "path", out_dir)
+    if todo.isEmpty():
+        return _no_counts(spark)
+    files.replace_files(packed(todo.select("file")), "path", out_dir)
     if manifest_path is not None:
         files.append_manifest(todo, manifest_path)
-    built = out.sparkSession.read.parquet(out_dir)
+    return _sample_counts(spark.read.parquet(out_dir))
+
+
+CORPUS_SCHEMA = ("path string, batch_id bigint, block_no bigint, input_ids array<int>, attention_mask array<int>, "
+                 "labels array<int>, file string, block_key string, split string")
+
+
+def read_corpus(spark: SparkSession, out_dir: str, log_path: str, as_of: int | None = None) -> DataFrame:
+    """The live blocks of a corpus that ``build_pretraining_corpus`` recorded in ``log_path``."""
+    return commits.read_live(spark, out_dir, log_path, CORPUS_SCHEMA, as_of)
+
+
+def _no_counts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "split string, metric string, value double")
+
+
+def _sample_counts(built: DataFrame) -> DataFrame:
     counts = built.agg(F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).alias("n_train"),
                        F.sum(F.when(F.col("split") == "eval", 1).otherwise(0)).alias("n_eval"))
     return metrics.metric_rows([("train", "train_samples", F.col("n_train")),
