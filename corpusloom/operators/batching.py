@@ -7,19 +7,21 @@ not divisible, else greedily into the currently shortest non-full chunk.
 With two modalities this runs per modality; the last megabatch of each goes
 into one final batch sorted by index, the rest are shuffled.
 
-The random permutation is replaced by a seeded md5 order (Q11).  Positions
-come from the contiguous index (no global window); every window is bounded by
-one megabatch; the greedy split is one ``aggregate`` expression over each
-megabatch's rank-sorted array (at most ``world_size * batch_size`` rows).
+The random permutation is replaced by a seeded one that is arithmetic on a
+row's index (``permute``, Q11), so no hash is sorted.  Indexes come from the
+contiguous index (no global window); every window is bounded by one megabatch;
+the even split streams whole megabatches through a heap of chunks with room.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import constants as K
 from corpusloom.functions.text import word_count
+from corpusloom.operators import permute
 from corpusloom.operators.index import contiguous_index
 from corpusloom.operators.joins import bounded_broadcast
 from corpusloom.session import checkpoint_root
@@ -50,23 +52,28 @@ def lengths_from_words(words: DataFrame, key: str = "conv_id") -> DataFrame:
     )
 
 
-def _perm_key(key: str, seed: int):
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+def _permuted(rows: DataFrame, key: str, out: str, seed: int, group_col: str | None = None) -> DataFrame:
+    """Add ``out``: the row's place in a seeded permutation of all rows (of its group).
+
+    Rows are indexed in key order; the place is arithmetic on index and count, one row of counts per group.
+    """
+    groups = [group_col] if group_col else ["_all"]
+    rows = rows if group_col else rows.withColumn("_all", F.lit(True))
+    indexed = contiguous_index(rows, [group_col, key] if group_col else [key], "_idx")
+    counts = indexed.groupBy(*groups).agg(F.min("_idx").alias("_g0"), F.count(F.lit(1)).alias("_n"))
+    at = indexed.join(bounded_broadcast(counts), groups)
+    return at.withColumn(out, permute.place(F.col("_idx") - F.col("_g0"), F.col("_n"), seed)).drop("_idx", "_g0", "_n", "_all")
 
 
 def megabatches(lengths: DataFrame, key: str, len_col: str, megabatch_size: int, seed: int = 0,
                 group_col: str | None = None) -> DataFrame:
     """B4 + B5: (key, [group,] mb, rank) with rank 1.. by length desc inside the megabatch (ties by key)."""
-    order = ([group_col] if group_col else []) + ["_perm", key]
-    indexed = contiguous_index(lengths.withColumn("_perm", _perm_key(key, seed)), order, "_idx")
-    if group_col:
-        first = indexed.groupBy(group_col).agg(F.min("_idx").alias("_g0"))
-        indexed = indexed.join(bounded_broadcast(first), group_col).withColumn("_idx", F.col("_idx") - F.col("_g0")).drop("_g0")
-    out = indexed.withColumn("mb", F.floor(F.col("_idx") / F.lit(megabatch_size)).cast("bigint"))
+    placed = _permuted(lengths, key, "_at", seed, group_col)
+    out = placed.withColumn("mb", F.floor(F.col("_at") / F.lit(megabatch_size)).cast("bigint"))
     part = [group_col, "mb"] if group_col else ["mb"]
     w = Window.partitionBy(*part).orderBy(F.col(len_col).desc(), F.col(key))
     return out.withColumn("rank", F.row_number().over(w)).withColumn(
-        "mb_size", F.count(F.lit(1)).over(Window.partitionBy(*part))).drop("_perm", "_idx")
+        "mb_size", F.count(F.lit(1)).over(Window.partitionBy(*part))).drop("_at")
 
 
 def strided_chunks(mb: DataFrame, num_chunks: int) -> DataFrame:
@@ -76,52 +83,51 @@ def strided_chunks(mb: DataFrame, num_chunks: int) -> DataFrame:
         "chunk_pos", F.floor(p / F.lit(num_chunks)).cast("bigint"))
 
 
-def _greedy_walk(rows, len_col: str, num_chunks: int):
-    """B6 greedy on one megabatch's rows (sorted by rank): ARRAY<STRUCT<r, chunk, chunk_pos>>.
+def _fill_chunks(len_col: str, num_chunks: int):
+    """Arrow batches of whole megabatches in rank order -> the same rows with (chunk, chunk_pos).
 
-    Each length goes to the chunk with the smallest load, the first one on
-    ties; a chunk that reaches its share counts as infinitely loaded.
+    Every chunk has room for the same number of rows.  The chunks that still have room wait in a heap by (load,
+    chunk); the next row goes to the first of them, which comes back with its new load unless that row filled it.
+    What is kept between batches is one megabatch's heap and room.
     """
-    per_chunk = (F.size(rows) / F.lit(num_chunks)).cast("int")
-    zero = F.struct(
-        F.array_repeat(F.lit(0.0), num_chunks).alias("loads"),
-        F.array_repeat(F.lit(0), num_chunks).alias("sizes"),
-        F.array().cast("array<struct<r:int,chunk:bigint,chunk_pos:bigint>>").alias("out"),
-    )
 
-    def step(acc, x):
-        c = F.array_position(acc["loads"], F.array_min(acc["loads"])).cast("int") - 1
-        filled = F.element_at(acc["sizes"], c + 1) + 1
-        loads = F.transform(acc["loads"], lambda ld, i: F.when(i != c, ld).when(filled == per_chunk, F.lit(float("inf")))
-                            .otherwise(ld + x[len_col].cast("double")))
-        sizes = F.transform(acc["sizes"], lambda n, i: F.when(i == c, n + 1).otherwise(n))
-        placed = F.struct(x["rank"].cast("int").alias("r"), c.cast("bigint").alias("chunk"),
-                          (filled - 1).cast("bigint").alias("chunk_pos"))
-        return F.struct(loads.alias("loads"), sizes.alias("sizes"),
-                        F.concat(acc["out"], F.array(placed)).alias("out"))
+    def run(batches):
+        import heapq
+
+        import pyarrow as pa
+
+        waiting, room, share = [], [], 0
+        for batch in batches:
+            chunks, places = [], []
+            for rank, size, length in zip(batch["rank"].to_pylist(), batch["mb_size"].to_pylist(), batch[len_col].to_pylist()):
+                if rank == 1:  # the next megabatch
+                    share = size // num_chunks
+                    waiting, room = [(0, c) for c in range(num_chunks)], [share] * num_chunks
+                load, c = heapq.heappop(waiting)
+                chunks.append(c)
+                places.append(share - room[c])
+                room[c] -= 1
+                if room[c]:
+                    heapq.heappush(waiting, (load + (length or 0), c))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks, pa.int64()), pa.array(places, pa.int64())],
+                                             names=[*batch.schema.names, "chunk", "chunk_pos"])
 
-    return F.aggregate(rows, zero, step)["out"]
+    return run
 
 
 def even_chunks(mb: DataFrame, key: str, len_col: str, num_chunks: int, group_cols: list[str] = ("mb",)) -> DataFrame:
-    """Strided for sizes not divisible by ``num_chunks``; greedy otherwise.
+    """Strided for sizes not divisible by ``num_chunks``; otherwise each row, in rank order, to the lightest chunk
+    that has room, the first one on ties.  A row without length weighs nothing.
 
-    The greedy rule is sequential inside a megabatch, so each megabatch (at
-    most ``world_size * batch_size`` rows) is gathered into a rank-sorted array
-    and walked by one ``aggregate`` expression; the placements join back on
-    (megabatch, rank).
+    The second rule is sequential inside a megabatch.  Whole megabatches lie in one task, sorted by rank (the
+    partitioning and order of the ranks' own window), and stream through a heap: n log(chunks) steps, and no
+    megabatch is gathered into one row.
     """
     divisible = F.pmod(F.col("mb_size"), F.lit(num_chunks)) == 0
     strided = strided_chunks(mb.filter(~divisible), num_chunks)
-    greedy_in = mb.filter(divisible)
-    groups = list(group_cols)
-    walks = greedy_in.groupBy(*groups).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("rank").cast("int").alias("rank"), F.col(len_col)))).alias("_rows"))
-    placed = walks.select(*groups, F.explode(_greedy_walk(F.col("_rows"), len_col, num_chunks)).alias("_p")).select(
-        *groups, F.col("_p.r").alias("rank"), "_p.chunk", "_p.chunk_pos")
-    greedy = greedy_in.withColumn("rank", F.col("rank").cast("int")).join(placed, groups + ["rank"])
-    greedy = greedy.withColumn("rank", F.col("rank").cast(mb.schema["rank"].dataType))
-    return strided.unionByName(greedy)
+    whole = mb.filter(divisible).repartition(*group_cols).sortWithinPartitions(*group_cols, "rank")
+    schema = T.StructType([*mb.schema.fields, T.StructField("chunk", T.LongType()), T.StructField("chunk_pos", T.LongType())])
+    return strided.unionByName(whole.mapInArrow(_fill_chunks(len_col, num_chunks), schema))
 
 
 def length_grouped(lengths: DataFrame, key: str, len_col: str, batch_size: int, world_size: int, seed: int = 0,
@@ -156,9 +162,8 @@ def modality_batches(lengths: DataFrame, key: str, batch_size: int, world_size:
     # order inside a megabatch: chunk by chunk
     g = g.withColumn("_o", F.col("chunk") * F.lit(batch_size * world_size) + F.col("chunk_pos"))
     body = g.filter(~F.col("_tail"))
-    mbs = body.select("_mod", "mb").distinct().withColumn(
-        "_shuf", F.md5(F.concat_ws(":", F.lit(f"mb{seed}"), F.col("_mod").cast("string"), F.col("mb").cast("string"))))
-    ranked = contiguous_index(mbs, ["_shuf", "_mod", "mb"], "batch_no")
+    mbs = body.select("_mod", "mb").distinct().withColumn("_batch", F.struct("_mod", "mb"))
+    ranked = _permuted(mbs, "_batch", "batch_no", seed + 1)
     body = body.join(ranked.select("_mod", "mb", "batch_no"), ["_mod", "mb"]).withColumn(
         "pos", F.row_number().over(Window.partitionBy("batch_no").orderBy("_o")) - 1)
     n_body = ranked.count()
@@ -181,6 +186,6 @@ def sampler_order(lengths: DataFrame, key: str, batch_size: int, world_size: int
     if group_by_modality:
         return modality_batches(lengths, key, batch_size, world, seed)
     step = F.lit(batch_size * world)
-    at = contiguous_index(lengths.select(key, _perm_key(key, seed).alias("_perm")), ["_perm", key], "_idx")
-    return at.select(key, F.floor(F.col("_idx") / step).cast("bigint").alias("batch_no"),
-                     F.pmod("_idx", step).cast("bigint").alias("pos"))
+    at = _permuted(lengths.select(key), key, "_at", seed)
+    return at.select(key, F.floor(F.col("_at") / step).cast("bigint").alias("batch_no"),
+                     F.pmod("_at", step).cast("bigint").alias("pos"))

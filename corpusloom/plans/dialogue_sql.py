@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from corpusloom import constants as K
+from corpusloom.operators.permute import place_sql
 from corpusloom.plans.sqlfrag import WORD_RE, bytes_ids, ids_str
 
 #: code points that Python's str.strip() removes
@@ -212,8 +213,9 @@ ln AS (SELECT conv_id, has_img, CAST(words + CASE WHEN has_img THEN 128 ELSE 0 E
 
 def megabatch_sql(m: int) -> str:
     return f"""{RECORDS}, {LENGTHS},
-ix AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || CAST(conv_id AS VARCHAR)), conv_id) - 1 AS idx FROM ln),
-mb AS (SELECT conv_id, length, CAST(idx // {m} AS BIGINT) AS mb FROM ix),
+ix AS (SELECT *, row_number() OVER (ORDER BY conv_id) - 1 AS idx, count(*) OVER () AS n FROM ln),
+pl AS ({place_sql('ix', 'idx', 'n')}),
+mb AS (SELECT conv_id, length, CAST(place // {m} AS BIGINT) AS mb FROM pl),
 rk AS (SELECT conv_id, mb, CAST(row_number() OVER (PARTITION BY mb ORDER BY length DESC, conv_id) AS BIGINT) AS rank FROM mb)"""
 
 
@@ -348,20 +350,20 @@ gm AS (SELECT rk.conv_id, rk.mb, rk.rank, mb.length AS len, count(*) OVER (PARTI
 {chunks_sql('gm', ['mb'], 2)}"""
 
 MODALITY = f"""WITH RECURSIVE {RECORDS}, {LENGTHS},
-sg AS (SELECT conv_id, modality_length > 0 AS md, abs(modality_length) AS alen, modality_length AS slen,
-              md5('0:' || CAST(conv_id AS VARCHAR)) AS perm FROM ln),
+sg AS (SELECT conv_id, modality_length > 0 AS md, abs(modality_length) AS alen, modality_length AS slen FROM ln),
+im AS (SELECT *, row_number() OVER (PARTITION BY md ORDER BY conv_id) - 1 AS idx, count(*) OVER (PARTITION BY md) AS n FROM sg),
+i1 AS (SELECT *, row_number() OVER (ORDER BY conv_id) - 1 AS idx, count(*) OVER () AS n FROM sg),
 nmod AS (SELECT count(DISTINCT md) AS k FROM sg),
 -- two modalities: megabatches per modality
-pm AS (SELECT conv_id, md, alen AS len,
-              (row_number() OVER (PARTITION BY md ORDER BY perm, conv_id) - 1) // 8 AS mb FROM sg),
+pm AS (SELECT conv_id, md, alen AS len, place // 8 AS mb FROM ({place_sql('im', 'idx', 'n')})),
 rm AS (SELECT conv_id, md, mb, len, row_number() OVER (PARTITION BY md, mb ORDER BY len DESC, conv_id) AS rank,
               count(*) OVER (PARTITION BY md, mb) AS sz FROM pm),
 {greedy_walk_sql('walk_rm', 'rm', ['md', 'mb'], 2)},
 cm AS ({chunks_sql('rm', ['md', 'mb'], 2)}),
 tl AS (SELECT md, max(mb) AS last FROM cm GROUP BY md),
 bd AS (SELECT cm.* FROM cm JOIN tl ON cm.md = tl.md WHERE cm.mb <> tl.last),
-bn AS (SELECT md, mb, row_number() OVER (ORDER BY md5('mb0:' || CAST(md AS VARCHAR) || ':' || CAST(mb AS VARCHAR)), md, mb) - 1
-              AS batch_no FROM (SELECT DISTINCT md, mb FROM bd)),
+bi AS (SELECT md, mb, row_number() OVER (ORDER BY md, mb) - 1 AS idx, count(*) OVER () AS n FROM (SELECT DISTINCT md, mb FROM bd)),
+bn AS (SELECT md, mb, place AS batch_no FROM ({place_sql('bi', 'idx', 'n', 1)})),
 two AS (
   SELECT bd.conv_id, bn.batch_no, row_number() OVER (PARTITION BY bn.batch_no ORDER BY bd.chunk * 8 + bd.chunk_pos) - 1 AS pos
   FROM bd JOIN bn ON bd.md = bn.md AND bd.mb = bn.mb
@@ -369,7 +371,7 @@ two AS (
   SELECT cm.conv_id, (SELECT count(*) FROM bn), row_number() OVER (ORDER BY cm.conv_id) - 1
   FROM cm JOIN tl ON cm.md = tl.md WHERE cm.mb = tl.last),
 -- one modality: megabatches over the raw signed lengths
-p1 AS (SELECT conv_id, slen AS len, (row_number() OVER (ORDER BY perm, conv_id) - 1) // 8 AS mb FROM sg),
+p1 AS (SELECT conv_id, slen AS len, place // 8 AS mb FROM ({place_sql('i1', 'idx', 'n')})),
 r1 AS (SELECT conv_id, mb, len, row_number() OVER (PARTITION BY mb ORDER BY len DESC, conv_id) AS rank,
               count(*) OVER (PARTITION BY mb) AS sz FROM p1),
 {greedy_walk_sql('walk_r1', 'r1', ['mb'], 2)},
@@ -440,9 +442,10 @@ SELECT conv_id, 'role_order' AS reason FROM every WHERE NOT order_ok
 UNION ALL SELECT conv_id, 'empty_first' FROM every WHERE empty_first
 UNION ALL SELECT conv_id, 'no_words' FROM every WHERE coalesce(words, 0) = 0"""),
     "turn_pairs_offset": ORACLE["turn_pairs"],
-    "sampler_plain": """SELECT conv_id, CAST(i // 8 AS BIGINT) AS batch_no, CAST(i % 8 AS BIGINT) AS pos FROM (
-  SELECT conv_id, row_number() OVER (ORDER BY md5('0:' || conv_id), conv_id) - 1 AS i
-  FROM (SELECT DISTINCT conv_id FROM conversations))""",
+    "sampler_plain": f"""WITH ix AS (
+  SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS idx, count(*) OVER () AS n
+  FROM (SELECT DISTINCT conv_id FROM conversations))
+SELECT conv_id, CAST(place // 8 AS BIGINT) AS batch_no, CAST(place % 8 AS BIGINT) AS pos FROM ({place_sql('ix', 'idx', 'n')})""",
     "sft_target_literal": f"""WITH {RECORDS}, {PAIRS}
 SELECT conv_id, pair_no, CASE WHEN conv_id % 3 = 0 OR output IS NULL THEN 'None' ELSE output END || {lit(K.EOS_TOKEN)} AS target
 FROM pairs""",
