@@ -60,9 +60,9 @@ def _permuted(rows: DataFrame, key: str, out: str, seed: int, group_col: str | N
     groups = [group_col] if group_col else ["_all"]
     rows = rows if group_col else rows.withColumn("_all", F.lit(True))
     indexed = contiguous_index(rows, [group_col, key] if group_col else [key], "_idx")
-    counts = indexed.groupBy(*groups).agg(F.min("_idx").alias("_g0"), F.count(F.lit(1)).alias("_n"))
+    counts = indexed.groupBy(*groups).agg(F.min("_idx").alias("_g0"), F.count(F.lit(1)).alias("_count"))
     at = indexed.join(bounded_broadcast(counts), groups)
-    return at.withColumn(out, permute.place(F.col("_idx") - F.col("_g0"), F.col("_n"), seed)).drop("_idx", "_g0", "_n", "_all")
+    return permute.with_place(at, F.col("_idx") - F.col("_g0"), F.col("_count"), out, seed).drop("_idx", "_g0", "_count", "_all")
 
 
 def megabatches(lengths: DataFrame, key: str, len_col: str, megabatch_size: int, seed: int = 0,
@@ -99,8 +99,8 @@ def _fill_chunks(len_col: str, num_chunks: int):
         waiting, room, share = [], [], 0
         for batch in batches:
             chunks, places = [], []
-            for rank, size, length in zip(batch["rank"].to_pylist(), batch["mb_size"].to_pylist(), batch[len_col].to_pylist()):
-                if rank == 1:  # the next megabatch
+            for nth, size, length in zip(batch["_nth"].to_pylist(), batch["mb_size"].to_pylist(), batch[len_col].to_pylist()):
+                if nth == 1:  # the next megabatch
                     share = size // num_chunks
                     waiting, room = [(0, c) for c in range(num_chunks)], [share] * num_chunks
                 load, c = heapq.heappop(waiting)
@@ -119,15 +119,15 @@ def even_chunks(mb: DataFrame, key: str, len_col: str, num_chunks: int, group_co
     """Strided for sizes not divisible by ``num_chunks``; otherwise each row, in rank order, to the lightest chunk
     that has room, the first one on ties.  A row without length weighs nothing.
 
-    The second rule is sequential inside a megabatch.  Whole megabatches lie in one task, sorted by rank (the
-    partitioning and order of the ranks' own window), and stream through a heap: n log(chunks) steps, and no
-    megabatch is gathered into one row.
+    The second rule is sequential inside a megabatch.  A window in rank order brings whole megabatches into one task
+    (they lie there already where ranks come from ``megabatches``), and they stream through a heap: n log(chunks)
+    steps, and no megabatch is gathered into one row.
     """
     divisible = F.pmod(F.col("mb_size"), F.lit(num_chunks)) == 0
     strided = strided_chunks(mb.filter(~divisible), num_chunks)
-    whole = mb.filter(divisible).repartition(*group_cols).sortWithinPartitions(*group_cols, "rank")
-    schema = T.StructType([*mb.schema.fields, T.StructField("chunk", T.LongType()), T.StructField("chunk_pos", T.LongType())])
-    return strided.unionByName(whole.mapInArrow(_fill_chunks(len_col, num_chunks), schema))
+    whole = mb.filter(divisible).withColumn("_nth", F.row_number().over(Window.partitionBy(*group_cols).orderBy("rank")))
+    schema = T.StructType([*whole.schema.fields, T.StructField("chunk", T.LongType()), T.StructField("chunk_pos", T.LongType())])
+    return strided.unionByName(whole.mapInArrow(_fill_chunks(len_col, num_chunks), schema).drop("_nth"))
 
 
 def length_grouped(lengths: DataFrame, key: str, len_col: str, batch_size: int, world_size: int, seed: int = 0,

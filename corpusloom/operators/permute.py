@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROUNDS = 6
+ROUNDS = 4
 # A walk visits only cells beyond n before it ends: at most ``a`` of them, below 64 while n < 4,096.  Above that a step
 # stays beyond n with a probability under 1/64, and a walk that is not over after 64 steps raises.
 WALK = 64
@@ -29,7 +29,8 @@ def _hash(key: str, half: Column) -> Column:
 
 
 def _once(x: Column, a: Column, b: Column, keys: list[str]) -> Column:
-    left, right = F.floor(x / b).cast("bigint"), F.pmod(x, b)
+    right = F.pmod(x, b)
+    left = F.round((x - right) / b).cast("bigint")
     for r, key in enumerate(keys):
         if r % 2 == 0:
             left = F.pmod(left + _hash(key, right), a)
@@ -38,17 +39,27 @@ def _once(x: Column, a: Column, b: Column, keys: list[str]) -> Column:
     return left * b + right
 
 
-def place(idx: Column, n: Column, seed: int = 0) -> Column:
-    """The place of index ``idx`` (0 .. n - 1) in the permutation of [0, n) that ``seed`` names; null for nulls."""
-    idx, n = idx.cast("bigint"), n.cast("bigint")
-    a = F.floor(F.sqrt(n.cast("double"))).cast("bigint") + 1
-    b = F.ceil(n / a).cast("bigint")
-    keys = round_keys(seed)
-    first = _once(idx, a, b, keys)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first,
-                         lambda x, _: F.when(x < n, x).otherwise(_once(x, a, b, keys)))
-    return F.when(first < n, first).when(first >= n, F.when(walked < n, walked).otherwise(
-        F.raise_error(F.lit("a cycle walk did not end")).cast("bigint")))
+def with_place(rows: DataFrame, idx: Column, n: Column, out: str, seed: int = 0) -> DataFrame:
+    """Add ``out``: the place of index ``idx`` (0 .. n - 1) in the permutation of [0, n) that ``seed`` names.
+
+    A null index or count has a null place.  Every round is a projection of its own, so that each hash is taken once;
+    only the few places beyond n go into the walk.
+    """
+    a, b, left, right = (F.col(c) for c in ("_a", "_b", "_l", "_r"))
+    keys, kept = round_keys(seed), rows.columns
+    rows = rows.withColumns({"_n": n.cast("bigint"), "_i": idx.cast("bigint")})
+    rows = rows.withColumn("_a", F.floor(F.sqrt(F.col("_n").cast("double"))).cast("bigint") + 1)
+    rows = rows.withColumn("_b", F.expr("(_n + _a - 1) div _a"))
+    rows = rows.withColumns({"_l": F.expr("_i div _b"), "_r": F.pmod("_i", b)})
+    for r, key in enumerate(keys):
+        rows = rows.withColumn(*(("_l", F.pmod(left + _hash(key, right), a)) if r % 2 == 0 else
+                                 ("_r", F.pmod(right + _hash(key, left), b))))
+    rows = rows.withColumn("_x", left * b + right)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("_x"),
+                         lambda x, _: F.when(x < F.col("_n"), x).otherwise(_once(x, a, b, keys)))
+    rows = rows.withColumn("_x", F.when(F.col("_x") >= F.col("_n"), walked).otherwise(F.col("_x")))
+    at = F.when(F.col("_x") >= F.col("_n"), F.raise_error(F.lit("a cycle walk did not end")).cast("bigint")).otherwise(F.col("_x"))
+    return rows.select(*kept, at.alias(out))
 
 
 def place_sql(src: str, idx: str, n: str, seed: int = 0) -> str:

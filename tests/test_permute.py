@@ -10,7 +10,7 @@ SIZES = [1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 17, 99, 100, 101, 2500, 4097]
 def _places(spark, sizes, seed=0):
     rows = spark.createDataFrame([(n,) for n in sizes], "n long").withColumn("i", F.explode(F.expr("sequence(0L, n - 1)")))
     out = {}
-    for r in rows.select("n", "i", permute.place(F.col("i"), F.col("n"), seed).alias("p")).collect():
+    for r in permute.with_place(rows, F.col("i"), F.col("n"), "p", seed).collect():
         out.setdefault(r.n, {})[r.i] = r.p
     return out
 
@@ -42,9 +42,9 @@ def test_places_look_shuffled(spark):
 def test_large_counts_and_nulls(spark):
     n = (1 << 40) + 12345
     df = spark.range(2000).select((F.col("id") * 549755813 % n).alias("i"))
-    got = [r.p for r in df.select(permute.place(F.col("i"), F.lit(n)).alias("p")).collect()]
+    got = [r.p for r in permute.with_place(df, F.col("i"), F.lit(n), "p").collect()]
     assert len(set(got)) == 2000 and all(0 <= p < n for p in got)
-    assert spark.range(1).select(permute.place(F.lit(None), F.lit(5)).alias("p")).first().p is None
+    assert permute.with_place(spark.range(1), F.lit(None), F.lit(5), "p").first().p is None
 
 
 def _filled(lengths, chunks):
