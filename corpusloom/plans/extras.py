@@ -119,11 +119,12 @@ def _in_batches(spark, sf, rows):
         "pos", F.pmod("_idx", F.lit(MM_BATCH)).cast("bigint")).drop("_idx")
 
 
-def _mm_batches(spark, sf, keep_tokens):
+def _mm_batches(spark, sf, keep_tokens=None):
     """Training rows of the llama-2 family in batches of ``MM_BATCH`` by conversation id.
 
-    The rows come from the message-level masks; only the pieces starting inside the first ``keep_tokens`` ids of a
-    dialogue (the collator's cut) are gathered, so no row grows with the dialogue.
+    The rows come from the message-level masks; with ``keep_tokens`` (the collator's cut) only the pieces starting
+    inside the first ``keep_tokens`` ids of a dialogue are gathered, so no row grows with the dialogue.  Without it
+    the row of an image dialogue holds all its ids.
     """
     from corpusloom.operators import turns
 
@@ -146,6 +147,16 @@ def collate_mm(spark, sf):
 
 
 def image_expand_plan(spark, sf):
+    """G5's plan slot by slot: labels, attention and position ids over all slots of every row."""
+    b = collate.collate_pad(_mm_batches(spark, sf), K.PAD_ID)
+    e = images.expand_image_tokens(b, NUM_PATCHES)
+    return e.select("batch_id", "pos", "n_images", "count_ok", "max_embed_dim", "left_padding", "nb_image_pad",
+                    ids_to_string("final_labels").alias("final_labels"),
+                    ids_to_string("final_attention").alias("final_attention"),
+                    ids_to_string("position_ids").alias("position_ids"))
+
+
+def image_expand_runs(spark, sf):
     """G5's plan run by run, from message rows: no slot arrays, no row that holds a dialogue."""
     from corpusloom.operators import turns
 
@@ -230,6 +241,7 @@ QUERIES = {
     "resize_geometry": resize_geometry,
     "collate_mm": collate_mm,
     "image_expand_plan": image_expand_plan,
+    "image_expand_runs": image_expand_runs,
     "eval_argmax": eval_argmax,
     "token_accuracy": token_accuracy,
     "eval_loss": eval_loss,
@@ -349,7 +361,7 @@ UNION ALL SELECT 'eval', 'eval_samples', round(CAST(count(*) FILTER (WHERE split
 UNION ALL SELECT 'eval', 'eval_loss', round(avg(nll), 6) FROM nl
 UNION ALL SELECT 'eval', 'perplexity', round(exp(avg(nll)), 6) FROM nl"""
 
-# collate_mm / image_expand_plan: llama_2 masked rows, batches of MM_BATCH in conv_id order
+# collate_mm / image_expand_plan / image_expand_runs: llama_2 masked rows, batches of MM_BATCH in conv_id order
 from corpusloom.plans.dialogue_sql import mask_ctes  # noqa: E402
 
 _MM = f"""{mask_ctes('llama_2', MODEL_MAX_LENGTH, True)},
@@ -380,6 +392,38 @@ mt AS (SELECT *, len(list_filter(ids, lambda x: x = {K.IMAGE_TOKEN_ID})) AS nimg
 m2 AS (SELECT *, max(nimg) OVER (PARTITION BY batch_id) * {NUM_PATCHES - 1} + len(ids) AS max_embed_dim,
               NOT bool_or(ids[-1] = {K.PAD_ID}) OVER (PARTITION BY batch_id) AS left_padding FROM mt),
 m3 AS (SELECT *, max_embed_dim - len(ids) - nimg * {NUM_PATCHES - 1} AS nb_image_pad FROM m2),
+tok AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad,
+               unnest(generate_series(1, len(ids))) AS j, unnest(ids) AS id, unnest(labels) AS lab FROM m3),
+sl AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, j,
+              unnest(CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN list_transform(range({NUM_PATCHES}), lambda x: x) ELSE [0] END) AS sub,
+              CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN -100 ELSE lab END AS l,
+              CASE WHEN id = {K.IMAGE_TOKEN_ID} THEN 0 WHEN id <> {K.PAD_ID} THEN 1 ELSE 0 END AS m,
+              id <> {K.IMAGE_TOKEN_ID} AS wr FROM tok),
+fl AS (SELECT DISTINCT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad FROM m3),
+fill AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad,
+                CASE WHEN left_padding THEN -1 ELSE 1000000000 END AS j, unnest(range(nb_image_pad)) AS sub,
+                -100 AS l, 0 AS m, false AS wr FROM fl),
+al AS (SELECT *, row_number() OVER (PARTITION BY batch_id, pos ORDER BY j, sub) - 1 AS q FROM
+       (SELECT * FROM sl UNION ALL SELECT * FROM fill)),
+im AS (SELECT *, (NOT wr) AND (sum(CASE WHEN wr THEN 0 ELSE 1 END) OVER w - 1 >= nb_image_pad) AS img
+       FROM al WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+atn AS (SELECT *, CASE WHEN img THEN 1 ELSE m END AS att FROM im),
+ps AS (SELECT *, CASE WHEN att = 0 THEN 1 ELSE sum(att) OVER w - 1 END AS pid
+       FROM atn WINDOW w AS (PARTITION BY batch_id, pos ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT batch_id, pos, CAST(max(nimg) AS BIGINT) AS n_images,
+       sum(CASE WHEN img THEN 1 ELSE 0 END) = max(nimg) * {NUM_PATCHES} AS count_ok,
+       CAST(max(max_embed_dim) AS BIGINT) AS max_embed_dim, bool_or(left_padding) AS left_padding,
+       CAST(max(nb_image_pad) AS BIGINT) AS nb_image_pad,
+       string_agg(CAST(l AS VARCHAR), ',' ORDER BY q) AS final_labels,
+       string_agg(CAST(att AS VARCHAR), ',' ORDER BY q) AS final_attention,
+       string_agg(CAST(pid AS VARCHAR), ',' ORDER BY q) AS position_ids
+FROM ps GROUP BY batch_id, pos"""
+
+ORACLE["image_expand_runs"] = f"""WITH {_MM},
+mt AS (SELECT *, len(list_filter(ids, lambda x: x = {K.IMAGE_TOKEN_ID})) AS nimg FROM pd),
+m2 AS (SELECT *, max(nimg) OVER (PARTITION BY batch_id) * {NUM_PATCHES - 1} + len(ids) AS max_embed_dim,
+              NOT bool_or(ids[-1] = {K.PAD_ID}) OVER (PARTITION BY batch_id) AS left_padding FROM mt),
+m3 AS (SELECT *, max_embed_dim - len(ids) - nimg * {NUM_PATCHES - 1} AS nb_image_pad FROM m2),
 tok AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, n_ids,
                unnest(generate_series(1, len(ids))) AS j, unnest(ids) AS id, unnest(labels) AS lab FROM m3),
 sl AS (SELECT batch_id, pos, nimg, max_embed_dim, left_padding, nb_image_pad, j, id = {K.PAD_ID} AND j > n_ids AS tail,
