@@ -16,6 +16,8 @@ from corpusloom.sources.files import (append_manifest, files_to_build, read_nul_
 from corpusloom.plans.sqlfrag import DOC_LINES
 from corpusloom.sources.testdata import table
 
+FILES_A_TASK = 100
+
 
 def nul_chunks(spark, sf):
     """documents written as NUL-delimited JSON chunks, read back (empty chunks skipped)."""
@@ -132,10 +134,12 @@ def image_manifest_join(spark, sf):
     conv = table(spark, sf, "conversations")
     first_text = conv.groupBy("conv_id").agg(F.min(F.struct("turn", "text"))["text"].alias("body"))
     has_img = F.pmod(F.col("conv_id"), F.lit(3)) == 0
-    (first_text.filter(has_img)
-     .select(F.concat(F.col("conv_id").cast("string"), F.lit(".jpg")).alias("image"), F.coalesce("body", F.lit(""))
-             .alias("value"))
-     .write.partitionBy("image").text(root))
+    bodies = first_text.filter(has_img).select(
+        F.concat(F.col("conv_id").cast("string"), F.lit(".jpg")).alias("image"), F.coalesce("body", F.lit("")).alias("value"))
+    # few bytes but many files: dealt by files, and each task puts its own in place (the folder is fresh)
+    n_files = conv.filter(has_img).select("conv_id").distinct().count()
+    (bodies.repartition(max(1, -(-n_files // FILES_A_TASK)), "image")
+     .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("image").text(root))
     listing = image_manifest(spark, root).select(
         F.concat(F.lit("images/"), F.regexp_extract("rel_path", r"image=([^/]+)/", 1)).alias("rel_path"), "length")
     convs = turns.conversation_messages(conv, lambda k: F.pmod(k, F.lit(3)) == 0, stage="raw")[1]
