@@ -3,7 +3,7 @@
 Two tokenizers satisfy the contract the data code relies on (BOS on the
 default call, none with ``add_special_tokens=False``, special strings are one
 id): the byte tokenizer (pure expressions, functions/tokens.py) and a word
-tokenizer that looks pieces up in a vocabulary table by join.  Any other
+tokenizer that looks the different pieces of each block up in a vocabulary table by join.  Any other
 tokenizer plugs in through ``tokenize_with`` (an Arrow-batched iterator
 pandas UDF that loads its model once per Python worker).
 """
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import constants as K
-from corpusloom.functions.text import col_or_lit, words
+from corpusloom.functions.text import col_or_lit
 from corpusloom.functions.tokens import decode_bytes, encode_bytes, encode_with_specials
-from corpusloom.operators.joins import DEFAULT_BROADCAST_ROWS
+from corpusloom.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from corpusloom.session import checkpoint_root
 
 
@@ -155,37 +155,167 @@ def lookup(df: DataFrame, table: DataFrame, col: str, value: str, max_broadcast_
     return known.filter(common).drop("_hot").unionByName(rest)
 
 
+def coded_words(col):
+    """``(places, ends, different)``: the words of an Arrow array of texts (``str.split()``; null: none) as places in the
+    array ``different``, which may also hold the empty string; the words of text ``i`` are ``places[ends[i]:ends[i + 1]]``.
+
+    Arrow cuts at spaces and tells the words apart; only texts with other white space go through Python.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    col = col.cast(pa.large_string())
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    col = pc.replace_substring(col.fill_null(""), "\n", " ")
+    odd = pc.match_substring_regex(
+        col, "[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    if odd.true_count:
+        plain = [" ".join(t.split()) for t in col.filter(odd).to_pylist()]
+        col = pc.replace_with_mask(col, odd, pa.array(plain, pa.large_string()))
+    lists = pc.split_pattern(col, " ")
+    coded = lists.values.dictionary_encode()
+    places, ends = coded.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    empty = pc.index(coded.dictionary, pa.scalar("", pa.large_string())).as_py()
+    if empty >= 0:
+        kept = places != empty
+        ends = np.concatenate(([0], np.cumsum(kept)))[ends]
+        places = places[kept]
+    return places, ends, coded.dictionary
+
+
+BLOCK_BYTES = 4 << 20  # text of a block, about
+MIN_BLOCKS = 32
+
+
+def word_blocks(n_bytes: int | None) -> int:
+    """Blocks for that much text: each a bounded group, and enough of them to use a cluster."""
+    return max(MIN_BLOCKS, -(-(n_bytes or 0) // BLOCK_BYTES))
+
+
+def _by_block(df: DataFrame, key_cols: list[str], value_col: str, n_blocks: int, different, table: DataFrame, col: str,
+              answer, out_type: T.DataType, out_col: str, max_broadcast_rows: int | None) -> DataFrame:
+    """-> (key_cols, out_col): values looked up in ``table(col, found)`` block by block.
+
+    Rows are dealt to blocks by a hash of their key and shuffled once.  ``different(values)`` gives a block's different
+    pieces; these rows alone (a piece once a block, so that no common piece is a hot key) meet the table.  Each block
+    then meets its own answers: ``answer(values, found by piece, places of the rows of each key)`` gives a row per key;
+    rows with one key are merged by position.
+    """
+    import pyarrow as pa
+
+    block = F.pmod(F.xxhash64(*key_cols), F.lit(n_blocks)).alias("_block")
+    rows = df.select(block, *key_cols, value_col).repartition("_block")
+    n_keys, names = len(key_cols), [*key_cols, out_col]
+    found_col = next(c for c in table.columns if c != col)
+    piece_type = table.schema[col].dataType
+
+    def pieces(key, group):
+        values = different(group.column(n_keys + 1))
+        return pa.table({"_block": pa.chunked_array([pa.repeat(key[0], len(values))]), col: values})
+
+    def look(group, found):
+        known = dict(zip(found.column(1).to_pylist(), found.column(2).to_pylist()))
+        at: dict = {}
+        for i, k in enumerate(zip(*[group.column(1 + j).to_pylist() for j in range(n_keys)])):
+            at.setdefault(k, []).append(i)
+        values = group.column(n_keys + 1)
+        out = answer(values, known, list(at.values()))
+        first = pa.array([some[0] for some in at.values()], pa.int64())
+        return pa.table([*[group.column(1 + j).take(first) for j in range(n_keys)], out], names=names)
+
+    asked = rows.groupBy("_block").applyInArrow(pieces, T.StructType([
+        T.StructField("_block", T.LongType()), T.StructField(col, piece_type)]))
+    if max_broadcast_rows is not None:
+        table = bounded_broadcast(table, max_broadcast_rows)
+    answers = asked.join(table.select(col, found_col), col).select("_block", col, found_col)
+    schema = T.StructType([*[df.schema[c] for c in key_cols], T.StructField(out_col, out_type)])
+    return rows.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(look, schema)
+
+
 def tokenize_words(df: DataFrame, key_cols: list[str], text_col: str, vocab: DataFrame,
                    out_col: str = "input_ids", bos: bool = True, unk_id: int = K.UNK_ID,
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   max_broadcast_rows: int | None = None, n_blocks: int | None = None) -> DataFrame:
     """-> (key_cols, out_col): pieces looked up in ``vocab(id, piece)``; unknown get ``unk_id``.
 
-    The vocabulary is broadcast after a row-count check; of a larger one the text's
-    commonest pieces are (``lookup``).  The text is hash
-    partitioned by row key first, so the regrouping aggregate needs no second
-    exchange when the vocabulary is broadcast.
+    The different pieces of each block of text meet the vocabulary (``_by_block``); no word is a row of its own.
     """
-    # shuffle the text by row key once; explode, lookup and regroup then stay in that partitioning
-    keyed = df.select(*key_cols, text_col).repartition(*key_cols)
-    exploded = keyed.select(*key_cols, F.posexplode_outer(words(F.col(text_col))).alias("_pos", "piece"))
-    looked = lookup(exploded, vocab.select("piece", F.col("id").alias("_id")), "piece", "_id", max_broadcast_rows)
-    found = F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.coalesce("_id", F.lit(unk_id)).alias("_id")))
-    grouped = looked.groupBy(*key_cols).agg(
-        F.transform(F.array_sort(F.collect_list(found)), lambda x: x["_id"]).alias("_ids")
-    )
-    ids = F.concat(F.array(F.lit(K.BOS_ID)), F.col("_ids")) if bos else F.col("_ids")
-    return grouped.select(*key_cols, ids.cast("array<int>").alias(out_col))
+    if n_blocks is None:
+        n_blocks = word_blocks(df.agg(F.sum(F.octet_length(text_col))).first()[0])
+    coded, lead, bos_id = _by_value(coded_words), int(bos), K.BOS_ID
+
+    def different(texts):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = coded(texts)[2]
+        return words.filter(pc.not_equal(words, "")).cast(pa.string())
+
+    def answer(texts, known, groups):
+        import numpy as np
+        import pyarrow as pa
+
+        places, ends, words = coded(texts)
+        of_word = np.array([known.get(w, unk_id) for w in words.to_pylist()], np.int32)
+        ids = of_word[places] if len(places) else np.zeros(0, np.int32)
+        if len(groups) < len(ends) - 1:  # rows with one key: one row, by position
+            parts = []
+            for some in groups:
+                if len(some) == 1:
+                    parts.append(ids[ends[some[0]] : ends[some[0] + 1]])
+                else:
+                    pairs = sorted(pair for i in some for pair in enumerate(ids[ends[i] : ends[i + 1]].tolist()))
+                    parts.append(np.array([x for _, x in pairs], np.int32))
+            ids, ends = np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+        out = np.full(len(ids) + lead * (len(ends) - 1), bos_id, np.int32)
+        first = ends + lead * np.arange(len(ends))
+        out[np.arange(len(ids)) + lead * np.repeat(np.arange(1, len(ends)), np.diff(ends))] = ids
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(out, pa.int32()))
+
+    table = vocab.select("piece", F.col("id").cast("int").alias("_id"))
+    return _by_block(df, key_cols, text_col, n_blocks, different, table, "piece", answer, T.ArrayType(T.IntegerType()),
+                     out_col, max_broadcast_rows)
 
 
 def detokenize_words(df: DataFrame, key_cols: list[str], ids_col: str, vocab: DataFrame,
-                     out_col: str = "text", max_broadcast_rows: int | None = None) -> DataFrame:
+                     out_col: str = "text", max_broadcast_rows: int | None = None, n_blocks: int | None = None) -> DataFrame:
     """-> (key_cols, out_col): ids -> pieces joined by one space, special ids skipped."""
-    keyed = df.select(*key_cols, ids_col).repartition(*key_cols)
-    exploded = keyed.select(*key_cols, F.posexplode_outer(ids_col).alias("_pos", "_tok"))
-    looked = lookup(exploded, vocab.select(F.col("id").alias("_tok"), "piece"), "_tok", "piece", max_broadcast_rows)
-    kept = F.when(F.col("_tok") >= F.lit(3), F.struct("_pos", "piece"))
-    return looked.groupBy(*key_cols).agg(
-        F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["piece"])).alias(out_col))
+    if n_blocks is None:
+        n_blocks = word_blocks(df.agg(F.sum(F.size(ids_col).cast("bigint") * 4)).first()[0])
+
+    def different(ids):
+        return ids.combine_chunks().flatten().unique().drop_null()
+
+    def answer(ids, known, groups):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        ids = ids.combine_chunks()
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+        if len(groups) < len(ids):  # rows with one key: one row, by position
+            lists, out = ids.to_pylist(), []
+            for some in groups:
+                pairs = sorted((at, known[x]) for i in some for at, x in enumerate(lists[i] or ())
+                               if x is not None and x >= 3 and known.get(x) is not None)
+                out.append(" ".join([w for _, w in pairs]))
+            return pa.array(out, pa.string())
+        flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+        order = sorted(k for k, w in known.items() if k >= 3 and w is not None)
+        if not order:
+            return pa.array([""] * len(ids), pa.string())
+        have = np.array(order, flat.dtype)
+        place = np.minimum(np.searchsorted(have, flat), len(have) - 1)
+        kept = have[place] == flat
+        words = pa.array([known[k] for k in order], pa.string()).take(pa.array(place[kept]))
+        ends = np.concatenate(([0], np.cumsum(kept)))[ends]
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words), " ")
+
+    id_type = df.schema[ids_col].dataType.elementType
+    table = vocab.select(F.col("id").cast(id_type).alias("_tok"), "piece")
+    return _by_block(df, key_cols, ids_col, n_blocks, different, table, "_tok", answer, T.StringType(), out_col,
+                     max_broadcast_rows)
 
 
 def tokenize_with(df: DataFrame, text_col: str, make_encoder: Callable[[], Callable[[str], list[int]]],

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
-from corpusloom.functions.text import words
 from corpusloom.operators.index import contiguous_index
+from corpusloom.operators.tokenize import _by_value, coded_words
 from corpusloom.session import checkpoint_root
 
 BASE_SPECIALS = ["<unk>", "<s>", "</s>"]
@@ -24,13 +24,24 @@ def specials_frame(spark: SparkSession, pieces: list[str] = BASE_SPECIALS) -> Da
 
 
 def word_counts(df: DataFrame, text_col: str, specials: list[str] = BASE_SPECIALS) -> DataFrame:
-    """(piece, cnt): whitespace pieces of a text column counted (a partial, map-side aggregate)."""
-    return (
-        df.select(F.explode(words(F.col(text_col))).alias("piece"))
-        .groupBy("piece")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .filter(~F.col("piece").isin(*specials))
-    )
+    """(piece, cnt): whitespace pieces of a text column counted, first within slices of rows by the tasks that read
+    them: a slice's different pieces are shuffled, not its words."""
+    coded = _by_value(coded_words)
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4000):
+                places, _, words = coded(batch.column(0).slice(at, 4000))
+                counts = pa.array(np.bincount(places, minlength=len(words)), pa.int64())
+                part = pa.record_batch([words.cast(pa.string()), counts], names=["piece", "n"])
+                yield part.filter(pc.greater(counts, 0))
+
+    parts = df.select(F.col(text_col).cast("string")).mapInArrow(count, "piece string, n long")
+    return parts.filter(~F.col("piece").isin(*specials)).groupBy("piece").agg(F.sum("n").alias("cnt"))
 
 
 def vocab_from_text(df: DataFrame, text_col: str, specials: list[str] = BASE_SPECIALS) -> DataFrame:

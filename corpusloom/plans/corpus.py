@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions.tokens import decode_bytes, ids_to_string
 from corpusloom.operators import packing, vocab
 from corpusloom.operators.index import nested_index
-from corpusloom.operators.tokenize import detokenize_words, tokenize_bytes_arrow, tokenize_words
+from corpusloom.operators.tokenize import detokenize_words, tokenize_bytes_arrow, tokenize_words, word_blocks
 from corpusloom.plans import sqlfrag as Q
 from corpusloom.plans.inputs import bench_lines, doc_lines
+from corpusloom.session import checkpoint_root
 from corpusloom.sources.files import union_sources
 from corpusloom.sources.testdata import table
 
@@ -96,11 +97,15 @@ def concat_sources(spark, sf):
     return union_sources([d, b]).select("source", "doc_id", "line_no", "line")
 
 
-def _vocabs(spark, sf):
+def _vocabs(spark, sf, keep_ext=False):
     """(base, extension pieces, merged): the extension's order (count desc, piece asc) is all the merge
-    needs, so only its pieces missing from the base are ranked."""
+    needs, so only its pieces missing from the base are ranked.  ``keep_ext``: the extension's counts are written once,
+    for a caller that reads its pieces as well."""
     base = vocab.vocab_from_text(table(spark, sf, "benchmark"), "text")
     ext_counts = vocab.word_counts(table(spark, sf, "documents"), "text")
+    if keep_ext:
+        checkpoint_root(spark)
+        ext_counts = ext_counts.checkpoint(eager=True)
     ext = vocab.specials_frame(spark).select("piece").unionByName(ext_counts.select("piece"))
     return base, ext, vocab.merge_counts(base, ext_counts)
 
@@ -110,7 +115,7 @@ def vocab_merge(spark, sf):
 
 
 def vocab_stats(spark, sf):
-    return vocab.vocab_stats(*_vocabs(spark, sf))
+    return vocab.vocab_stats(*_vocabs(spark, sf, keep_ext=True))
 
 
 def vocab_specials(spark, sf):
@@ -124,18 +129,22 @@ def vocab_guard(spark, sf):
     return vocab.vocab_guard(_vocabs(spark, sf)[2], MODEL_VOCAB_SIZE)
 
 
+def _word_blocks(spark, sf):
+    return word_blocks(table(spark, sf, "documents").agg(F.sum(F.octet_length("text"))).first()[0])
+
+
 def tok_words(spark, sf):
     merged = _vocabs(spark, sf)[2]
-    toks = tokenize_words(doc_lines(spark, sf), ORDER, "line", merged)
+    toks = tokenize_words(doc_lines(spark, sf), ORDER, "line", merged, n_blocks=_word_blocks(spark, sf))
     return toks.select("doc_id", "line_no", F.size("input_ids").cast("bigint").alias("n_tokens"),
                        ids_to_string("input_ids").alias("input_ids"))
 
 
 def detok_words(spark, sf):
     """T4 for the word tokenizer: ids back to pieces joined by one space (specials skipped)."""
-    merged = _vocabs(spark, sf)[2]
-    toks = tokenize_words(doc_lines(spark, sf), ORDER, "line", merged)
-    return detokenize_words(toks, ORDER, "input_ids", merged).select("doc_id", "line_no", "text")
+    merged, blocks = _vocabs(spark, sf)[2], _word_blocks(spark, sf)
+    toks = tokenize_words(doc_lines(spark, sf), ORDER, "line", merged, n_blocks=blocks)
+    return detokenize_words(toks, ORDER, "input_ids", merged, n_blocks=blocks).select("doc_id", "line_no", "text")
 
 
 QUERIES = {
