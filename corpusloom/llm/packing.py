@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def _json_cache(path: str) -> SegmentCache:
         def encode(texts):
             return [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
-        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"), 700_000)
+        return SegmentCache(lambda some: encode_joined(some, encode, id_bytes, "<u4"), 1_000_000)
 
     return worker_cache(f"tokenizers:{path}", make)
 
@@ -47,13 +48,12 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, z in batches_of_text(texts):
-                values, places = cache.looked_up(texts[a:z])
-                ids = [b"".join(map(values.__getitem__, some)) + end for some in places]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
+                ids = cache.joined(texts[a:z], end)
+                n = pc.binary_length(ids).to_numpy() // np.int64(4)
                 at = local + np.cumsum(n) - n
                 local += int(n.sum())
                 yield pa.record_batch([pa.array(np.full(z - a, part, np.int32)), batch.column(0).slice(a, z - a),
-                                       pa.array(at), pa.array(n), pa.array(ids, pa.binary())],
+                                       pa.array(at), pa.array(n), ids],
                                       names=["part", id_col, "local", "n", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -8,6 +8,8 @@ looked up.
 from __future__ import annotations
 
 import re
+import string
+from itertools import chain
 
 import numpy as np
 
@@ -54,6 +56,15 @@ def _odd(text: str) -> bool:
     return text.endswith((" ", "\n")) or any([x in text for x in _BESIDE]) or any([c in text for c in _RARE])
 
 
+def _marked(words: list[str]) -> dict[int, str]:
+    """By place, those words without the punctuation at their end that may be cut there: the pattern never matches
+    across the border between a letter or a digit and what is neither."""
+    short = [w.rstrip(string.punctuation) for w in words]
+    # what is a letter or a digit below U+0500 is the same in any Unicode version since 7
+    return {i: c for i, (w, c) in enumerate(zip(words, short))
+            if len(w) != len(c) and c and c[-1] < "\u0500" and c[-1].isalnum()}
+
+
 class SegmentCache:
     """Segment -> what ``encode(list of segments)`` gives for it.  About ``limit`` entries are kept: those used since
     the last half of them came in, and the half before."""
@@ -63,34 +74,90 @@ class SegmentCache:
         self.after: tuple[dict, dict] = {}, {}  # by the words that follow a space or begin with a line break
         self.whole: tuple[dict, dict] = {}, {}  # by other segments
 
-    def _fill(self, caches: tuple[dict, dict], wanted: list, segment) -> tuple[dict, dict]:
-        """The caches with every one of the (different) wanted words in the younger one."""
+    def _values(self, caches: tuple[dict, dict], wanted: list, segment) -> tuple[tuple[dict, dict], list]:
+        """The caches with every one of the wanted words in the younger one, and the words' values in order."""
         young, old = caches
         if len(young) + len(wanted) > self.limit // 2:
             young, old = {}, young
-        new = [w for w in wanted if w not in young]
-        known = [w for w in new if w in old]
-        young.update(zip(known, map(old.__getitem__, known)))
-        new = [w for w in new if w not in old] if known else new
-        if new:
-            young.update(zip(new, self.encode([segment(w) for w in new])))
-        return young, old
-
-    def looked_up(self, texts: list[str]) -> tuple[list, list[list[int]]]:
-        """``(values, places)``: the values of the different segments of all texts, and for each text the places in
-        ``values`` of its segments in order.
-
-        Words of ordinary texts are cut and told apart by Arrow, so that Python sees each different word once.
-        """
+        values = list(map(young.get, wanted))
+        missing = [i for i, v in enumerate(values) if v is None]
+        if missing:
+            new = list(dict.fromkeys([wanted[i] for i in missing]))
+            found = list(map(old.get, new))
+            unknown = [w for w, v in zip(new, found) if v is None]
+            coded = iter(self.encode([segment(w) for w in unknown]) if unknown else ())
+            young.update(zip(new, [next(coded) if v is None else v for v in found]))
+            for i in missing:
+                values[i] = young[wanted[i]]
+        return (young, old), values
+
+    @staticmethod
+    def _cut(texts: list[str]):
+        """``(odd, words, word, cut)``: the places of odd texts; the different words of the others, told apart by Arrow
+        so that Python sees each once; the places of all their words in ``words``, in order, and where each text's
+        begin among them (one more than such texts)."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        plain = [i for i, t in enumerate(texts) if not _odd(t)]
-        lists = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in plain], pa.large_string()), "\n", " \n"), " ")
+        odd = [i for i, t in enumerate(texts) if _odd(t)]
+        skip = set(odd)
+        plain = [t for i, t in enumerate(texts) if i not in skip] if odd else texts
+        lists = pc.split_pattern(pc.replace_substring(pa.array(plain, pa.large_string()), "\n", " \n"), " ")
         coded = lists.values.dictionary_encode()
         # by NumPy: to_pylist takes microseconds a value
-        words, word, cut = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
-        self.after = self._fill(self.after, words, _segment_or_space)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return odd, words, coded.indices.to_numpy(), lists.offsets.to_numpy()
+
+    def joined(self, texts: list[str], end: bytes = b""):
+        """For each text, the values (bytes) of its segments, joined, and ``end``, as an Arrow binary array.
+
+        Punctuation at the end of a word is looked up by itself, so that a word is encoded and kept once whatever
+        follows it; Arrow takes and joins the values, with no Python object a word or a text.
+        """
+        import pyarrow as pa
+
+        odd, words, word, cut = self._cut(texts)
+        marked = _marked(words)
+        marks = [words[i][len(core) :] for i, core in marked.items()]
+        first = [words[k] for k in word[cut[:-1]].tolist()]
+        others = [_BORDER.split(texts[i]) for i in odd]
+        cores = words.copy()
+        for i, core in marked.items():
+            cores[i] = core
+        whole = list(dict.fromkeys(chain(marks, filter(None, first), *others)))
+        self.after, values = self._values(self.after, cores, _segment_or_space)
+        self.whole, of_whole = self._values(self.whole, whole, str)
+        place = dict(zip(whole, range(len(whole))))
+        for i, mark in zip(marked, marks):
+            values[i] += of_whole[place[mark]]
+        place = {s: len(words) + k for s, k in place.items()}
+        place[""] = len(words) + len(whole)  # no text's first word
+        values += [*of_whole, b"", end]
+        word, ending = word.astype(np.int64), len(values) - 1
+        word[cut[:-1]] = list(map(place.__getitem__, first))
+        takes = [np.insert(word, cut[1:], ending)]
+        stops = [cut[1:] + np.arange(1, len(cut))]
+        for some in others:
+            takes.append(np.array([*map(place.__getitem__, some), ending], np.int64))
+        if odd:
+            stops.append(stops[0][-1:].sum() + np.cumsum([len(t) for t in takes[1:]]))
+        taken = pa.array(values, pa.large_binary()).take(pa.array(np.concatenate(takes)))
+        at = np.frombuffer(taken.buffers()[1], np.int64)[np.concatenate([[0], *stops])]
+        out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at), taken.buffers()[2]])
+        if odd:
+            order = np.empty(len(texts), np.int64)
+            order[np.concatenate([np.delete(np.arange(len(texts)), odd), odd])] = np.arange(len(texts))
+            out = out.take(pa.array(order))
+        return out.cast(pa.binary())
+
+    def looked_up(self, texts: list[str]) -> tuple[list, list[list[int]]]:
+        """``(values, places)``: the values of the different segments of all texts, and for each text the places in
+        ``values`` of its segments in order.
+        """
+        odd, words, word, cut = self._cut(texts)
+        skip = set(odd)
+        plain = [i for i in range(len(texts)) if i not in skip]
+        self.after, values = self._values(self.after, words, _segment_or_space)
         place: dict[str, int] = {}
         of = lambda s: place.setdefault(s, len(words) + len(place))
         places: list = [None] * len(texts)
@@ -100,9 +167,8 @@ class SegmentCache:
         for i, text in enumerate(texts):
             if places[i] is None:
                 places[i] = [of(s) for s in _BORDER.split(text)]
-        self.whole = self._fill(self.whole, list(place), str)
-        values = [*map(self.after[0].__getitem__, words), *map(self.whole[0].__getitem__, place)]
-        return values, places
+        self.whole, others = self._values(self.whole, list(place), str)
+        return values + others, places
 
     def many(self, texts: list[str]) -> list[list]:
         """For each text, the values of its segments in order."""
@@ -130,17 +196,23 @@ def encode_joined(some: list[str], encode, id_bytes: np.ndarray, dtype: str, at_
     kinds = joinable(some)
     for i, ids in zip(kinds["alone"], encode([some[i] for i in kinds["alone"]])):
         out[i] = np.array(ids, dtype).tobytes()
+    width = np.dtype(dtype).itemsize
     for glue in ("", "\n"):
-        groups = [kinds[glue][a : a + at_once] for a in range(0, len(kinds[glue]), at_once)]
-        for group, ids in zip(groups, encode([glue.join([some[i] for i in g]) for g in groups])):
-            ids = np.array(ids, np.int64)
-            ends = np.concatenate(([0], np.cumsum(id_bytes[ids])))
-            size = np.array([len(some[i].encode()) for i in group]) + len(glue)
-            begin = np.cumsum(size) - size
-            first, last = np.searchsorted(ends, begin), np.searchsorted(ends, begin + size - len(glue))
-            data, width = ids.astype(dtype).tobytes(), np.dtype(dtype).itemsize
-            for i, a, z in zip(group, (first * width).tolist(), (last * width).tolist()):
-                out[i] = data[a:z]
+        which = kinds[glue]
+        if not which:
+            continue
+        parts = [some[i] for i in which]
+        coded = encode([glue.join(parts[a : a + at_once]) for a in range(0, len(parts), at_once)])
+        ids = np.fromiter(chain.from_iterable(coded), np.int64)
+        ends = np.concatenate(([0], np.cumsum(id_bytes[ids])))
+        size = np.fromiter(map(len, map(str.encode, parts)), np.int64, len(parts))
+        after = np.full(len(parts), len(glue))
+        after[at_once - 1 :: at_once] = 0  # nothing after the last of a group
+        begin = np.cumsum(size + after) - size - after
+        first, last = np.searchsorted(ends, begin), np.searchsorted(ends, begin + size)
+        data = ids.astype(dtype).tobytes()
+        for i, a, z in zip(which, (first * width).tolist(), (last * width).tolist()):
+            out[i] = data[a:z]
     return out
 
 

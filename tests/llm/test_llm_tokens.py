@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from corpusloom.llm import bpe, packing, token_counts
-from corpusloom.llm.segments import encode_joined, segments
+from corpusloom.llm.segments import SegmentCache, encode_joined, segments
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
@@ -48,6 +48,41 @@ def test_joined_segments_are_parted_again():
     assert got == [np.array(coder.encode_ordinary(s), "<u4").tobytes() for s in some]
 
 
+def library_bytes(texts):
+    return [np.array(coder.encode_ordinary(t), "<u4").tobytes() for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab1!é,.' \n\t\x1c\xa0²ªʰсĳ　sL中\r", max_size=24), min_size=1, max_size=6))
+def test_joined_values_are_the_texts(texts):
+    cache = SegmentCache(library_bytes, 40)
+    for some in (texts, texts[::-1], texts):  # the second and third time from the cache
+        assert cache.joined(some, b"end.").to_pylist() == [x + b"end." for x in library_bytes(some)]
+    assert cache.joined(texts).to_pylist() == library_bytes(texts)
+    assert cache.joined([""]).to_pylist() == [b""]
+
+
+def test_joined_after_every_character():
+    """Punctuation may be cut off after whatever the library takes for a letter or a digit, and after nothing else."""
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    texts = [f"x a{chr(c)}.), b{chr(c)}'s," for c in range(0x3100)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert packing._json_cache(packing.tokenizer_path()).joined(texts).to_pylist() == want
+
+
+def test_a_word_is_encoded_once_whatever_punctuation_follows():
+    seen = []
+
+    def encode(some):
+        seen.extend(some)
+        return library_bytes(some)
+
+    cache = SegmentCache(encode, 1000)
+    texts = ["One word, two words. word; a word! (word) 3.5, 3.5", "And word: word\nword,", "odd  word,"]
+    assert cache.joined(texts).to_pylist() == library_bytes(texts)
+    assert seen.count(" word") == 1 and seen.count(" 3.5") == 1 and not {" word,", " word;", " word!", " word:", " 3.5,"} & set(seen)
+
+
 def test_pieces_contract_as_the_library_does():
     rng = random.Random(2)
     pieces = list({"".join(rng.choice("theandingéß123中 ") for _ in range(rng.randint(1, 40))) for _ in range(1500)})
